@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,19 +11,17 @@ from .. import fixed
 from .text import as_col, first_nonempty, let, py_strip
 
 _CLOCK = r"(?:[\sT,]+(\d{1,2}:\d{2})(:\d{2})?(?:\.\d+)?\s*([AaPp][Mm])?)?"
-_ZONE = r"\s*\(?([A-Za-z]{1,4}|[+-]\d{2}:?\d{2})?\)?\z"
-_WEEKDAY = r"^(?:[A-Za-z]{3,9}\.?,?\s+)?"
-# Known forms of a date, each with its rewrite to year|month|day|hour:minute|:second|fraction|am/pm|zone.
-_FORMS = [
-    (r"^(\d{4})[-/](\d{2})[-/](\d{2})(?:[T\s]+(\d{2}:\d{2})(:\d{2})?(?:[.,](\d{1,9}))?)?"
-     r"\s*(Z|z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)?\z", "$1|$2|$3|$4|$5|$6||$7"),
-    (r"^(\d{4})(\d{2})(\d{2})(Z)?\z", "$1|$2|$3|||||$4"),
-    (r"^(\d{4})(\d{2})(\d{2})T?(\d{2})(\d{2})(Z)?\z", "$1|$2|$3|$4:$5||||$6"),
-    (r"^(\d{4})(\d{2})(\d{2})T?(\d{2})(\d{2})(\d{2})(Z)?\z", "$1|$2|$3|$4:$5|:$6|||$7"),
-    (_WEEKDAY + r"(\d{1,2})[\s-]+([A-Za-z]{3})[a-z]*\.?,?[\s-]+(\d{4})" + _CLOCK + _ZONE, "$3|$2|$1|$4|$5||$6|$7"),
-    (_WEEKDAY + r"([A-Za-z]{3})[a-z]*\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _CLOCK + _ZONE,
-     "$3|$1|$2|$4|$5||$6|$7"),
-]
+_ZONE = r"\s*\(?([A-Za-z]{1,4}|[+-]\d{2}:?\d{2})?\)?"
+_ISO = (r"(\d{4})[-/](\d{2})[-/](\d{2})(?:[T\s]+(\d{2}:\d{2})(:\d{2})?(?:[.,](\d{1,9}))?)?"
+        r"\s*(Z|z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)?")
+_DAY_FIRST = r"(\d{1,2})[\s-]+([A-Za-z]{3})[a-z]*\.?,?[\s-]+(\d{4})" + _CLOCK + _ZONE
+_MONTH_FIRST = r"([A-Za-z]{3})[a-z]*\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _CLOCK + _ZONE
+# One pattern for all forms but the compact one. A group that took no part is empty, so each part of the rewrite
+# names the groups of every form: year|month|day|hour:minute|:second|fraction|am/pm|zone.
+_ANY_FORM = rf"^(?:{_ISO}|(?:[A-Za-z]{{3,9}}\.?,?\s+)?(?:{_DAY_FIRST}|{_MONTH_FIRST}))\z"
+_ANY_PARTS = "$1$10$17|$2$9$15|$3$8$16|$4$11$18|$5$12$19|$6|$13$20|$7$14$21"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2})?)?(Z)?\z"
+_COMPACT_PARTS = "$1|$2|$3|$4:$5|:$6|||$7"
 _PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})\z"
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
@@ -39,15 +38,16 @@ def _assemble(parts: Column) -> Column:
     hour = F.substring_index(clock, ":", 1).try_cast("int")
     hour = (F.when(half == "", hour).when((hour < 1) | (hour > 12), None)
             .otherwise(hour % 12 + F.when(F.lower(half) == "pm", 12).otherwise(0)))
-    clock = F.when(clock == "", F.lit("00:00")).otherwise(F.concat(
+    clock = F.when(clock.isin("", ":"), F.lit("00:00")).otherwise(F.concat(
         F.lpad(hour.cast("string"), 2, "0"), F.lit(":"), F.substring_index(clock, ":", -1)))
-    names = F.create_map(*[F.lit(x) for pair in fixed.ZONE_OFFSETS.items() for x in pair])
-    digits = F.rpad(F.replace(zone, F.lit(":"), F.lit("")), 5, "0")
-    offset = (F.when(zone == "", F.lit("+0000")).when(zone.rlike("^[+-]"), digits).otherwise(names[F.upper(zone)]))
+    second = F.when(second.isin("", ":"), F.lit(":00")).otherwise(second)
+    names = F.from_json(F.lit(json.dumps(fixed.ZONE_OFFSETS)), "map<string,string>")
+    offset = (F.when(zone == "", F.lit("+0000"))
+              .when(zone.rlike("^[+-]"), F.rpad(F.replace(zone, F.lit(":"), F.lit("")), 5, "0"))
+              .otherwise(F.try_element_at(names, F.upper(zone))))
     return F.try_to_timestamp(F.concat(
-        year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"), F.lit("T"), clock,
-        first_nonempty(second, F.lit(":00")), F.rpad(F.concat(F.lit("."), F.substring(fraction, 1, 6)), 7, "0"),
-        F.substring(offset, 1, 3), F.lit(":"), F.substring(offset, 4, 2)))
+        year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"), F.lit("T"), clock, second,
+        F.lit("."), F.rpad(F.substring(fraction, 1, 6), 6, "0"), offset))
 
 
 def parse_utc(c) -> Column:
@@ -57,8 +57,7 @@ def parse_utc(c) -> Column:
     failed parsing attempts, and the text is named once per step, so the expression stays small.
     """
     def any_form(text):
-        for pattern, parts in _FORMS:
-            text = F.regexp_replace(text, pattern, parts)
+        text = F.regexp_replace(F.regexp_replace(text, _ANY_FORM, _ANY_PARTS), _COMPACT, _COMPACT_PARTS)
         return let(F.split(text, r"\|"), lambda p: F.when(F.size(p) == 8, _assemble(p)))
 
     return let(py_strip(c), lambda text: F.when(

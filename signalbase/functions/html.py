@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, functions as F
 
 from .. import fixed
@@ -10,34 +12,32 @@ from .text import as_col, let, py_strip
 _NOISE = r"(?is)<!--.*?-->|<(" + "|".join(fixed.PAGE_NOISE_TAGS) + r")\b[^>]*>.*?</\1\s*>"
 _TOKEN = r"""<[A-Za-z/!?](?:[^'">]++|"[^"]*+"|'[^']*+')*+>|[^<]+|<"""
 _TAG_NAME = r"^<(/?[A-Za-z][A-Za-z0-9]*)"
+_ENTITY = r"^(#[xX][0-9A-Fa-f]{1,6}|#\d{1,7}|[A-Za-z][A-Za-z0-9]*);"
 _OPEN = "array<struct<at:int,name:string>>"
 _SPANS = "array<struct<first:int,last:int>>"
 
 
 def unescape(c) -> Column:
-    """Characters for numeric and common named entities; ``&amp;`` comes last, so nothing is read twice."""
-    c = as_col(c)
+    """Characters for numeric and common named entities, in one pass over the text; unknown ones stay."""
+    names = F.from_json(F.lit(json.dumps({**fixed.ENTITIES, "amp": "&"})), "map<string,string>")
 
-    def numbered(piece):
-        hexed = F.regexp_extract(piece, r"^[xX]([0-9A-Fa-f]{1,6});", 1)
-        code = F.coalesce(F.conv(F.nullif(hexed, F.lit("")), 16, 10), F.regexp_extract(piece, r"^(\d{1,7});", 1))
-        code = code.try_cast("int")
+    def character(entity):
+        code = F.when(entity.rlike("^#[xX]"), F.conv(F.substring(entity, 3, 6), 16, 10)).otherwise(
+            F.substring(entity, 2, 7)).try_cast("int")
         known = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
-        char = F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
-        return F.when(code.isNull(), F.concat(F.lit("&#"), piece)).otherwise(
-            F.concat(char, F.regexp_replace(piece, r"^[0-9A-Fa-fxX]+;", "")))
-
-    def numeric(text):
-        return let(F.split(text, "&#"), lambda pieces: F.concat(pieces[0], F.array_join(
-            F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), numbered), "")))
-
-    def named(text):
-        for name, char in fixed.ENTITIES.items():
-            text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-        return F.replace(text, F.lit("&amp;"), F.lit("&"))
-
-    return let(c, lambda text: F.when(~text.contains("&"), text).otherwise(
-        named(F.when(text.contains("&#"), numeric(text)).otherwise(text))))
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(~entity.startswith("#"), F.try_element_at(names, entity)).otherwise(
+            F.when(known, char).otherwise(F.lit("\ufffd")))
+
+    def decoded(piece):
+        entity = F.regexp_extract(piece, _ENTITY, 1)
+        char = F.when(entity != "", character(entity))
+        return F.when(char.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+            F.concat(char, F.substr(piece, F.char_length(entity) + 2)))
+
+    return let(as_col(c), lambda text: F.when(~text.contains("&"), text).otherwise(
+        let(F.split(text, "&"), lambda pieces: F.concat(pieces[0], F.array_join(
+            F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded), "")))))
 
 
 def paragraph_texts(html) -> Column:

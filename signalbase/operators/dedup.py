@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import stage
+
 ID_BLOCK = 1_000_000  # ordered numbers per block; the widest group any id task sorts
 
 
@@ -48,6 +50,7 @@ def insert_or_ignore(batch: DataFrame, stored: DataFrame, seq: str, key: str = "
                      start: int = 0) -> DataFrame:
     """Rows to append: first of each key in the batch, none that is stored, with ids in arrival order.
 
-    Both steps work on the same partitioning by key, so the batch is shuffled once.
+    The first two steps work on the same partitioning by key, so the batch is shuffled once. Their result is written
+    to the shared folder, since numbering reads it twice.
     """
-    return assign_ids(anti_existing(first_wins(batch, key, seq), stored, key), seq, start)
+    return assign_ids(stage(anti_existing(first_wins(batch, key, seq), stored, key), "new-rows"), seq, start)

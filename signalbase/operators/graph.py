@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed
 from ..session import stage
 from .resolve import Catalogue, resolve_entities
-from .skew import salted_join
+from .skew import frequent_keys, salted_join
 
 
 def triples(products: DataFrame, jobs: DataFrame, papers: DataFrame, catalogue: Catalogue) -> DataFrame:
@@ -30,11 +30,11 @@ def reach(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     a product of paths. A node with very many edges is split by salting. Every hop but the last is written to the
     shared folder, which keeps the plan from doubling.
     """
-    edges = edges.select("src", "dst").distinct()
+    hot = stage(frequent_keys(edges, "src"), "hot-nodes")
     found = seeds.select("label", "node").distinct().withColumn("hop", F.lit(0))
     for hop in range(1, hops + 1):
         frontier = found.filter(F.col("hop") == hop - 1).select("label", F.col("node").alias("src"))
-        stepped = (salted_join(edges, frontier, "src", "inner").select("label", F.col("dst").alias("node"))
+        stepped = (salted_join(edges, frontier, "src", "inner", hot).select("label", F.col("dst").alias("node"))
                    .withColumn("hop", F.lit(hop)))
         found = found.unionByName(stepped).groupBy("label", "node").agg(F.min("hop").alias("hop"))
         if hop < hops:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -40,8 +41,9 @@ class Catalogue:
     @staticmethod
     def from_entries(spark: SparkSession, entries) -> Catalogue:
         entries = tuple(entries)
-        frame = spark.createDataFrame(
-            [(a, c, i) for i, (a, c) in enumerate(entries)], "alias string, canonical string, priority int")
+        rows = [{"alias": a, "canonical": c, "priority": i} for i, (a, c) in enumerate(entries)]
+        frame = spark.range(1).select(F.inline(F.from_json(
+            F.lit(json.dumps(rows)), "array<struct<alias:string,canonical:string,priority:int>>")))
         return Catalogue(frame, max((len(a.split(" ")) for a, _ in entries), default=1), entries)
 
     @staticmethod
@@ -115,7 +117,8 @@ def _first_contained(padded: Column, catalogue: Catalogue) -> Column:
     usable = [(a, c) for a, c in catalogue.entries if len(a) > MIN_CONTAINED]
     if not usable:
         return F.lit(None).cast("string")
-    pairs = F.array(*[F.struct(F.lit(f" {a} ").alias("a"), F.lit(c).alias("c")) for a, c in usable])
+    pairs = F.from_json(
+        F.lit(json.dumps([{"a": f" {a} ", "c": c} for a, c in usable])), "array<struct<a:string,c:string>>")
     any_alias = "(?<= )(?:" + "|".join(r"\Q" + a + r"\E" for a, _ in usable) + ")(?= )"
     return F.when(padded.rlike(any_alias), F.get(F.filter(pairs, lambda p: padded.contains(p["a"])), 0)["c"])
 

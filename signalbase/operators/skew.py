@@ -22,14 +22,16 @@ def frequent_keys(df: DataFrame, key: str) -> DataFrame:
             .select(F.col("t.item").alias(key), F.lit(True).alias("_hot")))
 
 
-def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left",
+                hot: DataFrame | None = None) -> DataFrame:
     """``facts`` joined (left or inner) with ``lookup``, which holds few rows per key.
 
     A key with a large share of ``facts`` would put that share into one task. Its rows are spread over SALTS parts,
     by the partition they come from (so a retried task sends them to the same part), and its lookup rows are
-    repeated for each part. Only the frequent keys, at most HOT_KEYS rows, are broadcast.
+    repeated for each part. Only the frequent keys, at most HOT_KEYS rows, are broadcast; pass them as ``hot`` where
+    they are known.
     """
-    hot = F.broadcast(frequent_keys(facts, key))
+    hot = F.broadcast(frequent_keys(facts, key) if hot is None else hot)
     salted = facts.join(hot, key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(F.lit(0)))
     repeated = lookup.join(hot, key, "left").withColumn(

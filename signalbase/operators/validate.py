@@ -26,8 +26,16 @@ def broken_rules(kind: str) -> Column:
         F.array(*[F.when(test, F.lit(name)) for name, test in rules]), lambda r: r.isNotNull())
 
 
+def checked(records: DataFrame, kind: str) -> DataFrame:
+    """Adds ``reasons``, empty for good rows."""
+    return records.withColumn("reasons", broken_rules(kind))
+
+
+def split_checked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad rows with ``reasons``) of checked rows."""
+    return rows.filter(F.size("reasons") == 0).drop("reasons"), rows.filter(F.size("reasons") > 0)
+
+
 def validate(records: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with ``reasons``)."""
-    checked = records.withColumn("reasons", broken_rules(kind))
-    return (checked.filter(F.size("reasons") == 0).drop("reasons"),
-            checked.filter(F.size("reasons") > 0))
+    return split_checked(checked(records, kind))

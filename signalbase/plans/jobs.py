@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
 from ..functions.dates import fresh_only, from_epoch, parse_utc, py_isoformat
@@ -13,31 +13,34 @@ from ..functions.text import any_keyword, company_from_title, keyword_or_tag, wi
 from ..operators.resolve import Catalogue, resolve_entities
 
 
-def _posting(df: DataFrame, company, ts, remote, url, home: str) -> DataFrame:
+def _posting(df: DataFrame, company, url, home: str, remote: Column | None = None, date: str | None = None,
+             epoch: str | None = None) -> DataFrame:
     return df.select(
-        with_default(company, fixed.UNKNOWN_COMPANY).alias("raw_name"), ts.alias("ts"), remote.alias("is_remote"),
+        with_default(company, fixed.UNKNOWN_COMPANY).alias("raw_name"),
+        (F.col(date) if date else F.lit(None)).cast("string").alias("raw_date"),
+        (F.col(epoch) if epoch else F.lit(None)).cast("bigint").alias("epoch"),
+        (F.lit(True) if remote is None else remote).alias("is_remote"),
         with_default(url, home).alias("source_url"), "ingest_seq")
 
 
 def board_a(df: DataFrame) -> DataFrame:
-    return _posting(df, "company_name", parse_utc("publication_date"), F.lit(True), "url", fixed.BOARD_A_HOME)
+    return _posting(df, "company_name", "url", fixed.BOARD_A_HOME, date="publication_date")
 
 
 def board_b(df: DataFrame) -> DataFrame:
     kept = df.filter(keyword_or_tag("title", "tags", fixed.BOARD_B_KEYWORDS) & (F.col("created_at") != 0))
-    return _posting(kept, "company_name", from_epoch("created_at"), with_default("remote", False), "url",
-                    fixed.BOARD_B_HOME)
+    return _posting(
+        kept, "company_name", "url", fixed.BOARD_B_HOME, remote=with_default("remote", False), epoch="created_at")
 
 
 def board_c(df: DataFrame) -> DataFrame:
     kept = df.filter(any_keyword(["jobTitle"], fixed.BOARD_C_KEYWORDS))
-    return _posting(kept, "companyName", parse_utc("pubDate"), F.lit(True), "url", fixed.BOARD_C_HOME)
+    return _posting(kept, "companyName", "url", fixed.BOARD_C_HOME, date="pubDate")
 
 
 def job_feed(df: DataFrame) -> DataFrame:
     kept = df.filter(any_keyword(["title"], fixed.JOB_FEED_KEYWORDS))
-    return _posting(kept, company_from_title("title"), parse_utc("pubDate"), F.lit(True), "link",
-                    fixed.JOB_FEED_HOME)
+    return _posting(kept, company_from_title("title"), "link", fixed.JOB_FEED_HOME, date="pubDate")
 
 
 BOARDS = {"a": board_a, "b": board_b, "c": board_c, "feed": job_feed}
@@ -46,7 +49,8 @@ BOARDS = {"a": board_a, "b": board_b, "c": board_c, "feed": job_feed}
 def resolved_jobs(boards: dict[str, DataFrame], cutoff: datetime, catalogue: Catalogue) -> DataFrame:
     """Fresh postings of all boards with resolved companies; the parent of job records and of log rows."""
     postings = reduce(DataFrame.unionByName, [BOARDS[name](df) for name, df in boards.items()])
-    return resolve_entities(fresh_only(postings, "ts", cutoff), "raw_name", catalogue)
+    dated = postings.withColumn("ts", F.coalesce(from_epoch("epoch"), parse_utc("raw_date"))).drop("epoch", "raw_date")
+    return resolve_entities(fresh_only(dated, "ts", cutoff), "raw_name", catalogue)
 
 
 def job_rows(resolved: DataFrame) -> DataFrame:

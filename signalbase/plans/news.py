@@ -10,12 +10,17 @@ from .. import fixed
 from ..functions.dates import collected_at, fresh_only, parse_utc, py_isoformat
 from ..functions.text import with_default
 from ..operators.lookups import news_body
+from ..session import stage
 
 
 def news_rows(entries: DataFrame, bodies: DataFrame, cutoff: datetime, run_ts: datetime) -> DataFrame:
-    """Fresh entries with their article text. Stale entries are dropped before any page is looked up."""
+    """Fresh entries with their article text.
+
+    Stale entries are dropped before any page is looked up. The fresh ones are written to the shared folder: the
+    lookup reads them twice, and dates of all entries should be parsed once.
+    """
     fresh = fresh_only(entries.withColumn("ts", parse_utc("published")), "ts", cutoff)
-    linked = fresh.withColumn("link", with_default("link", ""))
+    linked = stage(fresh.withColumn("link", with_default("link", "")), "fresh-news")
     return news_body(linked, bodies).select(
         with_default("title", fixed.UNTITLED).alias("title"), "full_text", "source_name",
         F.col("link").alias("source_url"), py_isoformat("ts").alias("published_date"),

@@ -13,7 +13,7 @@ from ..operators.audit import table_counts
 from ..operators.lookups import page_bodies
 from ..operators.records import flatten, to_record
 from ..operators.resolve import Catalogue, resolution_log
-from ..operators.validate import validate
+from ..operators.validate import checked, split_checked
 from ..session import fresh_path, stage, use_utc
 from ..sinks.tables import append_log, append_new, ensure_tables, read_table
 from . import entities, jobs, news, papers
@@ -32,19 +32,14 @@ class Landed:
     spaces: DataFrame
 
 
-def table_rows(flat: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
-    """(table rows with ``ingest_seq``, quarantined records with their reasons)."""
-    good, bad = validate(to_record(flat, kind, ("ingest_seq",)), kind)
-    return flatten(good, kind, ("ingest_seq",)), bad
-
-
 def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours: int = fixed.FRESH_HOURS,
         target: int | None = fixed.TARGET_ROWS, catalogue: Catalogue | None = None,
         quarantine: str | None = None) -> DataFrame:
     """Load all tables under ``root`` and return their row counts.
 
-    Resolved rows are written once to the shared folder, since records and log both come from them. ``quarantine``
-    names the folder for records that break the contract.
+    Resolved rows are written once to the shared folder, since records and log both come from them; so are checked
+    records, since good and bad ones both come from them. ``quarantine`` names the folder for records that break the
+    contract.
     """
     use_utc(spark)
     ensure_tables(spark, root)
@@ -62,8 +57,8 @@ def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours:
         "jobs": jobs.job_rows(postings),
     }
     for kind, flat in flats.items():
-        good, bad = table_rows(flat, kind)
-        append_new(spark, root, kind, good)
+        good, bad = split_checked(stage(checked(to_record(flat, kind, ("ingest_seq",)), kind), kind))
+        append_new(spark, root, kind, flatten(good, kind, ("ingest_seq",)))
         bad.select(F.to_json(F.struct("*")).alias("record"), "reasons").write.mode("append").parquet(
             f"{quarantine}/{kind}")
     for resolved in (companies, postings):

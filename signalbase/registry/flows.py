@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed
 from ..operators.dedup import insert_or_ignore
 from ..operators.lookups import page_bodies
+from ..operators.records import flatten, to_record
 from ..operators.resolve import Catalogue, resolution_log
+from ..operators.validate import validate
 from ..plans import entities, jobs, news, papers
-from ..plans.run import Landed, run, table_rows
+from ..plans.run import Landed, run
 from ..session import fresh_path
 from ..sources.landed import SOURCE_SHIFT
 from . import readers
@@ -35,9 +37,9 @@ def _boards(t: Tables) -> dict[str, DataFrame]:
 
 def _stored(t: Tables, flat: DataFrame, kind: str) -> DataFrame:
     """New table rows of a first run: validated, flattened, deduplicated, numbered."""
-    good, _ = table_rows(flat, kind)
+    good, _ = validate(to_record(flat, kind, ("ingest_seq",)), kind)
     none = t.spark.createDataFrame([], "hash_key string")
-    return insert_or_ignore(good, none, "ingest_seq").drop("ingest_seq", "raw_payload")
+    return insert_or_ignore(flatten(good, kind, ("ingest_seq",)), none, "ingest_seq").drop("ingest_seq", "raw_payload")
 
 
 POSTINGS_SQL = f"""{NAMES_SQL}, {readers.BOARD_A_SQL}, {readers.BOARD_B_SQL}, {readers.BOARD_C_SQL},

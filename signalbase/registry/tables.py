@@ -227,16 +227,16 @@ def domain_buckets(t: Tables):
     return buckets(t.pages, "url")
 
 
-# Stored rows of each table for the export tabs: (Spark columns, SQL columns, source).
+# Stored rows of each table for the export tabs.
 _AT = "2024-06-05T00:00:00+00:00"
 
 
 def _export(name: str, source: str, columns: dict[str, tuple]):
-    """Register ``export_<table>``: stored columns given as (Spark column, SQL) under the tab's headers."""
+    """Register ``export_<table>``: stored columns given as (Spark SQL, DuckDB SQL) under the tab's headers."""
     table, headers = fixed.EXPORT_TABS[name]
 
     def run(t: Tables):
-        stored = getattr(t, source).select(*[c.alias(n) for n, (c, _) in columns.items()])
+        stored = getattr(t, source).select(*[F.expr(c).alias(n) for n, (c, _) in columns.items()])
         return tab(stored, name)
 
     run.__name__ = f"export_{table}"
@@ -244,40 +244,36 @@ def _export(name: str, source: str, columns: dict[str, tuple]):
     query(f"SELECT {shown} FROM {source}")(run)
 
 
-def _c(spark_sql: str, sql: str):
-    return F.expr(spark_sql), sql
-
-
 def _register_exports() -> None:
     url = "concat('https://example.org/', {})"
-    at = (F.lit(_AT), text_sql(_AT))
+    at = (text_sql(_AT), text_sql(_AT))
     _export("Startups", "customer", {
-        "entity_name": _c("c_name", "c_name"), "employee_count": _c("c_nationkey", "c_nationkey"),
-        "source_name": _c(f"'{fixed.DIRECTORY_NAME}'", f"'{fixed.DIRECTORY_NAME}'"),
-        "source_url": _c(url.format("c_custkey"), url.format("c_custkey")), "collected_at": at})
+        "entity_name": ("c_name", "c_name"), "employee_count": ("c_nationkey", "c_nationkey"),
+        "source_name": (f"'{fixed.DIRECTORY_NAME}'", f"'{fixed.DIRECTORY_NAME}'"),
+        "source_url": (url.format("c_custkey"), url.format("c_custkey")), "collected_at": at})
     _export("Products", "part", {
-        "startup_name": _c("p_brand", "p_brand"), "pricing_model": _c("'FREE'", "'FREE'"),
-        "source_name": _c("p_type", "p_type"), "source_url": _c(url.format("p_partkey"), url.format("p_partkey")),
+        "startup_name": ("p_brand", "p_brand"), "pricing_model": ("'FREE'", "'FREE'"),
+        "source_name": ("p_type", "p_type"), "source_url": (url.format("p_partkey"), url.format("p_partkey")),
         "collected_at": at})
     _export("Research_Papers", "documents", {
-        "title": _c("source", "source"), "authors": _c("to_json(array(lang, source))", "to_json([lang, source])::VARCHAR"),
-        "paper_url": _c(url.format("doc_id"), url.format("doc_id")),
-        "github_url": _c("if(lang = 'en', source, null)", "CASE WHEN lang = 'en' THEN source END"),
-        "github_stars": _c("cast(n_chars as int)", "CAST(n_chars AS INTEGER)"), "published_date": at})
+        "title": ("source", "source"), "authors": ("to_json(array(lang, source))", "to_json([lang, source])::VARCHAR"),
+        "paper_url": (url.format("doc_id"), url.format("doc_id")),
+        "github_url": ("if(lang = 'en', source, null)", "CASE WHEN lang = 'en' THEN source END"),
+        "github_stars": ("cast(n_chars as int)", "CAST(n_chars AS INTEGER)"), "published_date": at})
     _export("Jobs", "orders", {
-        "company": _c("o_orderpriority", "o_orderpriority"), "date": at,
-        "is_remote": _c("o_orderstatus = 'O'", "CAST(o_orderstatus = 'O' AS INTEGER)"),
-        "role_family": _c(f"'{fixed.ROLE_FAMILY}'", f"'{fixed.ROLE_FAMILY}'"),
-        "source_url": _c(url.format("o_orderkey"), url.format("o_orderkey"))})
+        "company": ("o_orderpriority", "o_orderpriority"), "date": at,
+        "is_remote": ("o_orderstatus = 'O'", "CAST(o_orderstatus = 'O' AS INTEGER)"),
+        "role_family": (f"'{fixed.ROLE_FAMILY}'", f"'{fixed.ROLE_FAMILY}'"),
+        "source_url": (url.format("o_orderkey"), url.format("o_orderkey"))})
     _export("News", "pages", {
-        "title": _c("concat('page ', page_id)", "concat('page ', page_id)"),
-        "source_name": _c(f"'{fixed.NEWS_FEED_NAMES[0]}'", f"'{fixed.NEWS_FEED_NAMES[0]}'"),
-        "source_url": _c("url", "url"), "published_date": at, "collected_at": at})
+        "title": ("concat('page ', page_id)", "concat('page ', page_id)"),
+        "source_name": (f"'{fixed.NEWS_FEED_NAMES[0]}'", f"'{fixed.NEWS_FEED_NAMES[0]}'"),
+        "source_url": ("url", "url"), "published_date": at, "collected_at": at})
     _export("Entity_Mapping_Log", "events", {
-        "raw_name": _c("event_type", "event_type"), "canonical_name": _c("initcap(event_type)",
+        "raw_name": ("event_type", "event_type"), "canonical_name": ("initcap(event_type)",
                                                                         "upper(event_type[1]) || event_type[2:]"),
-        "method": _c("'SEED_EXACT'", "'SEED_EXACT'"), "confidence": _c("value", "value"),
-        "resolved_at": _c("ts", "strftime(ts, '%Y-%m-%d %H:%M:%S')")})
+        "method": ("'SEED_EXACT'", "'SEED_EXACT'"), "confidence": ("value", "value"),
+        "resolved_at": ("ts", "strftime(ts, '%Y-%m-%d %H:%M:%S')")})
 
 
 _register_exports()

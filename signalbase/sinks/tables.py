@@ -9,8 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..operators.dedup import anti_existing, assign_ids, first_wins
-from ..session import stage
+from ..operators.dedup import assign_ids, insert_or_ignore
 
 
 def table_path(root: str, name: str) -> str:
@@ -36,27 +35,23 @@ def ensure_tables(spark: SparkSession, root: str) -> None:
             spark.createDataFrame([], schema).write.parquet(table_path(root, name))
 
 
+def column_names(name: str) -> list[str]:
+    return [field.split(" ")[0] for field in schemas.TABLES[name].split(", ")]
+
+
 def last_id(table: DataFrame) -> int:
     return table.agg(F.max("id")).first()[0] or 0
 
 
-def append_new(spark: SparkSession, root: str, name: str, batch: DataFrame, seq: str = "ingest_seq") -> DataFrame:
-    """Insert-or-ignore ``batch`` (table columns without ``id``, plus ``seq``) and return the rows added.
-
-    The new rows are written to the shared folder first, so numbering them does not repeat the joins and the append
-    does not read a table it is writing.
-    """
+def append_new(spark: SparkSession, root: str, name: str, batch: DataFrame, seq: str = "ingest_seq") -> None:
+    """Insert-or-ignore ``batch``: table columns without ``id``, plus ``seq``."""
     stored = read_table(spark, root, name)
-    new = stage(anti_existing(first_wins(batch, "hash_key", seq), stored), name)
-    rows = assign_ids(new, seq, last_id(stored))
-    columns = [f.split(" ")[0] for f in schemas.TABLES[name].split(", ")]
-    rows.select(columns).write.mode("append").parquet(table_path(root, name))
-    return new
+    rows = insert_or_ignore(batch, stored, seq, start=last_id(stored))
+    rows.select(column_names(name)).write.mode("append").parquet(table_path(root, name))
 
 
 def append_log(spark: SparkSession, root: str, rows: DataFrame, seq: str = "ingest_seq") -> None:
     """Append resolution log rows; nothing is deduplicated."""
     name = "entity_mapping_logs"
     start = last_id(read_table(spark, root, name))
-    columns = [f.split(" ")[0] for f in schemas.TABLES[name].split(", ")]
-    assign_ids(rows, seq, start).select(columns).write.mode("append").parquet(table_path(root, name))
+    assign_ids(rows, seq, start).select(column_names(name)).write.mode("append").parquet(table_path(root, name))

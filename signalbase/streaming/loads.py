@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,8 +30,8 @@ def idempotent_load(records: DataFrame, table: str, checkpoint: str, seq: str, k
 
     def load(batch: DataFrame, batch_id: int) -> None:
         winners = first_wins(batch, key, seq)
-        older = _stored_keys(spark, table, key, batch_id)
-        new = winners if older is None else anti_existing(winners, older, key)
+        others = _stored_keys(spark, table, key, batch_id)
+        new = winners if others is None else anti_existing(winners, others, key)
         new.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
     return (records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -38,8 +39,9 @@ def idempotent_load(records: DataFrame, table: str, checkpoint: str, seq: str, k
 
 
 def _stored_keys(spark: SparkSession, table: str, key: str, batch_id: int) -> DataFrame | None:
-    """Keys of all earlier batches; None for the first, where there is nothing to read."""
-    if batch_id == 0:
+    """Keys of all other batches; None if nothing is stored yet."""
+    try:
+        stored = spark.read.option("basePath", table).parquet(table)
+    except AnalysisException:
         return None
-    return (spark.read.option("basePath", table).parquet(table)
-            .filter(F.col("batch_id") < batch_id).select(key))
+    return stored.filter(F.col("batch_id") != batch_id).select(key)

@@ -126,7 +126,7 @@ NAMES_SQL = f"""names AS (SELECT c_custkey, CASE c_custkey % 8
 
 
 def company_names(t: Tables) -> DataFrame:
-    aliases = F.array(*[F.lit(a) for a, _ in CATALOGUE])
+    aliases = F.split(F.lit("|".join(a for a, _ in CATALOGUE)), r"\|")
     key = F.col("c_custkey")
     alias = F.element_at(aliases, (F.floor(key / 8) % _FORMS + 1).cast("int"))
     form = key % 8

@@ -104,22 +104,27 @@ def paper_stars(t: Tables):
     return lookups.paper_stars(abstracts(t), stats).select("doc_id", "github_url", "github_stars")
 
 
+_POPULAR = "https://popular.example/"
+
+
 @query(f"""WITH {PARAGRAPHS_SQL}, entries AS (SELECT event_id, 'about ' || event_type AS summary,
-    CASE WHEN event_id % 3 = 0 THEN (SELECT min(url) FROM pages) ELSE 'https://nowhere.example/' || event_id END AS link
+    CASE WHEN event_id % 3 = 0 THEN '{_POPULAR}' ELSE 'https://nowhere.example/' || event_id END AS link
     FROM events UNION ALL SELECT page_id + 100000000, NULL, url FROM pages),
-    one AS (SELECT url, arg_min(body, page_id) AS body FROM bodies GROUP BY url)
+    one AS (SELECT CASE WHEN page_id = 0 THEN '{_POPULAR}' ELSE url END AS url, arg_min(body, page_id) AS body
+            FROM bodies GROUP BY 1)
     SELECT event_id, sha256(coalesce(nullif(body, ''), nullif(summary, ''), '')) AS digest
     FROM entries LEFT JOIN one ON url = link""")
 def news_body(t: Tables):
     """Entries of which a third link to one page, some to no page, and one to each page."""
-    popular = F.broadcast(t.pages.agg(F.min("url").alias("popular")).withColumn("pick", F.lit(0)))
-    entries = t.events.withColumn("pick", (F.col("event_id") % 3).cast("int")).join(popular, "pick", "left").select(
+    entries = t.events.select(
         "event_id", F.concat(F.lit("about "), "event_type").alias("summary"),
-        F.coalesce("popular", F.concat(F.lit("https://nowhere.example/"), "event_id")).alias("link"))
+        F.when(F.col("event_id") % 3 == 0, F.lit(_POPULAR)).otherwise(
+            F.concat(F.lit("https://nowhere.example/"), "event_id")).alias("link"))
     entries = entries.unionByName(t.pages.select(
         (F.col("page_id") + 100000000).alias("event_id"), F.lit(None).cast("string").alias("summary"),
         F.col("url").alias("link")))
-    found = lookups.news_body(entries, lookups.page_bodies(t.pages, "page_id"))
+    pages = t.pages.withColumn("url", F.when(F.col("page_id") == 0, F.lit(_POPULAR)).otherwise(F.col("url")))
+    found = lookups.news_body(entries, lookups.page_bodies(pages, "page_id"))
     return found.select("event_id", F.sha2("full_text", 256).alias("digest"))
 
 

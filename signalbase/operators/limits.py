@@ -5,17 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed
+from .dedup import assign_ids
 
+SORTED_ROWS = 20_000  # up to here a target is a sorted top-n, which ends in one task
 
-def cap_rows(df: DataFrame, seq: str, n: int | None = fixed.TARGET_ROWS) -> DataFrame:
-    """The first ``n`` rows in arrival order; all rows if ``n`` is None."""
-    return df if n is None else df.orderBy(seq).limit(n)
 
+def cap_rows(df: DataFrame, seq: str, n: int | None = fixed.TARGET_ROWS, sorted_rows: int = SORTED_ROWS) -> DataFrame:
+    """The first ``n`` rows in the order of ``seq``, a unique whole number; all rows if ``n`` is None.
 
-def backfill(first: DataFrame, second: DataFrame, seq: str, n: int | None = fixed.TARGET_ROWS) -> DataFrame:
+    A large target numbers the rows block by block instead and keeps numbers up to ``n``, so that neither the cut nor
+    the work after it falls to one task.
+    """
+    if n is None:
+        return df
+    if n <= sorted_rows:
+        return df.orderBy(seq).limit(n)
+    return assign_ids(df, seq).filter(F.col("id") <= n).drop("id")
+
+
+def backfill(first: DataFrame, second: DataFrame, seq: str, n: int | None = fixed.TARGET_ROWS,
+             sorted_rows: int = SORTED_ROWS) -> DataFrame:
     """Rows of ``first``, then rows of ``second`` only as far as ``n`` is not reached. Adds ``source_no``."""
-    both = first.withColumn("source_no", F.lit(0)).unionByName(
-        second.withColumn("source_no", F.lit(1)), allowMissingColumns=True)
+    first, second = first.withColumn("source_no", F.lit(0)), second.withColumn("source_no", F.lit(1))
+    if n is not None and n > sorted_rows:
+        first = cap_rows(first, seq, n, sorted_rows)
+        second = cap_rows(second, seq, max(n - first.count(), 0), sorted_rows)
+        n = None
+    both = first.unionByName(second, allowMissingColumns=True)
     return both if n is None else both.orderBy("source_no", seq).limit(n)
 
 

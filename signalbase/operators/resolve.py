@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed
-from ..functions.text import normalize_name, py_strip, title_name
+from ..functions.text import let, normalize_name, py_strip, title_name
 from .skew import salted_join
 
 INLINE_ALIASES = 2000   # up to here the catalogue travels inside the plan; beyond it is a shuffled join
@@ -42,7 +42,7 @@ class Catalogue:
     def from_entries(spark: SparkSession, entries) -> Catalogue:
         entries = tuple(entries)
         rows = [{"alias": a, "canonical": c, "priority": i} for i, (a, c) in enumerate(entries)]
-        frame = spark.range(1).select(F.inline(F.from_json(
+        frame = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(
             F.lit(json.dumps(rows)), "array<struct<alias:string,canonical:string,priority:int>>")))
         return Catalogue(frame, max((len(a.split(" ")) for a, _ in entries), default=1), entries)
 
@@ -63,15 +63,12 @@ def catalogue_entries(text: str = fixed.CATALOGUE_TEXT) -> list[tuple[str, str]]
 
 def word_runs(c: Column, max_words: int) -> Column:
     """All runs of 1 to ``max_words`` blank-separated words of a text, each once."""
-    words = F.split(c, " ", -1)
+    def runs_of(words: Column, n: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: i + (n - 1) <= F.size(words))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
 
-    def runs_of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        return F.when(F.size(words) >= n, F.transform(
-            starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))).otherwise(
-                F.array().cast("array<string>"))
-
-    return F.array_distinct(F.concat(*[runs_of(n) for n in range(1, max_words + 1)]))
+    return let(F.split(c, " ", -1), lambda words: F.array_distinct(F.concat(
+        *[runs_of(words, n) for n in range(1, max_words + 1)])))
 
 
 def _join_alias(df: DataFrame, catalogue: Catalogue, key: str, out: str) -> DataFrame:

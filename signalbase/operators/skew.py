@@ -14,11 +14,11 @@ def frequent_keys(df: DataFrame, key: str) -> DataFrame:
 
     One pass over the key column with a mergeable sketch; no shuffle of keys.
     """
-    top = df.filter(F.col(key).isNotNull()).agg(
+    top = df.agg(
         F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
         F.count("*").alias("total"))
     return (top.select("total", F.explode("top").alias("t"))
-            .filter(F.col("t.count") * HOT_KEYS >= F.col("total"))
+            .filter(F.col("t.item").isNotNull() & (F.col("t.count") * HOT_KEYS >= F.col("total")))
             .select(F.col("t.item").alias(key), F.lit(True).alias("_hot")))
 
 
@@ -28,12 +28,13 @@ def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left"
 
     A key with a large share of ``facts`` would put that share into one task. Its rows are spread over SALTS parts,
     by the partition they come from (so a retried task sends them to the same part), and its lookup rows are
-    repeated for each part. Only the frequent keys, at most HOT_KEYS rows, are broadcast; pass them as ``hot`` where
+    repeated for each part. Rows without a key are spread in the same way. Only the frequent keys, at most HOT_KEYS rows, are broadcast; pass them as ``hot`` where
     they are known.
     """
     hot = F.broadcast(frequent_keys(facts, key) if hot is None else hot)
     salted = facts.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(F.lit(0)))
+        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        .otherwise(F.lit(0)))
     repeated = lookup.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
             F.array(F.lit(0)))))

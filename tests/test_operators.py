@@ -69,6 +69,15 @@ def test_limits(spark):
     assert limits.backfill(a, b, "seq", None).count() == 8
 
 
+def test_large_targets_are_cut_the_same(spark):
+    a = spark.range(0, 300, 3).withColumnRenamed("id", "seq")
+    b = spark.range(0, 900, 9).withColumnRenamed("id", "seq")
+    for n in (1, 50, 150, 400):
+        for fn, args in ((limits.cap_rows, (a,)), (limits.backfill, (a, b))):
+            plain = sorted(map(tuple, fn(*args, "seq", n).collect()))
+            assert sorted(map(tuple, fn(*args, "seq", n, sorted_rows=0).collect())) == plain
+
+
 def test_paper_stars(spark):
     papers = spark.createDataFrame(
         [(1, "see http://www.github.com/o/r.git."), (2, "https://github.com/x/y"), (3, "none"), (4, None)],

@@ -85,7 +85,8 @@ def good_rows(df: DataFrame) -> DataFrame:
 
 
 def corrupt_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(CORRUPT).isNotNull()).select("ingest_seq", CORRUPT)
+    """Documents that did not parse. All columns stay: Spark refuses to read the corrupt text by itself."""
+    return df.filter(F.col(CORRUPT).isNotNull())
 
 
 def read_directory(spark, path, source_no=0, lines=False):

@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 import pytest
 
 from signalbase import schemas
+from signalbase.__main__ import main
 from signalbase.functions.dates import py_isoformat
 from signalbase.operators.resolve import Catalogue
 from signalbase.plans import jobs, papers
@@ -136,6 +137,23 @@ def test_whole_run_twice(spark, landed, tmp_path):
     assert log.count() == 28 and log.first()["Timestamp"] == "2024-06-05 00:00:00"
 
 
+def test_command_line(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for folder, name, body in [
+            ("jobs_a", "1.json", json.dumps(BOARD_A)), ("jobs_a", "2.json", '{"jobs": [{"comp'),
+            ("jobs_feed", "1.xml", JOB_FEED), ("news/The Verge AI", "1.xml", ATOM), ("papers", "1.xml", PAPERS),
+            ("directory", "1.json", json.dumps(DIRECTORY)), ("spaces", "1.json", json.dumps(SPACES))]:
+        (landing / folder).mkdir(parents=True, exist_ok=True)
+        write(landing / folder / name, body)
+    main(["--landing", str(landing), "--tables", str(tmp_path / "tables"), "--export", str(tmp_path / "out"),
+          "--quarantine", str(tmp_path / "bad"), "--run-time", "2024-06-05T00:00:00+00:00", "--target", "0"])
+    counts = {n: tables.read_table(spark, str(tmp_path / "tables"), n).count() for n in schemas.TABLES}
+    assert counts == {"startups": 6, "products": 6, "research_papers": 2, "jobs": 5, "news": 1,
+                      "entity_mapping_logs": 11}
+    assert spark.read.parquet(str(tmp_path / "bad" / "corrupt" / "jobs_a")).count() == 1
+    assert (tmp_path / "out" / "Jobs").exists()
+
+
 def test_targets_cut_before_dedup(spark, landed, tmp_path):
     root = str(tmp_path / "tables")
     counts = {r["table"]: r["rows"] for r in run(spark, landed, root, NOW, target=4).collect()}
@@ -161,8 +179,8 @@ def test_corrupt_documents_go_aside(spark, tmp_path):
     write(folder / "1.json", json.dumps(BOARD_A))
     write(folder / "2.json", '{"jobs": [{"company_name": "Half')
     write(folder / "3.json", json.dumps(BOARD_A))
-    read = L.read_jobs_a(spark, str(folder)).cache()
-    assert L.good_rows(read).count() == 8 and L.corrupt_rows(read).count() == 1
+    read = L.read_jobs_a(spark, str(folder))
+    assert L.good_rows(read).count() == 8 and len(L.corrupt_rows(read).collect()) == 1
     seqs = [r.ingest_seq for r in L.good_rows(read).select("ingest_seq").collect()]
     assert len(set(seqs)) == 8
 

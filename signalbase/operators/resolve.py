@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,7 +30,7 @@ class Catalogue:
     @staticmethod
     def from_frame(frame: DataFrame, inline: int = INLINE_ALIASES) -> Catalogue:
         """The size check reads at most ``inline + 1`` rows to the driver."""
-        frame = frame.groupBy("alias").agg(
+        frame = frame.groupBy(F.lower("alias").alias("alias")).agg(
             F.max_by("canonical", "priority").alias("canonical"), F.min("priority").alias("priority"))
         head = frame.limit(inline + 1).collect()
         if len(head) <= inline:
@@ -40,7 +41,8 @@ class Catalogue:
 
     @staticmethod
     def from_entries(spark: SparkSession, entries) -> Catalogue:
-        entries = tuple(entries)
+        """Aliases are compared in lower case; one given twice keeps its first place and its last canonical name."""
+        entries = tuple({alias.lower(): canonical for alias, canonical in entries}.items())
         rows = [{"alias": a, "canonical": c, "priority": i} for i, (a, c) in enumerate(entries)]
         frame = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(
             F.lit(json.dumps(rows)), "array<struct<alias:string,canonical:string,priority:int>>")))
@@ -116,7 +118,7 @@ def _first_contained(padded: Column, catalogue: Catalogue) -> Column:
         return F.lit(None).cast("string")
     pairs = F.from_json(
         F.lit(json.dumps([{"a": f" {a} ", "c": c} for a, c in usable])), "array<struct<a:string,c:string>>")
-    any_alias = "(?<= )(?:" + "|".join(r"\Q" + a + r"\E" for a, _ in usable) + ")(?= )"
+    any_alias = "(?<= )(?:" + "|".join(re.escape(a) for a, _ in usable) + ")(?= )"
     return F.when(padded.rlike(any_alias), F.get(F.filter(pairs, lambda p: padded.contains(p["a"])), 0)["c"])
 
 

@@ -49,7 +49,7 @@ def test_catalogue_shape():
 
 def test_user_catalogue_keeps_order_and_length_guard(spark):
     frame = spark.createDataFrame(
-        [("xyz", "Short", 0), ("big data", "Big", 1), ("data house", "House", 2)],
+        [("XYZ", "Short", 0), ("big data", "Big", 1), ("data house", "House", 2)],
         "alias string, canonical string, priority int")
     df = spark.createDataFrame([("my xyz shop",), ("the big data house",), ("xyz",)], "n string")
     want = {"my xyz shop": ("My Xyz Shop", "RULE_NORMALIZATION", 0.8),
@@ -60,6 +60,14 @@ def test_user_catalogue_keeps_order_and_length_guard(spark):
     assert not beyond.entries and outcome(R.resolve_entities(df, "n", beyond)) == want
 
 
+def test_aliases_with_pattern_signs(spark):
+    entries = [("c++ (labs)", "Plus"), (r"a\E|b", "Odd"), ("x.y?", "Dot")]
+    df = spark.createDataFrame([("the C++ (Labs) team",), (r"on a\E|b here",), ("an xay now",)], "n string")
+    out = outcome(R.resolve_entities(df, "n", R.Catalogue.from_entries(spark, entries)))
+    assert [out[n][0] for n in ("the C++ (Labs) team", r"on a\E|b here")] == ["Plus", "Odd"]
+    assert out["an xay now"][1] == "RULE_NORMALIZATION"
+
+
 def test_hot_name_keeps_every_row(spark):
     df = spark.range(3000).withColumn("n", F.when(F.col("id") % 3 == 0, "The Groq team").otherwise(
         F.concat(F.lit("Firm "), F.col("id"))))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, neighbours, packing, simhash, tokens, weighted
+from . import mixing, neighbours, packing, simhash, suffixes, tokens, weighted
 from .common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,12 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(documents(spark, folder), *vocabulary())
 
 
+@query()
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffixes.remove_repeats(documents(spark, folder))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op9_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
     return weighted.edited_pairs(documents(spark, folder))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, neighbours, packing, simhash, suffixes, tokens, weighted
+from . import language, mixing, neighbours, packing, quotes, secrets, simhash, suffixes, tokens, weighted
 from .common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+@query()
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(documents(spark, folder))
+
+
 @query()
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(documents(spark, folder), *vocabulary())
@@ -84,6 +89,30 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query()
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by text, declared language and source; pages by text, markup language, address suffix and host."""
+    docs, pages = documents(spark, folder), spark.read.parquet(f"{folder}/pages.parquet")
+    none = F.lit(None).cast("long")
+    texts = language.identify(docs.select(*language.evidence(
+        [F.col("doc_id"), none.alias("page_id")], F.col("text"), F.col("lang"), host=F.col("source"))))
+    tag = F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    marked = language.identify(pages.select(*language.evidence(
+        [none.alias("doc_id"), F.col("page_id")], F.col("html"), tag, F.col("url"))), markup=True)
+    return texts.union(marked).withColumn("rejected", language.is_rejected())
+
+
+@query(r"""WITH told AS (SELECT *, row_number() OVER w - 1 AS i, lag(turn) OVER w AS up, first_value(turn) OVER w AS root
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+SELECT conv_id, turn, role, regexp_replace(text, '^\s+|\s+$', '', 'g') AS body, CAST(least(i, 2) AS BIGINT) AS depth,
+  CAST(least(i, 2) AS BIGINT) AS n_passages, CAST(least(i, 2) AS BIGINT) AS n_linked,
+  CASE WHEN i > 0 THEN conv_id END AS parent_conv, up AS parent_turn, root AS root_turn, CAST(i AS BIGINT) AS reply_depth
+FROM told""")
+def op8_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversations with mail quotes added, and taken apart again."""
+    return quotes.thread(quotes.with_quotes(spark.read.parquet(f"{folder}/conversations.parquet")))
+
+
 @query()
 def op9_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
     return weighted.edited_pairs(documents(spark, folder))

@@ -85,18 +85,24 @@ def thread(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
         F.coalesce("n_passages", F.lit(0)).alias("n_passages"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
         F.col("parent.to_conv").alias("parent_conv"), F.col("parent.to_turn").alias("parent_turn")), "linked")
 
-    # Roots by pointer doubling: after k rounds each message knows its ancestor 2 ** k steps up.
-    steps = stage(told.where("parent_conv = conv_id").groupBy("conv_id", "turn").agg(
+    # Roots by pointer doubling: after k rounds each message knows its ancestor 2 ** k steps up. Those that have reached
+    # their root leave the rounds, so a long conversation doesn't make the short ones go round with it.
+    active = stage(told.where("parent_conv = conv_id").groupBy("conv_id", "turn").agg(
         F.max("parent_turn").alias("up")).withColumn("hops", F.lit(1)), "steps")
+    done = active.limit(0)
     for _ in range(rounds):
-        above = steps.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("hops").alias("more"))
-        longer = stage(steps.join(above, ["conv_id", "up"], "left").select(
+        above = done.union(active).select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"),
+                                          F.col("hops").alias("more"))
+        longer = stage(active.join(above, ["conv_id", "up"], "left").select(
             "conv_id", "turn", F.coalesce("next", "up").alias("up"),
             (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"), F.col("next").isNotNull().alias("moved")), "steps")
-        moved = longer.where("moved").limit(1).count()
-        steps = longer.drop("moved")
-        if not moved:
+        done = done.union(longer.where("NOT moved").drop("moved"))
+        active = longer.where("moved").drop("moved")
+        if active.isEmpty():
             break
+    else:
+        raise RuntimeError(f"a conversation is longer than 2 ** {rounds} turns")
+    steps = done
     roots = steps.select("conv_id", "turn", F.col("up").alias("root"), "hops")
     return (told.join(roots, ["conv_id", "turn"], "left")
             .select("conv_id", "turn", "role", "body", "depth", "n_passages", "n_linked", "parent_conv", "parent_turn",

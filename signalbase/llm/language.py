@@ -2,7 +2,7 @@
 
 For each row and language the logarithms of four kinds of evidence are added:
 
-* the text: a naive Bayes model of hashed byte trigrams, fitted on a bounded sample of rows per declared language;
+* the text: a naive Bayes model of hashed byte trigrams, counted over all rows with a declared one;
 * the declared language (a markup or table field): how often each language is declared for texts of each language;
 * the address: how often each address suffix goes with each language;
 * the host: its share of each language, smoothed by that of its domain, which is smoothed by that of all rows.
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stage
 from .common import slices
@@ -26,7 +26,6 @@ from .common import slices
 LANGUAGES = ("en", "de", "fr", "es")
 NOISE = "und"
 BINS = 1 << 15
-SAMPLE_ROWS = 2000      # rows per declared language that the text model is fitted on
 EVIDENCE = 64           # trigrams that a long text counts as: overlapping trigrams aren't independent
 STRENGTH = 8.0          # rows that a parent's shares count as in those of a host or domain
 
@@ -64,26 +63,29 @@ def evidence(ids: list[Column], text: Column, declared: Column | None = None, ad
             (domain if domain is not None else F.regexp_extract(host, r"([^.]*\.?[^.]*)$", 1)).alias("domain")]
 
 
-def fit_texts(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bool = False,
-              sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
-    """Log probabilities [language, bin] from at most ``sample_rows`` rows per declared language, chosen by text hash."""
-    pick = Window.partitionBy("declared").orderBy(F.xxhash64("text"), "text")
-    sample = (rows.where(F.col("declared").isin(*languages) & F.col("text").isNotNull())
-              .select("declared", "text").withColumn("r", F.row_number().over(pick)).where(F.col("r") <= sample_rows))
+def fit_texts(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bool = False) -> np.ndarray:
+    """Log probabilities [language, bin] from the trigrams of all rows with a declared language.
 
+    Each task counts its own rows, and only counts are shuffled: at most len(languages) x BINS rows a task, and as many
+    in all reach the driver.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((len(languages), BINS), np.int64)
-        for batch in batches:
-            for tag, text in zip(batch.column("declared").to_pylist(), batch.column("text").to_pylist()):
-                totals[languages.index(tag)] += np.bincount(trigrams(text, markup), minlength=BINS)
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                held: dict[str, list[np.ndarray]] = {}
+                for tag, text in zip(batch.column("declared").to_pylist(), batch.column("text").to_pylist()):
+                    held.setdefault(tag, []).append(trigrams(text, markup))
+                for tag, bins in held.items():
+                    totals[languages.index(tag)] += np.bincount(np.concatenate(bins), minlength=BINS)
         who, where = np.nonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(where), pa.array(totals[who, where])],
                                          names=["language", "bin", "n"])
 
-    counts = (sample.repartition(8, "r").mapInArrow(count, "language long, bin long, n long")
-              .groupBy("language", "bin").agg(F.sum("n").alias("n")))     # at most languages x BINS rows
+    known = rows.where(F.col("declared").isin(*languages) & F.col("text").isNotNull()).select("declared", "text")
+    table = (known.mapInArrow(count, "language long, bin long, n long").groupBy("language", "bin")
+             .agg(F.sum("n").alias("n")).toArrow())
     totals = np.full((len(languages), BINS), 0.05)
-    table = counts.toArrow()
     totals[table["language"].to_numpy(), table["bin"].to_numpy()] += table["n"].to_numpy()
     return np.log(totals / totals.sum(axis=1, keepdims=True)).astype(np.float32)
 
@@ -94,8 +96,8 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bo
     ``rows`` comes from ``evidence``: id columns, then text, declared, suffix, host, domain. ``language`` is the most
     probable one; "und" where noise fits better than any, or the text has no letters. A null or empty text has no text
     evidence and is "und"; null addresses, hosts and declared languages add nothing. Repeated rows and null ids give a row each.
-    Ties go to the first language in order. An empty table gives an empty result. Texts are read twice (sample, scores) and
-    never shuffled, except those of the sample; scores are written once to the shared folder.
+    Ties go to the first language in order. An empty table gives an empty result. Texts are read twice (counts, scores) and
+    never shuffled; scores are written once to the shared folder.
     """
     ids = rows.columns[:-5]
     model = fit_texts(rows, languages, markup)

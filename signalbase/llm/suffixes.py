@@ -251,8 +251,9 @@ def _counted_windows(held: DataFrame, width: int) -> DataFrame:
 
 def covers(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, tag, first, n``: stretches of windows that are repeated, per text; they may overlap or touch."""
-    known = (_all_runs(rows, width).join(_anchor_counts(rows, width), "anchor"))
-    known = stage(known, "runs")
+    # As a written table, so that the join reads plain shuffles on both sides and AQE can split a frequent anchor.
+    anchors = stage(_anchor_counts(rows, width), "anchors")
+    known = stage(_all_runs(rows, width).join(anchors, "anchor"), "runs")
     equal = stage(known.groupBy("anchor", "digest").agg(
         F.count("*").alias("k"), F.min(F.struct("doc_id", "tag", "first", "n")).alias("one")), "equal-runs")
     mixed = equal.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")

@@ -197,6 +197,7 @@ def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3, id_col:
               .select("node", "root", "least"))
     roots = member.groupBy("root").agg(F.min("least").alias("found"))
     linked = member.join(roots, "root").select(F.col("node").alias("fp"), "found")
-    group = distinct.join(linked, "fp", "left").select("fp", F.coalesce("found", "least").alias("component_id"))
+    # As a written table, so that the join below reads plain shuffles on both sides and AQE can split a frequent fingerprint.
+    group = stage(distinct.join(linked, "fp", "left").select("fp", F.coalesce("found", "least").alias("component_id")), "groups")
     return rows.join(group, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import stage
 from .common import GAP, prefix_sums, word_count
 
-BLOCK_ROWS = 65_536
+BLOCK_ROWS = 4096
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:

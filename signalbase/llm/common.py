@@ -13,13 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"     # a word: a run without ASCII white space
 GAP = r"[\x20\x09-\x0D]+"
+BATCH_BYTES = 16 << 20
 
 
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, for clusters on which it isn't installed."""
+    """Send this package to the executors, once per application, for clusters on which it isn't installed.
+
+    Arrow batches are kept to BATCH_BYTES, since texts may be long and a Python worker holds a batch or two.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -53,7 +58,7 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, name: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, name: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch where the bytes of its column ``name`` exceed ``limit``, so that work stays bounded for long texts."""
     import pyarrow.compute as pc
 

@@ -7,7 +7,7 @@ For each row and language the logarithms of four kinds of evidence are added:
 * the address: how often each address suffix goes with each language;
 * the host: its share of each language, smoothed by that of its domain, which is smoothed by that of all rows.
 
-The last three are counted over all rows by grouped aggregation, each row's own vote left out. Noise competes as a
+All are counted by grouped aggregation, each row's own trigrams and vote left out. Noise competes as a
 language of its own ("und") whose trigrams are all equally likely.
 """
 
@@ -64,7 +64,7 @@ def evidence(ids: list[Column], text: Column, declared: Column | None = None, ad
 
 
 def fit_texts(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bool = False) -> np.ndarray:
-    """Log probabilities [language, bin] from the trigrams of all rows with a declared language.
+    """Counts [language, bin] of the trigrams of all rows with a declared language, plus a little for unseen ones.
 
     Each task counts its own rows, and only counts are shuffled: at most len(languages) x BINS rows a task, and as many
     in all reach the driver.
@@ -72,7 +72,7 @@ def fit_texts(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: b
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((len(languages), BINS), np.int64)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1 << 20):
                 held: dict[str, list[np.ndarray]] = {}
                 for tag, text in zip(batch.column("declared").to_pylist(), batch.column("text").to_pylist()):
                     held.setdefault(tag, []).append(trigrams(text, markup))
@@ -87,7 +87,7 @@ def fit_texts(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: b
              .agg(F.sum("n").alias("n")).toArrow())
     totals = np.full((len(languages), BINS), 0.05)
     totals[table["language"].to_numpy(), table["bin"].to_numpy()] += table["n"].to_numpy()
-    return np.log(totals / totals.sum(axis=1, keepdims=True)).astype(np.float32)
+    return totals
 
 
 def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bool = False) -> DataFrame:
@@ -100,17 +100,23 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bo
     never shuffled; scores are written once to the shared folder.
     """
     ids = rows.columns[:-5]
-    model = fit_texts(rows, languages, markup)
+    counts = fit_texts(rows, languages, markup)
+    totals = counts.sum(axis=1)
+    model = np.log(counts / totals[:, None]).astype(np.float32)
     noise = float(-np.log(BINS))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
                 scores, sizes = [], []
-                for text in batch.column("text").to_pylist():
+                for text, tag in zip(batch.column("text").to_pylist(), batch.column("declared").to_pylist()):
                     bins = trigrams(text, markup)
                     n = len(bins)
                     mean = model[:, bins].mean(axis=1) if n else np.zeros(len(languages))
+                    if n and tag in languages:      # the row's own trigrams don't count as evidence
+                        k = languages.index(tag)
+                        rest = counts[k, bins] - np.bincount(bins, minlength=BINS)[bins]
+                        mean[k] = np.log(np.maximum(rest, 0.05)).mean() - np.log(totals[k] - n)
                     scores.append([float(x) * min(n, EVIDENCE) for x in mean] + [noise * min(n, EVIDENCE)])
                     sizes.append(n)
                 yield pa.RecordBatch.from_arrays(

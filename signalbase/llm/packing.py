@@ -97,7 +97,7 @@ def tokenize(docs: DataFrame, path: str, ranks_path: str | None = None, end_id:
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path, ranks_path)
-        kind = "<u2" if tokens.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        kind = "<u2" if tokens.size <= 1 << 16 else "<u4"
         part, so_far = TaskContext.get().partitionId(), {}
         for whole in batches:
             for batch in slices(whole, "text"):

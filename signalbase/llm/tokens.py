@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import re
 from collections.abc import Iterator
 
@@ -50,11 +51,10 @@ class Encoder:
     """Ids of texts as ``tokenizers`` gives them, without added begin or end tokens."""
 
     def __init__(self, path: str, ranks_path: str | None = None):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        special = {t["content"]: t["id"] for t in told["added_tokens"]}
+        self.path, self.size = path, max([*told["model"]["vocab"].values(), *special.values()]) + 1
         self.plain = None
         if ranks_path:
             import public_tokenizers
@@ -62,10 +62,19 @@ class Encoder:
 
             with open(ranks_path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
             self.plain = tiktoken.Encoding("given", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                            special_tokens=special)
 
+    @functools.cached_property
+    def tokenizer(self):
+        """The library's own encoder, loaded where a text needs it."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers. Slow texts are encoded in calls of about BATCH_BYTES."""
         pieces = [list(safe_pieces(t)) for t in texts]

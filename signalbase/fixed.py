@@ -109,6 +109,7 @@ ZONE_OFFSETS = {
     "Z": "+0000", "UT": "+0000", "UTC": "+0000", "GMT": "+0000",
     "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
     "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+    "WET": "+0000", "WEST": "+0100", "BST": "+0100", "CET": "+0100", "CEST": "+0200", "EET": "+0200", "EEST": "+0300",
 }
 
 # ---- fixed values: HTML void elements and the named entities that article text uses ----

@@ -105,13 +105,14 @@ _KEYWORDS = ["the", "and", "tion", "ing"]
 _SHARE_SQL = "(" + " + ".join(f"CAST(contains(lower(text), '{k}') AS INTEGER)" for k in _KEYWORDS) + ") / 4.0"
 
 
-@query(f"SELECT vec_id, round({_COSINE_SQL}, 6) AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 20")
+@query(f"SELECT vec_id, round({_COSINE_SQL}, 6) AS score FROM embeddings ORDER BY {_COSINE_SQL} DESC, vec_id LIMIT 20")
 def vector_topk(t: Tables):
     return retrieve.vector_topk(t.embeddings, "embedding", "vec_id", _QUERY_VECTOR, 20)
 
 
-@query(f"""SELECT doc_id, round(0.5::DOUBLE * ({_COSINE_SQL}) + 0.5::DOUBLE * CAST({_SHARE_SQL} AS DOUBLE), 6) AS score
-    FROM documents JOIN embeddings ON vec_id = doc_id ORDER BY score DESC, doc_id LIMIT 20""")
+@query(f"""SELECT doc_id, round(exact, 6) AS score FROM (SELECT doc_id,
+    0.5::DOUBLE * coalesce({_COSINE_SQL}, 0) + 0.5::DOUBLE * CAST({_SHARE_SQL} AS DOUBLE) AS exact
+    FROM documents LEFT JOIN embeddings ON vec_id = doc_id) x ORDER BY exact DESC, doc_id LIMIT 20""")
 def hybrid_topk(t: Tables):
-    texts = t.documents.join(t.embeddings.withColumnRenamed("vec_id", "doc_id"), "doc_id")
+    texts = t.documents.join(t.embeddings.withColumnRenamed("vec_id", "doc_id"), "doc_id", "left")
     return retrieve.hybrid_topk(texts, "embedding", "text", "doc_id", _QUERY_VECTOR, _KEYWORDS, 20)

@@ -79,7 +79,6 @@ def jobs_log(t: Tables):
     return resolution_log(resolved, "raw_name", F.lit(RUN_TS)).drop("resolved_at")
 
 
-_TARGET = 2500
 _ENTITIES_SQL = f"""{readers.DIRECTORY_SQL}, {readers.SPACES_SQL},
     on_topic AS (SELECT p_partkey AS k, {strip_sql('name')} AS raw_name,
         CASE WHEN regexp_full_match(team_size, '[0-9]+') AND team_size <> '0' THEN CAST(team_size AS INTEGER) END
@@ -89,14 +88,14 @@ _ENTITIES_SQL = f"""{readers.DIRECTORY_SQL}, {readers.SPACES_SQL},
             fixed.STARTUP_KEYWORDS)} AND {strip_sql('name')} <> ''),
     both_sources AS (SELECT 0 AS source_no, * FROM on_topic UNION ALL SELECT 1, o_orderkey, CASE WHEN contains(id, '/')
         THEN split_part(id, '/', 1) ELSE 'Community' END, NULL, '{fixed.SPACES_URL}' || id FROM spaces),
-    kept AS (SELECT * FROM both_sources ORDER BY source_no, k LIMIT {_TARGET}),
+    kept AS (SELECT * FROM both_sources ORDER BY source_no, k),
     {resolve_sql('kept')}, resolved AS (SELECT * FROM kept JOIN res USING (raw_name))"""
 
 
 def _entities(t: Tables) -> DataFrame:
     return entities.resolved_entities(
         _arrived(readers.directory_source(t), "p_partkey", 0), _arrived(readers.spaces_source(t), "o_orderkey", 1),
-        Catalogue.built_in(t.spark), _TARGET)
+        Catalogue.built_in(t.spark))
 
 
 @query(f"""WITH {_ENTITIES_SQL}, keyed AS (SELECT source_no, k, canonical AS entity_name, employee_count,
@@ -123,7 +122,7 @@ def _repo_stats(t: Tables) -> DataFrame:
         F.abs(F.round("s_acctbal")).cast("int").alias("stars"))
 
 
-@query(f"""WITH {ABSTRACTS_SQL}, capped AS (SELECT * FROM abstracts ORDER BY doc_id LIMIT {fixed.TARGET_ROWS}),
+@query(f"""WITH {ABSTRACTS_SQL}, capped AS (SELECT * FROM abstracts ORDER BY doc_id),
     stats AS (SELECT 'org' || s_suppkey || '/repo' || s_suppkey % 10 AS repo,
               CAST(abs(round(s_acctbal)) AS INTEGER) AS stars FROM supplier),
     linked AS (SELECT doc_id, {REPO_URL_SQL} AS github_url,

@@ -211,7 +211,7 @@ def read_jobs_a(t: Tables):
 def read_jobs_b(t: Tables):
     path = land_json(board_b_source(t), "p_partkey", "data")
     return landed.good_rows(landed.read_jobs_b(t.spark, path, lines=True)).select(
-        "title", F.array_join("tags", "|").alias("tags"), "created_at", "company_name", "remote", "url")
+        "title", F.array_join("tags", "|").alias("tags"), F.col("created_at").cast("bigint").alias("created_at"), "company_name", "remote", "url")
 
 
 @query(f"""WITH {BOARD_C_SQL} SELECT title AS "jobTitle", strftime(ts, '%a, %d %b %Y %H:%M:%S GMT') AS "pubDate",

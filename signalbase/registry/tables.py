@@ -34,9 +34,9 @@ def anti_existing(t: Tables):
     return dedup.anti_existing(keyed, keyed.filter(F.col("lang") == "fr")).select("doc_id", "hash_key")
 
 
-@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 500 AS id FROM orders WHERE o_orderstatus = 'O'")
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 500 AS id FROM orders")
 def assign_ids(t: Tables):
-    return dedup.assign_ids(t.orders.filter(F.col("o_orderstatus") == "O"), "o_orderkey", 500).select(
+    return dedup.assign_ids(t.orders, "o_orderkey", 500).select(
         "o_orderkey", "id")
 
 
@@ -50,7 +50,7 @@ def insert_or_ignore(t: Tables):
 
 @query(f"SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT {fixed.TARGET_ROWS}")
 def cap_rows(t: Tables):
-    return limits.cap_rows(t.customer, "c_custkey").select("c_custkey", "c_name")
+    return limits.cap_rows(t.customer, "c_custkey", fixed.TARGET_ROWS).select("c_custkey", "c_name")
 
 
 @query(f"""SELECT name, seq, source_no FROM (SELECT s_name AS name, s_suppkey AS seq, 0 AS source_no FROM supplier
@@ -58,14 +58,14 @@ def cap_rows(t: Tables):
 def backfill(t: Tables):
     first = t.supplier.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("seq"))
     second = t.customer.select(F.col("c_name").alias("name"), F.col("c_custkey").alias("seq"))
-    return limits.backfill(first, second, "seq")
+    return limits.backfill(first, second, "seq", fixed.TARGET_ROWS)
 
 
 @query(f"""SELECT event_id, {iso_sql('ts')} AS ts FROM (SELECT * FROM events ORDER BY ts DESC, event_id
     LIMIT {fixed.TARGET_ROWS}) x""")
 def newest_n(t: Tables):
     from ..functions.dates import py_isoformat
-    return limits.newest_n(t.events, "ts", "event_id").select("event_id", py_isoformat("ts").alias("ts"))
+    return limits.newest_n(t.events, "ts", "event_id", fixed.TARGET_ROWS).select("event_id", py_isoformat("ts").alias("ts"))
 
 
 @query("""SELECT 'customer' AS source, c_custkey AS key, c_name AS name, c_mktsegment AS segment FROM customer

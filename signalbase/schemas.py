@@ -7,13 +7,14 @@ DIRECTORY = ("name string, industry string, subindustry string, long_description
              "team_size string, url string, cb_url string, slug string")
 SPACES = "id string"
 BOARD_A = "jobs array<struct<company_name:string,publication_date:string,url:string>>"
-BOARD_B = ("data array<struct<title:string,tags:array<string>,created_at:bigint,company_name:string,"
+BOARD_B = ("data array<struct<title:string,tags:array<string>,created_at:double,company_name:string,"
            "remote:boolean,url:string>>")
 BOARD_C = "jobs array<struct<jobTitle:string,pubDate:string,companyName:string,url:string>>"
 JOB_FEED_ITEM = "title string, pubDate string, link string"
-NEWS_ITEM = "title string, pubDate string, link string, description string"
+NEWS_ITEM = ("title string, pubDate string, link string, description string, published string, "
+             "updated string")
 NEWS_ENTRY = ("title string, published string, updated string, "
-              "link array<struct<_href:string,_rel:string>>, summary string")
+              "link array<struct<_href:string,_rel:string>>, summary string, pubDate string")
 PAPER_ENTRY = "id string, title string, summary string, published string, author array<struct<name:string>>"
 PAGES = "url string, html string"
 REPO_STATS = "owner string, repo string, stars int"

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .. import fixed, schemas
+from .. import schemas
+from ..functions.text import first_nonempty
 
 log = logging.getLogger(__name__)
 
@@ -23,6 +24,11 @@ BROADCAST_FILES = 50_000             # file lists up to here are broadcast
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
 
 
+def is_missing(problem: AnalysisException) -> bool:
+    """Whether the path of a source isn't there; any other fault must not pass for an empty source."""
+    return problem.getCondition() == "PATH_NOT_FOUND"
+
+
 def one_slash(path: str) -> str:
     """``file:///a`` and ``file:/a`` name one file; both become ``file:/a``."""
     return re.sub(_SCHEME, r"\1:/", path)
@@ -32,7 +38,8 @@ def with_arrival(df: DataFrame, source_no: int = 0) -> DataFrame:
     """Replace ``_path`` and ``_block`` by ``ingest_seq``: source, then file in path order, then place in file.
 
     The place is the byte offset of the file split plus the row number in its task. Each row takes at least two bytes
-    of text, so the numbers rise along a file however it is split. They depend on the files only.
+    of text, so the numbers rise along a file however it is split. The order depends on the files only; the numbers also on
+    how files are packed into tasks.
     """
     spark = df.sparkSession
     files = sorted(df.inputFiles())
@@ -61,16 +68,26 @@ def read_json(spark: SparkSession, path: str, schema: str, rows: str | None = No
               lines: bool = False) -> DataFrame:
     """JSON snapshot, whole files by default or one document per line. ``rows`` names the array that holds the rows.
 
-    A document that does not parse gives one row with its text in ``_corrupt_record``.
+    A document is first cut into the texts of its rows and each row is parsed by itself, so a bad value sets one row aside:
+    its text goes to ``_corrupt_record``. A document that cannot be cut gives one such row with its whole text.
     """
-    raw = (spark.read.schema(f"{schema}, {CORRUPT} string").option("multiLine", not lines)
-           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    raw = _with_origin(spark.read.text(path, wholetext=not lines), "value").filter(F.trim("value") != "")
     if rows is None:
-        return with_arrival(_with_origin(raw, "*"), source_no)
-    exploded = _with_origin(raw, rows, CORRUPT).select(
-        F.explode_outer(rows).alias("_row"), CORRUPT, "_path", "_block")
-    exploded = exploded.filter(F.col("_row").isNotNull() | F.col(CORRUPT).isNotNull())
-    return with_arrival(exploded.select("_row.*", CORRUPT, "_path", "_block"), source_no)
+        listed = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
+        fields = schema
+    else:
+        whole = F.from_json("value", f"{rows} array<string>, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+        listed = F.when(whole[CORRUPT].isNull(), F.coalesce(whole[rows], F.array().cast("array<string>")))
+        fields = schema.split("array<struct<", 1)[1].removesuffix(">>")
+    elements = raw.select("_path", "_block", F.explode(F.coalesce(listed, F.array("value"))).alias("_text"))
+    parsed = elements.filter(F.col("_text").isNotNull()).select("_path", "_block", F.from_json(
+        "_text", f"struct<{_typed(fields)},{CORRUPT}:string>", {"columnNameOfCorruptRecord": CORRUPT}).alias("_row"))
+    return with_arrival(parsed.select("_row.*", "_path", "_block"), source_no)
+
+
+def _typed(fields: str) -> str:
+    """Column DDL as the fields of a struct type."""
+    return re.sub(r"(^|, )(\w+) ", lambda m: f"{m[1].strip()}{m[2]}:", fields)
 
 
 def read_xml(spark: SparkSession, path: str, schema: str, row_tag: str, source_no: int = 0) -> DataFrame:
@@ -126,10 +143,10 @@ def entry_link(links: Column) -> Column:
 def read_feed(spark: SparkSession, path: str, name: str, source_no: int = 0) -> DataFrame:
     """One news feed, RSS items and Atom entries alike: (source_name, title, published, link, summary, …)."""
     items = read_xml(spark, path, schemas.NEWS_ITEM, "item", source_no).select(
-        "title", F.col("pubDate").alias("published"), "link", F.col("description").alias("summary"), CORRUPT,
+        "title", first_nonempty("published", "pubDate", "updated").alias("published"), "link", F.col("description").alias("summary"), CORRUPT,
         "ingest_seq")
     entries = read_xml(spark, path, schemas.NEWS_ENTRY, "entry", source_no).select(
-        "title", F.coalesce("published", "updated").alias("published"), entry_link(F.col("link")).alias("link"),
+        "title", first_nonempty("published", "pubDate", "updated").alias("published"), entry_link(F.col("link")).alias("link"),
         "summary", CORRUPT, "ingest_seq")
     return items.unionByName(entries).withColumn("source_name", F.lit(name))
 
@@ -155,6 +172,8 @@ def union_sources(sources: dict[str, Callable[[], DataFrame]]) -> DataFrame:
         try:
             part = read()
         except AnalysisException as problem:
+            if not is_missing(problem):
+                raise
             log.warning("source %s left out: %s", name, problem)
             continue
         whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)

@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--quarantine", required=True, help="folder for rows that break the contract")
     parser.add_argument("--run-time", type=datetime.fromisoformat, default=None, help="run time; default is now")
     parser.add_argument("--hours", type=int, default=fixed.FRESH_HOURS, help="greatest age of jobs and news")
-    parser.add_argument("--target", type=int, default=fixed.TARGET_ROWS, help="rows per run; 0 takes all")
+    parser.add_argument("--target", type=int, default=0, help="rows per run and source; the default 0 takes all")
     parser.add_argument("--lines", action="store_true", help="JSON sources hold one document per line")
     args = parser.parse_args(argv)
 

@@ -12,9 +12,9 @@ from .text import as_col, first_nonempty, let, py_strip
 
 _CLOCK = r"(?:[\sT,]+(\d{1,2}:\d{2})(:\d{2})?(?:\.\d+)?\s*([AaPp][Mm])?)?"
 _ZONE = r"\s*\(?([A-Za-z]{1,4}|[+-]\d{2}:?\d{2})?\)?"
-_ISO = (r"(\d{4})[-/](\d{2})[-/](\d{2})(?:[T\s]+(\d{2}:\d{2})(:\d{2})?(?:[.,](\d{1,9}))?)?"
+_ISO = (r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})(?:[T\s]+(\d{2}:\d{2})(:\d{2})?(?:[.,](\d{1,9}))?)?"
         r"\s*(Z|z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)?")
-_DAY_FIRST = r"(\d{1,2})[\s-]+([A-Za-z]{3})[a-z]*\.?,?[\s-]+(\d{4})" + _CLOCK + _ZONE
+_DAY_FIRST = r"(\d{1,2})[\s-]+([A-Za-z]{3})[a-z]*\.?,?[\s-]+(\d{4}|\d{2})" + _CLOCK + _ZONE
 _MONTH_FIRST = r"([A-Za-z]{3})[a-z]*\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _CLOCK + _ZONE
 # One pattern for all forms but the compact one. A group that took no part is empty, so each part of the rewrite
 # names the groups of every form: year|month|day|hour:minute|:second|fraction|am/pm|zone.
@@ -22,6 +22,7 @@ _ANY_FORM = rf"^(?:{_ISO}|(?:[A-Za-z]{{3,9}}\.?,?\s+)?(?:{_DAY_FIRST}|{_MONTH_FI
 _ANY_PARTS = "$1$10$17|$2$9$15|$3$8$16|$4$11$18|$5$12$19|$6|$13$20|$7$14$21"
 _COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2})?)?(Z)?\z"
 _COMPACT_PARTS = "$1|$2|$3|$4:$5|:$6|||$7"
+_CLOCK_BEFORE_YEAR = r"^(?:[A-Za-z]{3},?\s+)?([A-Za-z]{3})\s+(\d{1,2})\s+(\d{1,2}:\d{2}(?::\d{2})?)(?:\s+([A-Za-z]{1,4}))?\s+(\d{4})\z"
 _PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})\z"
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
@@ -34,6 +35,8 @@ def _assemble(parts: Column) -> Column:
     """Timestamp of the eight parts that a form was rewritten to."""
     year, month, day, clock, second, fraction, half, zone = (parts[i] for i in range(8))
     named_month = F.floor((F.instr(F.lit(_MONTHS), F.lower(month)) + 2) / 3).cast("string")
+    short = year.try_cast("int")    # two digits: 69 to 99 are of the last century, as in mail dates
+    year = F.when(F.char_length(year) > 2, year).otherwise((short + F.when(short < 69, 2000).otherwise(1900)).cast("string"))
     month = F.when(month.rlike("^[0-9]"), month).otherwise(named_month)
     hour = F.substring_index(clock, ":", 1).try_cast("int")
     hour = (F.when(half == "", hour).when((hour < 1) | (hour > 12), None)
@@ -57,7 +60,8 @@ def parse_utc(c) -> Column:
     failed parsing attempts, and the text is named once per step, so the expression stays small.
     """
     def any_form(text):
-        text = F.regexp_replace(F.regexp_replace(text, _ANY_FORM, _ANY_PARTS), _COMPACT, _COMPACT_PARTS)
+        text = F.regexp_replace(text, _CLOCK_BEFORE_YEAR, "$1 $2 $5 $3 $4")
+        text = F.regexp_replace(F.regexp_replace(F.rtrim(text), _ANY_FORM, _ANY_PARTS), _COMPACT, _COMPACT_PARTS)
         return let(F.split(text, r"\|"), lambda p: F.when(F.size(p) == 8, _assemble(p)))
 
     return let(py_strip(c), lambda text: F.when(

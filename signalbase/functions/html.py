@@ -11,7 +11,7 @@ from .text import as_col, let, py_strip
 
 _NOISE = r"(?is)<!--.*?-->|<(" + "|".join(fixed.PAGE_NOISE_TAGS) + r")\b[^>]*>.*?</\1\s*>"
 _TOKEN = r"""<[A-Za-z/!?](?:[^'">]++|"[^"]*+"|'[^']*+')*+>|[^<]+|<"""
-_TAG_NAME = r"^<(/?[A-Za-z][A-Za-z0-9]*)"
+_TAG_NAME = r"^<(/?[A-Za-z][^\s/>]*)"
 _ENTITY = r"^(#[xX][0-9A-Fa-f]{1,6}|#\d{1,7}|[A-Za-z][A-Za-z0-9]*);"
 _OPEN = "array<struct<at:int,name:string>>"
 _SPANS = "array<struct<first:int,last:int>>"
@@ -61,7 +61,7 @@ def _tag_of(token: Column, at: Column) -> Column:
 
 def _step(state: Column, tag: Column) -> Column:
     opened, spans = state["open"], state["spans"]
-    closing = F.substring(tag["name"], 2, 40)
+    closing = F.substr(tag["name"], F.lit(2))
     # Number of open elements that stay open: those before the last one of the closing tag's name, or all.
     stay = F.when(~tag["name"].startswith("/"), -1).otherwise(F.coalesce(
         F.array_max(F.transform(opened, lambda o, i: F.when(o["name"] == closing, i))), F.size(opened)))

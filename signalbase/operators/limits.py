@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .. import fixed
 from .dedup import assign_ids
 
 SORTED_ROWS = 20_000  # up to here a target is a sorted top-n, which ends in one task
 
 
-def cap_rows(df: DataFrame, seq: str, n: int | None = fixed.TARGET_ROWS, sorted_rows: int = SORTED_ROWS) -> DataFrame:
+def cap_rows(df: DataFrame, seq: str, n: int | None = None, sorted_rows: int = SORTED_ROWS) -> DataFrame:
     """The first ``n`` rows in the order of ``seq``, a unique whole number; all rows if ``n`` is None.
 
     A large target numbers the rows block by block instead and keeps numbers up to ``n``, so that neither the cut nor
@@ -23,7 +22,7 @@ def cap_rows(df: DataFrame, seq: str, n: int | None = fixed.TARGET_ROWS, sorted_
     return assign_ids(df, seq).filter(F.col("id") <= n).drop("id")
 
 
-def backfill(first: DataFrame, second: DataFrame, seq: str, n: int | None = fixed.TARGET_ROWS,
+def backfill(first: DataFrame, second: DataFrame, seq: str, n: int | None = None,
              sorted_rows: int = SORTED_ROWS) -> DataFrame:
     """Rows of ``first``, then rows of ``second`` only as far as ``n`` is not reached. Adds ``source_no``."""
     first, second = first.withColumn("source_no", F.lit(0)), second.withColumn("source_no", F.lit(1))
@@ -35,6 +34,6 @@ def backfill(first: DataFrame, second: DataFrame, seq: str, n: int | None = fixe
     return both if n is None else both.orderBy("source_no", seq).limit(n)
 
 
-def newest_n(df: DataFrame, published: str, seq: str, n: int | None = fixed.TARGET_ROWS) -> DataFrame:
+def newest_n(df: DataFrame, published: str, seq: str, n: int | None = None) -> DataFrame:
     """The ``n`` most recent rows; rows of equal time in arrival order."""
     return df if n is None else df.orderBy(F.col(published).desc(), F.col(seq)).limit(n)

@@ -29,13 +29,18 @@ def keyword_score(c: str, keywords: Sequence[str]) -> Column:
 
 def vector_topk(vectors: DataFrame, vector: str, item: str, query: Sequence[float], k: int) -> DataFrame:
     """The ``k`` items most like the query: (item, score). Ties go to the lower item."""
-    scored = vectors.select(item, F.round(cosine(vector, query), 6).alias("score"))
-    return scored.orderBy(F.col("score").desc(), F.col(item)).limit(k)
+    return _best(vectors.select(item, cosine(vector, query).alias("score")), item, k)
+
+
+def _best(scored: DataFrame, item: str, k: int) -> DataFrame:
+    """The ``k`` best by the exact score, which is rounded for display only."""
+    best = scored.orderBy(F.col("score").desc(), F.col(item)).limit(k)
+    return best.withColumn("score", F.round("score", 6))
 
 
 def hybrid_topk(texts: DataFrame, vector: str, text: str, item: str, query: Sequence[float],
                 keywords: Sequence[str], k: int, weight: float = 0.5) -> DataFrame:
-    """The ``k`` best items by ``weight`` x cosine + (1 - ``weight``) x keyword share."""
-    score = F.lit(weight) * cosine(vector, query) + F.lit(1 - weight) * keyword_score(text, keywords)
-    scored = texts.select(item, F.round(score, 6).alias("score"))
-    return scored.orderBy(F.col("score").desc(), F.col(item)).limit(k)
+    """The ``k`` best items by ``weight`` x cosine + (1 - ``weight``) x keyword share. No vector counts as cosine 0."""
+    likeness = F.coalesce(cosine(vector, query), F.lit(0.0))
+    score = F.lit(weight) * likeness + F.lit(1 - weight) * keyword_score(text, keywords)
+    return _best(texts.select(item, score.alias("score")), item, k)

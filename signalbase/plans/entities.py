@@ -32,7 +32,7 @@ def space_rows(df: DataFrame) -> DataFrame:
 
 
 def resolved_entities(directory: DataFrame, spaces: DataFrame, catalogue: Catalogue,
-                      target: int | None = fixed.TARGET_ROWS) -> DataFrame:
+                      target: int | None = None) -> DataFrame:
     """Rows within the target with resolved names; the parent of companies, products and log rows."""
     kept = backfill(directory_rows(directory), space_rows(spaces), "ingest_seq", target)
     return resolve_entities(kept, "raw_name", catalogue)

@@ -33,7 +33,7 @@ class Landed:
 
 
 def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours: int = fixed.FRESH_HOURS,
-        target: int | None = fixed.TARGET_ROWS, catalogue: Catalogue | None = None,
+        target: int | None = None, catalogue: Catalogue | None = None,
         quarantine: str | None = None) -> DataFrame:
     """Load all tables under ``root`` and return their row counts.
 
@@ -61,6 +61,8 @@ def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours:
         append_new(spark, root, kind, flatten(good, kind, ("ingest_seq",)))
         bad.select(F.to_json(F.struct("*")).alias("record"), "reasons").write.mode("append").parquet(
             f"{quarantine}/{kind}")
+    papers.incomplete_papers(landed.papers).select(F.to_json(F.struct("*")).alias("record"), "reasons").write.mode(
+        "append").parquet(f"{quarantine}/research_papers")
     for resolved in (companies, postings):
         append_log(spark, root, resolution_log(resolved, "raw_name", F.lit(run_ts), ("ingest_seq",)))
     return table_counts({name: read_table(spark, root, name) for name in [

@@ -23,25 +23,30 @@ def stream_error_windows(calls: DataFrame, ts: str, provider: str, failed: str,
 def idempotent_load(records: DataFrame, table: str, checkpoint: str, seq: str, key: str = "hash_key") -> StreamingQuery:
     """Append each key once, exactly, over all batches and restarts.
 
-    A batch owns the partition ``batch_id=n`` of the table and overwrites it. If a batch is run again after a failure,
-    it is compared with the other batches only and replaces what it wrote, so nothing is doubled or lost.
+    A batch owns the partition ``(run, batch_id)`` of the table and overwrites it. The run is the query's id, which Spark
+    keeps in the checkpoint folder: a new checkpoint is a new run and touches no partition of an older one. If a batch is
+    run again after a failure, it is compared with all other partitions and replaces what it wrote, so nothing is doubled
+    or lost.
     """
     spark = records.sparkSession
 
     def load(batch: DataFrame, batch_id: int) -> None:
         winners = first_wins(batch, key, seq)
-        others = _stored_keys(spark, table, key, batch_id)
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        others = _stored_keys(spark, table, key, run, batch_id)
         new = winners if others is None else anti_existing(winners, others, key)
-        new.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        new.write.mode("overwrite").parquet(f"{table}/run={run}/batch_id={batch_id}")
 
     return (records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def _stored_keys(spark: SparkSession, table: str, key: str, batch_id: int) -> DataFrame | None:
+def _stored_keys(spark: SparkSession, table: str, key: str, run: str, batch_id: int) -> DataFrame | None:
     """Keys of all other batches; None if nothing is stored yet."""
     try:
         stored = spark.read.option("basePath", table).parquet(table)
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return stored.filter(F.col("batch_id") != batch_id).select(key)
+    return stored.filter((F.col("run") != run) | (F.col("batch_id") != batch_id)).select(key)

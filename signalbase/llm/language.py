@@ -141,7 +141,8 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bo
     hosts = votes(scored, "host", "domain")
     domains = (hosts.groupBy("domain").agg(F.array(*[F.sum(F.col("votes")[i]) for i in range(k)]).alias("of_domain")))
     overall = votes(scored).select(F.col("votes").alias("of_all"))
-    tables = hosts.withColumnRenamed("votes", "of_host").join(domains, "domain")
+    # As a written table, so that the join reads plain shuffles on both sides and AQE can split a frequent host.
+    tables = stage(hosts.withColumnRenamed("votes", "of_host").join(domains, "domain"), "hosts")
     by_declared = votes(scored, "declared").withColumnRenamed("votes", "of_declared")   # a row per language tag
     by_suffix = votes(scored, "suffix").withColumnRenamed("votes", "of_suffix")
     both = (scored.join(tables, ["host", "domain"]).join(by_declared, "declared").join(by_suffix, "suffix").crossJoin(overall))

@@ -1,56 +1,56 @@
 """Lists, texts and formats that define the results and must not change."""
 
-# ---- fixed values: company catalogue, one "canonical: alias | alias" line each, in lookup order ----
-CATALOGUE_TEXT = """
-OpenAI: openai | open ai | openai inc | openai, inc. | openai limited
-Anthropic: anthropic | anthropic pbc | anthropic ai
-Mistral AI: mistral | mistral ai | mistral.ai | mistral ai sas
-Cohere: cohere | cohere inc | cohere ai
-Perplexity: perplexity | perplexity ai | perplexity inc
-DeepMind: google deepmind | deepmind technologies | deep mind
-Hugging Face: hugging face | huggingface | hugging face inc
-Scale AI: scale ai | scale computing | scale.ai
-Databricks: databricks | databricks inc
-Midjourney: midjourney | midjourney inc
-Stability AI: stability ai | stability.ai | stability ai ltd
-ElevenLabs: elevenlabs | eleven labs | elevenlabs inc
-Runway: runway | runway ml | runwayml | runway ai, inc.
-Jasper: jasper | jasper ai | jasper.ai
-Character.AI: character ai | character.ai | character technologies
-Glean: glean | glean technologies
-Pinecone: pinecone | pinecone systems | pinecone io
-Weaviate: weaviate | weaviate b.v.
-Qdrant: qdrant | qdrant solutions
-LangChain: langchain | langchain inc
-LlamaIndex: llamaindex | llama index | runllama
-Anysphere: anysphere | cursor ai | cursor
-Poolside: poolside | poolside ai
-Together AI: together ai | together computer
-Groq: groq | groq inc
-Cerebras Systems: cerebras | cerebras systems
-SambaNova Systems: sambanova | sambanova systems inc
-Modular: modular | modular ai | modular inc
-Harvey: harvey | harvey ai
-Decagon: decagon | decagon ai
-Cognition: cognition | cognition labs | devin ai
-Synthesia: synthesia | synthesia ltd
-Shield AI: shield ai | shield ai inc
-Weights & Biases: wandb | weights and biases | weights & biases
-Writer: writer | writer ai | writer inc
-Adept: adept | adept ai | adept labs
-Inflection AI: inflection | inflection ai
-Pika Labs: pika | pika labs | pika art
-Suno: suno | suno ai
-Udio: udio | uncharted labs
-Phind: phind | phind ai
-Baseten: baseten | baseten inc
-Replicate: replicate | replicate inc
-Modal: modal | modal labs
-Fireworks AI: fireworks | fireworks ai
-Unstructured: unstructured | unstructured io
-CoreWeave: coreweave | coreweave inc
-Lambda Labs: lambda | lambda labs
-"""
+# ---- fixed values: company catalogue, (canonical name, aliases) in lookup order ----
+CATALOGUE = [
+    ("OpenAI", ["openai", "open ai", "openai inc", "openai, inc.", "openai limited"]),
+    ("Anthropic", ["anthropic", "anthropic pbc", "anthropic ai"]),
+    ("Mistral AI", ["mistral", "mistral ai", "mistral.ai", "mistral ai sas"]),
+    ("Cohere", ["cohere", "cohere inc", "cohere ai"]),
+    ("Perplexity", ["perplexity", "perplexity ai", "perplexity inc"]),
+    ("DeepMind", ["google deepmind", "deepmind technologies", "deep mind"]),
+    ("Hugging Face", ["hugging face", "huggingface", "hugging face inc"]),
+    ("Scale AI", ["scale ai", "scale computing", "scale.ai"]),
+    ("Databricks", ["databricks", "databricks inc"]),
+    ("Midjourney", ["midjourney", "midjourney inc"]),
+    ("Stability AI", ["stability ai", "stability.ai", "stability ai ltd"]),
+    ("ElevenLabs", ["elevenlabs", "eleven labs", "elevenlabs inc"]),
+    ("Runway", ["runway", "runway ml", "runwayml", "runway ai, inc."]),
+    ("Jasper", ["jasper", "jasper ai", "jasper.ai"]),
+    ("Character.AI", ["character ai", "character.ai", "character technologies"]),
+    ("Glean", ["glean", "glean technologies"]),
+    ("Pinecone", ["pinecone", "pinecone systems", "pinecone io"]),
+    ("Weaviate", ["weaviate", "weaviate b.v."]),
+    ("Qdrant", ["qdrant", "qdrant solutions"]),
+    ("LangChain", ["langchain", "langchain inc"]),
+    ("LlamaIndex", ["llamaindex", "llama index", "runllama"]),
+    ("Anysphere", ["anysphere", "cursor ai", "cursor"]),
+    ("Poolside", ["poolside", "poolside ai"]),
+    ("Together AI", ["together ai", "together computer"]),
+    ("Groq", ["groq", "groq inc"]),
+    ("Cerebras Systems", ["cerebras", "cerebras systems"]),
+    ("SambaNova Systems", ["sambanova", "sambanova systems inc"]),
+    ("Modular", ["modular", "modular ai", "modular inc"]),
+    ("Harvey", ["harvey", "harvey ai"]),
+    ("Decagon", ["decagon", "decagon ai"]),
+    ("Cognition", ["cognition", "cognition labs", "devin ai"]),
+    ("Synthesia", ["synthesia", "synthesia ltd"]),
+    ("Shield AI", ["shield ai", "shield ai inc"]),
+    ("Weights & Biases", ["wandb", "weights and biases", "weights & biases"]),
+    ("Writer", ["writer", "writer ai", "writer inc"]),
+    ("Adept", ["adept", "adept ai", "adept labs"]),
+    ("Inflection AI", ["inflection", "inflection ai"]),
+    ("Pika Labs", ["pika", "pika labs", "pika art"]),
+    ("Suno", ["suno", "suno ai"]),
+    ("Udio", ["udio", "uncharted labs"]),
+    ("Phind", ["phind", "phind ai"]),
+    ("Baseten", ["baseten", "baseten inc"]),
+    ("Replicate", ["replicate", "replicate inc"]),
+    ("Modal", ["modal", "modal labs"]),
+    ("Fireworks AI", ["fireworks", "fireworks ai"]),
+    ("Unstructured", ["unstructured", "unstructured io"]),
+    ("CoreWeave", ["coreweave", "coreweave inc"]),
+    ("Lambda Labs", ["lambda", "lambda labs"]),
+]
 
 # ---- fixed values: words dropped from a name before it is compared or titled ----
 SUFFIX_WORDS = [

@@ -53,13 +53,9 @@ class Catalogue:
         return Catalogue.from_entries(spark, catalogue_entries())
 
 
-def catalogue_entries(text: str = fixed.CATALOGUE_TEXT) -> list[tuple[str, str]]:
+def catalogue_entries(catalogue: list[tuple[str, list[str]]] = fixed.CATALOGUE) -> list[tuple[str, str]]:
     """(alias, canonical) pairs; a canonical name in lower case is its own first alias."""
-    found: dict[str, str] = {}
-    for line in text.strip().splitlines():
-        canonical, aliases = line.split(": ", 1)
-        for alias in [canonical, *aliases.split(" | ")]:
-            found[alias.lower()] = canonical
+    found = {alias.lower(): canonical for canonical, aliases in catalogue for alias in [canonical, *aliases]}
     return list(found.items())
 
 

@@ -83,16 +83,15 @@ def table_keys(fp: F.Column, distance: int, blocks: int = BLOCKS) -> F.Column:
     return F.array(*keys)
 
 
-def pairs_of(fps: np.ndarray, coordinates: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def pairs_of(fps: np.ndarray, coordinates: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of all pairs within ``distance`` bits: by the pivot table first, then bit by bit.
 
     Rows are sorted by their first coordinate, so each row meets only rows that it does not exceed by more than
-    ``distance`` there; blocks of rows keep the work space bounded.
+    ``distance`` there. Pairs come a block at a time, so that no more than a block of them is ever held.
     """
     order = np.argsort(coordinates[:, 0], kind="stable")
     fps, coordinates = fps[order], coordinates[order]
     last = np.searchsorted(coordinates[:, 0], coordinates[:, 0] + distance, "right")
-    left, right = [], []
     step = 256
     for i in range(0, len(fps), step):
         j = min(i + step, len(fps))
@@ -105,29 +104,38 @@ def pairs_of(fps: np.ndarray, coordinates: np.ndarray, distance: int) -> tuple[n
                 near = np.abs(coordinates[a, p] - coordinates[b, p]) <= distance
                 a, b = a[near], b[near]
             near = np.bitwise_count(fps[a] ^ fps[b]) <= distance
-            left.append(order[a[near]])
-            right.append(order[b[near]])
-    none = np.array([], np.int64)
-    return (np.concatenate(left) if left else none, np.concatenate(right) if right else none)
+            if near.any():
+                yield order[a[near]], order[b[near]]
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of the links (a, b) join two parts not yet joined: the same parts from less than ``n`` links."""
-    parent = list(range(n))
+def forest(n: int, blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the links that join two parts not yet joined: the same parts from less than ``n`` links.
+
+    Links inside a part found by earlier blocks are dropped all at once; only the others are looked at one by one.
+    """
+    parent = np.arange(n)
+    kept: list[tuple[int, int]] = []
 
     def top(x: int) -> int:
         while parent[x] != x:
             parent[x] = parent[parent[x]]
-            x = parent[x]
+            x = int(parent[x])
         return x
 
-    keep = np.zeros(len(a), bool)
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = top(x), top(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            keep[i] = True
-    return keep
+    for a, b in blocks:
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        apart = parent[a] != parent[b]
+        # One link for each pair of parts is enough.
+        ends = np.sort(np.stack([parent[a[apart]], parent[b[apart]]]), axis=0)
+        _, one = np.unique(ends[0] * n + ends[1], return_index=True)
+        for x, y in zip(a[apart][one].tolist(), b[apart][one].tolist()):
+            u, v = top(x), top(y)
+            if u != v:
+                parent[max(u, v)] = min(u, v)
+                kept.append((x, y))
+    left, right = zip(*kept) if kept else ((), ())
+    return np.array(left, np.int64), np.array(right, np.int64)
 
 
 def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
@@ -154,9 +162,8 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
 
         def flush(fps: np.ndarray) -> pa.RecordBatch:
             coordinates = np.bitwise_count(fps[:, None] ^ table[None, :]).astype(np.int8)
-            a, b = pairs_of(fps, coordinates, distance)
-            keep = forest(len(fps), a, b)
-            return pa.RecordBatch.from_arrays([pa.array(fps[a[keep]].view(np.int64)), pa.array(fps[b[keep]].view(np.int64))],
+            a, b = forest(len(fps), pairs_of(fps, coordinates, distance))
+            return pa.RecordBatch.from_arrays([pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))],
                                               names=["a", "b"])
 
         key, held = None, []

@@ -102,11 +102,16 @@ def test_pivots_discard_no_pair():
     rng = np.random.default_rng(1)
     fps = rng.integers(0, 1 << 12, 700, dtype=np.uint64)
     coordinates = np.bitwise_count(fps[:, None] ^ pivots()[None, :]).astype(np.int8)
-    a, b = pairs_of(fps, coordinates, 3)
-    got = {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())}
+    blocks = list(pairs_of(fps, coordinates, 3))
+    got = {tuple(sorted(p)) for a, b in blocks for p in zip(a.tolist(), b.tolist())}
     want = {(i, j) for j in range(700) for i in range(j) if int(fps[i] ^ fps[j]).bit_count() <= 3}
     assert got == want
-    assert forest(700, a, b).sum() < 700
+    a, b = forest(700, iter(blocks))
+    assert len(a) < 700 and set(map(tuple, np.sort(np.stack([a, b]), axis=0).T.tolist())) <= want
+    label = {x: x for x in range(700)}
+    for x, y in sorted(want) * 20:
+        label[x] = label[y] = min(label[x], label[y])
+    assert len(a) == 700 - len(set(label.values()))
 
 
 def test_components_of_long_chains_and_stars(shipped):

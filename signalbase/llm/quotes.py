@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.text import let
 from ..session import stage
 
 _MARK = r"^[ \t]*(>[> \t]*)"
@@ -32,15 +33,20 @@ def body_of(text: Column) -> Column:
 
 
 def passages_of(text: Column) -> Column:
-    """Array of (level, text) of the quoted passages, in order: consecutive quoted lines of one level."""
-    start = F.struct(F.lit(0).alias("level"), F.lit("").alias("text"))
-    step = F.aggregate(
-        lines_of(text), F.array(start),
-        lambda done, x: F.when(F.element_at(done, -1).level == x.level, F.concat(
-            F.slice(done, 1, F.size(done) - 1),
-            F.array(F.struct(x.level.alias("level"), F.concat_ws("\n", F.element_at(done, -1).text, x.line).alias("text")))))
-        .otherwise(F.concat(done, F.array(F.struct(x.level.alias("level"), x.line.alias("text"))))))
-    return F.filter(step, lambda p: (p.level > 0) & (normalised(p.text) != ""))
+    """Array of (level, text) of the quoted passages, in order: consecutive quoted lines of one level.
+
+    Each passage is cut out of the list of lines once, so the work grows with the text, however long a passage is.
+    """
+    def cut(lines: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: (i == 1) | (
+            F.element_at(lines, i).level != F.element_at(lines, F.greatest(i - 1, F.lit(1))).level))
+        return let(F.concat(first, F.array(F.size(lines) + 1)), lambda at: F.transform(
+            F.sequence(F.lit(1), F.size(at) - 1), lambda k: F.struct(
+                F.element_at(lines, F.element_at(at, k)).level.alias("level"),
+                F.array_join(F.transform(F.slice(lines, F.element_at(at, k), F.element_at(at, k + 1) - F.element_at(at, k)),
+                                         lambda x: x.line), "\n").alias("text"))))
+
+    return F.filter(let(lines_of(text), cut), lambda p: (p.level > 0) & (normalised(p.text) != ""))
 
 
 def thread(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",

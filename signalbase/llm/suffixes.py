@@ -90,9 +90,12 @@ def _raw(text: str | None) -> bytes:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, tag, text``: the id and a hash of the text name a row, so rows that share an id are told apart."""
+    """``doc_id, tag, text``: the id and a hash of the text name a row, so rows that share an id are told apart.
+
+    The hash has 64 bits, since a third of all rows may share an id, or have none.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).alias("tag"), text.alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
 
 
 def _anchor_counts(rows: DataFrame, width: int) -> DataFrame:
@@ -132,7 +135,7 @@ def _all_runs(rows: DataFrame, width: int) -> DataFrame:
                      pa.array(np.concatenate(n or none).astype(np.int16))],
                     names=["anchor", "digest", "doc_id", "tag", "first", "n"])
 
-    return rows.mapInArrow(scan, "anchor long, digest long, doc_id long, tag int, first int, n short")
+    return rows.mapInArrow(scan, "anchor long, digest long, doc_id long, tag long, first int, n short")
 
 
 def _digest(raw: bytes) -> bytes:
@@ -183,19 +186,19 @@ def _with_bytes(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     for w in wants:
                         a, s = where[w["first"]], w["first"]
                         out.append((raw[a:a + 8], w["anchor"], w["hot"], i, tag, s, a - s, raw[s:s + w["n"] + width - 1]))
-                kinds = (pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+                kinds = (pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 8, kinds)],
                     names=["lead", "anchor", "hot", "doc_id", "tag", "first", "place", "bytes"])
 
-    return held.mapInArrow(cut, "lead binary, anchor long, hot boolean, doc_id long, tag int, first int, place int, bytes binary")
+    return held.mapInArrow(cut, "lead binary, anchor long, hot boolean, doc_id long, tag long, first int, place int, bytes binary")
 
 
-_COVER = "doc_id long, tag int, first int, n int"
+_COVER = "doc_id long, tag long, first int, n int"
 
 
 def _cover(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 4, kinds)],
                                       names=["doc_id", "tag", "first", "n"])
 
@@ -239,12 +242,12 @@ def _counted_windows(held: DataFrame, width: int) -> DataFrame:
                 out = [(hashlib.blake2b(raw[w:w + width], digest_size=16).digest(), i, tag, first + w)
                        for i, tag, first, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tag", "first", "bytes")))
                        for w in range(len(raw) - width + 1)]
-                kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32())
+                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 4, kinds)],
                     names=["window", "doc_id", "tag", "first"])
 
-    windows = held.mapInArrow(explode, "window binary, doc_id long, tag int, first int")
+    windows = held.mapInArrow(explode, "window binary, doc_id long, tag long, first int")
     many = windows.groupBy("window").agg(F.count("*").alias("k")).where("k > 1").select("window")
     return windows.join(many, "window").select("doc_id", "tag", "first", F.lit(1).alias("n"))
 

@@ -3,37 +3,59 @@
 from __future__ import annotations
 
 import json
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
 from .. import fixed
 from .text import as_col, let, py_strip
 
-_NOISE = r"(?is)<!--.*?-->|<(" + "|".join(fixed.PAGE_NOISE_TAGS) + r")\b[^>]*>.*?</\1\s*>"
+# The contents of these elements are no markup, so they end at their first closing tag, or with the page.
+_RAW = r"(?is)<!--.*?-->|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
+_DROPPED = [tag for tag in fixed.PAGE_NOISE_TAGS if tag not in ("script", "style")]
 _TOKEN = r"""<[A-Za-z/!?](?:[^'">]++|"[^"]*+"|'[^']*+')*+>|[^<]+|<"""
 _TAG_NAME = r"^<(/?[A-Za-z][^\s/>]*)"
-_ENTITY = r"^(#[xX][0-9A-Fa-f]{1,6}|#\d{1,7}|[A-Za-z][A-Za-z0-9]*);"
 _OPEN = "array<struct<at:int,name:string>>"
-_SPANS = "array<struct<first:int,last:int>>"
+_SPANS = "array<struct<first:int,last:int,name:string>>"
+
+_NAMES = {name.removesuffix(";"): chars for name, chars in html5.items() if name.endswith(";")}
+_BARE = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)    # may stand without semicolon
+_ENTITY = r"^(#[xX][0-9A-Fa-f]+|#\d+|[A-Za-z][A-Za-z0-9]*(?=;)|" + "|".join(_BARE) + ")"
+# Codes 128 to 159 stand for the characters of Windows-1252, or for themselves where it has none.
+_REMAPPED = "".join(bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(128, 160))
+
+
+def _character(code: Column) -> Column:
+    """Character of a numeric reference: U+FFFD outside Unicode, nothing for control codes and non-characters."""
+    none = (code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
+            | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+    return (F.when(code.between(128, 159), F.substr(F.lit(_REMAPPED), code - 127, F.lit(1)))
+            .when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
+            .when(none, F.lit("")).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
 
 
 def unescape(c) -> Column:
-    """Characters for numeric and common named entities, in one pass over the text; unknown ones stay."""
-    names = F.from_json(F.lit(json.dumps({**fixed.ENTITIES, "amp": "&"})), "map<string,string>")
-
-    def character(entity):
-        code = F.when(entity.rlike("^#[xX]"), F.conv(F.substring(entity, 3, 6), 16, 10)).otherwise(
-            F.substring(entity, 2, 7)).try_cast("int")
-        known = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(~entity.startswith("#"), F.try_element_at(names, entity)).otherwise(
-            F.when(known, char).otherwise(F.lit("\ufffd")))
-
-    def decoded(piece):
-        entity = F.regexp_extract(piece, _ENTITY, 1)
-        char = F.when(entity != "", character(entity))
-        return F.when(char.isNull(), F.concat(F.lit("&"), piece)).otherwise(
-            F.concat(char, F.substr(piece, F.char_length(entity) + 2)))
+    """Characters for numeric and named references of HTML5, in one pass over the text; unknown ones stay."""
+    common = F.from_json(F.lit(json.dumps({**fixed.ENTITIES, "amp": "&"})), "map<string,string>")
+    names = F.from_json(F.lit(json.dumps(_NAMES)), "map<string,string>")
+
+    def number(digits: Column, most: int, base: int) -> Column:
+        plain = F.regexp_replace(digits, "^0+", "")
+        return F.when(plain == "", 0).when(F.char_length(plain) > most, 0x110000).otherwise(
+            F.conv(plain, base, 10).try_cast("int"))
+
+    def character(entity: Column) -> Column:
+        return (F.when(entity.rlike("^#[xX]"), let(number(F.substr(entity, F.lit(3)), 6, 16), _character))
+                .when(entity.startswith("#"), let(number(F.substr(entity, F.lit(2)), 7, 10), _character))
+                .otherwise(F.coalesce(F.try_element_at(common, entity), F.try_element_at(names, entity))))
+
+    def decoded(piece: Column) -> Column:
+        # The longest name that may stand without a semicolon is tried where the whole name is unknown.
+        return let(F.regexp_extract(piece, _ENTITY, 1), lambda whole: let(
+            F.when((whole == "") | whole.startswith("#") | F.try_element_at(names, whole).isNotNull(), whole)
+            .otherwise(F.regexp_extract(piece, "^(" + "|".join(_BARE) + ")", 1)), lambda entity: let(
+                F.when(entity != "", character(entity)), lambda char: F.when(char.isNull(), F.concat(F.lit("&"), piece))
+                .otherwise(F.concat(char, F.regexp_replace(F.substr(piece, F.char_length(entity) + 1), "^;", ""))))))
 
     return let(as_col(c), lambda text: F.when(~text.contains("&"), text).otherwise(
         let(F.split(text, "&"), lambda pieces: F.concat(pieces[0], F.array_join(
@@ -44,10 +66,11 @@ def paragraph_texts(html) -> Column:
     """Text of every ``<p>`` in page order.
 
     An unclosed ``<p>`` runs on to the end of its parent, so its text holds that of the paragraphs inside it.
-    The fold keeps the open elements and notes, for each ``<p>``, its first and last token. Texts are cut out of
-    the token list afterwards, so no text is copied while folding.
+    Noise elements are left out with all that is in them; an unclosed one ends with its parent too.
+    The fold keeps the open elements and notes, for each ``<p>`` and noise element, its first and last token. Texts are
+    cut out of the token list afterwards, so no text is copied while folding.
     """
-    clean = F.regexp_replace(as_col(html), _NOISE, "")
+    clean = F.regexp_replace(as_col(html), _RAW, "")
     return let(F.regexp_extract_all(clean, F.lit(_TOKEN), F.lit(0)), _paragraphs_of)
 
 
@@ -72,21 +95,33 @@ def _step(state: Column, tag: Column) -> Column:
 
 
 def _ended(opened: Column, at: Column) -> Column:
-    """Token spans of the ``<p>`` elements among ``opened``, ended by token ``at``."""
+    """Token spans of the ``<p>`` and noise elements among ``opened``, ended by token ``at``."""
     return F.transform(
-        F.filter(opened, lambda o: o["name"] == "p"),
-        lambda o: F.struct(o["at"].alias("first"), at.alias("last")))
+        F.filter(opened, lambda o: o["name"].isin("p", *_DROPPED)),
+        lambda o: F.struct(o["at"].alias("first"), at.alias("last"), o["name"].alias("name")))
 
 
 def _paragraphs_of(tokens: Column) -> Column:
     start = F.struct(F.array().cast(_OPEN).alias("open"), F.array().cast(_SPANS).alias("spans"))
     tags = F.filter(F.transform(tokens, _tag_of), lambda t: t["name"] != "")
-    spans = F.aggregate(
+    return let(F.aggregate(
         tags, start, _step,
-        lambda s: F.array_sort(F.concat(s["spans"], _ended(s["open"], F.size(tokens) + 1))))
-    return F.transform(spans, lambda s: py_strip(unescape(F.array_join(F.filter(
-        F.slice(tokens, s["first"] + 1, s["last"] - s["first"] - 1),
-        lambda t: ~(t.startswith("<") & t.rlike(r"^</?[A-Za-z!?]"))), ""))))
+        lambda s: F.array_sort(F.concat(s["spans"], _ended(s["open"], F.size(tokens) + 1)))),
+        lambda spans: _texts_of(tokens, spans))
+
+
+def _texts_of(tokens: Column, spans: Column) -> Column:
+    def text_of(span: Column, noise: Column) -> Column:
+        kept = F.filter(
+            F.slice(tokens, span["first"] + 1, span["last"] - span["first"] - 1),
+            lambda t, i: ~(t.startswith("<") & t.rlike(r"^</?[A-Za-z!?]")) & ~F.exists(
+                noise, lambda n: (n["first"] <= span["first"] + 1 + i) & (span["first"] + 1 + i < n["last"])))
+        return py_strip(unescape(F.array_join(kept, "")))
+
+    return let(F.filter(spans, lambda s: s["name"] != "p"), lambda noise: F.transform(
+        F.filter(spans, lambda s: (s["name"] == "p") & ~F.exists(
+            noise, lambda n: (n["first"] < s["first"]) & (s["first"] < n["last"]))),
+        lambda s: text_of(s, noise)))
 
 
 def page_paragraphs(html) -> Column:

@@ -139,3 +139,19 @@ def test_page_paragraphs(values):
 
 def test_bad_character_codes(values):
     assert values(html.unescape, ["&#9999999; &#xD800; &# &#; &amp;lt; &"]) == ["� � &# &#; &lt; &"]
+
+
+def test_html_references(values):
+    given = ["&eacute;&rarr;&#146;&#x92;&#129;", "&eacute &copy2 &notit; &nosuch; &AMP", "&#0;&#00065;&#7;&#xFFFE;&#99999999999;",
+             "&NotEqualTilde;", "a & b &; &#x; &amp;eacute;"]
+    assert values(html.unescape, given) == [
+        "é→’’\x81", "é ©2 ¬it; &nosuch; &", "�A�", "≂̸", "a & b &; &#x; &eacute;"]
+
+
+def test_noise_elements_and_tag_names(values):
+    p = "<p>{}</p>".format
+    given = [
+        f"<nav>{p('a')}<nav>{p('b')}</nav>{p('c')}</nav>{p('d')}", f"<div><nav>{p('a')}</div>{p('b')}",
+        "<p>a<aside>b<p>c</p></aside>d</p>", "<p-card>a</p-card><p>b</p>", f"<script>{p('a')}",
+        f"<style-x>{p('a')}</style-x>{p('b')}", f"<script>if (a < b) '<p>x</p>'</script>{p('c')}", "<NAV class='>'><p>a</p></NAV ><p>b"]
+    assert values(html.paragraph_texts, given) == [["d"], ["b"], ["ad"], ["b"], [], ["a", "b"], ["c"], ["b"]]

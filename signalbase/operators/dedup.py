@@ -28,20 +28,21 @@ def anti_existing(batch: DataFrame, stored: DataFrame, key: str = "hash_key") ->
     return batch.join(stored.select(key), key, "left_anti")
 
 
-def assign_ids(df: DataFrame, seq: str, start: int = 0) -> DataFrame:
-    """Adds ``id``: start+1, start+2, … in the order of ``seq``, a unique whole number.
+def assign_ids(df: DataFrame, seq: str, start: int = 0, lead: Sequence[str] = ()) -> DataFrame:
+    """Adds ``id``: start+1, start+2, … in the order of ``lead``, then ``seq``, a unique whole number for each ``lead``.
 
     There is no global sort. Rows go to blocks of ``seq`` by division, so a block holds at most ID_BLOCK rows however
     the rows are spread; counts per block give each block its first id. The running sum goes over one row per block,
     a millionth of the data.
     """
+    block = [*lead, "_block"]
     blocked = df.withColumn("_block", F.floor(F.col(seq) / F.lit(ID_BLOCK)))
-    firsts = (blocked.groupBy("_block").agg(F.count("*").alias("_n"))
+    firsts = (blocked.groupBy(*block).agg(F.count("*").alias("_n"))
               .withColumn("_before", F.sum("_n").over(
-                  Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)))
-              .select("_block", F.coalesce("_before", F.lit(0)).alias("_before")))
-    place = F.row_number().over(Window.partitionBy("_block").orderBy(seq))
-    return (blocked.withColumn("_place", place).join(firsts, "_block")
+                  Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)))
+              .select(*block, F.coalesce("_before", F.lit(0)).alias("_before")))
+    place = F.row_number().over(Window.partitionBy(*block).orderBy(seq))
+    return (blocked.withColumn("_place", place).join(firsts, block)
             .withColumn("id", F.lit(start).cast("bigint") + F.col("_before") + F.col("_place"))
             .drop("_block", "_place", "_before"))
 

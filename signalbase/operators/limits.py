@@ -6,34 +6,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from .dedup import assign_ids
 
-SORTED_ROWS = 20_000  # up to here a target is a sorted top-n, which ends in one task
 
-
-def cap_rows(df: DataFrame, seq: str, n: int | None = None, sorted_rows: int = SORTED_ROWS) -> DataFrame:
+def cap_rows(df: DataFrame, seq: str, n: int | None = None) -> DataFrame:
     """The first ``n`` rows in the order of ``seq``, a unique whole number; all rows if ``n`` is None.
 
-    A large target numbers the rows block by block instead and keeps numbers up to ``n``, so that neither the cut nor
-    the work after it falls to one task.
+    Rows are numbered block by block and numbers up to ``n`` kept, so that neither the cut nor the work after it falls to
+    one task, whatever ``n`` is.
     """
-    if n is None:
-        return df
-    if n <= sorted_rows:
-        return df.orderBy(seq).limit(n)
-    return assign_ids(df, seq).filter(F.col("id") <= n).drop("id")
+    return df if n is None else assign_ids(df, seq).filter(F.col("id") <= n).drop("id")
 
 
-def backfill(first: DataFrame, second: DataFrame, seq: str, n: int | None = None,
-             sorted_rows: int = SORTED_ROWS) -> DataFrame:
+def backfill(first: DataFrame, second: DataFrame, seq: str, n: int | None = None) -> DataFrame:
     """Rows of ``first``, then rows of ``second`` only as far as ``n`` is not reached. Adds ``source_no``."""
     first, second = first.withColumn("source_no", F.lit(0)), second.withColumn("source_no", F.lit(1))
-    if n is not None and n > sorted_rows:
-        first = cap_rows(first, seq, n, sorted_rows)
-        second = cap_rows(second, seq, max(n - first.count(), 0), sorted_rows)
-        n = None
     both = first.unionByName(second, allowMissingColumns=True)
-    return both if n is None else both.orderBy("source_no", seq).limit(n)
+    return both if n is None else assign_ids(both, seq, lead=("source_no",)).filter(F.col("id") <= n).drop("id")
 
 
 def newest_n(df: DataFrame, published: str, seq: str, n: int | None = None) -> DataFrame:
-    """The ``n`` most recent rows; rows of equal time in arrival order."""
+    """The ``n`` most recent rows; rows of equal time in arrival order. A sorted top-n report."""
     return df if n is None else df.orderBy(F.col(published).desc(), F.col(seq)).limit(n)

@@ -41,12 +41,15 @@ class Catalogue:
 
     @staticmethod
     def from_entries(spark: SparkSession, entries) -> Catalogue:
-        """Aliases are compared in lower case; one given twice keeps its first place and its last canonical name."""
+        """Aliases are compared in lower case; one given twice keeps its first place and its last canonical name.
+
+        Beyond INLINE_ALIASES aliases the catalogue is only kept as a table.
+        """
         entries = tuple({alias.lower(): canonical for alias, canonical in entries}.items())
         rows = [{"alias": a, "canonical": c, "priority": i} for i, (a, c) in enumerate(entries)]
         frame = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(
             F.lit(json.dumps(rows)), "array<struct<alias:string,canonical:string,priority:int>>")))
-        return Catalogue(frame, max((len(a.split(" ")) for a, _ in entries), default=1), entries)
+        return Catalogue(frame, max((len(a.split(" ")) for a, _ in entries), default=1), entries if len(entries) <= INLINE_ALIASES else ())
 
     @staticmethod
     def built_in(spark: SparkSession) -> Catalogue:
@@ -72,7 +75,7 @@ def word_runs(c: Column, max_words: int) -> Column:
 def _join_alias(df: DataFrame, catalogue: Catalogue, key: str, out: str) -> DataFrame:
     """Exact alias lookup; only catalogues within the checked size are broadcast."""
     side = catalogue.frame.select(F.col("alias").alias(key), F.col("canonical").alias(out))
-    return df.join(F.broadcast(side) if catalogue.entries else side, key, "left")
+    return df.join(F.broadcast(side), key, "left") if catalogue.entries else salted_join(df, side, key)
 
 
 def seed_exact(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, functions as F
 
 HOT_KEYS = 1000        # keys looked at; a key with over 1/1000 of all rows is always among them
 TRACKED_ITEMS = 20000  # sketch size, keeps the counts of those keys well apart from the rest
-SALTS = 64             # parts a hot key is split into
+SALTS = 64             # parts a hot key is split into at least
+SALT_ROWS = 1_000_000  # rows in one part; a key with more than SALTS x SALT_ROWS is split into more parts
+NULL_PARTS = 4096      # parts for rows without a key, which match nothing
 
 
 def frequent_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys that hold at least 1/HOT_KEYS of the rows: at most HOT_KEYS rows, whatever the size of ``df``.
+    """Keys that hold at least 1/HOT_KEYS of the rows, and into how many parts (``_hot``) each is to be split.
 
+    At most HOT_KEYS rows, whatever the size of ``df``.
     One pass over the key column with a mergeable sketch; no shuffle of keys.
     """
     top = df.agg(
@@ -19,23 +22,24 @@ def frequent_keys(df: DataFrame, key: str) -> DataFrame:
         F.count("*").alias("total"))
     return (top.select("total", F.explode("top").alias("t"))
             .filter(F.col("t.item").isNotNull() & (F.col("t.count") * HOT_KEYS >= F.col("total")))
-            .select(F.col("t.item").alias(key), F.lit(True).alias("_hot")))
+            .select(F.col("t.item").alias(key), F.greatest(F.lit(SALTS), F.ceil(F.col("t.count") / SALT_ROWS)).cast("int").alias("_hot")))
 
 
 def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left",
                 hot: DataFrame | None = None) -> DataFrame:
     """``facts`` joined (left or inner) with ``lookup``, which holds few rows per key.
 
-    A key with a large share of ``facts`` would put that share into one task. Its rows are spread over SALTS parts,
+    A key with a large share of ``facts`` would put that share into one task. Its rows are spread over at least SALTS parts,
     by the partition they come from (so a retried task sends them to the same part), and its lookup rows are
     repeated for each part. Rows without a key are spread in the same way. Only the frequent keys, at most HOT_KEYS rows, are broadcast; pass them as ``hot`` where
     they are known.
     """
     hot = F.broadcast(frequent_keys(facts, key) if hot is None else hot)
     salted = facts.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        "_salt", F.when(F.col(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(NULL_PARTS)))
+        .when(F.col("_hot").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_hot")))
         .otherwise(F.lit(0)))
     repeated = lookup.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        "_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_hot") - 1)).otherwise(
             F.array(F.lit(0)))))
     return salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")

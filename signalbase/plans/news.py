@@ -9,19 +9,20 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed
 from ..functions.dates import collected_at, fresh_only, parse_utc, py_isoformat
 from ..functions.text import with_default
-from ..operators.lookups import news_body
+from ..operators.lookups import news_body, page_bodies
 from ..session import stage
 
 
-def news_rows(entries: DataFrame, bodies: DataFrame, cutoff: datetime, run_ts: datetime) -> DataFrame:
-    """Fresh entries with their article text.
+def news_rows(entries: DataFrame, pages: DataFrame, cutoff: datetime, run_ts: datetime,
+              order: str = "ingest_seq") -> DataFrame:
+    """Fresh entries with their article text, from the first page in ``order`` of each link.
 
-    Stale entries are dropped before any page is looked up. The fresh ones are written to the shared folder: the
+    Stale entries are dropped before any page is parsed or looked up. The fresh ones are written to the shared folder: the
     lookup reads them twice, and dates of all entries should be parsed once.
     """
     fresh = fresh_only(entries.withColumn("ts", parse_utc("published")), "ts", cutoff)
     linked = stage(fresh.withColumn("link", with_default("link", "")), "fresh-news")
-    return news_body(linked, bodies).select(
+    return news_body(linked, page_bodies(pages, order, linked)).select(
         with_default("title", fixed.UNTITLED).alias("title"), "full_text", "source_name",
         F.col("link").alias("source_url"), py_isoformat("ts").alias("published_date"),
         collected_at(run_ts).alias("collected_at"), "ingest_seq")

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import fixed
 from ..functions.dates import cutoff_of
 from ..operators.audit import table_counts
-from ..operators.lookups import page_bodies
 from ..operators.records import flatten, to_record
 from ..operators.resolve import Catalogue, resolution_log
 from ..operators.validate import checked, split_checked
@@ -53,7 +52,7 @@ def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours:
         "research_papers": papers.paper_rows(landed.papers, landed.repo_stats, target),
         "startups": entities.startup_rows(companies, run_ts),
         "products": entities.product_rows(companies, run_ts),
-        "news": news.news_rows(landed.feeds, page_bodies(landed.pages), cutoff, run_ts),
+        "news": news.news_rows(landed.feeds, landed.pages, cutoff, run_ts),
         "jobs": jobs.job_rows(postings),
     }
     for kind, flat in flats.items():

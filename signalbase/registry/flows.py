@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed
 from ..operators.dedup import insert_or_ignore
-from ..operators.lookups import page_bodies
 from ..operators.records import flatten, to_record
 from ..operators.resolve import Catalogue, resolution_log
 from ..operators.validate import validate
@@ -152,14 +151,14 @@ def _feeds(t: Tables) -> DataFrame:
 @query(f"""WITH {PARAGRAPHS_SQL}, {readers.NEWS_ITEM_SQL}, {readers.NEWS_ENTRY_SQL},
     entries AS (SELECT 0 AS feed, event_id AS k, title, ts, link, summary, 'TechCrunch AI' AS source_name FROM news_item
                 UNION ALL SELECT 1, s_suppkey, title, ts, link, summary, 'The Verge AI' FROM news_entry),
-    one AS (SELECT url, max(body) AS body FROM bodies GROUP BY url),
+    one AS (SELECT url, arg_min(body, page_id) AS body FROM bodies GROUP BY url),
     keyed AS (SELECT feed, k, coalesce(title, 'Untitled') AS title, source_name, link AS source_url,
         sha256(coalesce(nullif(body, ''), nullif(summary, ''), '')) AS text_digest, {iso_sql('ts')} AS published_date,
         '2024-06-05T00:00:00+00:00' AS collected_at, {hash_sql('link')} AS hash_key
         FROM entries LEFT JOIN one ON url = link WHERE ts >= {CUTOFF_SQL})
     {_first_sql('keyed', 'feed, k', 'title, text_digest, source_name, source_url, published_date, collected_at')}""")
 def news_table(t: Tables):
-    rows = news.news_rows(_feeds(t), page_bodies(t.pages), CUTOFF, RUN_TS)
+    rows = news.news_rows(_feeds(t), t.pages, CUTOFF, RUN_TS, "page_id")
     stored = _stored(t, rows, "news")
     return stored.withColumn("text_digest", F.sha2("full_text", 256)).drop("full_text")
 

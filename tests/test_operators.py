@@ -69,13 +69,14 @@ def test_limits(spark):
     assert limits.backfill(a, b, "seq", None).count() == 8
 
 
-def test_large_targets_are_cut_the_same(spark):
-    a = spark.range(0, 300, 3).withColumnRenamed("id", "seq")
-    b = spark.range(0, 900, 9).withColumnRenamed("id", "seq")
+def test_targets_cut_the_same_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "ID_BLOCK", 7)
+    a, b = list(range(0, 300, 3)), list(range(0, 900, 9))
+    one, two = (spark.createDataFrame([(x,) for x in rows], "seq long") for rows in (a, b))
     for n in (1, 50, 150, 400):
-        for fn, args in ((limits.cap_rows, (a,)), (limits.backfill, (a, b))):
-            plain = sorted(map(tuple, fn(*args, "seq", n).collect()))
-            assert sorted(map(tuple, fn(*args, "seq", n, sorted_rows=0).collect())) == plain
+        assert sorted(r["seq"] for r in limits.cap_rows(one, "seq", n).collect()) == a[:n]
+        want = ([(0, x) for x in a] + [(1, x) for x in b])[:n]
+        assert sorted((r["source_no"], r["seq"]) for r in limits.backfill(one, two, "seq", n).collect()) == want
 
 
 def test_paper_stars(spark):
@@ -172,3 +173,12 @@ def test_domains(spark):
     spread = domains.partition_by_domain(df, "url", 8, "id", slice_rows=50)
     big = spread.filter("url like '%big%'").groupBy(F.spark_partition_id()).count()
     assert spread.count() == 1000 and big.count() > 1
+
+
+def test_page_bodies_take_the_first_wanted_page(spark):
+    long = "a paragraph of more than thirty characters"
+    pages = spark.createDataFrame([(2, "u", f"<p>{long} two</p>"), (1, "u", f"<p>{long} one</p>"), (3, "v", "<p>x</p>")],
+                                  "n int, url string, html string")
+    wanted = spark.createDataFrame([("u",), ("u",), (None,)], "link string")
+    assert [tuple(r) for r in lookups.page_bodies(pages, "n", wanted).collect()] == [("u", f"{long} one")]
+    assert lookups.page_bodies(pages, "n").count() == 2

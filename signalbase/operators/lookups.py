@@ -21,14 +21,18 @@ def paper_stars(papers: DataFrame, repo_stats: DataFrame, summary: str = "summar
             .withColumn("github_stars", F.coalesce("_stars", F.lit(0))).drop("_repo", "_stars"))
 
 
-def page_bodies(pages: DataFrame, order: str, wanted: DataFrame | None = None, link: str = "link") -> DataFrame:
-    """(url, body) of landed pages, the first page in ``order`` of each url; only urls that ``wanted`` links to, if given.
+def page_bodies(pages: DataFrame, order: str | None = None, wanted: DataFrame | None = None, link: str = "link") -> DataFrame:
+    """(url, body) of landed pages; only urls that ``wanted`` links to, if given.
 
-    Pages that nothing links to are dropped before they are parsed, and text is cut out before the shuffle to first pages.
+    Of several pages of a url the first in ``order`` counts; where pages have no order, the one with the greatest body.
+    Pages that nothing links to are dropped before they are parsed, and text is cut out before the next shuffle.
     """
     if wanted is not None:
         pages = pages.join(wanted.select(F.col(link).alias("url")).distinct(), "url", "left_semi")
-    return first_wins(pages.select("url", page_paragraphs("html").alias("body"), order), "url", order).drop(order)
+    bodies = pages.select("url", page_paragraphs("html").alias("body"), *([order] if order else []))
+    if order is None:
+        return bodies.groupBy("url").agg(F.max("body").alias("body"))
+    return first_wins(bodies, "url", order).drop(order)
 
 
 def news_body(entries: DataFrame, bodies: DataFrame, link: str = "link", summary: str = "summary") -> DataFrame:

@@ -14,8 +14,8 @@ from ..session import stage
 
 
 def news_rows(entries: DataFrame, pages: DataFrame, cutoff: datetime, run_ts: datetime,
-              order: str = "ingest_seq") -> DataFrame:
-    """Fresh entries with their article text, from the first page in ``order`` of each link.
+              order: str | None = None) -> DataFrame:
+    """Fresh entries with their article text, found by link (see ``page_bodies``).
 
     Stale entries are dropped before any page is parsed or looked up. The fresh ones are written to the shared folder: the
     lookup reads them twice, and dates of all entries should be parsed once.

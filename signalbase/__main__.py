@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--landing", required=True, help="folder with one sub-folder per source")
     parser.add_argument("--tables", required=True, help="folder of the stored tables")
     parser.add_argument("--export", help="folder for the CSV tabs; none are written without it")
+    parser.add_argument("--export-files", type=int, help="CSV files per tab; default: written in parallel, as many as partitions")
     parser.add_argument("--quarantine", required=True, help="folder for rows that break the contract")
     parser.add_argument("--run-time", type=datetime.fromisoformat, default=None, help="run time; default is now")
     parser.add_argument("--hours", type=int, default=fixed.FRESH_HOURS, help="greatest age of jobs and news")
@@ -32,7 +33,8 @@ def main(argv: list[str] | None = None) -> None:
     for row in counts.collect():
         print(f"{row['table']}: {row['rows']} rows")
     if args.export:
-        export_tabs({name: read_table(spark, args.tables, name) for name in schemas.TABLES}, args.export)
+        export_tabs({name: read_table(spark, args.tables, name) for name in schemas.TABLES}, args.export,
+                    args.export_files)
 
 
 if __name__ == "__main__":

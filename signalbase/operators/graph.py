@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed
@@ -23,20 +25,38 @@ def triples(products: DataFrame, jobs: DataFrame, papers: DataFrame, catalogue:
     return produces.unionByName(hires).unionByName(authored)
 
 
-def reach(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
+def along(edges: DataFrame, rel: str | None) -> DataFrame:
+    """Edges of relation ``rel``, turned round if it is given as ``^rel``; all edges if it is None."""
+    if rel is None:
+        return edges.select("src", "dst")
+    ends = ("dst", "src") if rel.startswith("^") else ("src", "dst")
+    return edges.filter(F.col("rel") == rel.removeprefix("^")).select(
+        F.col(ends[0]).alias("src"), F.col(ends[1]).alias("dst"))
+
+
+def reach(edges: DataFrame, seeds: DataFrame, hops: int, rels: Sequence[str] | None = None) -> DataFrame:
     """Nodes reached from labelled seeds along edges, with the least number of hops: (label, node, hop).
 
+    ``rels`` names the relation that each hop follows (as in ``along``); a node met again at a later hop then goes on from
+    there, as another relation follows. Without ``rels`` any edge is followed.
+
     The frontier of each hop holds every (label, node) once, so the work is one pass over the edges per hop and never
     a product of paths. A node with very many edges is split by salting. Every hop but the last is written to the
     shared folder, which keeps the plan from doubling.
     """
-    hot = stage(frequent_keys(edges, "src"), "hot-nodes")
-    found = seeds.select("label", "node").distinct().withColumn("hop", F.lit(0))
-    for hop in range(1, hops + 1):
-        frontier = found.filter(F.col("hop") == hop - 1).select("label", F.col("node").alias("src"))
-        stepped = (salted_join(edges, frontier, "src", "inner", hot).select("label", F.col("dst").alias("node"))
-                   .withColumn("hop", F.lit(hop)))
+    steps = list(rels) if rels is not None else [None] * hops
+    ways = {rel: along(edges, rel) for rel in dict.fromkeys(steps)}
+    hot = {rel: stage(frequent_keys(way, "src"), "hot-nodes") for rel, way in ways.items()}
+    found = frontier = seeds.select("label", "node").distinct().withColumn("hop", F.lit(0))
+    for hop, rel in enumerate(steps, 1):
+        stepped = (salted_join(ways[rel], frontier.select("label", F.col("node").alias("src")), "src", "inner", hot[rel])
+                   .select("label", F.col("dst").alias("node")).withColumn("hop", F.lit(hop)))
+        if rels is not None:
+            frontier = stage(stepped.distinct(), f"reach-{hop}")
+            found = found.unionByName(frontier)
+            continue
         found = found.unionByName(stepped).groupBy("label", "node").agg(F.min("hop").alias("hop"))
-        if hop < hops:
+        if hop < len(steps):
             found = stage(found, f"reach-{hop}")
-    return found
+        frontier = found.filter(F.col("hop") == hop)
+    return found if rels is None else found.groupBy("label", "node").agg(F.min("hop").alias("hop"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed
 from ..functions.text import let, normalize_name, py_strip, title_name
+from ..session import stage
 from .skew import salted_join
 
 INLINE_ALIASES = 2000   # up to here the catalogue travels inside the plan; beyond it is a shuffled join
@@ -30,8 +31,9 @@ class Catalogue:
     @staticmethod
     def from_frame(frame: DataFrame, inline: int = INLINE_ALIASES) -> Catalogue:
         """The size check reads at most ``inline + 1`` rows to the driver."""
-        frame = frame.groupBy(F.lower("alias").alias("alias")).agg(
-            F.max_by("canonical", "priority").alias("canonical"), F.min("priority").alias("priority"))
+        # As a written table: it is read several times, and joins on it stay plain shuffles whose frequent keys AQE can split.
+        frame = stage(frame.groupBy(F.lower("alias").alias("alias")).agg(
+            F.max_by("canonical", "priority").alias("canonical"), F.min("priority").alias("priority")), "catalogue")
         head = frame.limit(inline + 1).collect()
         if len(head) <= inline:
             return Catalogue.from_entries(

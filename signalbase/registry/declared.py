@@ -4,35 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions.text import chunk_paragraphs as chunks_of
 from ..operators import graph, health, retrieve
 from ..operators.resolve import Catalogue
 from .base import NAMES_SQL, Tables, company_names, iso_sql, query, resolve_sql
 
 _MAX = 2000
-# Greedy packing by a fold over piece lengths: i = piece number, used = length of the open chunk.
-_CHUNKS = f"""pieces AS (SELECT doc_id, text, flatten(list_transform(list_filter(regexp_split_to_array(text, '\\n+'),
-        lambda p: p <> ''), lambda p: list_transform(range(0, CAST((length(p) - 1) // {_MAX} + 1 AS BIGINT)),
-        lambda k: p[(k * {_MAX} + 1):((k + 1) * {_MAX})]))) AS ps FROM documents),
+_BLANK_LINE = r"\n[ \t\r]*\n[ \t\r\n]*"
+
+
+def _chunks_sql(most: int, boundary: str) -> str:
+    """Greedy packing by a fold over piece lengths: i = piece number, used = length of the open chunk."""
+    return f"""pieces AS (SELECT doc_id, text, flatten(list_transform(list_filter(regexp_split_to_array(text, '{boundary}'),
+        lambda p: p <> ''), lambda p: list_transform(range(0, CAST((length(p) - 1) // {most} + 1 AS BIGINT)),
+        lambda k: p[(k * {most} + 1):((k + 1) * {most})]))) AS ps FROM documents),
     folded AS (SELECT doc_id, text, ps, list_reduce(
         list_transform(ps, lambda p: {{'i': 0, 'used': CAST(length(p) AS BIGINT), 'starts': []::INTEGER[]}}),
         lambda s, x: {{'i': s.i + 1,
-            'used': CASE WHEN s.i = 0 OR s.used + 1 + x.used > {_MAX} THEN x.used ELSE s.used + 1 + x.used END,
-            'starts': CASE WHEN s.i = 0 OR s.used + 1 + x.used > {_MAX} THEN list_append(s.starts, s.i + 1)
+            'used': CASE WHEN s.i = 0 OR s.used + 1 + x.used > {most} THEN x.used ELSE s.used + 1 + x.used END,
+            'starts': CASE WHEN s.i = 0 OR s.used + 1 + x.used > {most} THEN list_append(s.starts, s.i + 1)
                       ELSE s.starts END}},
         {{'i': 0, 'used': 0::BIGINT, 'starts': []::INTEGER[]}}).starts AS st FROM pieces),
-    chunks AS (SELECT doc_id, CASE WHEN length(text) <= {_MAX} THEN [text] ELSE list_transform(range(1, len(st) + 1),
+    chunks AS (SELECT doc_id, CASE WHEN length(text) <= {most} THEN [text] ELSE list_transform(range(1, len(st) + 1),
         lambda k: array_to_string(ps[st[k]:coalesce(st[k + 1] - 1, len(ps))], chr(10))) END AS cs FROM folded)"""
 
 
-@query(f"""WITH {_CHUNKS}, rows AS (SELECT doc_id, unnest(range(0, len(cs))) AS chunk, unnest(cs) AS body FROM chunks)
+def _chunk_rows_sql(most: int, boundary: str) -> str:
+    return f"""WITH {_chunks_sql(most, boundary)},
+    rows AS (SELECT doc_id, unnest(range(0, len(cs))) AS chunk, unnest(cs) AS body FROM chunks)
     SELECT doc_id, CAST(chunk AS INTEGER) AS chunk, CAST(length(body) AS INTEGER) AS n, sha256(body) AS digest
-    FROM rows""")
-def chunk_paragraphs(t: Tables):
-    rows = t.documents.select("doc_id", F.posexplode(chunks_of("text", _MAX)).alias("chunk", "body"))
+    FROM rows"""
+
+
+def _chunk_rows(t: Tables, most: int, boundary: str):
+    rows = t.documents.select("doc_id", F.posexplode(chunks_of("text", most, boundary)).alias("chunk", "body"))
     return rows.select("doc_id", "chunk", F.char_length("body").alias("n"), F.sha2("body", 256).alias("digest"))
 
 
+@query(_chunk_rows_sql(_MAX, r"\n+"))
+def chunk_paragraphs(t: Tables):
+    return _chunk_rows(t, _MAX, r"\n+")
+
+
+@query(_chunk_rows_sql(fixed.MAX_TEXT_CHARS, _BLANK_LINE))
+def chunk_blank_lines(t: Tables):
+    """Paragraphs end at blank lines only, and chunks hold what one request takes."""
+    return _chunk_rows(t, fixed.MAX_TEXT_CHARS, _BLANK_LINE)
+
+
 @query("""SELECT l_orderkey, count(*) AS attempts FROM lineitem GROUP BY l_orderkey
     HAVING count(*) >= 4 AND bool_and(l_returnflag = 'R')""")
 def dead_letters(t: Tables):
@@ -96,6 +116,27 @@ def graph_two_hop(t: Tables):
     return graph.reach(placed.unionByName(served), seeds, 2)
 
 
+@query("""WITH made AS (SELECT DISTINCT p_brand AS src, 'type/' || p_type AS dst FROM part),
+    h1 AS (SELECT src AS label, dst AS node FROM made),
+    h2 AS (SELECT DISTINCT label, src AS node FROM h1 JOIN made ON node = dst),
+    h3 AS (SELECT DISTINCT label, 'order/' || o_orderkey AS node FROM h2 JOIN orders ON
+           'Brand#' || (11 + o_custkey % 5) = node)
+    SELECT label, node, min(hop) AS hop FROM (SELECT DISTINCT src AS label, src AS node, 0 AS hop FROM made
+    UNION ALL SELECT label, node, 1 FROM h1 UNION ALL SELECT label, node, 2 FROM h2
+    UNION ALL SELECT label, node, 3 FROM h3) x GROUP BY label, node""")
+def graph_relations(t: Tables):
+    """Over the triples by relation: what a company makes, who else makes it, and whom those hire."""
+    products = t.part.select(
+        F.col("p_brand").alias("startup_name"), F.concat(F.lit("type/"), "p_type").alias("source_url"))
+    jobs = t.orders.select(
+        F.concat(F.lit("Brand#"), F.lit(11) + F.col("o_custkey") % 5).alias("company"),
+        F.concat(F.lit("order/"), "o_orderkey").alias("source_url"))
+    papers = t.documents.select(F.col("source").alias("paper_url"), F.lit("[]").alias("authors"))
+    edges = graph.triples(products, jobs, papers, Catalogue.built_in(t.spark))
+    seeds = products.select(F.col("startup_name").alias("label"), F.col("startup_name").alias("node"))
+    return graph.reach(edges, seeds, 3, ["PRODUCES", "^PRODUCES", "HIRES"])
+
+
 _QUERY_VECTOR = [((i * 37) % 11 - 5) / 10 for i in range(64)]
 _VECTOR_SQL = "[" + ", ".join(f"{q}::DOUBLE" for q in _QUERY_VECTOR) + "]"
 _COSINE_SQL = f"""list_reduce(list_transform(list_zip(embedding::DOUBLE[], {_VECTOR_SQL}), lambda z: z[1] * z[2]),

@@ -15,7 +15,7 @@ from ..operators.validate import validate
 from ..plans import entities, jobs, news, papers
 from ..plans.run import Landed, run
 from ..session import fresh_path
-from ..sources.landed import SOURCE_SHIFT
+from ..sources.landed import read_repo_stats as repo_stats_of
 from . import readers
 from .base import (
     CUTOFF, CUTOFF_SQL, NAMES_SQL, ORACLES, RUN_TS, Tables, any_keyword_sql, hash_sql, iso_sql, query,
@@ -25,7 +25,7 @@ from .columns import ABSTRACTS_SQL, PARAGRAPHS_SQL, REPO_KEY_SQL, REPO_SQL, REPO
 
 
 def _arrived(df: DataFrame, key: str, source_no: int) -> DataFrame:
-    return df.withColumn("ingest_seq", F.col(key) + F.lit(source_no).cast("bigint") * F.lit(1 << SOURCE_SHIFT))
+    return df.withColumn("ingest_seq", F.col(key) + F.lit(source_no).cast("bigint") * F.lit(1 << 58))
 
 
 def _boards(t: Tables) -> dict[str, DataFrame]:
@@ -121,6 +121,14 @@ def _repo_stats(t: Tables) -> DataFrame:
         F.abs(F.round("s_acctbal")).cast("int").alias("stars"))
 
 
+@query("""SELECT 'org' || s_suppkey AS owner, 'repo' || s_suppkey % 10 AS repo,
+    CAST(abs(round(s_acctbal)) AS INTEGER) AS stars FROM supplier""")
+def read_repo_stats(t: Tables):
+    path = fresh_path(t.spark, "landed-stats")
+    _repo_stats(t).write.parquet(path)
+    return repo_stats_of(t.spark, path)
+
+
 @query(f"""WITH {ABSTRACTS_SQL}, capped AS (SELECT * FROM abstracts ORDER BY doc_id),
     stats AS (SELECT 'org' || s_suppkey || '/repo' || s_suppkey % 10 AS repo,
               CAST(abs(round(s_acctbal)) AS INTEGER) AS stars FROM supplier),

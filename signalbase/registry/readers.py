@@ -13,7 +13,7 @@ from .columns import ABSTRACTS_SQL, abstracts
 ROWS_PER_DOCUMENT = 200
 
 
-def land_json(rows: DataFrame, key: str, field: str | None = None) -> str:
+def land_json(rows: DataFrame, key: str, field: str | None = None, path: str | None = None) -> str:
     """Write rows as JSON documents, one per line, each an array (or an object with one array) of up to 200 rows.
 
     Documents are cut by ``key``, a unique whole number, so no group can be larger.
@@ -23,7 +23,7 @@ def land_json(rows: DataFrame, key: str, field: str | None = None) -> str:
                .agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("_k"), body.alias("_b")))).alias("_rows")))
     array = F.transform("_rows", lambda r: r["_b"])
     document = F.to_json(F.struct(array.alias(field))) if field else F.to_json(array)
-    path = fresh_path(rows.sparkSession, "landed-json")
+    path = path or fresh_path(rows.sparkSession, "landed-json")
     grouped.select(document.alias("value")).write.text(path)
     return path
 
@@ -198,6 +198,33 @@ def read_spaces(t: Tables):
     return landed.good_rows(landed.read_spaces(t.spark, path, lines=True)).select("id")
 
 
+@query(f"WITH {SPACES_SQL} SELECT id FROM spaces")
+def read_globs(t: Tables):
+    """The same rows from two dumps of many files each, read by one pattern."""
+    root = fresh_path(t.spark, "landed-bulk")
+    for half in (0, 1):
+        land_json(spaces_source(t).filter(F.col("o_orderkey") % 2 == half), "o_orderkey", path=f"{root}/dump-{half}")
+    return landed.good_rows(landed.read_spaces(t.spark, f"{root}/dump-*/part-*", lines=True)).select("id")
+
+
+@query("SELECT url, sha256(html) AS digest FROM pages")
+def read_pages(t: Tables):
+    pages = landed.read_pages(t.spark, f"{t.folder}/pages.parquet")
+    return pages.select("url", F.sha2("html", 256).alias("digest"))
+
+
+@query(f"WITH {BOARD_B_SQL} SELECT title, url, coalesce(remote, false) AS aside FROM board_b")
+def quarantine_rows(t: Tables):
+    """Documents in which each remote job has a text where a boolean belongs: only those rows go aside."""
+    whole, path = land_json(board_b_source(t), "p_partkey", "data"), fresh_path(t.spark, "landed-bad")
+    (t.spark.read.text(whole).select(F.regexp_replace("value", '"remote":true', '"remote":"often"'))
+     .write.text(path))
+    rows = landed.read_jobs_b(t.spark, path, lines=True)
+    aside = landed.corrupt_rows(rows).select(
+        *[F.get_json_object(landed.CORRUPT, f"$.{c}").alias(c) for c in ("title", "url")], F.lit(True).alias("aside"))
+    return landed.good_rows(rows).select("title", "url", F.lit(False).alias("aside")).union(aside)
+
+
 @query(f"""WITH {NAMES_SQL}, {BOARD_A_SQL} SELECT company_name, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS publication_date, url
     FROM board_a""")
 def read_jobs_a(t: Tables):

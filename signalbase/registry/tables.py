@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.keys import content_hash as content_hash_of, hash_key
 from ..operators import audit, dedup, extraction, limits, lookups, records, validate
-from ..sinks.export import tab
+from ..session import fresh_path
+from ..sinks.export import tab, write_tab
 from ..sources.landed import union_sources as union_of
 from .base import RUN_TS, Tables, hash_sql, iso_sql, norm_sql, query, text_sql
 from .columns import ABSTRACTS_SQL, PARAGRAPHS_SQL, REPO_KEY_SQL, REPO_SQL, REPO_URL_SQL, abstracts
@@ -232,6 +233,28 @@ def domain_buckets(t: Tables):
     return buckets(t.pages, "url")
 
 
+@query("""SELECT host, slice, CAST(1 AS BIGINT) AS places, CAST(count(*) AS BIGINT) AS urls FROM (
+    SELECT lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')) AS host,
+    page_id // 100 AS slice FROM pages) x GROUP BY ALL""")
+def partition_by_domain(t: Tables):
+    """In how many partitions the pages of a host and slice lie: in one each."""
+    from ..functions.links import host
+    from ..operators.domains import partition_by_domain as dealt
+    spread = dealt(t.pages, "url", 64, "page_id", slice_rows=100).withColumn("place", F.spark_partition_id())
+    return spread.groupBy(host("url").alias("host"), F.floor(F.col("page_id") / 100).alias("slice")).agg(
+        F.count_distinct("place").alias("places"), F.count("*").alias("urls"))
+
+
+@query("""SELECT 'page "' || page_id || '", new' AS "Title", url AS "Source URL", page_id % 2 AS "Even" FROM pages""")
+def export_csv(t: Tables):
+    """A tab with quotes and commas in its cells, written as CSV files and read back."""
+    path = fresh_path(t.spark, "tab")
+    write_tab(t.pages.select(F.concat(F.lit('page "'), "page_id", F.lit('", new')).alias("Title"),
+                             F.col("url").alias("Source URL"), (F.col("page_id") % 2).alias("Even")), path)
+    return (t.spark.read.schema('Title string, `Source URL` string, Even bigint').option("header", True)
+            .option("escape", '"').csv(path))
+
+
 # Stored rows of each table for the export tabs.
 _AT = "2024-06-05T00:00:00+00:00"
 

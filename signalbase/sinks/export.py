@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed
 
-SINGLE_FILE_ROWS = 100_000
-
 
 def tab(table: DataFrame, name: str) -> DataFrame:
     """Columns of one tab under their headers. Booleans are 0/1, times have no zone."""
@@ -24,12 +22,17 @@ def tab(table: DataFrame, name: str) -> DataFrame:
     return table.select(*[cell(c).alias(header) for c, header in columns])
 
 
-def export_tabs(tables: dict[str, DataFrame], out: str, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
-    """Write the six tabs, replacing older ones. A tab within ``single_file_rows`` becomes one file; a larger one is
-    written in parallel as part files, each with the header."""
+def write_tab(rows: DataFrame, path: str, files: int | None = None) -> None:
+    """Write one tab, replacing an older one, as CSV with a header in each file.
+
+    Files are written in parallel, one per partition; ``files`` asks for that many instead, whatever the row count is.
+    """
+    rows = rows if files is None else rows.coalesce(1) if files == 1 else rows.repartition(files)
+    (rows.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+     .option("emptyValue", "").option("nullValue", "").csv(path))
+
+
+def export_tabs(tables: dict[str, DataFrame], out: str, files: int | None = None) -> None:
+    """Write the six tabs, each to a folder of its name; ``files`` as in write_tab."""
     for name, (table, _) in fixed.EXPORT_TABS.items():
-        rows = tab(tables[table], name)
-        if tables[table].limit(single_file_rows + 1).count() <= single_file_rows:
-            rows = rows.coalesce(1)
-        (rows.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
-         .option("emptyValue", "").option("nullValue", "").csv(f"{out.rstrip('/')}/{name}"))
+        write_tab(tab(tables[table], name), f"{out.rstrip('/')}/{name}", files)

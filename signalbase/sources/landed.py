@@ -8,6 +8,7 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,9 +19,9 @@ from ..functions.text import first_nonempty
 log = logging.getLogger(__name__)
 
 CORRUPT = "_corrupt_record"
-FILE_BITS, OFFSET_BITS = 20, 38      # a million files of up to 256 GiB per source
-SOURCE_SHIFT = FILE_BITS + OFFSET_BITS
-BROADCAST_FILES = 50_000             # file lists up to here are broadcast
+ARRIVAL = "decimal(38,0)"            # wide enough for any number of sources and files, and files of any size
+SOURCE_UNIT, FILE_UNIT = Decimal(10**30), Decimal(10**19)
+BROADCAST_FILES = 50_000             # file lists up to here are broadcast; longer ones are joined by a shuffle
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
 
 
@@ -41,21 +42,18 @@ def with_arrival(df: DataFrame, source_no: int = 0) -> DataFrame:
     of text, so the numbers rise along a file however it is split. The order depends on the files only; the numbers also on
     how files are packed into tasks.
     """
-    spark = df.sparkSession
-    files = sorted(df.inputFiles())
-    if len(files) >= 1 << FILE_BITS:
-        raise ValueError(f"{len(files)} files in one source; read it in parts")
-    numbers = spark.createDataFrame(
+    files = sorted(df.inputFiles())     # the list that Spark's own scan keeps on the driver
+    numbers = df.sparkSession.createDataFrame(
         [(one_slash(path), i) for i, path in enumerate(files)], "_path string, _file bigint")
     if len(files) <= BROADCAST_FILES:
         numbers = F.broadcast(numbers)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     placed = df.withColumn("_place", F.col("_block") + row)
-    seq = (F.lit(source_no).cast("bigint") * F.lit(1 << SOURCE_SHIFT)
-           + F.col("_file") * F.lit(1 << OFFSET_BITS) + F.col("_place"))
+    seq = (F.lit(source_no * SOURCE_UNIT).cast(ARRIVAL) + F.col("_file").cast("decimal(12,0)") * F.lit(FILE_UNIT)
+           + F.col("_place")).cast(ARRIVAL)
     numbered = placed.withColumn("_path", F.regexp_replace("_path", _SCHEME, "$1:/")).join(numbers, "_path", "left")
     known = F.when(F.col("_file").isNull(), F.raise_error(F.concat(
-        F.lit("row from a file that was not listed: "), "_path")).cast("bigint")).otherwise(seq)
+        F.lit("row from a file that was not listed: "), "_path")).cast(ARRIVAL)).otherwise(seq)
     return numbered.withColumn("ingest_seq", known).drop("_path", "_block", "_file", "_place")
 
 

@@ -37,7 +37,7 @@ def load_landing(spark: SparkSession, root: str, quarantine: str, lines: bool =
             rows = read()
         except AnalysisException as problem:
             missing(name, problem)
-            return spark.createDataFrame([], f"{empty}, ingest_seq bigint")
+            return spark.createDataFrame([], f"{empty}, ingest_seq {L.ARRIVAL}")
         L.corrupt_rows(rows).write.mode("append").parquet(f"{quarantine}/corrupt/{name}")
         return L.good_rows(rows)
 

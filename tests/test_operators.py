@@ -1,4 +1,5 @@
 import json
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -156,6 +157,23 @@ def test_reach_takes_least_hops(spark):
                    ("y", "c"): 0, ("y", "d"): 1, ("y", "e"): 2}
 
 
+def test_reach_by_relation(spark):
+    edges = spark.createDataFrame(
+        [("a", "MAKES", "p"), ("b", "MAKES", "p"), ("b", "HIRES", "j"), ("p", "HIRES", "k")], "src string, rel string, dst string")
+    seeds = spark.createDataFrame([("x", "a")], "label string, node string")
+    got = {r.node: r.hop for r in graph.reach(edges, seeds, 3, ["MAKES", "^MAKES", "HIRES"]).collect()}
+    assert got == {"a": 0, "p": 1, "b": 2, "j": 3}
+
+
+def test_ids_from_wide_numbers(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "ID_BLOCK", 3)
+    df = spark.range(50).select((F.col("id") * 7).alias("seq"), (F.col("id") % 2).alias("part"))
+    assert [(r.seq, r.id) for r in dedup.assign_ids(df, "seq", 5).orderBy("seq").collect()] == [(7 * i, i + 6) for i in range(50)]
+    wide = df.withColumn("seq", (F.col("seq") + F.lit(Decimal(3 * 10**30))).cast("decimal(38,0)"))
+    got = [(r.part, int(r.seq) - 3 * 10**30, r.id) for r in dedup.assign_ids(wide, "seq", 0, ("part",)).orderBy("part", "seq").collect()]
+    assert got == [(i % 2, 7 * i, n + 1) for n, i in enumerate([*range(0, 50, 2), *range(1, 50, 2)])]
+
+
 def test_retrieval(spark):
     df = spark.createDataFrame(
         [(1, [1.0, 0.0], "apple pie"), (2, [0.0, 1.0], "pear"), (3, [1.0, 1.0], "apple"), (4, [0.0, 0.0], None)],

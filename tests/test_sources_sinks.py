@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timezone
 
 import pytest
@@ -211,10 +212,11 @@ def test_csv_quotes_and_blanks(spark, tmp_path):
         "source_name string, source_url string, published_date string, collected_at string")
     path = str(tmp_path / "csv")
     others = {n: spark.createDataFrame([], s) for n, s in schemas.TABLES.items()}
-    export.export_tabs({**others, "news": news}, path)
+    export.export_tabs({**others, "news": news}, path, files=1)
     lines = [r.value for r in spark.read.text(f"{path}/News").collect()]
     assert lines == ["Title,Source Name,Source URL,Published Date (ISO-8601),Collected At", '"Say ""hi"", all",s,,d,c']
-    export.export_tabs({**others, "news": news.unionByName(news)}, path, single_file_rows=1)
+    export.export_tabs({**others, "news": news.unionByName(news)}, path, files=2)
+    assert len([f for f in os.listdir(f"{path}/News") if f.startswith("part-")]) == 2
     assert spark.read.option("header", True).csv(f"{path}/News").count() == 2
 
 

@@ -8,6 +8,7 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -73,6 +74,25 @@ def slices(batch: pa.RecordBatch, name: str, limit: int = 4 << 20) -> Iterator[p
         yield batch.slice(start)
 
 
+def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
+    """A 64-bit hash (unsigned) of each run of ``width`` words; fewer words are one shingle."""
+    import xxhash
+
+    if not words:
+        return np.array([], np.uint64)
+    n, width = len(words), min(width, len(words))
+    known: dict[bytes, int] = {}
+    digest = xxhash.xxh64_intdigest
+    one = np.fromiter([known.get(w) or known.setdefault(w, digest(w)) for w in words], np.uint64, n)
+    grams = np.zeros(n - width + 1, np.uint64)
+    for i in range(width):
+        grams = grams * np.uint64(0x9E3779B97F4A7C15) + one[i:n - width + 1 + i]
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        grams ^= grams >> np.uint64(30)
+        grams *= np.uint64(factor)
+    return grams ^ grams >> np.uint64(31)
+
+
 def prefix_sums(rows: DataFrame, group: str, block: str, order: list, size: str, out: str) -> DataFrame:
     """``out``: the sum of ``size`` over all rows of ``group`` that stand before this one, by (block, order).
 

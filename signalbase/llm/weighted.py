@@ -3,7 +3,8 @@
 Ioffe's scheme (2010): for each sample k and term t two gamma(2, 1) variables and a uniform one are fixed by the term. With
 the term's weight w they give a quantised level and a value; the term with the smallest value is the sample. Two
 texts agree in a sample with a probability equal to the generalised Jaccard similarity of their weights,
-sum(min) / sum(max). The random variables are tabulated for a fixed number of bins that terms are hashed into.
+sum(min) / sum(max). The random variables are computed from 64-bit hashes of term and sample, so that any number of terms
+keeps its own.
 """
 
 from __future__ import annotations
@@ -16,71 +17,83 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices
+from .common import shingle_hashes, slices
 
 SAMPLES = 64
-BINS = 1 << 15
 SEED = 20240605
+BLOCK = 512         # terms whose variates are held at once: they stay in a core's cache
 
 
 @functools.lru_cache(maxsize=1)
-def variates(samples: int = SAMPLES, bins: int = BINS, seed: int = SEED) -> tuple[np.ndarray, ...]:
-    """(1 / r, r, ln c, b) for each bin and sample: r and c gamma(2, 1), b uniform; once per worker process."""
-    rng = np.random.default_rng(seed)
-    shape = (bins, samples)
-    r = rng.standard_gamma(2.0, shape, np.float32)
-    np.maximum(r, 1e-6, out=r)
-    c = np.log(np.maximum(rng.standard_gamma(2.0, shape, np.float32), 1e-12))
-    return 1 / r, r, c, rng.random(shape, np.float32)
+def seeds(samples: int = SAMPLES, seed: int = SEED) -> np.ndarray:
+    """Two odd 64-bit factors for each sample."""
+    return np.random.default_rng(seed).integers(0, 1 << 64, (2, samples), dtype=np.uint64) | np.uint64(1)
+
+
+def uniforms(at: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each term and sample, fixed by the term's 64-bit hash."""
+    first, second = seeds()
+    x = at[:, None] * first
+    x ^= x >> np.uint64(32)
+    x *= second
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def variates(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, e, r) for numbers from ``uniforms``: a is c u, where u = exp(-r (1 - b)), and e is r b.
+
+    With c and r gamma(2, 1) and b uniform, r b and r (1 - b) are two independent exponential variates, and so are c u and
+    c (1 - u). Here these are drawn, which fixes c = a + a', r = e + ln(c / a) and b = e / r with their distributions.
+    """
+    y = x * np.uint64(0xBF58476D1CE4E5B9)
+    y ^= y >> np.uint64(29)
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(32)
+    a = exponential(x)
+    e, other = exponential(y & np.uint64(0xFFFFFFFF00000000)), exponential(y << np.uint64(32))
+    return a, e, e + np.log1p(other / a)
+
+
+def exponential(x: np.ndarray) -> np.ndarray:
+    """Exponential variates in the order of the 64-bit numbers ``x``."""
+    return -np.log1p(-np.minimum(x.astype(np.float32) * np.float32(2.0 ** -64) + np.float32(2.0 ** -40), np.float32(1 - 2.0 ** -24)))
 
 
 def terms(text: str, width: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """Bins and weights (numbers of occurrences) of a text's shingles of ``width`` words; a shorter text is one shingle."""
-    import xxhash
-
-    words = text.encode("utf-8", "surrogatepass").split()
-    if not words:
-        return np.array([], np.int64), np.array([], np.float32)
-    n = len(words)
-    hashes: dict[bytes, int] = {}
-    digest = xxhash.xxh32_intdigest
-    if n < width:
-        grams = np.array([digest(b" ".join(words))], np.uint64)
-    else:
-        one = np.fromiter([hashes.get(w) or hashes.setdefault(w, digest(w)) for w in words], np.uint64, n)
-        grams = np.zeros(n - width + 1, np.uint64)
-        for i in range(width):
-            grams = grams * np.uint64(0x9E3779B97F4A7C15) + one[i:n - width + 1 + i]
-        grams ^= grams >> np.uint64(29)
-        grams *= np.uint64(0xBF58476D1CE4E5B9)
-        grams >>= np.uint64(32)
-    bins, weights = np.unique(grams % np.uint64(BINS), return_counts=True)
-    return bins.astype(np.int64), weights.astype(np.float32)
+    """64-bit hashes and weights (numbers of occurrences) of a text's shingles of ``width`` words; a shorter text is one."""
+    found, weights = np.unique(shingle_hashes(text.encode("utf-8", "surrogatepass").split(), width), return_counts=True)
+    return found, weights.astype(np.float32)
 
 
 def signature(text: str, width: int = 2) -> np.ndarray:
     """SAMPLES numbers of 16 bits, each from the sampled term and its level. All zero for a text without words."""
-    bins, weights = terms(text, width)
-    if not len(bins):
+    found, weights = terms(text, width)
+    if not len(found):
         return np.zeros(SAMPLES, np.uint16)
-    inverse, r, c, b = variates()
     best = np.full(SAMPLES, np.inf, np.float32)
-    term = np.zeros(SAMPLES, np.int64)
+    term = np.zeros(SAMPLES, np.uint64)
     level = np.zeros(SAMPLES, np.float32)
     samples = np.arange(SAMPLES)
-    for s in range(0, len(bins), 4096):
-        at = bins[s:s + 4096]
-        ri = r[at]
-        t = np.log(weights[s:s + 4096])[:, None] * inverse[at]
-        bi = b[at]
-        t += bi
-        np.floor(t, out=t)
-        value = c[at] - ri * (t - bi) - ri
-        row = np.argmin(value, axis=0)
-        least = value[row, samples]
+    order = np.argsort(weights > 1, kind="stable")      # terms that occur once stand first
+    found, logs, once = found[order], np.log(weights[order]), int((weights == 1).sum())
+    cuts = [*range(0, once, BLOCK), *range(once, len(found), BLOCK), len(found)]
+    for s, e in zip(cuts, cuts[1:]):
+        at, x = found[s:e], uniforms(found[s:e])
+        # With level t = floor(ln w / r + b) the value ln c - r (t - b) - r is ln a - r t, and t is 0 for weight one.
+        if s < once:
+            row = np.argmin(x, axis=0)
+            least, t = np.log(exponential(x[row, samples])), np.zeros(SAMPLES, np.float32)
+        else:
+            a, b, r = variates(x)
+            t = np.floor((logs[s:e, None] + b) / r)
+            value = np.log(a) - r * t
+            row = np.argmin(value, axis=0)
+            least, t = value[row, samples], t[row, samples]
         better = least < best
-        best[better], term[better], level[better] = least[better], at[row][better], t[row, samples][better]
-    mixed = (term.astype(np.uint64) + (level.astype(np.int64).astype(np.uint64) << np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        best[better], term[better], level[better] = least[better], at[row][better], t[better]
+    mixed = term ^ level.astype(np.int64).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
     return np.maximum((mixed >> np.uint64(48)).astype(np.uint16), 1)
 
 

@@ -67,3 +67,28 @@ def test_equal_texts_have_equal_fingerprints(docs):
     rows = [(i, "same text in both", "en", "s") for i in range(3)] + [(9, None, "en", "s")]
     got = {r["doc_id"]: r["fingerprint"] for r in fingerprints(docs(rows)).collect()}
     assert got[0] == got[1] == got[2] != got[9] and set(got[9]) == {"0"}
+
+
+def test_long_texts_are_as_alike_as_their_shingles():
+    """True likeness from the words themselves, at lengths at which terms would share bins."""
+    rng = random.Random(12)
+    errors, unlike = [], []
+    for share in (0.0, 0.0, 0.0, 0.3, 0.6, 0.9):
+        a = [f"a{rng.randrange(10 ** 6)}" for _ in range(20_000)]
+        b = a[:int(share * len(a))] + [f"b{rng.randrange(10 ** 6)}" for _ in range(len(a) - int(share * len(a)))]
+        x, y = (collections.Counter(zip(t, t[1:])) for t in (a, b))
+        true = sum((x & y).values()) / sum((x | y).values())
+        got = likeness(signature(" ".join(a)), signature(" ".join(b)))
+        (errors if share else unlike).append(got - true)
+    assert max(unlike) <= 1 / weighted.SAMPLES and max(map(abs, errors)) < 0.2
+
+
+def test_variates_have_their_distributions():
+    a, e, r = weighted.variates(weighted.uniforms(np.random.default_rng(1).integers(0, 1 << 64, 20_000, dtype=np.uint64)))
+    a, e, r = (v.astype(float) for v in (a, e, r))
+    b, c = e / r, a / np.exp(-(r - e))
+    for gamma in (r, c):        # gamma(2, 1): mean 2, variance 2, P(x < 1) = 1 - 2 / e
+        assert abs(gamma.mean() - 2) < 0.01 and abs(gamma.var() - 2) < 0.03 and abs((gamma < 1).mean() - 0.2642) < 0.002
+    assert abs(b.mean() - 0.5) < 0.002 and abs(b.var() - 1 / 12) < 0.001 and 0 <= b.min() and b.max() <= 1
+    for x, y in ((r, c), (r, b), (c, b), (r[:, :-1], r[:, 1:]), (c[:, :-1], c[:, 1:])):
+        assert abs(np.corrcoef(x.ravel(), y.ravel())[0, 1]) < 0.01

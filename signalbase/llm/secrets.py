@@ -1,10 +1,9 @@
 """Secrets in texts: fixed patterns, and a linear-chain conditional random field over tokens.
 
 The field labels each token as outside (O), begin (B) or inside (I) of a secret and is decoded by Viterbi. Its features
-are the token's shape, the words around it and the kind of text it stands in. A plain word (no digit, fewer than LONG
-characters) is outside by its shape, a hard constraint. The best path therefore passes through O at each plain word, so
-the path is found exactly by decoding each run of other tokens alone, from O to O. Most of a text is plain words
-and is never touched.
+are the token's shape, the words around it and the kind of text it stands in. It decodes all tokens that hold a digit or are
+LONG, whatever is joined to them by a sign such as ! or @, and any token within REACH of a cue word, = or :. All others,
+plain words away from cues, are outside, so the path is found exactly by decoding each run of decoded tokens alone.
 """
 
 from __future__ import annotations
@@ -31,9 +30,9 @@ KINDS = ("assign", "access", "hex", "field")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 LONG = 20
-TOKEN = re.compile(r"[A-Za-z0-9+/_.~=-]+|[^\sA-Za-z0-9+/_.~=-]")
-NOT_PLAIN = re.compile(r"[0-9]|[A-Za-z+/_.~=-]{20}")
-RUN = re.compile(r"[A-Za-z0-9+/_.~=-]+")
+TOKEN = re.compile(r"[A-Za-z0-9+/_.~-]+(?:=+(?![A-Za-z0-9+/_.~=-]))?|[^\sA-Za-z0-9+/_.~-]")   # = inside: a sign of its own
+JOINTS = set("!@#$%^&*")
+PLAIN, ODD, CUE, JOINT = range(4)
 CUES = {"password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "credential", "credentials", "bearer",
         "auth", "authorization", "private", "access", "login"}
 O, B, I = 0, 1, 2  # noqa: E741
@@ -56,6 +55,14 @@ def plain(token: str) -> bool:
     return len(token) < LONG and not any("0" <= c <= "9" for c in token) or len(token) == 1
 
 
+def role(token: str) -> int:
+    if token in JOINTS:
+        return JOINT
+    if token in "=:" or token.lower().strip("_.-=") in CUES:
+        return CUE
+    return PLAIN if plain(token) else ODD
+
+
 def shape(token: str) -> list[str]:
     """Features of a token alone."""
     digits = sum(c.isdigit() for c in token)
@@ -67,6 +74,11 @@ def shape(token: str) -> list[str]:
     classes = (digits > 0) + (lower > 0) + (upper > 0)
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]))
     out = [f"len{min(n // 8, 6)}", f"bits{min(int(bits * 2), 10)}", f"classes{classes}", f"changes{min(changes // 2, 5)}"]
+    if digits == 0 and n > 1:       # a word, or letters at random
+        cases = sum(a.islower() and b.isupper() for a, b in zip(token, token[1:]))
+        runs = max(map(len, re.split(r"[aeiouyAEIOUY]", token)))
+        out += ["letters", f"letters_cases{min(cases, 4)}", f"letters_run{min(runs, 8)}", f"letters_len{min(n // 4, 6)}",
+                f"letters_bits{min(int(bits * 2), 10)}", "letters_lower" if lower == n else "letters_upper" if upper == n else "letters_mixed"]
     out += [f for f, on in (("digits", digits == n), ("hex", bool(re.fullmatch(r"[0-9a-fA-F]+", token))),
                             ("number", bool(re.fullmatch(r"[0-9.+/_=-]+", token))), ("dotted", "." in token),
                             ("slashed", token.count("/") > 0), ("assigned", "=" in token.strip("=")),
@@ -81,6 +93,10 @@ def features(tokens: list[str], i: int, kind: list[str]) -> list[str]:
     out = ["bias", *shape(tokens[i])]
     if any(t.strip("_.-=") in CUES for t in before):
         out.append("cue")
+        out += [f"cue&{f}" for f in out[1:-1] if f.startswith("letters")]
+    if before and before[-1] in JOINTS or after and after[0] in JOINTS or tokens[i] in JOINTS:
+        out.append("joint")
+        out += [f"joint&{f}" for f in ("cue", "letters") if f in out]
     out += [f"before_{before[-1]}" if before and not before[-1].isalnum() and len(before[-1]) == 1 else "before_word"]
     if before and before[-1] in ("=", ":"):
         out.append("after_sign")
@@ -127,7 +143,10 @@ def examples(seed: int = 7, count: int = 1500) -> list[tuple[str, list[tuple[int
                 lambda: f"{chars(low, 10, 14)}-{chars(low, 10, 14)}", lambda: chars("-=_", 1, 1) * rng.randint(20, 60),
                 lambda: f"{chars(up, 2, 3)}{rng.randint(10, 99)} {rng.randint(1000, 9999)} {rng.randint(1000, 9999)} {rng.randint(1000, 9999)}",
                 lambda: f"{rng.randint(100, 999)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}",
-                lambda: f"token {rng.randint(1, 99)}", lambda: f"key: {words(1)}", lambda: f"{chars(low, 3, 8)}{rng.randint(1, 99)}",
+                lambda: f"token {rng.randint(1, 99)}", lambda: f"key: {words(1)}",
+                lambda: f"{rng.choice(['password', 'token', 'secret', 'login', 'auth'])} {words(rng.randint(1, 4))}",
+                lambda: f"{words(1)}={words(1)}", lambda: f"{chars(up, 1, 1)}{words(1)}: {words(3)}!",
+                lambda: f"{words(1)}@{words(1)} #{words(1)} {words(1)}&{words(1)}", lambda: f"{chars(low, 3, 8)}{rng.randint(1, 99)}",
             ])()
             out.append((f"{head} {body} {tail}", []))
             continue
@@ -136,12 +155,13 @@ def examples(seed: int = 7, count: int = 1500) -> list[tuple[str, list[tuple[int
             lines = [chars(low + up + num + "+/", 40, 64) for _ in range(rng.randint(2, 4))]
             lead, secret = f"{head}\nprivate key:\n", "\n".join(lines)
         else:
-            sign = rng.choice([" = ", "=", ": ", " is ", " ", " => ", ' = "', ": '"])
-            secret = rng.choice([lambda: chars(low + num, 14, 40) + "7b", lambda: chars(low + up + num, 16, 44) + "Z4",
-                                 lambda: chars("0123456789abcdef", 16, 40), lambda: "AKIA" + chars(up + num, 15, 15) + "8",
-                                 lambda: chars(low + up + num + "+/", 30, 60) + "9="])()
-            if sign == "=":     # would be one token with its name
-                sign = " = "
+            sign = rng.choice([" = ", "=", ": ", ":", " is ", " ", " => ", ' = "', ": '"])
+            secret = rng.choice([lambda: chars(low + num, 16, 42), lambda: chars(low + up + num, 16, 46),
+                                 lambda: chars("0123456789abcdef", 16, 40), lambda: "AKIA" + chars(up + num, 16, 16),
+                                 lambda: chars(low + up + num + "+/", 30, 60) + rng.choice(["", "=", "=="]),
+                                 lambda: chars(low + up, 12, 40), lambda: chars(up, 14, 30),
+                                 lambda: "".join(chars(low + up + num, 3, 8) + rng.choice("!@#$") for _ in range(rng.randint(2, 4)))
+                                 + chars(low + up + num, 3, 8)])()
             lead = f"{head} {cue}{sign}"
         close = '"' if lead.endswith('"') else "'" if lead.endswith("'") else ""
         out.append((f"{lead}{secret}{close} {tail}", [(len(lead), len(lead) + len(secret))]))
@@ -149,35 +169,47 @@ def examples(seed: int = 7, count: int = 1500) -> list[tuple[str, list[tuple[int
 
 
 def chains(text: str, whole: bool = False) -> Iterator[tuple[list[tuple[int, int]], list[list[str]]]]:
-    """Each run of tokens that are not plain: their places and features. ``whole``: look at every token, for tests."""
-    if whole:
-        hits = [(m.start(), m.end()) for m in TOKEN.finditer(text) if not plain(m[0])]
-    else:
-        hits, at = [], 0
-        while m := NOT_PLAIN.search(text, at):
-            start = m.start()
-            while start > at and RUN.match(text[start - 1]):
-                start -= 1
-            end = RUN.match(text, start).end()
-            if not plain(text[start:end]):
-                hits.append((start, end))
-            at = end
-    kind = text_kind(text) if hits else []
-    chain: list[tuple[int, int]] = []
-    for hit in [*hits, None]:
-        if chain and (hit is None or text[chain[-1][1]:hit[0]].strip()):
-            margin = 64 * REACH
-            left = max(0, chain[0][0] - margin)
-            window = [(m.start() + left, m[0]) for m in TOKEN.finditer(text[left:chain[-1][1] + margin])]
-            tokens = [t for _, t in window]
-            where = {s: i for i, (s, _) in enumerate(window)}
-            if left and where and chain[0][0] not in where:     # a token longer than the margin was cut
-                window = [(m.start(), m[0]) for m in TOKEN.finditer(text)]
-                tokens, where = [t for _, t in window], {s: i for i, (s, _) in enumerate(window)}
-            yield chain, [features(tokens, where[s], kind) for s, _ in chain]
+    """Each run of tokens that are decoded: their places and features. ``whole``: without the table of roles, for tests."""
+    tokens = TOKEN.findall(text)
+    roles = list(map(role, tokens)) if whole else list(map(_roles.__getitem__, tokens))
+    marked = [i for i, r in enumerate(roles) if r]
+    if not marked:
+        return
+    spans = [m.span() for m in TOKEN.finditer(text)]
+    taken = set()
+    for i in marked:
+        if roles[i] == ODD:
+            taken.add(i)
+        elif roles[i] == CUE:
+            taken.update(j for j in range(i + 1, min(i + 1 + REACH, len(tokens))) if len(tokens[j]) > 1)
+    joints = [i for i in marked if roles[i] == JOINT and 0 < i < len(tokens) - 1
+              and spans[i - 1][1] == spans[i][0] and spans[i][1] == spans[i + 1][0]]
+    for order in (joints, joints[::-1]):
+        for i in order:
+            if taken & {i - 1, i, i + 1}:
+                taken.update((i - 1, i, i + 1))
+    kind = text_kind(text) if taken else []
+    chain: list[int] = []
+    for i in [*sorted(taken), len(tokens) + 1]:
+        if chain and i != chain[-1] + 1:
+            yield [spans[k] for k in chain], [features(tokens, k, kind) for k in chain]
             chain = []
-        if hit:
-            chain.append(hit)
+        chain.append(i)
+
+
+class _Roles(dict):
+    """Roles of tokens seen; emptied when large."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        found = role(token)
+        if len(token) < 64:
+            self[token] = found
+        return found
+
+
+_roles = _Roles()
 
 
 class Field:
@@ -279,7 +311,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 # ---- scanning -------------------------------------------------------------------------------------------------------
 
 def all_spans(text: str, field: Field) -> list[tuple[int, int, int]]:
-    """Base spans, and those of the field that overlap none of them."""
+    """Base spans, and what the field finds outside them."""
     base = base_spans(text)
     found = list(base)
     for places, feats in chains(text):
@@ -292,9 +324,12 @@ def all_spans(text: str, field: Field) -> list[tuple[int, int, int]]:
             j = i + 1
             while j < len(labels) and labels[j] == I:
                 j += 1
-            start, end = places[i][0], places[j - 1][1]
-            if not any(s < end and start < e for s, e, _ in base):
-                found.append((start, end, 3))
+            at, end = places[i][0], places[j - 1][1]
+            for s, e, _ in [*base, (end, end, 0)]:
+                stop = min(s, end)
+                if at < stop and any(c.isalnum() for c in text[at:stop]):
+                    found.append((at, stop, 3))
+                at = max(at, e)
             i = j
     return sorted(found, key=lambda s: (s[0], s[2]))
 

@@ -95,3 +95,20 @@ def test_scan_and_masking(docs):
     texts = {r["text"] for r in out.collect()}
     assert 'é [secret]" and token: abc' in texts and None in texts and "plain words" in texts and "[secret] [secret]" in texts
     assert S.scan(docs([])).count() == 0
+
+
+def test_letters_names_with_values_and_joined_parts():
+    field = S.trained()
+    for text, want in [("the password is hQzVbTnKwEyRpLm and more", ["hQzVbTnKwEyRpLm"]),
+                       ("connect pwd=Zk8QmPw2xTn4Lq now", ["Zk8QmPw2xTn4Lq"]), ("auth=kQzVbTnKwEyRpLmXw ok", ["kQzVbTnKwEyRpLmXw"]),
+                       ("the key is rTqWz#x7Kp2Lm$wQzTbK then", ["rTqWz#x7Kp2Lm$wQzTbK"]),
+                       ("the password is required for each login page", []),
+                       ("Note: the following token was used by the author: nothing important", [])]:
+        assert [text[s:e] for s, e, k in S.all_spans(text, field) if k == 3] == want
+
+
+def test_field_span_beyond_a_base_span_is_kept():
+    text = "set password=abc123!Qz7wLkPmXr3 next"
+    spans = S.all_spans(text, S.trained())
+    assert [(text[s:e], k) for s, e, k in spans] == [("password=abc123", 0), ("!Qz7wLkPmXr3", 3)]
+    assert S.masked(text, spans) == "set [secret][secret] next"

@@ -9,6 +9,9 @@ For each row and language the logarithms of four kinds of evidence are added:
 
 All are counted by grouped aggregation, each row's own trigrams and vote left out. Noise competes as a
 language of its own ("und") whose trigrams are all equally likely.
+
+Languages are those declared by at least LEAST_ROWS rows with a text, and those of LANGUAGES that any row declares. A share
+UNSEEN of each model goes to all trigrams alike, so that scores do not move with the size of the input.
 """
 
 from __future__ import annotations
@@ -23,8 +26,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import stage
 from .common import slices
 
-LANGUAGES = ("en", "de", "fr", "es")
+LANGUAGES = ("en", "de", "fr", "es")    # modelled from the first row on
+LEAST_ROWS = 20         # rows that must declare any other language
+UNSEEN = 0.01
 NOISE = "und"
+NO_LANGUAGE = ("", NOISE, "mul", "zxx", "none", "other")     # tags that name no language
 BINS = 1 << 15
 EVIDENCE = 64           # trigrams that a long text counts as: overlapping trigrams aren't independent
 STRENGTH = 8.0          # rows that a parent's shares count as in those of a host or domain
@@ -46,25 +52,37 @@ def trigrams(text: str | None, markup: bool = False) -> np.ndarray:
     return (mixed >> np.uint32(17)).astype(np.int64)
 
 
+def main_tag(value: Column) -> Column:
+    return F.lower(F.trim(F.regexp_extract(F.coalesce(value, F.lit("")), r"^\s*([A-Za-z]*)", 1)))
+
+
 def declared_language(value: Column, languages: tuple[str, ...] = LANGUAGES) -> Column:
     """The main part of a language tag in lower case: one of ``languages``, "other", or "none" for null and empty."""
-    tag = F.lower(F.trim(F.regexp_extract(F.coalesce(value, F.lit("")), r"^\s*([A-Za-z]*)", 1)))
+    tag = main_tag(value)
     return F.when(tag == "", "none").when(tag.isin(*languages), tag).otherwise("other")
 
 
 def evidence(ids: list[Column], text: Column, declared: Column | None = None, address: Column | None = None,
              host: Column | None = None, domain: Column | None = None) -> list[Column]:
-    """Columns for ``identify``: the ids, then text, declared, suffix, host and domain; missing evidence is neutral."""
+    """Columns for ``identify``: the ids, then text, declared, suffix, host, domain and tag; missing evidence is neutral."""
     none = F.lit(None).cast("string")
     site = F.lower(F.regexp_extract(F.coalesce(address, F.lit("")), r"^[A-Za-z]+://([^/:?#]+)", 1)) if address is not None else F.lit("")
     host = F.coalesce(host.cast("string"), F.lit("")) if host is not None else site
     return [*ids, text.alias("text"), declared_language(declared if declared is not None else none).alias("declared"),
             F.regexp_extract(site, r"\.([a-z]+)$", 1).alias("suffix"), host.alias("host"),
-            (domain if domain is not None else F.regexp_extract(host, r"([^.]*\.?[^.]*)$", 1)).alias("domain")]
+            (domain if domain is not None else F.regexp_extract(host, r"([^.]*\.?[^.]*)$", 1)).alias("domain"),
+            main_tag(declared if declared is not None else none).alias("tag")]
+
+
+def declared_languages(rows: DataFrame, least: int = LEAST_ROWS) -> tuple[str, ...]:
+    """The languages that rows with a text declare, those of LANGUAGES first; LANGUAGES if none."""
+    found = rows.where(F.col("text").isNotNull() & ~F.col("tag").isin(*NO_LANGUAGE)).groupBy("tag").agg(F.count("*").alias("n"))
+    tags = {r["tag"] for r in found.where((F.col("n") >= least) | F.col("tag").isin(*LANGUAGES)).collect()}
+    return tuple([x for x in LANGUAGES if x in tags] + sorted(tags - set(LANGUAGES))) or LANGUAGES
 
 
 def fit_texts(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bool = False) -> np.ndarray:
-    """Counts [language, bin] of the trigrams of all rows with a declared language, plus a little for unseen ones.
+    """Counts [language, bin] of the trigrams of all rows with a declared language.
 
     Each task counts its own rows, and only counts are shuffled: at most len(languages) x BINS rows a task, and as many
     in all reach the driver.
@@ -85,24 +103,34 @@ def fit_texts(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: b
     known = rows.where(F.col("declared").isin(*languages) & F.col("text").isNotNull()).select("declared", "text")
     table = (known.mapInArrow(count, "language long, bin long, n long").groupBy("language", "bin")
              .agg(F.sum("n").alias("n")).toArrow())
-    totals = np.full((len(languages), BINS), 0.05)
+    totals = np.zeros((len(languages), BINS), np.int64)
     totals[table["language"].to_numpy(), table["bin"].to_numpy()] += table["n"].to_numpy()
     return totals
 
 
-def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bool = False) -> DataFrame:
+def log_chances(counts: np.ndarray, totals: np.ndarray | int) -> np.ndarray:
+    """Logarithms of the chances of trigrams with such counts in models of such totals; all alike in an empty model."""
+    seen = np.where(totals > 0, 1 - UNSEEN, 0.0)
+    return np.log(seen * counts / np.maximum(totals, 1) + (1 - seen) / BINS)
+
+
+def identify(rows: DataFrame, languages: tuple[str, ...] | None = None, markup: bool = False) -> DataFrame:
     """Per row: its id columns, declared, text_language, language, posterior, declared_posterior, n_trigrams.
 
-    ``rows`` comes from ``evidence``: id columns, then text, declared, suffix, host, domain. ``language`` is the most
+    ``rows`` comes from ``evidence``: id columns, then text, declared, suffix, host, domain, tag. ``languages`` are
+    those of ``declared_languages`` if not given; ``declared`` is "other" for any other language. ``language`` is the most
     probable one; "und" where noise fits better than any, or the text has no letters. A null or empty text has no text
     evidence and is "und"; null addresses, hosts and declared languages add nothing. Repeated rows and null ids give a row each.
     Ties go to the first language in order. An empty table gives an empty result. Texts are read twice (counts, scores) and
     never shuffled; scores are written once to the shared folder.
     """
-    ids = rows.columns[:-5]
+    ids = rows.columns[:-6]
+    languages = languages or declared_languages(rows)
+    tag = F.col("tag")
+    rows = rows.withColumn("declared", F.when(tag.isin(*NO_LANGUAGE), "none").when(tag.isin(*languages), tag).otherwise("other")).drop("tag")
     counts = fit_texts(rows, languages, markup)
     totals = counts.sum(axis=1)
-    model = np.log(counts / totals[:, None]).astype(np.float32)
+    model = log_chances(counts, totals[:, None]).astype(np.float32)
     noise = float(-np.log(BINS))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +144,7 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bo
                     if n and tag in languages:      # the row's own trigrams don't count as evidence
                         k = languages.index(tag)
                         rest = counts[k, bins] - np.bincount(bins, minlength=BINS)[bins]
-                        mean[k] = np.log(np.maximum(rest, 0.05)).mean() - np.log(totals[k] - n)
+                        mean[k] = log_chances(rest, totals[k] - n).mean()
                     scores.append([float(x) * min(n, EVIDENCE) for x in mean] + [noise * min(n, EVIDENCE)])
                     sizes.append(n)
                 yield pa.RecordBatch.from_arrays(
@@ -154,11 +182,12 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bo
     def summed(counts: str) -> Column:
         return sum((others(counts, i) for i in range(1, k)), others(counts, 0))
 
+    both = both.withColumns({f"sum_{c}": summed(c) for c in ("of_all", "of_domain", "of_host")})
     logs = []
     for i in range(k):
-        share_all = (others("of_all", i) + 1) / (summed("of_all") + k)
-        share_domain = (others("of_domain", i) + STRENGTH * share_all) / (summed("of_domain") + STRENGTH)
-        share_host = (others("of_host", i) + STRENGTH * share_domain) / (summed("of_host") + STRENGTH)
+        share_all = (others("of_all", i) + 1) / (F.col("sum_of_all") + k)
+        share_domain = (others("of_domain", i) + STRENGTH * share_all) / (F.col("sum_of_domain") + STRENGTH)
+        share_host = (others("of_host", i) + STRENGTH * share_domain) / (F.col("sum_of_host") + STRENGTH)
         tag = F.when(F.col("declared") == "none", F.lit(0.0)).otherwise(
             F.log((others("of_declared", i) + 0.5) / (others("of_all", i) + 0.5 * (k + 1))))
         suffix = F.when(F.col("suffix") == "", F.lit(0.0)).otherwise(
@@ -180,5 +209,9 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, markup: bo
 
 
 def is_rejected(least: float = 1e-6) -> Column:
-    """Of a row of ``identify``: it has no language, or the evidence rules out the declared one."""
-    return (F.col("language") == NOISE) | F.coalesce(F.col("declared_posterior") < least, F.lit(False))
+    """Of a row of ``identify``: it has no language, or the evidence rules out the declared one.
+
+    A row with letters that declares a language without a model is kept, as nothing tells its language from noise.
+    """
+    unknown = (F.col("declared") == "other") & (F.col("n_trigrams") > 0)
+    return (F.col("language") == NOISE) & ~unknown | F.coalesce(F.col("declared_posterior") < least, F.lit(False))

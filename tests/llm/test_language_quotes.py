@@ -58,6 +58,32 @@ def test_evidence_from_pages(shipped):
         ("en", "org", "a.b.example.org", "example.org"), ("none", "", "", ""), ("none", "", "", ""), ("other", "de", "x.de", "x.de")]
 
 
+def test_languages_are_those_declared(docs):
+    """A language declared by enough rows is modelled, also for rows without a tag; rows of a rarer one are kept."""
+    rng = random.Random(5)
+    words = {"it": ["zione", "gli", "che", "della", "zz"], "ru": ["при", "вет", "ст", "ого", "ы"], "pl": ["szcz", "ł", "ow", "ię", "prz"]}
+
+    def made(tag, n):
+        return " ".join("".join(rng.choices(words[tag], k=rng.randint(1, 3))) for _ in range(n))
+
+    rows = [(i, speak(rng, tag, 80), tag, "h") for i in range(100) for tag in [rng.choice(list(SOUNDS))]]
+    rows += [(1000 + i, made("it" if i % 2 else "ru", 80), "it" if i % 2 else "ru-RU", "h") for i in range(80)]
+    rows += [(2000, made("it", 80), None, "h"), (2001, made("pl", 80), "pl", "h"), (2002, "12 34", "pl", "h"), (2003, made("pl", 80), None, "h")]
+    out = language.identify(docs(rows).select(*language.evidence([F.col("doc_id")], F.col("text"), F.col("lang"), host=F.col("source"))))
+    got = {r["doc_id"]: r for r in out.withColumn("rejected", language.is_rejected()).collect()}
+    assert all(got[i]["language"] == t.split("-")[0] and not got[i]["rejected"] for i, _, t, _ in rows if i < 2000)
+    assert got[2000]["language"] == "it" and not got[2001]["rejected"]
+    assert got[2002]["rejected"] and got[2003]["rejected"]
+
+
+def test_scores_do_not_move_with_the_size():
+    import numpy as np
+
+    counts = np.random.default_rng(1).poisson(0.5, (2, language.BINS))
+    small, large = (language.log_chances(c, c.sum(axis=1)[:, None]) for c in (counts, counts * 1000))
+    assert np.allclose(small, large)
+
+
 def plain_thread(rows):
     """The same by loops over lists, for conversations without equal bodies."""
     def norm(t):

@@ -5,6 +5,10 @@ Each source is a queue. A window of tokens is filled by a deficit round-robin: e
 After j windows a queue has thus taken ``floor(j * window * share)`` tokens and its deficit is the fraction left. Since
 that is known for every j, a partition starts with the deficits that the ones before it have left, without waiting
 for them: each document finds its windows from the tokens that precede it in its queue, a prefix sum.
+
+Sources beyond MAX_QUEUES share the last queue. Its tokens are dealt to them along a binary tree: of n tokens at a node
+with l and r tokens below, floor(n l / (l + r)) go left and the others right. Each source thus has its share of every
+window too, to within a token for each level, and finds its windows from the totals on its own path, a row of a table.
 """
 
 from __future__ import annotations
@@ -19,11 +23,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
-from .common import slices, texts_of
+from .common import prefix_sums, slices, texts_of
 from .tokens import encoder
 
 MAX_QUEUES = 256    # sources with a queue of their own; any further ones (the smallest) share the last queue
-OTHERS = "others"
+
+
+def dealt(path: list[tuple[int, int, int]], n: int) -> tuple[int, int]:
+    """Of a shared queue's first ``n`` tokens: those of the source at ``path``, and those of all sources left of it.
+
+    A path has (is right, tokens left, tokens right) for each node from the source's own up to the root.
+    """
+    left = 0
+    for right, a, b in reversed(path):
+        part = n * a // (a + b)
+        n, left = (n - part, left + part) if right else (part, left)
+    return n, left
+
+
+def reached(path: list[tuple[int, int, int]], n: int) -> int:
+    """The least number of a shared queue's tokens that hold ``n`` of the source at ``path``."""
+    for right, a, b in path:
+        n = (n - 1) * (a + b) // b + 1 if right else -(-n * (a + b) // a)
+    return n
 
 
 @dataclass
@@ -61,15 +83,19 @@ class Rounds:
             self.known[j] = before, after, places
         return self.known[j]
 
-    def pieces(self, queue: int, first: int, n: int) -> Iterator[tuple[int, int, int, int]]:
-        """(start, length, sequence, offset) for ``n`` tokens that have ``first`` tokens before them in the queue."""
+    def pieces(self, queue: int, first: int, n: int, path: list[tuple[int, int, int]] = []) -> Iterator[tuple[int, int, int, int]]:
+        """(start, length, sequence, offset) for ``n`` tokens that have ``first`` tokens of their source before them.
+
+        ``path``: the source's place in a shared queue.
+        """
         done = 0
         while done < n:
             u = first + done
-            j = min(self.count, -(-(u + 1) * self.all // (self.window * self.totals[queue]))) - 1
+            j = min(self.count, -(-reached(path, u + 1) * self.all // (self.window * self.totals[queue]))) - 1
             before, after, places = self.round(j)
-            end = min(n, done + after[queue] - u)
-            place = places[queue] + u - before[queue]
+            (given, left), (due, left_due) = dealt(path, before[queue]), dealt(path, after[queue])
+            end = min(n, done + due - u)
+            place = places[queue] + left_due - left + u - given
             while done < end:
                 sequence, offset, room = self.locate(place)
                 size = min(room, end - done)
@@ -119,11 +145,29 @@ def tokenize(docs: DataFrame, path: str, ranks_path: str | None = None, end_id:
     return rows.mapInArrow(encode, f"doc_id {kind}, queue string, part int, before long, doc_tokens long, ids binary")
 
 
+def paths(tail: DataFrame) -> DataFrame:
+    """``queue, path`` for the sources of ``tail(queue, n)`` that share a queue, by grouped sums for each level of the tree."""
+    ranked = stage(prefix_sums(tail.select("queue", "n", F.lit(0).alias("all"), F.lit(1).alias("one"),
+                                           F.expr("pmod(xxhash64(queue), 1024)").alias("block")),
+                               "all", "block", ["queue"], "one", "rank").select("queue", "n", "rank"), "ranks")
+    depth = max(0, ranked.count() - 1).bit_length()
+    if not depth:
+        return ranked.select("queue", F.expr("array()").cast("array<struct<level:int,right:int,a:bigint,b:bigint>>").alias("path"))
+    levels = (ranked.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))))
+              .withColumn("node", F.expr("shiftright(rank, level + 1)"))
+              .withColumn("right", F.expr("cast(shiftright(rank, level) & 1 AS int)")))
+    sums = levels.groupBy("level", "node").agg(F.sum(F.when(F.col("right") == 0, F.col("n")).otherwise(0)).alias("a"),
+                                               F.sum(F.when(F.col("right") == 1, F.col("n")).otherwise(0)).alias("b"))
+    return (levels.join(sums, ["level", "node"]).groupBy("queue")
+            .agg(F.array_sort(F.collect_list(F.struct("level", "right", "a", "b"))).alias("path")))
+
+
 def pack(docs: DataFrame, path: str, ranks_path: str | None = None, length: int = 1024, window: int = 16,
          max_queues: int = MAX_QUEUES, **columns) -> DataFrame:
     """Cut all documents into pieces and lay them in sequences of ``length`` tokens without padding.
 
-    Windows hold ``window`` sequences; in each, every source has its share of all tokens, to within one token. Returns per
+    Windows hold ``window`` sequences; in each, every source has its share of all tokens, to within one token; sources beyond
+    the ``max_queues`` - 1 largest to within one for each level of their tree. Returns per
     piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source. All sequences are full but
     the last few, whose lengths are powers of two.
 
@@ -142,19 +186,24 @@ def pack(docs: DataFrame, path: str, ranks_path: str | None = None, length: int
     lane = F.lit(len(own))
     if names:
         lane = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in names.items() for x in kv)), F.col("queue")), lane)
-    earlier = Window.partitionBy("lane").orderBy("queue", "part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (rows.groupBy("queue", "part").agg(F.sum("doc_tokens").alias("n")).withColumn("lane", lane)
               .withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n"))
+    if every > sum(counts):
+        starts = starts.join(stage(paths(totals.where(lane == len(own))), "paths"), "queue", "left")
+    else:
+        starts = starts.withColumn("path", F.lit(None).cast("array<struct<level:int,right:int,a:bigint,b:bigint>>"))
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = Rounds(*rounds)
         for whole in batches:
             for batch in slices(whole, "ids"):
                 at, out = [], []
-                fields = (batch.column(c).to_pylist() for c in ("ids", "doc_tokens", "lane", "first", "before"))
-                for i, (ids, n, queue, first, before) in enumerate(zip(*fields)):
+                fields = (batch.column(c).to_pylist() for c in ("ids", "doc_tokens", "lane", "first", "before", "path"))
+                for i, (ids, n, queue, first, before, path) in enumerate(zip(*fields)):
                     raw = memoryview(np.frombuffer(ids, f"<u{len(ids) // n}").astype("<u4").tobytes())
-                    for start, size, sequence, offset in plan.pieces(queue, first + before, n):
+                    path = [(x["right"], x["a"], x["b"]) for x in path or ()]
+                    for start, size, sequence, offset in plan.pieces(queue, first + before, n, path):
                         at.append(i)
                         out.append((start, size, zlib.crc32(raw[4 * start:4 * (start + size)]), n, sequence, offset))
                 picked = pa.array(at, pa.int32())
@@ -163,7 +212,7 @@ def pack(docs: DataFrame, path: str, ranks_path: str | None = None, length: int
                     [batch.column("doc_id").take(picked), *numbers, batch.column("queue").take(picked)],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"])
 
-    placed = rows.join(starts, ["queue", "part"]).select("doc_id", "queue", "lane", "first", "before", "doc_tokens", "ids")
+    placed = rows.join(starts, ["queue", "part"]).select("doc_id", "queue", "lane", "first", "before", "doc_tokens", "ids", "path")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return (placed.mapInArrow(lay, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                    "sequence_id long, offset long, queue string")

@@ -111,3 +111,20 @@ def test_windows_hold_each_source_in_proportion():
         for q, n in enumerate(rounds.totals):
             got = sum(filled[p] == q for p in range(w, w + 1000))
             assert abs(got - 1000 * n / 100_006) <= 5
+
+
+def test_sources_that_share_a_queue_have_their_share_of_each_window(docs):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices(["alpha", "bet", "zz9"], k=60)), "en", f"s{i % 37}" if i % 2 else "big") for i in range(740)]
+    pieces = pack(docs(rows), *vocabulary(), length=128, window=16, max_queues=2).collect()
+    check_packed(rows, pieces, 128)
+    total = sum(p["length"] for p in pieces)
+    of_source: dict = {}
+    for p in pieces:
+        window = p["sequence_id"] // 16
+        of_source.setdefault(p["source"], {}).setdefault(window, []).append(p["length"])
+    assert len(of_source) == 38
+    for held in of_source.values():
+        share = sum(map(sum, held.values())) / total
+        for window in range(total // 2048):
+            assert abs(sum(held.get(window, [])) - 2048 * share) <= 7

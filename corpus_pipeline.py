@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signalbase.llm import language, mixing, packing, secrets, similar
+from signalbase.llm import language, mixing, packing, secrets, simhash
 from signalbase.llm.common import documents, ship
 from signalbase.llm.queries import vocabulary
 from signalbase.session import stage
@@ -27,29 +27,22 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of texts with a Jaccard similarity of 0.8 by five words; one of them if rows share that id, or none of a group has one."""
+    """One document of each group that the fingerprints of op1 link: the one with the smallest id, or any where none has an id.
+
+    A row is named by its id and the hash of its text, so rows that share an id but not their text are told apart, and
+    rows without an id too. Of rows equal in both, one stays.
+    """
     ship(spark)
-    found = similar.similar(docs)
-    stay = (found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-            .groupBy("doc_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("mark"))
-            .agg(F.count("*").alias("rows")))
-    gone = stage(found.select("doc_id").join(stay.where("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_anti")
-                 .distinct(), "gone")
-    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    doubled = stage(stay.where("rows > 1 OR doc_id IS NULL").select("doc_id").distinct(), "doubled")
+    name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    found = stage(simhash.near_duplicates(docs.select(name.alias("doc_id"), "text")), "linked")
+    gone = stage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_name")).distinct(), "gone")
+    kept = docs.join(gone, name == F.col("_name"), "left_anti")
+    doubled = stage(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_name")).count()
+                    .where("count > 1").select("_name"), "doubled")
     if doubled.isEmpty():
         return kept
-    same = docs["doc_id"].eqNullSafe(doubled["doc_id"])
-    return kept.join(doubled, same, "left_anti").unionByName(_one_of_each(kept.join(doubled, same, "left_semi")))
-
-
-def _one_of_each(rows: DataFrame) -> DataFrame:
-    """One row of each near-duplicate group among rows that share an id, or have none."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    marked = rows.select(whole.alias("_row"), F.xxhash64(whole).alias("doc_id"), F.col("text"))
-    stay = similar.similar(marked).where("doc_id = component_id").select("doc_id").distinct()
-    firsts = marked.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return firsts.select("_row.*")
+    firsts = kept.join(doubled, name == F.col("_name"), "left_semi").withColumn("_name", name).dropDuplicates(["_name"]).drop("_name")
+    return kept.join(doubled, name == F.col("_name"), "left_anti").unionByName(firsts)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

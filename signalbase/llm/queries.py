@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, neighbours, packing, quotes, secrets, simhash, suffixes, tokens, weighted
+from . import (clusters, language, mixing, neighbours, packing, quality, quotes, repair, secrets, simhash, suffixes, tokens,
+               weighted)
 from .common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +122,62 @@ def op9_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), *vocabulary())
+
+
+@query()
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.damage_and_repair(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+def _rounds(k: int, rounds: int) -> str:
+    """SQL for ``rounds`` of assignment and update from the ``k`` vectors whose ids hash smallest, then one assignment."""
+    steps = [f"""good AS (SELECT row_number() OVER () AS r, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS v
+   FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ c0 AS (SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) - 1 AS INTEGER) AS cluster, v AS c
+   FROM good QUALIFY cluster < {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (SELECT r, vec_id, v, unnest(arg_min(struct_pack(cluster := cluster, distance := d), (d, cluster)))
+   FROM (SELECT r, vec_id, v, cluster, CAST(list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+     FROM good, c{i}) GROUP BY r, vec_id, v)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c
+   FROM (SELECT cluster, j, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS j FROM a{i}) GROUP BY cluster, j)
+   GROUP BY cluster), c{i + 1} AS (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))""")
+    return "WITH " + ",\n ".join(steps) + f"""
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+
+
+@query(_rounds(40, 5))
+def op12_bit_plane_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found = clusters.cluster(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
+def _rule(rule: quality.Rule) -> str:
+    sign, order = ("-", ">=") if rule.bound == "at least" else ("+", "<=")
+    return f"100 * {rule.measure} {order} {rule.per_cent} * {rule.of or 1} {sign} {rule.slack}"
+
+
+_QUALITY = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+   list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM documents),
+ g AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS gram FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+ twice AS (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS next FROM (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, gram) > 1)),
+ repeated AS (SELECT r, sum(least(5, coalesce(next - i, 5))) AS n FROM twice GROUP BY r),
+ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+   CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(list_filter(w, lambda x: lower(x) IN (STOPS))) AS BIGINT) AS n_stop_words,
+   CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+   CAST(len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\t]*[-*•]'))) AS BIGINT) AS n_bullet_lines,
+   CAST(len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\t\r]*\z'))) AS BIGINT) AS n_cut_lines,
+   CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words FROM d LEFT JOIN repeated USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, NOT (BASE) AS base_failed, (BASE AND RULES) AS kept FROM m"""
+
+
+@query(_QUALITY.replace("STOPS", ", ".join(f"'{w}'" for w in quality.STOP_WORDS))
+       .replace("BASE", " AND ".join(map(_rule, quality.BASE))).replace("RULES", " AND ".join(map(_rule, quality.RULES))))
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(documents(spark, folder)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                                          "base_failed", "kept")

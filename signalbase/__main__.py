@@ -24,12 +24,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--hours", type=int, default=fixed.FRESH_HOURS, help="greatest age of jobs and news")
     parser.add_argument("--target", type=int, default=0, help="rows per run and source; the default 0 takes all")
     parser.add_argument("--lines", action="store_true", help="JSON sources hold one document per line")
+    parser.add_argument("--run-id", help="name of the run; a run of that name is loaded once, however often it is repeated")
     args = parser.parse_args(argv)
 
     spark = build_session()
     landed = load_landing(spark, args.landing, args.quarantine, args.lines)
     counts = run(spark, landed, args.tables, args.run_time or datetime.now(timezone.utc), args.hours,
-                 args.target or None, quarantine=args.quarantine)
+                 args.target or None, quarantine=args.quarantine, run_id=args.run_id)
     for row in counts.collect():
         print(f"{row['table']}: {row['rows']} rows")
     if args.export:

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import stage
 
-ID_BLOCK = 1_000_000  # ordered numbers per block; the widest group any id task sorts
-
 
 def first_wins(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
     """The first row of each key in ``order``.
@@ -28,30 +27,39 @@ def anti_existing(batch: DataFrame, stored: DataFrame, key: str = "hash_key") ->
     return batch.join(stored.select(key), key, "left_anti")
 
 
-def assign_ids(df: DataFrame, seq: str, start: int = 0, lead: Sequence[str] = ()) -> DataFrame:
-    """Adds ``id``: start+1, start+2, … in the order of ``lead``, then ``seq``, a unique whole number for each ``lead``.
+def numbered(df: DataFrame, *order: str | Column, start: int = 0) -> DataFrame:
+    """Adds ``id``: start+1, start+2, … in ``order``, which must tell any two rows apart.
 
-    There is no global sort. Rows go to blocks of ``seq`` by division, so a block holds at most ID_BLOCK rows however
-    the rows are spread; counts per block give each block its first id. The running sum goes over one row per block,
-    a millionth of the data.
+    Rows are dealt into ranges of the order by sampled ranks, sorted inside each and written once; a row's number is the
+    count of the ranges before its own, plus its place. Only one count per range is added up, so neither the values nor the
+    number of rows decide what a single task holds.
     """
-    block = [*lead, "_block"]
-    blocked = df.withColumn("_block", F.floor(F.col(seq) / F.lit(ID_BLOCK)))
-    firsts = (blocked.groupBy(*block).agg(F.count("*").alias("_n"))
-              .withColumn("_before", F.sum("_n").over(
-                  Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)))
-              .select(*block, F.coalesce("_before", F.lit(0)).alias("_before")))
-    place = F.row_number().over(Window.partitionBy(*block).orderBy(seq))
-    return (blocked.withColumn("_place", place).join(firsts, block)
-            .withColumn("id", F.lit(start).cast("bigint") + F.col("_before") + F.col("_place"))
-            .drop("_block", "_place", "_before"))
+    place = F.monotonically_increasing_id()     # range number in the upper 31 bits, place in the lower 33
+    sorted_rows = stage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place), "numbered")
+    part = F.shiftright("_place", 33).cast("int")
+    counts = sorted(sorted_rows.groupBy(part.alias("_part")).count().collect())
+    before = accumulate((n for _, n in counts), initial=start)
+    firsts = df.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(counts, before)], "_part int, _before bigint")
+    return (sorted_rows.withColumn("_part", part).join(F.broadcast(firsts), "_part")      # a row per range
+            .withColumn("id", F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+            .drop("_part", "_place", "_before"))
+
+
+def assign_ids(df: DataFrame, seq: str, start: int = 0, lead: Sequence[str] = ()) -> DataFrame:
+    """Adds ``id``: start+1, start+2, … in the order of ``lead``, then ``seq``, which is unique for each ``lead``."""
+    return numbered(df, *lead, seq, start=start)
+
+
+def first_places(batch: DataFrame, seq: str, key: str = "hash_key") -> DataFrame:
+    """(key, seq) of the first row of each key: all that deciding on a batch takes, whatever its rows hold."""
+    return batch.groupBy(key).agg(F.min(seq).alias(seq))
 
 
 def insert_or_ignore(batch: DataFrame, stored: DataFrame, seq: str, key: str = "hash_key",
                      start: int = 0) -> DataFrame:
     """Rows to append: first of each key in the batch, none that is stored, with ids in arrival order.
 
-    The first two steps work on the same partitioning by key, so the batch is shuffled once. Their result is written
-    to the shared folder, since numbering reads it twice.
+    Keys and arrival numbers alone are grouped, compared and numbered; the rows are joined to the outcome once.
     """
-    return assign_ids(stage(anti_existing(first_wins(batch, key, seq), stored, key), "new-rows"), seq, start)
+    new = anti_existing(first_places(batch, seq, key), stored, key)
+    return batch.join(assign_ids(new, seq, start), [key, seq])

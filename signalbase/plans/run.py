@@ -14,7 +14,7 @@ from ..operators.records import flatten, to_record
 from ..operators.resolve import Catalogue, resolution_log
 from ..operators.validate import checked, split_checked
 from ..session import fresh_path, stage, use_utc
-from ..sinks.tables import append_log, append_new, ensure_tables, read_table
+from ..sinks.tables import load_tables, read_table
 from . import entities, jobs, news, papers
 
 
@@ -33,15 +33,14 @@ class Landed:
 
 def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours: int = fixed.FRESH_HOURS,
         target: int | None = None, catalogue: Catalogue | None = None,
-        quarantine: str | None = None) -> DataFrame:
-    """Load all tables under ``root`` and return their row counts.
+        quarantine: str | None = None, run_id: str | None = None) -> DataFrame:
+    """Load all tables under ``root`` as one version of them and return their row counts.
 
     Resolved rows are written once to the shared folder, since records and log both come from them; so are checked
     records, since good and bad ones both come from them. ``quarantine`` names the folder for records that break the
-    contract.
+    contract. A run whose ``run_id`` was loaded before changes no table.
     """
     use_utc(spark)
-    ensure_tables(spark, root)
     catalogue = catalogue or Catalogue.built_in(spark)
     cutoff = cutoff_of(run_ts, hours)
     quarantine = quarantine or fresh_path(spark, "quarantine")
@@ -55,14 +54,13 @@ def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours:
         "news": news.news_rows(landed.feeds, landed.pages, cutoff, run_ts),
         "jobs": jobs.job_rows(postings),
     }
+    good, bad = {}, {}
     for kind, flat in flats.items():
-        good, bad = split_checked(stage(checked(to_record(flat, kind, ("ingest_seq",)), kind), kind))
-        append_new(spark, root, kind, flatten(good, kind, ("ingest_seq",)))
-        bad.select(F.to_json(F.struct("*")).alias("record"), "reasons").write.mode("append").parquet(
-            f"{quarantine}/{kind}")
-    papers.incomplete_papers(landed.papers).select(F.to_json(F.struct("*")).alias("record"), "reasons").write.mode(
-        "append").parquet(f"{quarantine}/research_papers")
-    for resolved in (companies, postings):
-        append_log(spark, root, resolution_log(resolved, "raw_name", F.lit(run_ts), ("ingest_seq",)))
-    return table_counts({name: read_table(spark, root, name) for name in [
+        good[kind], bad[kind] = split_checked(stage(checked(to_record(flat, kind, ("ingest_seq",)), kind), kind))
+    state = load_tables(
+        spark, root, {kind: flatten(rows, kind, ("ingest_seq",)) for kind, rows in good.items()},
+        [resolution_log(resolved, "raw_name", F.lit(run_ts), ("ingest_seq",)) for resolved in (companies, postings)], run_id=run_id)
+    for kind, rows in [*bad.items(), ("research_papers", papers.incomplete_papers(landed.papers))]:
+        rows.select(F.to_json(F.struct("*")).alias("record"), "reasons").write.mode("append").parquet(f"{quarantine}/{kind}")
+    return table_counts({name: read_table(spark, root, name, state) for name in [
         "startups", "products", "research_papers", "jobs", "news", "entity_mapping_logs"]})

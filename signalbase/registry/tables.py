@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.keys import content_hash as content_hash_of, hash_key
-from ..operators import audit, dedup, extraction, limits, lookups, records, validate
-from ..session import fresh_path
+from ..operators import audit, dedup, extraction, limits, lookups, prefilter, records, validate
+from ..session import fresh_path, stage
 from ..sinks.export import tab, write_tab
+from ..sinks.tables import load_tables, read_table
 from ..sources.landed import union_sources as union_of
 from .base import RUN_TS, Tables, hash_sql, iso_sql, norm_sql, query, text_sql
 from .columns import ABSTRACTS_SQL, PARAGRAPHS_SQL, REPO_KEY_SQL, REPO_SQL, REPO_URL_SQL, abstracts
@@ -37,8 +38,7 @@ def anti_existing(t: Tables):
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 500 AS id FROM orders")
 def assign_ids(t: Tables):
-    return dedup.assign_ids(t.orders, "o_orderkey", 500).select(
-        "o_orderkey", "id")
+    return dedup.assign_ids(t.orders.select("o_orderkey"), "o_orderkey", 500)
 
 
 @query(f"""WITH {_KEYED}, {_WINNERS}, {_STORED} SELECT doc_id, hash_key, row_number() OVER (ORDER BY doc_id) AS id
@@ -49,6 +49,36 @@ def insert_or_ignore(t: Tables):
         "doc_id", "hash_key", "id")
 
 
+@query(f"""WITH {_KEYED}, {_WINNERS}, {_STORED} SELECT doc_id, hash_key FROM winners
+    WHERE hash_key NOT IN (SELECT * FROM stored)""")
+def prefiltered_keys(t: Tables):
+    """New keys by the filter of the stored ones: those it has never seen, and those of the others that are not stored."""
+    firsts, stored = _keyed(t).groupBy("hash_key").agg(F.min("doc_id").alias("doc_id")), _keyed(t).filter("lang = 'fr'")
+    segments = prefilter.segments_for(stored.count())
+    probed = prefilter.with_maybe(firsts, "hash_key", prefilter.build(stored, "hash_key", segments), segments)
+    probed = stage(probed, "probed")
+    doubtful = dedup.anti_existing(probed.where("maybe_stored"), stored)
+    return probed.where("NOT maybe_stored").unionByName(doubtful).select("doc_id", "hash_key")
+
+
+@query(f"""WITH keyed AS (SELECT c_custkey, c_nationkey < 10 AS early, 'Firm ' || c_custkey % 997 AS entity_name,
+    {hash_sql("'Firm ' || c_custkey % 997", "'https://example.org/' || c_custkey % 7")} AS hash_key FROM customer),
+    one AS (SELECT hash_key, min(c_custkey) AS c_custkey FROM keyed WHERE early GROUP BY 1),
+    two AS (SELECT hash_key, min(c_custkey) AS c_custkey FROM keyed WHERE hash_key NOT IN (SELECT hash_key FROM one) GROUP BY 1)
+    SELECT hash_key, entity_name, row_number() OVER (ORDER BY load, c_custkey) AS id FROM (SELECT 1 AS load, * FROM one
+    UNION ALL SELECT 2, * FROM two) x JOIN keyed USING (hash_key, c_custkey)""")
+def two_loads(t: Tables):
+    """The startups table after a load of some companies, then of all: first rows kept, ids going on."""
+    rows = _companies(t).withColumns({"entity_name": F.concat(F.lit("Firm "), F.col("c_custkey") % 997),
+                                      "source_url": F.concat(F.lit("https://example.org/"), F.col("c_custkey") % 7)})
+    root = fresh_path(t.spark, "tables")
+    early = rows.join(t.customer.select("c_custkey", "c_nationkey").filter("c_nationkey < 10"), "c_custkey")
+    for batch in (early, rows):
+        nested = records.to_record(batch.withColumn("ingest_seq", F.col("c_custkey")), "startups", ("ingest_seq",))
+        load_tables(t.spark, root, {"startups": records.flatten(nested, "startups", ("ingest_seq",))})
+    return read_table(t.spark, root, "startups").select("hash_key", "entity_name", "id")
+
+
 @query(f"SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT {fixed.TARGET_ROWS}")
 def cap_rows(t: Tables):
     return limits.cap_rows(t.customer, "c_custkey", fixed.TARGET_ROWS).select("c_custkey", "c_name")

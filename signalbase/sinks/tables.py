@@ -1,57 +1,181 @@
-"""Stored Parquet tables.
+"""The six stored tables under one folder, loaded and published together.
 
-One writer at a time per table: Parquet has no unique index, so two runs that append at once could both add a key.
+A load writes its rows to ``<table>/load=<id>``, in files bucketed by ``hash_key``, and a Bloom filter of the table's keys next
+to them; one manifest then lists the loads and filters of all tables. Until it is published nothing of a load is visible,
+so a run that dies half-way leaves the old state, and of two runs at once the second decides again on what the first has added.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import hashlib
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..operators.dedup import assign_ids, insert_or_ignore
-
+from ..operators import prefilter
+from ..operators.dedup import anti_existing, assign_ids, first_places
+from ..session import stage
+from . import commits
 
-def table_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}"
+KEY = "hash_key"
+LOG = "entity_mapping_logs"
+TRIES = 20
+FEW_KEYS = 10_000   # doubtful keys up to here are looked for by value, in their buckets only; more are joined bucket by bucket
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(schemas.TABLES[name]).parquet(table_path(root, name))
+def _new_state(spark: SparkSession) -> dict:
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return {"id": uuid.uuid4().hex, "buckets": buckets, "runs": [],
+            "tables": {name: {"loads": [], "rows": 0, "filter": None, "segments": 0} for name in schemas.TABLES}}
 
 
-def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    try:
-        spark.read.schema(schemas.TABLES[name]).parquet(table_path(root, name)).schema
-        return True
-    except AnalysisException:
-        return False
+def current(spark: SparkSession, root: str) -> dict:
+    state = commits.read(spark, root.rstrip("/"))
+    if state is None:
+        raise ValueError(f"no tables under {root}")
+    return state
 
 
 def ensure_tables(spark: SparkSession, root: str) -> None:
-    """Create the six tables where they are absent; leaves existing ones as they are."""
-    for name, schema in schemas.TABLES.items():
-        if not table_exists(spark, root, name):
-            spark.createDataFrame([], schema).write.parquet(table_path(root, name))
+    """Publish the first version, with six empty tables, where there is none; leaves existing tables as they are."""
+    root = root.rstrip("/")
+    if not commits.versions(spark, root):
+        commits.publish(spark, root, 0, _new_state(spark))
+
+
+def table_exists(spark: SparkSession, root: str, name: str) -> bool:
+    state = commits.read(spark, root.rstrip("/"))
+    return state is not None and name in state["tables"]
 
 
 def column_names(name: str) -> list[str]:
     return [field.split(" ")[0] for field in schemas.TABLES[name].split(", ")]
 
 
-def last_id(table: DataFrame) -> int:
-    return table.agg(F.max("id")).first()[0] or 0
+def _attached(spark: SparkSession, root: str, name: str, state: dict, loads: Sequence[str]) -> str:
+    """The session's name for the files of a table, with at least ``loads`` as partitions.
+
+    The catalogue entry is what tells Spark that the files are bucketed; which of them count is up to the manifest.
+    """
+    table = f"signalbase_{hashlib.md5(root.encode()).hexdigest()[:8]}_{state['id'][:8]}_{name}"
+    if not spark.catalog.tableExists(table):
+        buckets = f"CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {state['buckets']} BUCKETS" if name != LOG else ""
+        spark.sql(f"CREATE TABLE {table} ({schemas.TABLES[name]}, load string) USING parquet PARTITIONED BY (load) {buckets} "
+                  f"LOCATION '{root}/{name}'")
+    known = {row[0].removeprefix("load=") for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    missing = " ".join(f"PARTITION (load='{load}')" for load in loads if load not in known)
+    if missing:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {missing}")
+    return table
+
+
+def read_table(spark: SparkSession, root: str, name: str, state: dict | None = None) -> DataFrame:
+    """The rows of a table as of the newest version, or of the manifest ``state``."""
+    root = root.rstrip("/")
+    state = state or current(spark, root)
+    loads = state["tables"][name]["loads"]
+    rows = spark.table(_attached(spark, root, name, state, loads))
+    return rows.where(F.col("load").isin(loads)).select(column_names(name))
+
+
+def new_keys(spark: SparkSession, root: str, name: str, batch: DataFrame, state: dict, seq: str) -> DataFrame:
+    """(hash_key, seq) of the batch's rows to append: first of each key, none that is stored.
+
+    Keys that the filter has never seen are new without a look at the table. The others are compared with the stored keys: a
+    few by value, which reads the buckets that can hold them; many by a join on the buckets as they lie, which moves no
+    stored key.
+    """
+    firsts, entry = first_places(batch, seq, KEY), state["tables"][name]
+    if not entry["filter"]:
+        return firsts
+    probed = stage(prefilter.with_maybe(firsts, KEY, spark.read.parquet(entry["filter"]), entry["segments"]), "probed")
+    doubtful = probed.where("maybe_stored").drop("maybe_stored")
+    stored = read_table(spark, root, name, state).select(KEY)
+    few = [row[0] for row in doubtful.select(KEY).limit(FEW_KEYS + 1).collect()]
+    if len(few) <= FEW_KEYS:
+        stored = stored.where(F.col(KEY).isin(few))
+    return probed.where("NOT maybe_stored").drop("maybe_stored").unionByName(anti_existing(doubtful, stored, KEY))
+
+
+def _append(spark: SparkSession, root: str, name: str, rows: DataFrame, state: dict, load: str) -> None:
+    """Write rows as one load that no manifest lists yet."""
+    table = _attached(spark, root, name, state, ())
+    if name != LOG:
+        rows = rows.repartition(state["buckets"], KEY)
+    rows.select(*column_names(name), F.lit(load).alias("load")).write.insertInto(table)
+
+
+def _filter_with(spark: SparkSession, root: str, name: str, keys: DataFrame, state: dict, entry: dict, load: str) -> dict:
+    """The table's filter with ``keys`` added, written anew; with more segments once the present ones are full."""
+    path = f"{root}/{name}_keys/{load}"
+    if entry["filter"] and entry["rows"] <= entry["segments"] * prefilter.KEYS:
+        segments = entry["segments"]
+        merged = prefilter.merge(spark.read.parquet(entry["filter"]), prefilter.build(keys, KEY, segments))
+    else:
+        segments = prefilter.segments_for(entry["rows"])
+        everything = keys.select(KEY).unionByName(read_table(spark, root, name, state).select(KEY))
+        merged = prefilter.build(everything, KEY, segments)
+    merged.write.parquet(path)
+    return {"filter": path, "segments": segments}
+
+
+def _load_new(spark: SparkSession, root: str, name: str, batch: DataFrame, state: dict, load: str, seq: str) -> dict:
+    """Append the new rows of one table; its entry for the next manifest."""
+    entry = state["tables"][name]
+    ids = stage(assign_ids(new_keys(spark, root, name, batch, state, seq), seq, entry["rows"]), "new-rows")
+    count = ids.count()
+    if not count:
+        return entry
+    _append(spark, root, name, batch.join(ids, [KEY, seq]), state, load)
+    entry = {**entry, "loads": [*entry["loads"], load], "rows": entry["rows"] + count}
+    return entry | _filter_with(spark, root, name, ids, state, entry, load)
+
+
+def _load_log(spark: SparkSession, root: str, logs: Sequence[DataFrame], state: dict, load: str, seq: str) -> dict:
+    """Append resolution log rows, one frame after the other; nothing is deduplicated."""
+    entry = state["tables"][LOG]
+    rows = logs[0].withColumn("_part", F.lit(0))
+    for i, more in enumerate(logs[1:], 1):
+        rows = rows.unionByName(more.withColumn("_part", F.lit(i)))
+    placed = stage(assign_ids(rows, seq, entry["rows"], lead=("_part",)), "log-rows")
+    count = placed.count()
+    if not count:
+        return entry
+    _append(spark, root, LOG, placed, state, load)
+    return {**entry, "loads": [*entry["loads"], load], "rows": entry["rows"] + count}
+
+
+def load_tables(spark: SparkSession, root: str, batches: dict[str, DataFrame], logs: Sequence[DataFrame] = (),
+                seq: str = "ingest_seq", run_id: str | None = None) -> dict:
+    """Insert-or-ignore ``batches`` (table columns without ``id``, plus ``seq``) and append ``logs``, all in one version.
+
+    If another writer publishes first, everything is decided again against what it has added; ids go on from there. A
+    ``run_id`` that was published before changes nothing, so a run that is repeated does not double its log. Returns the
+    manifest that holds the load. Batches are read once per try: pass written tables, not long plans.
+    """
+    root = root.rstrip("/")
+    ensure_tables(spark, root)
+    for _ in range(TRIES):
+        state = current(spark, root)
+        if run_id is not None and run_id in state["runs"]:
+            return state
+        load = uuid.uuid4().hex
+        entries = {name: _load_new(spark, root, name, batch, state, load, seq) for name, batch in batches.items()}
+        if logs:
+            entries[LOG] = _load_log(spark, root, logs, state, load, seq)
+        after = {**state, "tables": state["tables"] | entries, "runs": state["runs"] + ([run_id] if run_id else [])}
+        if commits.publish(spark, root, state["version"] + 1, after):
+            return {**after, "version": state["version"] + 1}
+    raise RuntimeError(f"{TRIES} other writers were first")
 
 
 def append_new(spark: SparkSession, root: str, name: str, batch: DataFrame, seq: str = "ingest_seq") -> None:
-    """Insert-or-ignore ``batch``: table columns without ``id``, plus ``seq``."""
-    stored = read_table(spark, root, name)
-    rows = insert_or_ignore(batch, stored, seq, start=last_id(stored))
-    rows.select(column_names(name)).write.mode("append").parquet(table_path(root, name))
+    """Insert-or-ignore one table's batch as a version of its own."""
+    load_tables(spark, root, {name: batch}, seq=seq)
 
 
 def append_log(spark: SparkSession, root: str, rows: DataFrame, seq: str = "ingest_seq") -> None:
-    """Append resolution log rows; nothing is deduplicated."""
-    name = "entity_mapping_logs"
-    start = last_id(read_table(spark, root, name))
-    assign_ids(rows, seq, start).select(column_names(name)).write.mode("append").parquet(table_path(root, name))
+    """Append resolution log rows as a version of their own."""
+    load_tables(spark, root, {}, [rows], seq)

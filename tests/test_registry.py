@@ -43,4 +43,4 @@ def test_scans_read_only_what_is_used(spark):
     plan = QUERIES["dead_letters"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in plan
     plan = QUERIES["assign_ids"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<o_orderkey:bigint>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,_place:bigint>" in plan

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import author_names, squash_ws
@@ -207,6 +209,24 @@ def read_globs(t: Tables):
     return landed.good_rows(landed.read_spaces(t.spark, f"{root}/dump-*/part-*", lines=True)).select("id")
 
 
+@query("SELECT 'space' AS source, o_orderkey AS key FROM orders UNION ALL SELECT 'page', page_id FROM pages")
+def union_of_broken(t: Tables):
+    """Two sources of which some files break off: an array cut short, an archive cut short, a Parquet file without a footer."""
+    spaces = land_json(t.orders.select("o_orderkey", F.col("o_orderkey").cast("string").alias("id")), "o_orderkey")
+    pages = fresh_path(t.spark, "landed-pages")
+    t.pages.select(F.col("page_id").cast("string").alias("url"), "html").write.parquet(pages)
+    for path, body in ((f"{spaces}/zz-cut.json", b'[{"id": '), (f"{spaces}/zz-packed.json.gz", gzip.compress(b"[" * 99)[:30]),
+                       (f"{pages}/zz.parquet", b"PAR1 and nothing")):
+        place = t.spark._jvm.org.apache.hadoop.fs.Path(path)
+        out = place.getFileSystem(t.spark._jsc.hadoopConfiguration()).create(place)
+        out.write(bytearray(body))
+        out.close()
+    return landed.union_sources({
+        "space": lambda: landed.good_rows(landed.read_spaces(t.spark, f"{spaces}/{{part-*,zz-*}}", lines=False)).select(
+            F.lit("space").alias("source"), F.col("id").cast("bigint").alias("key")),
+        "page": lambda: landed.read_pages(t.spark, pages).select(F.lit("page").alias("source"), F.col("url").cast("bigint").alias("key"))})
+
+
 @query("SELECT url, sha256(html) AS digest FROM pages")
 def read_pages(t: Tables):
     pages = landed.read_pages(t.spark, f"{t.folder}/pages.parquet")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..functions.text import first_nonempty
+from .ranges import broken_files, json_rows  # noqa: F401
 
 log = logging.getLogger(__name__)
 
@@ -22,6 +23,7 @@ CORRUPT = "_corrupt_record"
 ARRIVAL = "decimal(38,0)"            # wide enough for any number of sources and files, and files of any size
 SOURCE_UNIT, FILE_UNIT = Decimal(10**30), Decimal(10**19)
 BROADCAST_FILES = 50_000             # file lists up to here are broadcast; longer ones are joined by a shuffle
+PATIENT = {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}     # what can be read stays; broken_files names the rest
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
 
 
@@ -35,6 +37,10 @@ def one_slash(path: str) -> str:
     return re.sub(_SCHEME, r"\1:/", path)
 
 
+def _arrival(source_no: int, file, place) -> Column:
+    return (F.lit(source_no * SOURCE_UNIT).cast(ARRIVAL) + F.col(file).cast("decimal(12,0)") * F.lit(FILE_UNIT) + F.col(place)).cast(ARRIVAL)
+
+
 def with_arrival(df: DataFrame, source_no: int = 0) -> DataFrame:
     """Replace ``_path`` and ``_block`` by ``ingest_seq``: source, then file in path order, then place in file.
 
@@ -49,11 +55,9 @@ def with_arrival(df: DataFrame, source_no: int = 0) -> DataFrame:
         numbers = F.broadcast(numbers)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     placed = df.withColumn("_place", F.col("_block") + row)
-    seq = (F.lit(source_no * SOURCE_UNIT).cast(ARRIVAL) + F.col("_file").cast("decimal(12,0)") * F.lit(FILE_UNIT)
-           + F.col("_place")).cast(ARRIVAL)
     numbered = placed.withColumn("_path", F.regexp_replace("_path", _SCHEME, "$1:/")).join(numbers, "_path", "left")
     known = F.when(F.col("_file").isNull(), F.raise_error(F.concat(
-        F.lit("row from a file that was not listed: "), "_path")).cast(ARRIVAL)).otherwise(seq)
+        F.lit("row from a file that was not listed: "), "_path")).cast(ARRIVAL)).otherwise(_arrival(source_no, "_file", "_place"))
     return numbered.withColumn("ingest_seq", known).drop("_path", "_block", "_file", "_place")
 
 
@@ -64,23 +68,32 @@ def _with_origin(df: DataFrame, *columns) -> DataFrame:
 
 def read_json(spark: SparkSession, path: str, schema: str, rows: str | None = None, source_no: int = 0,
               lines: bool = False) -> DataFrame:
-    """JSON snapshot, whole files by default or one document per line. ``rows`` names the array that holds the rows.
+    """JSON snapshot, one document per file or one per line. ``rows`` names the array that holds the rows.
 
     A document is first cut into the texts of its rows and each row is parsed by itself, so a bad value sets one row aside:
-    its text goes to ``_corrupt_record``. A document that cannot be cut gives one such row with its whole text.
+    its text goes to ``_corrupt_record``. A document that cannot be cut gives one such row with its whole text, a file that
+    cannot be read to its end one with the problem; all rows before that stay. Files of any size are read by many tasks.
     """
-    raw = _with_origin(spark.read.text(path, wholetext=not lines), "value").filter(F.trim("value") != "")
+    fields = schema if rows is None else schema.split("array<struct<", 1)[1].removesuffix(">>")
+    parsed = F.from_json("text", f"struct<{_typed(fields)},{CORRUPT}:string>", {"columnNameOfCorruptRecord": CORRUPT}).alias("_row")
+    if lines:
+        return with_arrival(_cut_lines(spark, path, rows).select(parsed, "_path", "_block").select("_row.*", "_path", "_block"), source_no)
+    cut = json_rows(spark, path, rows).withColumn("ingest_seq", _arrival(source_no, "file", "place"))
+    told = F.concat(F.lit("unreadable "), "path", F.lit(": "), "problem")
+    split = cut.select(parsed, "path", "problem", "ingest_seq").select("_row.*", "path", "problem", "ingest_seq")
+    return split.withColumn(CORRUPT, F.coalesce(CORRUPT, told)).drop("path", "problem")
+
+
+def _cut_lines(spark: SparkSession, path: str, rows: str | None) -> DataFrame:
+    """The rows of the documents of a text file with one document per line."""
+    raw = _with_origin(spark.read.text(path), "value").filter(F.trim("value") != "")
     if rows is None:
         listed = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
-        fields = schema
     else:
         whole = F.from_json("value", f"{rows} array<string>, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
         listed = F.when(whole[CORRUPT].isNull(), F.coalesce(whole[rows], F.array().cast("array<string>")))
-        fields = schema.split("array<struct<", 1)[1].removesuffix(">>")
-    elements = raw.select("_path", "_block", F.explode(F.coalesce(listed, F.array("value"))).alias("_text"))
-    parsed = elements.filter(F.col("_text").isNotNull()).select("_path", "_block", F.from_json(
-        "_text", f"struct<{_typed(fields)},{CORRUPT}:string>", {"columnNameOfCorruptRecord": CORRUPT}).alias("_row"))
-    return with_arrival(parsed.select("_row.*", "_path", "_block"), source_no)
+    elements = raw.select("_path", "_block", F.explode(F.coalesce(listed, F.array("value"))).alias("text"))
+    return elements.filter(F.col("text").isNotNull())
 
 
 def _typed(fields: str) -> str:
@@ -91,7 +104,7 @@ def _typed(fields: str) -> str:
 def read_xml(spark: SparkSession, path: str, schema: str, row_tag: str, source_no: int = 0) -> DataFrame:
     """Elements ``row_tag`` of XML snapshots, name spaces left out."""
     raw = (spark.read.format("xml").schema(f"{schema}, {CORRUPT} string").option("rowTag", row_tag)
-           .option("ignoreNamespace", True).option("columnNameOfCorruptRecord", CORRUPT).load(path))
+           .option("ignoreNamespace", True).option("columnNameOfCorruptRecord", CORRUPT).options(**PATIENT).load(path))
     return with_arrival(_with_origin(raw, "*"), source_no)
 
 
@@ -156,15 +169,16 @@ def read_feeds(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("url", "html")
+    return spark.read.schema(schemas.PAGES).options(**PATIENT).parquet(path)
 
 
 def read_repo_stats(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.REPO_STATS).parquet(path)
+    return spark.read.schema(schemas.REPO_STATS).options(**PATIENT).parquet(path)
 
 
 def union_sources(sources: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Rows of all sources. A source that cannot be opened is left out with a warning; the others go on."""
+    """Rows of all sources. A source that is absent is left out with a warning; of one that breaks off while it is read the
+    readable rows stay (``broken_files`` names its broken files). The others go on."""
     whole = None
     for name, read in sources.items():
         try:

@@ -22,7 +22,8 @@ log = logging.getLogger(__name__)
 
 def load_landing(spark: SparkSession, root: str, quarantine: str, lines: bool = False) -> Landed:
     """Landed rows of all sources. A source that is absent is empty and listed in ``skipped`` of the quarantine; rows that
-    do not parse go to ``corrupt`` there. All folders under ``news`` are read, those without a known name last."""
+    do not parse go to ``corrupt`` there, and files that break off are listed in ``broken``, what could be read of them stays.
+    All folders under ``news`` are read, those without a known name last."""
     root, quarantine = root.rstrip("/"), quarantine.rstrip("/")
 
     def missing(name: str, problem: AnalysisException) -> None:
@@ -32,9 +33,15 @@ def load_landing(spark: SparkSession, root: str, quarantine: str, lines: bool =
         spark.createDataFrame([(name, str(problem))], "source string, problem string").write.mode("append").parquet(
             f"{quarantine}/skipped")
 
-    def source(name: str, read: Callable[[], DataFrame], empty: str) -> DataFrame:
+    def broken(name: str, kind: str) -> None:
+        (L.broken_files(spark, f"{root}/{name}", kind).select(F.lit(name).alias("source"), "path", "problem")
+         .write.mode("append").parquet(f"{quarantine}/broken"))
+
+    def source(name: str, read: Callable[[], DataFrame], empty: str, kind: str = "xml") -> DataFrame:
         try:
             rows = read()
+            if kind == "xml":       # JSON tells of broken files by itself
+                broken(name, kind)
         except AnalysisException as problem:
             missing(name, problem)
             return spark.createDataFrame([], f"{empty}, ingest_seq {L.ARRIVAL}")
@@ -43,13 +50,15 @@ def load_landing(spark: SparkSession, root: str, quarantine: str, lines: bool =
 
     def table(name: str, read: Callable[[SparkSession, str], DataFrame], schema: str) -> DataFrame:
         try:
-            return read(spark, f"{root}/{name}")
+            rows = read(spark, f"{root}/{name}")
+            broken(name, "parquet")
+            return rows
         except AnalysisException as problem:
             missing(name, problem)
             return spark.createDataFrame([], schema)
 
     def json_rows(name, read, schema):
-        return source(name, lambda: read(spark, f"{root}/{name}", lines=lines), schema)
+        return source(name, lambda: read(spark, f"{root}/{name}", lines=lines), schema, "json")
 
     feed_row = "title string, published string, link string, summary string, source_name string"
     names = [*fixed.NEWS_FEED_NAMES, *sorted(set(_folders(spark, f"{root}/news")) - set(fixed.NEWS_FEED_NAMES))]

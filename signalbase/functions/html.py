@@ -15,8 +15,9 @@ _RAW = r"(?is)<!--.*?-->|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
 _DROPPED = [tag for tag in fixed.PAGE_NOISE_TAGS if tag not in ("script", "style")]
 _TOKEN = r"""<[A-Za-z/!?](?:[^'">]++|"[^"]*+"|'[^']*+')*+>|[^<]+|<"""
 _TAG_NAME = r"^<(/?[A-Za-z][^\s/>]*)"
-_OPEN = "array<struct<at:int,name:string>>"
 _SPANS = "array<struct<first:int,last:int,name:string>>"
+_BAR, _AT = "\x01", "\x02"      # around an entry of the list of open elements, and between its name and its place
+_PART = 64                      # spans that are gathered before they are put aside, so that no long array is copied at each tag
 
 _NAMES = {name.removesuffix(";"): chars for name, chars in html5.items() if name.endswith(";")}
 _BARE = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)    # may stand without semicolon
@@ -67,8 +68,10 @@ def paragraph_texts(html) -> Column:
 
     An unclosed ``<p>`` runs on to the end of its parent, so its text holds that of the paragraphs inside it.
     Noise elements are left out with all that is in them; an unclosed one ends with its parent too.
-    The fold keeps the open elements and notes, for each ``<p>`` and noise element, its first and last token. Texts are
-    cut out of the token list afterwards, so no text is copied while folding.
+
+    One pass over the tags keeps the open elements as one text, the newest first, and notes the first and last token of each
+    ``<p>`` and of each noise element that is in no other. Noise is then cut out of the token list in one go, so that
+    a paragraph is the join of a slice. The work grows with the page and the texts, not with their square.
     """
     clean = F.regexp_replace(as_col(html), _RAW, "")
     return let(F.regexp_extract_all(clean, F.lit(_TOKEN), F.lit(0)), _paragraphs_of)
@@ -77,51 +80,68 @@ def paragraph_texts(html) -> Column:
 def _tag_of(token: Column, at: Column) -> Column:
     """Place and name of a tag: ``p`` for an opening one, ``/p`` for a closing one, empty where nothing is held."""
     name = F.when(token.startswith("<"), F.lower(F.regexp_extract(token, _TAG_NAME, 1))).otherwise(F.lit(""))
-    return F.struct(
-        (at + 1).alias("at"),
-        F.when(token.endswith("/>") | name.isin(fixed.VOID_TAGS), F.lit("")).otherwise(name).alias("name"))
+    return F.struct((at + 1).alias("at"), F.when(token.endswith("/>") | name.isin(fixed.VOID_TAGS), F.lit("")).otherwise(
+        F.translate(name, _BAR + _AT, "__")).alias("name"))
+
+
+def _state(opened: Column, aside: Column, spans: Column) -> Column:
+    return F.struct(opened.alias("open"), aside.alias("aside"), spans.alias("spans"))
 
 
 def _step(state: Column, tag: Column) -> Column:
-    opened, spans = state["open"], state["spans"]
-    closing = F.substr(tag["name"], F.lit(2))
-    # Number of open elements that stay open: those before the last one of the closing tag's name, or all.
-    stay = F.when(~tag["name"].startswith("/"), -1).otherwise(F.coalesce(
-        F.array_max(F.transform(opened, lambda o, i: F.when(o["name"] == closing, i))), F.size(opened)))
-    return let(stay, lambda n: F.when(n < 0, F.struct(
-        F.concat(opened, F.array(tag)).alias("open"), spans.alias("spans"))).otherwise(F.struct(
-            F.slice(opened, F.lit(1), n).alias("open"),
-            F.concat(spans, _ended(F.slice(opened, n + 1, F.size(opened)), tag["at"])).alias("spans"))))
-
-
-def _ended(opened: Column, at: Column) -> Column:
-    """Token spans of the ``<p>`` and noise elements among ``opened``, ended by token ``at``."""
-    return F.transform(
-        F.filter(opened, lambda o: o["name"].isin("p", *_DROPPED)),
-        lambda o: F.struct(o["at"].alias("first"), at.alias("last"), o["name"].alias("name")))
+    """``open`` is |name@place|name@place|, the newest element first, so the first hit of a name is its last open element."""
+    opened, aside, spans = state["open"], state["aside"], state["spans"]
+    pushed = F.concat(F.lit(_BAR), tag["name"], F.lit(_AT), tag["at"].cast("string"), opened)
+    hit = F.instr(opened, F.concat(F.lit(_BAR), F.substr(tag["name"], F.lit(2)), F.lit(_AT)))
+
+    def closed(place: Column) -> Column:
+        end = F.call_function("locate", F.lit(_BAR), opened, place + 1)
+        gone = F.concat(spans, _ended(F.substr(opened, F.lit(1), end), F.substr(opened, end), tag["at"]))
+        return let(gone, lambda now: F.when(F.size(now) < _PART, _state(F.substr(opened, end), aside, now)).otherwise(
+            _state(F.substr(opened, end), F.concat(aside, F.array(now)), F.array().cast(_SPANS))))
+
+    return F.when(~tag["name"].startswith("/"), _state(pushed, aside, spans)).otherwise(
+        let(hit, lambda place: F.when(place == 0, state).otherwise(closed(place))))
+
+
+def _ended(popped: Column, left: Column, at: Column) -> Column:
+    """Token spans of the ``<p>`` elements in ``popped``, and of its outermost noise element if none in ``left`` holds that."""
+    span = lambda e: F.struct(F.substring_index(e, _AT, -1).cast("int").alias("first"), at.alias("last"),
+                              F.substring_index(e, _AT, 1).alias("name"))
+    noise = "(" + "|".join(_DROPPED) + ")" + _AT
+    none = F.array().cast(_SPANS)
+    found = F.split(popped, _BAR)
+    paragraphs = F.when(popped.contains(f"{_BAR}p{_AT}"), F.transform(F.filter(found, lambda e: e.startswith(f"p{_AT}")), span)).otherwise(none)
+    outer = F.when(popped.rlike(_BAR + noise) & ~left.rlike(_BAR + noise), F.transform(
+        F.slice(F.filter(found, lambda e: e.rlike("^" + noise)), -1, 1), span)).otherwise(none)
+    return F.concat(paragraphs, outer)
 
 
 def _paragraphs_of(tokens: Column) -> Column:
-    start = F.struct(F.array().cast(_OPEN).alias("open"), F.array().cast(_SPANS).alias("spans"))
+    start = _state(F.lit(_BAR), F.array().cast(f"array<{_SPANS}>"), F.array().cast(_SPANS))
     tags = F.filter(F.transform(tokens, _tag_of), lambda t: t["name"] != "")
-    return let(F.aggregate(
-        tags, start, _step,
-        lambda s: F.array_sort(F.concat(s["spans"], _ended(s["open"], F.size(tokens) + 1)))),
-        lambda spans: _texts_of(tokens, spans))
-
-
-def _texts_of(tokens: Column, spans: Column) -> Column:
-    def text_of(span: Column, noise: Column) -> Column:
-        kept = F.filter(
-            F.slice(tokens, span["first"] + 1, span["last"] - span["first"] - 1),
-            lambda t, i: ~(t.startswith("<") & t.rlike(r"^</?[A-Za-z!?]")) & ~F.exists(
-                noise, lambda n: (n["first"] <= span["first"] + 1 + i) & (span["first"] + 1 + i < n["last"])))
-        return py_strip(unescape(F.array_join(kept, "")))
-
-    return let(F.filter(spans, lambda s: s["name"] != "p"), lambda noise: F.transform(
-        F.filter(spans, lambda s: (s["name"] == "p") & ~F.exists(
-            noise, lambda n: (n["first"] < s["first"]) & (s["first"] < n["last"]))),
-        lambda s: text_of(s, noise)))
+    return let(F.aggregate(tags, start, _step, lambda s: F.array_sort(F.flatten(F.concat(
+        s["aside"], F.array(s["spans"], _ended(s["open"], F.lit(""), F.size(tokens) + 1)))))),
+        lambda spans: let(F.filter(spans, lambda s: s["name"] != "p"), lambda noise: let(
+            _without(tokens, noise), lambda kept: _texts_of(kept, spans))))
+
+
+def _without(tokens: Column, noise: Column) -> Column:
+    """The tokens, null inside noise and empty where they are tags. Noise spans are sorted and apart."""
+    def before(k: Column) -> Column:
+        return F.coalesce(F.get(noise, k - 1)["last"], F.lit(1))
+
+    pieces = F.transform(noise, lambda n, k: F.concat(
+        F.slice(tokens, before(k), n["first"] - before(k)), F.array_repeat(F.lit(None).cast("string"), n["last"] - n["first"])))
+    rest = let(before(F.size(noise)), lambda at: F.slice(tokens, at, F.greatest(F.size(tokens) - at + 1, F.lit(0))))
+    whole = F.when(F.size(noise) == 0, tokens).otherwise(F.flatten(F.concat(pieces, F.array(rest))))
+    return F.transform(whole, lambda t: F.when(t.startswith("<") & t.rlike(r"^</?[A-Za-z!?]"), F.lit("")).otherwise(t))
+
+
+def _texts_of(kept: Column, spans: Column) -> Column:
+    return F.transform(
+        F.filter(spans, lambda s: (s["name"] == "p") & F.get(kept, s["first"] - 1).isNotNull()),
+        lambda s: py_strip(unescape(F.array_join(F.slice(kept, s["first"] + 1, s["last"] - s["first"] - 1), ""))))
 
 
 def page_paragraphs(html) -> Column:

@@ -1,166 +1,120 @@
-"""Company name resolution against a catalogue of aliases."""
+"""Company name resolution against a catalogue of aliases.
+
+The catalogue is an index of two kinds of keys. Every alias is a key for whole names. An alias that may stand inside a name is
+also listed under its rarest word, the one that the fewest aliases have; a name that holds the alias holds that word, so a
+name is compared only with the aliases listed under its words. One plan serves catalogues of any size; Spark broadcasts
+what turns out to be small.
+"""
 
 from __future__ import annotations
 
-import json
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed
-from ..functions.text import let, normalize_name, py_strip, title_name
+from ..functions.text import normalize_name, py_strip, title_name
 from ..session import stage
 from .skew import salted_join
 
-INLINE_ALIASES = 2000   # up to here the catalogue travels inside the plan; beyond it is a shuffled join
 MIN_CONTAINED = 3       # an alias must be longer than this to match as a part of a name
+_WHOLE, _WORD = "=", "~"
 
 
 @dataclass(frozen=True)
 class Catalogue:
-    """Aliases in lookup order: ``(alias, canonical, priority)``, each alias once.
-
-    ``entries`` is filled for small catalogues only; ``max_words`` is the longest alias in blank-separated words.
-    """
+    """Aliases in lookup order: ``frame(alias, canonical, priority)``, each alias once, and ``index`` with a ``key`` besides."""
 
     frame: DataFrame
-    max_words: int
-    entries: tuple = ()
+    index: DataFrame
 
     @staticmethod
-    def from_frame(frame: DataFrame, inline: int = INLINE_ALIASES) -> Catalogue:
-        """The size check reads at most ``inline + 1`` rows to the driver."""
-        # As a written table: it is read several times, and joins on it stay plain shuffles whose frequent keys AQE can split.
+    def from_frame(frame: DataFrame) -> Catalogue:
+        """Aliases are compared in lower case; one given twice keeps its first place and its last canonical name."""
         frame = stage(frame.groupBy(F.lower("alias").alias("alias")).agg(
             F.max_by("canonical", "priority").alias("canonical"), F.min("priority").alias("priority")), "catalogue")
-        head = frame.limit(inline + 1).collect()
-        if len(head) <= inline:
-            return Catalogue.from_entries(
-                frame.sparkSession, [(r["alias"], r["canonical"]) for r in sorted(head, key=lambda r: r["priority"])])
-        words = frame.agg(F.max(F.size(F.split("alias", " ", -1)))).first()[0]
-        return Catalogue(frame, words)
+        return Catalogue(frame, stage(_index(frame), "alias-index"))
 
     @staticmethod
     def from_entries(spark: SparkSession, entries) -> Catalogue:
-        """Aliases are compared in lower case; one given twice keeps its first place and its last canonical name.
-
-        Beyond INLINE_ALIASES aliases the catalogue is only kept as a table.
-        """
-        entries = tuple({alias.lower(): canonical for alias, canonical in entries}.items())
-        rows = [{"alias": a, "canonical": c, "priority": i} for i, (a, c) in enumerate(entries)]
-        frame = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(
-            F.lit(json.dumps(rows)), "array<struct<alias:string,canonical:string,priority:int>>")))
-        return Catalogue(frame, max((len(a.split(" ")) for a, _ in entries), default=1), entries if len(entries) <= INLINE_ALIASES else ())
+        """A catalogue of (alias, canonical) pairs in lookup order."""
+        rows = [(a, c, i) for i, (a, c) in enumerate(entries)]
+        return Catalogue.from_frame(spark.createDataFrame(rows, "alias string, canonical string, priority int"))
 
     @staticmethod
     def built_in(spark: SparkSession) -> Catalogue:
         return Catalogue.from_entries(spark, catalogue_entries())
 
 
+def _words(c: Column) -> Column:
+    return F.array_distinct(F.split(c, " ", -1))
+
+
+def _index(frame: DataFrame) -> DataFrame:
+    """``key, alias, canonical, priority``: whole aliases, and usable ones by their rarest word."""
+    words = frame.filter(F.char_length("alias") > MIN_CONTAINED).select("*", F.explode(_words(F.col("alias"))).alias("word"))
+    counted = salted_join(words, words.groupBy("word").agg(F.count("*").alias("aliases")), "word", "inner")
+    rarest = counted.groupBy("alias", "canonical", "priority").agg(
+        F.min(F.struct(F.col("word") == "", "aliases", "word"))["word"].alias("word"))
+    return (frame.select(F.concat(F.lit(_WHOLE), "alias").alias("key"), "alias", "canonical", "priority")
+            .unionByName(rarest.select(F.concat(F.lit(_WORD), "word").alias("key"), "alias", "canonical", "priority")))
+
+
 def catalogue_entries(catalogue: list[tuple[str, list[str]]] = fixed.CATALOGUE) -> list[tuple[str, str]]:
     """(alias, canonical) pairs; a canonical name in lower case is its own first alias."""
     found = {alias.lower(): canonical for canonical, aliases in catalogue for alias in [canonical, *aliases]}
     return list(found.items())
 
 
-def word_runs(c: Column, max_words: int) -> Column:
-    """All runs of 1 to ``max_words`` blank-separated words of a text, each once."""
-    def runs_of(words: Column, n: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: i + (n - 1) <= F.size(words))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+def name_hits(names: DataFrame, name: str, catalogue: Catalogue, exact=True, normalized=True, inside=True) -> DataFrame:
+    """The catalogue entries that each distinct name meets: (name, rank, alias, canonical, priority).
+
+    Rank 0 is the trimmed, lowered name itself, 1 the name without punctuation and suffix words, 2 an alias that stands in the
+    lowered name as whole blank-separated words. Words that very many names hold are spread by salting.
+    """
+    lowered = F.lower(py_strip(name))
+
+    def keys(rank: int, sign: str, words: Column) -> Column:
+        return F.transform(words, lambda w: F.struct(F.lit(rank).alias("rank"), F.concat(F.lit(sign), w).alias("key")))
 
-    return let(F.split(c, " ", -1), lambda words: F.array_distinct(F.concat(
-        *[runs_of(words, n) for n in range(1, max_words + 1)])))
+    wanted = [keys(0, _WHOLE, F.array(lowered))] * exact + [keys(1, _WHOLE, F.array(normalize_name(lowered)))] * normalized + [
+        keys(2, _WORD, _words(lowered))] * inside
+    looked_up = (names.select(name).filter(F.col(name).isNotNull()).distinct()
+                 .select(name, lowered.alias("_lower"), F.explode(F.concat(*wanted)).alias("k")).select(name, "_lower", "k.rank", "k.key"))
+    stands_in = F.concat(F.lit(" "), "_lower", F.lit(" ")).contains(F.concat(F.lit(" "), "alias", F.lit(" ")))
+    return (salted_join(looked_up, catalogue.index, "key", "inner").filter((F.col("rank") < 2) | stands_in)
+            .select(name, "rank", "alias", "canonical", "priority"))
 
 
-def _join_alias(df: DataFrame, catalogue: Catalogue, key: str, out: str) -> DataFrame:
-    """Exact alias lookup; only catalogues within the checked size are broadcast."""
-    side = catalogue.frame.select(F.col("alias").alias(key), F.col("canonical").alias(out))
-    return df.join(F.broadcast(side), key, "left") if catalogue.entries else salted_join(df, side, key)
+def _seed(df: DataFrame, name: str, catalogue: Catalogue, out: str, **kinds: bool) -> DataFrame:
+    """Adds ``out``: the first canonical name of the hits asked for. Hits are written, so that Spark knows their size."""
+    hits = name_hits(df, name, catalogue, **kinds).groupBy(name).agg(F.min_by("canonical", "priority").alias(out))
+    return salted_join(df, stage(hits, "name-hits"), name)
 
 
 def seed_exact(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
     """Adds ``exact``: canonical name for the trimmed, lowered name."""
-    keyed = df.withColumn("_key", F.lower(py_strip(name)))
-    return _join_alias(keyed, catalogue, "_key", "exact").drop("_key")
+    return _seed(df, name, catalogue, "exact", normalized=False, inside=False)
 
 
 def seed_normalized(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
     """Adds ``normalized``: canonical name for the name without punctuation and suffix words."""
-    keyed = df.withColumn("_key", normalize_name(F.lower(py_strip(name))))
-    return _join_alias(keyed, catalogue, "_key", "normalized").drop("_key")
-
-
-def contained_names(names: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
-    """For each distinct name, the first catalogue alias contained in it as whole words: (name, contained).
-
-    The test is on blank-separated text, so it equals "a run of the name's words is an alias". Runs are exploded and
-    equi-joined, which avoids comparing every name with every alias.
-    """
-    lowered = F.lower(py_strip(name))
-    runs = (names.select(name).distinct()
-            .select(name, F.explode(word_runs(lowered, catalogue.max_words)).alias("alias"))
-            .filter(F.char_length("alias") > MIN_CONTAINED))
-    side = F.broadcast(catalogue.frame) if catalogue.entries else catalogue.frame
-    return (runs.join(side, "alias")
-            .groupBy(name).agg(F.min_by("canonical", "priority").alias("contained")))
+    return _seed(df, name, catalogue, "normalized", exact=False, inside=False)
 
 
 def seed_substring(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
-    """Adds ``contained``, by joining the resolved distinct names back to all rows."""
-    return salted_join(df, contained_names(df, name, catalogue), name)
-
-
-def _first_contained(padded: Column, catalogue: Catalogue) -> Column:
-    """The same test inside one row, for catalogues that fit into the plan."""
-    usable = [(a, c) for a, c in catalogue.entries if len(a) > MIN_CONTAINED]
-    if not usable:
-        return F.lit(None).cast("string")
-    pairs = F.from_json(
-        F.lit(json.dumps([{"a": f" {a} ", "c": c} for a, c in usable])), "array<struct<a:string,c:string>>")
-    any_alias = "(?<= )(?:" + "|".join(re.escape(a) for a, _ in usable) + ")(?= )"
-    return F.when(padded.rlike(any_alias), F.get(F.filter(pairs, lambda p: padded.contains(p["a"])), 0)["c"])
+    """Adds ``contained``: canonical name of the first alias contained as whole words."""
+    return _seed(df, name, catalogue, "contained", exact=False, normalized=False)
 
 
 def resolve_entities(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
     """Adds ``canonical``, ``method`` and ``confidence`` for the company name in column ``name``.
 
-    Order: blank, exact alias, alias after normalising, alias contained as whole words, rule.
-
-    A small catalogue is looked up in the rows themselves, with no shuffle, so a name that fills a third of the
-    table costs nothing extra. A large one is looked up once per distinct name and joined back with salting.
+    Order: blank, exact alias, alias after normalising, alias contained as whole words, rule. Names are looked up once each;
+    the best hits are written and joined back, with salting for names that fill a large share of the rows.
     """
-    if catalogue.entries:
-        return _resolve_in_rows(df, name, catalogue)
-    return _resolve_by_name(df, name, catalogue)
-
-
-def _resolve_in_rows(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
-    keyed = df.withColumn("_lower", F.lower(py_strip(F.coalesce(F.col(name), F.lit("")))))
-    keyed = keyed.withColumn("_padded", F.concat(F.lit(" "), F.col("_lower"), F.lit(" ")))
-    keyed = _join_alias(keyed.withColumn("_exact_key", F.col("_lower")), catalogue, "_exact_key", "_exact")
-    keyed = keyed.withColumn("_norm_key", F.when(F.col("_exact").isNull(), normalize_name("_lower")))
-    keyed = _join_alias(keyed, catalogue, "_norm_key", "_normalized")
-    keyed = keyed.withColumn("_contained", F.when(
-        F.col("_exact").isNull() & F.col("_normalized").isNull(), _first_contained(F.col("_padded"), catalogue)))
-    return _with_outcome(keyed, name).drop("_padded", "_exact_key", "_norm_key")
-
-
-def _resolve_by_name(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
-    """One join of all candidate keys of the distinct names, the best hit per name, and a salted join back."""
-    lowered = F.lower(py_strip(name))
-    ranked = F.concat(
-        F.array(F.struct(F.lit(0).alias("rank"), lowered.alias("alias")),
-                F.struct(F.lit(1).alias("rank"), normalize_name(lowered).alias("alias"))),
-        F.transform(
-            F.filter(word_runs(lowered, catalogue.max_words), lambda r: F.char_length(r) > MIN_CONTAINED),
-            lambda r: F.struct(F.lit(2).alias("rank"), r.alias("alias"))))
-    hits = (df.select(name).filter(F.col(name).isNotNull()).distinct()
-            .select(name, F.explode(ranked).alias("k")).select(name, "k.rank", "k.alias")
-            .join(catalogue.frame, "alias")
-            .groupBy(name).agg(F.min(F.struct("rank", "priority", "canonical")).alias("_hit")))
-    joined = salted_join(df, hits, name).withColumns({
+    hits = name_hits(df, name, catalogue).groupBy(name).agg(F.min(F.struct("rank", "priority", "canonical")).alias("_hit"))
+    joined = salted_join(df, stage(hits, "name-hits"), name).withColumns({
         "_lower": F.lower(py_strip(F.coalesce(F.col(name), F.lit("")))),
         "_exact": F.when(F.col("_hit.rank") == 0, F.col("_hit.canonical")),
         "_normalized": F.when(F.col("_hit.rank") == 1, F.col("_hit.canonical")),

@@ -56,10 +56,11 @@ def resolve_entities(t: Tables):
 
 @query(_RESOLVED)
 def resolve_entities_large_catalogue(t: Tables):
-    """The same result by the way taken for catalogues beyond the inline size."""
-    built_in = resolve.Catalogue.built_in(t.spark)
-    shuffled = resolve.Catalogue(built_in.frame, built_in.max_words)
-    return resolve.resolve_entities(company_names(t), "raw_name", shuffled).select(
+    """The same result with an alias of several words for each part besides, which no name holds."""
+    more = t.part.select(F.concat_ws(" ", F.lit("part"), F.lower("p_name"), F.lit("number"), "p_partkey").alias("alias"),
+                         F.col("p_brand").alias("canonical"), (F.col("p_partkey") + 1_000_000).cast("int").alias("priority"))
+    catalogue = resolve.Catalogue.from_frame(resolve.Catalogue.built_in(t.spark).frame.unionByName(more))
+    return resolve.resolve_entities(company_names(t), "raw_name", catalogue).select(
         "c_custkey", "canonical", "method", "confidence")
 
 

@@ -36,19 +36,20 @@ def _bit(position: Column) -> Column:
 
 
 def build(keys: DataFrame, key: str, segments: int) -> DataFrame:
-    """``segment, words`` of a table's keys; segments without a key have no row."""
+    """``segment, words`` of a table's keys, a row for each of the ``segments``."""
     bits = keys.select(_segment(key, segments), F.explode(_positions(key)).alias("p"))
-    words = bits.groupBy("segment", F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(_bit(F.col("p"))).alias("bits"))
-    held = words.groupBy("segment").agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("m"))  # WORDS entries at most
-    return held.select("segment", F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: F.coalesce(
-        F.try_element_at("m", w), F.lit(0).cast("long"))).alias("words"))
+    some = bits.groupBy("segment", F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(_bit(F.col("p"))).alias("bits"))
+    every = keys.sparkSession.range(segments * WORDS).select(
+        F.expr(f"id div {WORDS}").cast(some.schema["segment"].dataType).alias("segment"), (F.col("id") % WORDS).cast("int").alias("w"))
+    full = every.join(some, ["segment", "w"], "left").select("segment", F.struct("w", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("x"))
+    held = full.groupBy("segment").agg(F.sort_array(F.collect_list("x")).alias("xs"))       # WORDS entries each
+    return held.select("segment", F.transform("xs", lambda x: x["bits"]).alias("words"))
 
 
 def merge(one: DataFrame, other: DataFrame) -> DataFrame:
     """The filter of the keys of both; both must have the same number of segments."""
-    both = one.join(other.select("segment", F.col("words").alias("more")), "segment", "full")
-    joined = F.zip_with("words", "more", lambda a, b: a.bitwiseOR(b))
-    return both.select("segment", F.coalesce(joined, "words", "more").alias("words"))
+    both = one.join(other.select("segment", F.col("words").alias("more")), "segment")
+    return both.select("segment", F.zip_with("words", "more", lambda a, b: a.bitwiseOR(b)).alias("words"))
 
 
 def with_maybe(batch: DataFrame, key: str, filter_: DataFrame, segments: int) -> DataFrame:
@@ -57,6 +58,6 @@ def with_maybe(batch: DataFrame, key: str, filter_: DataFrame, segments: int) ->
     ``batch`` should hold each key once, so that no segment is hotter than another.
     """
     probed = batch.withColumn("_segment", _segment(key, segments)).join(
-        filter_.select(F.col("segment").alias("_segment"), F.col("words").alias("_words")), "_segment", "left")
+        filter_.select(F.col("segment").alias("_segment"), F.col("words").alias("_words")), "_segment")
     found = F.forall(_positions(key), lambda p: F.get("_words", F.shiftright(p, 6).cast("int")).bitwiseAND(_bit(p)) != 0)
-    return probed.withColumn("maybe_stored", F.col("_words").isNotNull() & F.coalesce(found, F.lit(False))).drop("_segment", "_words")
+    return probed.withColumn("maybe_stored", found).drop("_segment", "_words")

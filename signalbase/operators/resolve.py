@@ -43,7 +43,14 @@ class Catalogue:
 
     @staticmethod
     def built_in(spark: SparkSession) -> Catalogue:
-        return Catalogue.from_entries(spark, catalogue_entries())
+        """The catalogue of ``fixed``, written once for each application."""
+        application = spark.sparkContext.applicationId
+        if application not in _built_in:
+            _built_in[application] = Catalogue.from_entries(spark, catalogue_entries())
+        return _built_in[application]
+
+
+_built_in: dict[str, Catalogue] = {}
 
 
 def _words(c: Column) -> Column:
@@ -66,55 +73,57 @@ def catalogue_entries(catalogue: list[tuple[str, list[str]]] = fixed.CATALOGUE)
     return list(found.items())
 
 
-def name_hits(names: DataFrame, name: str, catalogue: Catalogue, exact=True, normalized=True, inside=True) -> DataFrame:
-    """The catalogue entries that each distinct name meets: (name, rank, alias, canonical, priority).
+def _inside(keys: DataFrame, catalogue: Catalogue) -> DataFrame:
+    """Of lookups (``_lower, key``, further columns) by alias or word, those whose alias is the name or stands in it."""
+    stands_in = F.concat(F.lit(" "), "_lower", F.lit(" ")).contains(F.concat(F.lit(" "), "alias", F.lit(" ")))
+    return salted_join(keys, catalogue.index, "key", "inner").filter(F.col("key").startswith(_WHOLE) | stands_in)
 
-    Rank 0 is the trimmed, lowered name itself, 1 the name without punctuation and suffix words, 2 an alias that stands in the
-    lowered name as whole blank-separated words. Words that very many names hold are spread by salting.
-    """
-    lowered = F.lower(py_strip(name))
 
-    def keys(rank: int, sign: str, words: Column) -> Column:
-        return F.transform(words, lambda w: F.struct(F.lit(rank).alias("rank"), F.concat(F.lit(sign), w).alias("key")))
+def _keys(sign: str, rank: int, words: Column) -> Column:
+    return F.transform(words, lambda w: F.struct(F.lit(rank).alias("rank"), F.concat(F.lit(sign), w).alias("key")))
 
-    wanted = [keys(0, _WHOLE, F.array(lowered))] * exact + [keys(1, _WHOLE, F.array(normalize_name(lowered)))] * normalized + [
-        keys(2, _WORD, _words(lowered))] * inside
-    looked_up = (names.select(name).filter(F.col(name).isNotNull()).distinct()
-                 .select(name, lowered.alias("_lower"), F.explode(F.concat(*wanted)).alias("k")).select(name, "_lower", "k.rank", "k.key"))
-    stands_in = F.concat(F.lit(" "), "_lower", F.lit(" ")).contains(F.concat(F.lit(" "), "alias", F.lit(" ")))
-    return (salted_join(looked_up, catalogue.index, "key", "inner").filter((F.col("rank") < 2) | stands_in)
-            .select(name, "rank", "alias", "canonical", "priority"))
 
+def _hits(df: DataFrame, name: str, catalogue: Catalogue, *keys: Column) -> DataFrame:
+    """The best hit of each distinct name, (rank, priority, canonical), written so that Spark knows how many there are."""
+    looked_up = (df.select(name).filter(F.col(name).isNotNull()).distinct()
+                 .select(name, F.lower(py_strip(name)).alias("_lower"), F.explode(F.concat(*keys)).alias("k"))
+                 .select(name, "_lower", "k.rank", "k.key"))
+    return stage(_inside(looked_up, catalogue).groupBy(name).agg(
+        F.min(F.struct("rank", "priority", "canonical")).alias("_hit")), "name-hits")
 
-def _seed(df: DataFrame, name: str, catalogue: Catalogue, out: str, **kinds: bool) -> DataFrame:
-    """Adds ``out``: the first canonical name of the hits asked for. Hits are written, so that Spark knows their size."""
-    hits = name_hits(df, name, catalogue, **kinds).groupBy(name).agg(F.min_by("canonical", "priority").alias(out))
-    return salted_join(df, stage(hits, "name-hits"), name)
+
+def _seed(df: DataFrame, key: Column, catalogue: Catalogue, out: str) -> DataFrame:
+    whole = catalogue.index.filter(F.col("key").startswith(_WHOLE)).select("key", F.col("canonical").alias(out))
+    return salted_join(df.withColumn("key", F.concat(F.lit(_WHOLE), key)), whole, "key").drop("key")
 
 
 def seed_exact(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
     """Adds ``exact``: canonical name for the trimmed, lowered name."""
-    return _seed(df, name, catalogue, "exact", normalized=False, inside=False)
+    return _seed(df, F.lower(py_strip(name)), catalogue, "exact")
 
 
 def seed_normalized(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
     """Adds ``normalized``: canonical name for the name without punctuation and suffix words."""
-    return _seed(df, name, catalogue, "normalized", exact=False, inside=False)
+    return _seed(df, normalize_name(F.lower(py_strip(name))), catalogue, "normalized")
 
 
 def seed_substring(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
-    """Adds ``contained``: canonical name of the first alias contained as whole words."""
-    return _seed(df, name, catalogue, "contained", exact=False, normalized=False)
+    """Adds ``contained``: canonical name of the first alias that stands in the name as whole blank-separated words."""
+    hits = _hits(df, name, catalogue, _keys(_WORD, 2, _words(F.lower(py_strip(name)))))
+    return salted_join(df, hits.select(name, F.col("_hit.canonical").alias("contained")), name)
 
 
 def resolve_entities(df: DataFrame, name: str, catalogue: Catalogue) -> DataFrame:
     """Adds ``canonical``, ``method`` and ``confidence`` for the company name in column ``name``.
 
-    Order: blank, exact alias, alias after normalising, alias contained as whole words, rule. Names are looked up once each;
-    the best hits are written and joined back, with salting for names that fill a large share of the rows.
+    Order: blank, exact alias, alias after normalising, alias contained as whole words, rule. ``df`` is read twice: names are
+    looked up once each, then the best hits are joined back, with salting if there are many. Pass a written table where
+    its rows are dear.
     """
-    hits = name_hits(df, name, catalogue).groupBy(name).agg(F.min(F.struct("rank", "priority", "canonical")).alias("_hit"))
-    joined = salted_join(df, stage(hits, "name-hits"), name).withColumns({
+    lowered = F.lower(py_strip(name))
+    hits = _hits(df, name, catalogue, _keys(_WHOLE, 0, F.array(lowered)), _keys(_WHOLE, 1, F.array(normalize_name(lowered))),
+                 _keys(_WORD, 2, _words(lowered)))
+    joined = salted_join(df, hits, name).withColumns({
         "_lower": F.lower(py_strip(F.coalesce(F.col(name), F.lit("")))),
         "_exact": F.when(F.col("_hit.rank") == 0, F.col("_hit.canonical")),
         "_normalized": F.when(F.col("_hit.rank") == 1, F.col("_hit.canonical")),

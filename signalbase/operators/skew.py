@@ -25,15 +25,25 @@ def frequent_keys(df: DataFrame, key: str) -> DataFrame:
             .select(F.col("t.item").alias(key), F.greatest(F.lit(SALTS), F.ceil(F.col("t.count") / SALT_ROWS)).cast("int").alias("_hot")))
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark knows ``df`` to be within its limit for broadcasts, as it does for small written tables."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left",
                 hot: DataFrame | None = None) -> DataFrame:
     """``facts`` joined (left or inner) with ``lookup``, which holds few rows per key.
 
+    A lookup known to be small goes out to all tasks, and ``facts`` stay where they are. Otherwise:
     A key with a large share of ``facts`` would put that share into one task. Its rows are spread over at least SALTS parts,
     by the partition they come from (so a retried task sends them to the same part), and its lookup rows are
     repeated for each part. Rows without a key are spread in the same way. Only the frequent keys, at most HOT_KEYS rows, are broadcast; pass them as ``hot`` where
     they are known.
     """
+    if is_small(lookup):
+        return facts.join(F.broadcast(lookup), key, how)
     hot = F.broadcast(frequent_keys(facts, key) if hot is None else hot)
     salted = facts.join(hot, key, "left").withColumn(
         "_salt", F.when(F.col(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(NULL_PARTS)))

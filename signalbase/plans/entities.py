@@ -13,6 +13,7 @@ from ..functions.text import (
 )
 from ..operators.limits import backfill
 from ..operators.resolve import Catalogue, resolve_entities
+from ..session import stage
 
 
 def directory_rows(df: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def resolved_entities(directory: DataFrame, spaces: DataFrame, catalogue: Catalo
                       target: int | None = None) -> DataFrame:
     """Rows within the target with resolved names; the parent of companies, products and log rows."""
     kept = backfill(directory_rows(directory), space_rows(spaces), "ingest_seq", target)
-    return resolve_entities(kept, "raw_name", catalogue)
+    return resolve_entities(stage(kept, "named"), "raw_name", catalogue)
 
 
 def startup_rows(resolved: DataFrame, run_ts: datetime) -> DataFrame:

@@ -11,6 +11,7 @@ from .. import fixed
 from ..functions.dates import fresh_only, from_epoch, parse_utc, py_isoformat
 from ..functions.text import any_keyword, company_from_title, keyword_or_tag, with_default
 from ..operators.resolve import Catalogue, resolve_entities
+from ..session import stage
 
 
 def _posting(df: DataFrame, company, url, home: str, remote: Column | None = None, date: str | None = None,
@@ -50,7 +51,7 @@ def resolved_jobs(boards: dict[str, DataFrame], cutoff: datetime, catalogue: Cat
     """Fresh postings of all boards with resolved companies; the parent of job records and of log rows."""
     postings = reduce(DataFrame.unionByName, [BOARDS[name](df) for name, df in boards.items()])
     dated = postings.withColumn("ts", F.coalesce(from_epoch("epoch"), parse_utc("raw_date"))).drop("epoch", "raw_date")
-    return resolve_entities(fresh_only(dated, "ts", cutoff), "raw_name", catalogue)
+    return resolve_entities(stage(fresh_only(dated, "ts", cutoff), "postings"), "raw_name", catalogue)
 
 
 def job_rows(resolved: DataFrame) -> DataFrame:

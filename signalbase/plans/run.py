@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,7 +14,7 @@ from ..operators.audit import table_counts
 from ..operators.records import flatten, to_record
 from ..operators.resolve import Catalogue, resolution_log
 from ..operators.validate import checked, split_checked
-from ..session import fresh_path, stage, use_utc
+from ..session import at_once, fresh_path, stage, use_utc
 from ..sinks.tables import load_tables, read_table
 from . import entities, jobs, news, papers
 
@@ -36,8 +37,8 @@ def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours:
         quarantine: str | None = None, run_id: str | None = None) -> DataFrame:
     """Load all tables under ``root`` as one version of them and return their row counts.
 
-    Resolved rows are written once to the shared folder, since records and log both come from them; so are checked
-    records, since good and bad ones both come from them. ``quarantine`` names the folder for records that break the
+    Named rows and the hits of their names are written to the shared folder, since records and log both come from them; so are
+    checked records, since good and bad ones both come from them. ``quarantine`` names the folder for records that break the
     contract. A run whose ``run_id`` was loaded before changes no table.
     """
     use_utc(spark)
@@ -45,22 +46,25 @@ def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours:
     cutoff = cutoff_of(run_ts, hours)
     quarantine = quarantine or fresh_path(spark, "quarantine")
 
-    companies = stage(entities.resolved_entities(landed.directory, landed.spaces, catalogue, target), "entities")
-    postings = stage(jobs.resolved_jobs(landed.boards, cutoff, catalogue), "jobs")
+    companies, postings, articles = at_once([
+        lambda: entities.resolved_entities(landed.directory, landed.spaces, catalogue, target),
+        lambda: jobs.resolved_jobs(landed.boards, cutoff, catalogue),
+        lambda: news.news_rows(landed.feeds, landed.pages, cutoff, run_ts)])
     flats = {
         "research_papers": papers.paper_rows(landed.papers, landed.repo_stats, target),
         "startups": entities.startup_rows(companies, run_ts),
         "products": entities.product_rows(companies, run_ts),
-        "news": news.news_rows(landed.feeds, landed.pages, cutoff, run_ts),
+        "news": articles,
         "jobs": jobs.job_rows(postings),
     }
-    good, bad = {}, {}
-    for kind, flat in flats.items():
-        good[kind], bad[kind] = split_checked(stage(checked(to_record(flat, kind, ("ingest_seq",)), kind), kind))
+    staged = at_once(partial(stage, checked(to_record(flat, kind, ("ingest_seq",)), kind), kind) for kind, flat in flats.items())
+    split = {kind: split_checked(rows) for kind, rows in zip(flats, staged)}
+    good, bad = ({kind: pair[i] for kind, pair in split.items()} for i in (0, 1))
     state = load_tables(
         spark, root, {kind: flatten(rows, kind, ("ingest_seq",)) for kind, rows in good.items()},
         [resolution_log(resolved, "raw_name", F.lit(run_ts), ("ingest_seq",)) for resolved in (companies, postings)], run_id=run_id)
-    for kind, rows in [*bad.items(), ("research_papers", papers.incomplete_papers(landed.papers))]:
-        rows.select(F.to_json(F.struct("*")).alias("record"), "reasons").write.mode("append").parquet(f"{quarantine}/{kind}")
+    bad["research_papers/incomplete"] = papers.incomplete_papers(landed.papers)
+    at_once(partial(rows.select(F.to_json(F.struct("*")).alias("record"), "reasons").write.mode("append").parquet,
+                    f"{quarantine}/{kind}") for kind, rows in bad.items())
     return table_counts({name: read_table(spark, root, name, state) for name in [
         "startups", "products", "research_papers", "jobs", "news", "entity_mapping_logs"]})

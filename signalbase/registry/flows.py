@@ -14,7 +14,7 @@ from ..operators.resolve import Catalogue, resolution_log
 from ..operators.validate import validate
 from ..plans import entities, jobs, news, papers
 from ..plans.run import Landed, run
-from ..session import fresh_path
+from ..session import fresh_path, stage
 from ..sources.landed import read_repo_stats as repo_stats_of
 from . import readers
 from .base import (
@@ -39,7 +39,8 @@ def _stored(t: Tables, flat: DataFrame, kind: str) -> DataFrame:
     """New table rows of a first run: validated, flattened, deduplicated, numbered."""
     good, _ = validate(to_record(flat, kind, ("ingest_seq",)), kind)
     none = t.spark.createDataFrame([], "hash_key string")
-    return insert_or_ignore(flatten(good, kind, ("ingest_seq",)), none, "ingest_seq").drop("ingest_seq", "raw_payload")
+    batch = stage(flatten(good, kind, ("ingest_seq",)).drop("raw_payload"), kind)
+    return insert_or_ignore(batch, none, "ingest_seq").drop("ingest_seq")
 
 
 POSTINGS_SQL = f"""{NAMES_SQL}, {readers.BOARD_A_SQL}, {readers.BOARD_B_SQL}, {readers.BOARD_C_SQL},

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def build_session(app: str = "signalbase", master: str | None = None, **conf) -> SparkSession:
     """A session with UTC, AQE and skew-join handling on.
@@ -62,3 +68,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def at_once(works: Iterable[Callable[[], T]]) -> list[T]:
+    """Results of works that do not hang on each other, their jobs run side by side."""
+    works, inherited = list(works), inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max(1, len(works))) as pool:
+        return [done.result() for done in [pool.submit(inherited(work)) for work in works]]

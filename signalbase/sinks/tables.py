@@ -10,13 +10,14 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators import prefilter
 from ..operators.dedup import anti_existing, assign_ids, first_places
-from ..session import stage
+from ..session import at_once, stage
 from . import commits
 
 KEY = "hash_key"
@@ -124,7 +125,7 @@ def _filter_with(spark: SparkSession, root: str, name: str, keys: DataFrame, sta
 def _load_new(spark: SparkSession, root: str, name: str, batch: DataFrame, state: dict, load: str, seq: str) -> dict:
     """Append the new rows of one table; its entry for the next manifest."""
     entry = state["tables"][name]
-    ids = stage(assign_ids(new_keys(spark, root, name, batch, state, seq), seq, entry["rows"]), "new-rows")
+    ids = assign_ids(new_keys(spark, root, name, batch, state, seq), seq, entry["rows"])
     count = ids.count()
     if not count:
         return entry
@@ -139,7 +140,7 @@ def _load_log(spark: SparkSession, root: str, logs: Sequence[DataFrame], state:
     rows = logs[0].withColumn("_part", F.lit(0))
     for i, more in enumerate(logs[1:], 1):
         rows = rows.unionByName(more.withColumn("_part", F.lit(i)))
-    placed = stage(assign_ids(rows, seq, entry["rows"], lead=("_part",)), "log-rows")
+    placed = assign_ids(rows, seq, entry["rows"], lead=("_part",))
     count = placed.count()
     if not count:
         return entry
@@ -162,9 +163,10 @@ def load_tables(spark: SparkSession, root: str, batches: dict[str, DataFrame], l
         if run_id is not None and run_id in state["runs"]:
             return state
         load = uuid.uuid4().hex
-        entries = {name: _load_new(spark, root, name, batch, state, load, seq) for name, batch in batches.items()}
+        works = {name: partial(_load_new, spark, root, name, batch, state, load, seq) for name, batch in batches.items()}
         if logs:
-            entries[LOG] = _load_log(spark, root, logs, state, load, seq)
+            works[LOG] = partial(_load_log, spark, root, logs, state, load, seq)
+        entries = dict(zip(works, at_once(works.values())))
         after = {**state, "tables": state["tables"] | entries, "runs": state["runs"] + ([run_id] if run_id else [])}
         if commits.publish(spark, root, state["version"] + 1, after):
             return {**after, "version": state["version"] + 1}

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed
-from ..session import stage
+from ..session import stage, stage_by
 from .resolve import Catalogue, resolve_entities
-from .skew import frequent_keys, salted_join
+from .skew import frequent_keys, repeated, salted
 
 
 def triples(products: DataFrame, jobs: DataFrame, papers: DataFrame, catalogue: Catalogue) -> DataFrame:
@@ -34,6 +34,19 @@ def along(edges: DataFrame, rel: str | None) -> DataFrame:
         F.col(ends[0]).alias("src"), F.col(ends[1]).alias("dst"))
 
 
+def by_source(way: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(hot nodes, edges as they lie by source node): written once, so that no hop moves an edge to its source again."""
+    hot = stage(frequent_keys(way, "src"), "hot-nodes")
+    return hot, stage_by(salted(way, "src", hot), ["src", "_salt"], "edges")
+
+
+def one_hop(placed: tuple[DataFrame, DataFrame], frontier: DataFrame, hop: int) -> DataFrame:
+    """(label, node, hop) one edge away from ``frontier``."""
+    hot, edges = placed
+    heads = repeated(frontier.select("label", F.col("node").alias("src")), "src", hot)
+    return edges.join(heads, ["src", "_salt"]).select("label", F.col("dst").alias("node")).withColumn("hop", F.lit(hop))
+
+
 def reach(edges: DataFrame, seeds: DataFrame, hops: int, rels: Sequence[str] | None = None) -> DataFrame:
     """Nodes reached from labelled seeds along edges, with the least number of hops: (label, node, hop).
 
@@ -41,18 +54,17 @@ def reach(edges: DataFrame, seeds: DataFrame, hops: int, rels: Sequence[str] | N
     there, as another relation follows. Without ``rels`` any edge is followed.
 
     The frontier of each hop holds every (label, node) once, so the work is one pass over the edges per hop and never
-    a product of paths. A node with very many edges is split by salting. Every hop but the last is written to the
-    shared folder, which keeps the plan from doubling.
+    a product of paths. Edges are dealt by source node once for each relation, a node with very many of them over several
+    parts; only frontiers are shuffled after that. Every hop but the last is written to the shared folder, which keeps
+    the plan from doubling.
     """
     steps = list(rels) if rels is not None else [None] * hops
-    ways = {rel: along(edges, rel) for rel in dict.fromkeys(steps)}
-    hot = {rel: stage(frequent_keys(way, "src"), "hot-nodes") for rel, way in ways.items()}
+    placed = {rel: by_source(along(edges, rel)) for rel in dict.fromkeys(steps)}
     found = frontier = seeds.select("label", "node").distinct().withColumn("hop", F.lit(0))
     for hop, rel in enumerate(steps, 1):
-        stepped = (salted_join(ways[rel], frontier.select("label", F.col("node").alias("src")), "src", "inner", hot[rel])
-                   .select("label", F.col("dst").alias("node")).withColumn("hop", F.lit(hop)))
+        stepped = one_hop(placed[rel], frontier, hop)
         if rels is not None:
-            frontier = stage(stepped.distinct(), f"reach-{hop}")
+            frontier = stage(stepped.distinct(), f"reach-{hop}") if hop < len(steps) else stepped
             found = found.unionByName(frontier)
             continue
         found = found.unionByName(stepped).groupBy("label", "node").agg(F.min("hop").alias("hop"))

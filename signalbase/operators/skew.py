@@ -44,12 +44,20 @@ def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left"
     """
     if is_small(lookup):
         return facts.join(F.broadcast(lookup), key, how)
-    hot = F.broadcast(frequent_keys(facts, key) if hot is None else hot)
-    salted = facts.join(hot, key, "left").withColumn(
+    hot = frequent_keys(facts, key) if hot is None else hot
+    return salted(facts, key, hot).join(repeated(lookup, key, hot), [key, "_salt"], how).drop("_salt")
+
+
+def salted(facts: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Adds ``_salt``, the part of its key that a row belongs to."""
+    return facts.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.when(F.col(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(NULL_PARTS)))
         .when(F.col("_hot").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_hot")))
-        .otherwise(F.lit(0)))
-    repeated = lookup.join(hot, key, "left").withColumn(
+        .otherwise(F.lit(0))).drop("_hot")
+
+
+def repeated(lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Rows for every part (``_salt``) of their key."""
+    return lookup.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_hot") - 1)).otherwise(
-            F.array(F.lit(0)))))
-    return salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")
+            F.array(F.lit(0))))).drop("_hot")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -70,6 +70,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_by(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Write ``df`` once, bucketed by ``keys``: joins on them read it as it lies, without a shuffle, however often.
+
+    The files lie in the shared folder; the session's catalogue has an entry for them, which tells Spark of the buckets.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"signalbase_stage_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *keys).write.option("path", fresh_path(spark, name)).bucketBy(buckets, *keys).saveAsTable(table))
+    return spark.table(table)
+
+
 def at_once(works: Iterable[Callable[[], T]]) -> list[T]:
     """Results of works that do not hang on each other, their jobs run side by side."""
     works, inherited = list(works), inheritable_thread_target(SparkSession.active())

@@ -69,8 +69,8 @@ def test_limits(spark):
     assert limits.backfill(a, b, "seq", None).count() == 8
 
 
-def test_targets_cut_the_same_over_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "ID_BLOCK", 7)
+def test_targets_cut_the_same_by_numbers(spark, monkeypatch):
+    monkeypatch.setattr(limits, "SORTED_ROWS", 7)
     a, b = list(range(0, 300, 3)), list(range(0, 900, 9))
     one, two = (spark.createDataFrame([(x,) for x in rows], "seq long") for rows in (a, b))
     for n in (1, 50, 150, 400):
@@ -164,8 +164,7 @@ def test_reach_by_relation(spark):
     assert got == {"a": 0, "p": 1, "b": 2, "j": 3}
 
 
-def test_ids_from_wide_numbers(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "ID_BLOCK", 3)
+def test_ids_from_wide_numbers(spark):
     df = spark.range(50).select((F.col("id") * 7).alias("seq"), (F.col("id") % 2).alias("part"))
     assert [(r.seq, r.id) for r in dedup.assign_ids(df, "seq", 5).orderBy("seq").collect()] == [(7 * i, i + 6) for i in range(50)]
     wide = df.withColumn("seq", (F.col("seq") + F.lit(Decimal(3 * 10**30))).cast("decimal(38,0)"))
@@ -199,3 +198,32 @@ def test_page_bodies_take_the_first_wanted_page(spark):
     wanted = spark.createDataFrame([("u",), ("u",), (None,)], "link string")
     assert [tuple(r) for r in lookups.page_bodies(pages, "n", wanted).collect()] == [("u", f"{long} one")]
     assert lookups.page_bodies(pages, "n").count() == 2
+
+
+def test_reach_moves_the_edges_once(spark):
+    """Each relation's edges are shuffled when they are written, by source node, and in no hop after that; a hub is spread."""
+    edges = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("n"), F.col("id") % 500)).alias("src"),
+        F.lit("R").alias("rel"), F.concat(F.lit("n"), F.col("id") % 700).alias("dst"))
+    seeds = spark.createDataFrame([("x", "n1"), ("y", "hub")], "label string, node string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = graph.by_source(edges.select("src", "dst"))
+        step = graph.one_hop(placed, seeds, 1)
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        scan = plan[:plan.index("Bucketed: true")].rsplit("Scan parquet", 1)[0]
+        assert plan.count("Bucketed: true") == 1 and sum("Exchange" in line for line in scan.split("\n")[:6]) <= 1
+        got = {(r.label, r.node): r.hop for r in graph.reach(edges, seeds, 3).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    near = {}
+    for r in edges.collect():
+        near.setdefault(r.src, set()).add(r.dst)
+    want = {}
+    for label, node in [("x", "n1"), ("y", "hub")]:
+        front = {node}
+        for hop in range(4):
+            for n in front:
+                want.setdefault((label, n), hop)
+            front = set().union(*[near.get(n, set()) for n in front])
+    assert got == want

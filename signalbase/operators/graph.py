@@ -37,7 +37,7 @@ def along(edges: DataFrame, rel: str | None) -> DataFrame:
 def by_source(way: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(hot nodes, edges as they lie by source node): written once, so that no hop moves an edge to its source again."""
     hot = stage(frequent_keys(way, "src"), "hot-nodes")
-    return hot, stage_by(salted(way, "src", hot), ["src", "_salt"], "edges")
+    return hot, stage_by(salted(way, "src", hot, F.col("dst")), ["src", "_salt"], "edges")
 
 
 def one_hop(placed: tuple[DataFrame, DataFrame], frontier: DataFrame, hop: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_KEYS = 1000        # keys looked at; a key with over 1/1000 of all rows is always among them
 TRACKED_ITEMS = 20000  # sketch size, keeps the counts of those keys well apart from the rest
@@ -48,12 +48,12 @@ def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left"
     return salted(facts, key, hot).join(repeated(lookup, key, hot), [key, "_salt"], how).drop("_salt")
 
 
-def salted(facts: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Adds ``_salt``, the part of its key that a row belongs to."""
+def salted(facts: DataFrame, key: str, hot: DataFrame, by: Column | None = None) -> DataFrame:
+    """Adds ``_salt``, the part of its key that a row belongs to: by the hash of ``by``, or by the partition it comes from."""
+    part = F.spark_partition_id() if by is None else F.xxhash64(by)
     return facts.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(NULL_PARTS)))
-        .when(F.col("_hot").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_hot")))
-        .otherwise(F.lit(0))).drop("_hot")
+        "_salt", F.when(F.col(key).isNull(), F.pmod(part, F.lit(NULL_PARTS)))
+        .when(F.col("_hot").isNotNull(), F.pmod(part, F.col("_hot"))).otherwise(F.lit(0)).cast("int")).drop("_hot")
 
 
 def repeated(lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:

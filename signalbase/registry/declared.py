@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.text import chunk_paragraphs as chunks_of
-from ..operators import graph, health, retrieve
+from ..operators import graph, health, retrieve, search
 from ..operators.resolve import Catalogue
 from .base import NAMES_SQL, Tables, company_names, iso_sql, query, resolve_sql
 
@@ -157,3 +157,62 @@ def vector_topk(t: Tables):
 def hybrid_topk(t: Tables):
     texts = t.documents.join(t.embeddings.withColumnRenamed("vec_id", "doc_id"), "doc_id", "left")
     return retrieve.hybrid_topk(texts, "embedding", "text", "doc_id", _QUERY_VECTOR, _KEYWORDS, 20)
+
+
+# Queries by text: the benchmark passages over all documents. Scores of BM25 are added up as decimals on both sides.
+_BM25_SQL = f"""terms AS (SELECT doc_id AS item, unnest(regexp_extract_all(lower(coalesce(text, '')), '{search.TERM}')) AS term FROM documents),
+    sizes AS (SELECT doc_id AS item, CAST(len(regexp_extract_all(lower(coalesce(text, '')), '{search.TERM}')) AS BIGINT) AS length FROM documents),
+    whole AS (SELECT count(*) AS n, sum(length)::DOUBLE / count(*) AS mean FROM sizes),
+    postings AS (SELECT item, term, count(*) AS tf FROM terms GROUP BY 1, 2),
+    often AS (SELECT term, count(*) AS df FROM postings GROUP BY 1),
+    asked AS (SELECT DISTINCT item_id AS query, unnest(regexp_extract_all(lower(text), '{search.TERM}')) AS term FROM benchmark),
+    by_text AS (SELECT query, item, sum(CAST(ln(1.0::DOUBLE + (n::DOUBLE - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * (tf * {search.K1 + 1}::DOUBLE
+        / (tf + {search.K1}::DOUBLE * ({1 - search.B}::DOUBLE + {search.B}::DOUBLE * length / mean))) AS DECIMAL(20, 9))) AS score
+        FROM asked JOIN postings USING (term) JOIN often USING (term) JOIN sizes USING (item), whole GROUP BY 1, 2)"""
+_UNIT_SQL = """(SELECT vec_id AS item, list_transform(v, lambda x: x / size) AS unit FROM (SELECT vec_id, embedding::DOUBLE[] AS v,
+        sqrt(list_reduce(list_transform(embedding::DOUBLE[], lambda x: x * x), lambda a, b: a + b)) AS size FROM embeddings) x WHERE size > 0)"""
+
+
+def _by_vector_sql(queries: str) -> str:
+    return f"""units AS {_UNIT_SQL},
+    by_vector AS (SELECT q.item AS query, e.item, list_reduce(list_transform(list_zip(e.unit, q.unit), lambda z: z[1] * z[2]),
+        lambda a, b: a + b) AS score FROM units q, units e WHERE q.item IN ({queries}))"""
+
+
+def _rank_sql(source: str, k: int) -> str:
+    return f"""SELECT * FROM (SELECT query, item, score, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, item)
+        AS INTEGER) AS rank FROM {source}) x WHERE rank <= {k}"""
+
+
+def _shown(found):
+    return found.select("query", "item", "rank", F.round("score", 6).cast("double").alias("score"))
+
+
+def _text_scores(t: Tables):
+    return search.TextIndex.build(t.documents, "doc_id", "text").scores(t.benchmark, "item_id", "text")
+
+
+@query(f"WITH {_BM25_SQL} SELECT query, item, rank, CAST(round(score, 6) AS DOUBLE) AS score FROM ({_rank_sql('by_text', 10)}) x")
+def keyword_topk(t: Tables):
+    """The ten documents with most of each benchmark passage's words, by BM25."""
+    return _shown(search.best(_text_scores(t), 10))
+
+
+@query(f"""WITH {_by_vector_sql("SELECT vec_id FROM embeddings WHERE vec_id % 100 = 0")}
+    SELECT query, item, rank, round(score, 6) AS score FROM ({_rank_sql('by_vector', 10)}) x""")
+def vector_lists(t: Tables):
+    """The ten vectors most like each hundredth one, through all inverted lists."""
+    index = search.VectorIndex.build(t.embeddings, "vec_id", "embedding", 16)
+    return _shown(search.best(index.scores(t.embeddings.filter("vec_id % 100 = 0"), "vec_id", "embedding"), 10))
+
+
+@query(f"""WITH {_BM25_SQL}, {_by_vector_sql("SELECT item_id FROM benchmark")},
+    ranks AS (SELECT query, item, rank FROM ({_rank_sql('by_text', 20)}) x UNION ALL SELECT query, item, rank FROM ({_rank_sql('by_vector', 20)}) y),
+    both_ways AS (SELECT query, item, sum(CAST(1.0::DOUBLE / ({search.FUSED} + rank) AS DECIMAL(20, 9))) AS score FROM ranks GROUP BY 1, 2)
+    SELECT query, item, rank, CAST(round(score, 6) AS DOUBLE) AS score FROM ({_rank_sql('both_ways', 10)}) x""")
+def hybrid_queries(t: Tables):
+    """For each benchmark passage the documents by words and by vector (of the same number), fused by rank."""
+    asked = t.embeddings.join(t.benchmark.select(F.col("item_id").alias("vec_id")), "vec_id", "left_semi")
+    index = search.VectorIndex.build(t.embeddings, "vec_id", "embedding", 16)
+    by_vector = search.best(index.scores(asked, "vec_id", "embedding"), 20)
+    return _shown(search.fused([search.best(_text_scores(t), 20), by_vector], 10))

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from . import fixed, schemas
 from .plans.run import run
-from .session import build_session
+from .session import build_session, drop_stages
 from .sinks.export import export_tabs
 from .sinks.tables import read_table
 from .sources.landing import load_landing
@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.export:
         export_tabs({name: read_table(spark, args.tables, name) for name in schemas.TABLES}, args.export,
                     args.export_files)
+    drop_stages(spark)
 
 
 if __name__ == "__main__":

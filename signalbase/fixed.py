@@ -89,6 +89,8 @@ NEWS_FEED_NAMES = [
 REPO_PATTERN = r"https?://(?:www\.)?github\.com/([A-Za-z0-9_.-]+)/([A-Za-z0-9_.-]+)"
 REPO_TRAILING = ".,;:!'\""
 PAGE_NOISE_TAGS = ["script", "style", "nav", "footer", "aside"]
+BOILERPLATE_TAGS = ["nav", "svg"]
+INLINE_TAGS = ["a", "abbr", "b", "code", "em", "font", "i", "mark", "q", "s", "small", "span", "strong", "sub", "sup", "u"]
 MIN_PARAGRAPH_CHARS = 30
 MAX_TEXT_CHARS = 12000
 TRUNCATION_MARK = "\n\n[...TRUNCATED_TO_PREVENT_413...]\n\n"

@@ -10,18 +10,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed
 from .text import as_col, first_nonempty, let, py_strip
 
-_CLOCK = r"(?:[\sT,]+(\d{1,2}:\d{2})(:\d{2})?(?:\.\d+)?\s*([AaPp][Mm])?)?"
-_ZONE = r"\s*\(?([A-Za-z]{1,4}|[+-]\d{2}:?\d{2})?\)?"
-_ISO = (r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})(?:[T\s]+(\d{2}:\d{2})(:\d{2})?(?:[.,](\d{1,9}))?)?"
-        r"\s*(Z|z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)?")
+_HALF = r"([AaPp]\.?[Mm]\b\.?)"
+_CLOCK = rf"(?:[\sT,]+(\d{{1,2}}:\d{{2}}|\d{{1,2}}(?=\s*{_HALF.replace('(', '(?:', 1)}))(:\d{{2}})?(?:\.\d+)?\s*{_HALF}?)?"
+_NOTE = r"(?:\s*\([^()]*\))?"       # as in "-0700 (PDT)"
+_ZONE = r"\s*\(?([A-Za-z]{1,4}|[+-]\d{2}:?\d{2})?\)?" + _NOTE
+_ISO = (rf"(\d{{4}})[-/.](\d{{1,2}})[-/.](\d{{1,2}})(?:[T\s]+(\d{{1,2}}:\d{{2}})(:\d{{2}})?(?:[.,](\d{{1,9}}))?\s*{_HALF}?)?"
+        r"\s*(Z|z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)?" + _NOTE)
 _DAY_FIRST = r"(\d{1,2})[\s-]+([A-Za-z]{3})[a-z]*\.?,?[\s-]+(\d{4}|\d{2})" + _CLOCK + _ZONE
 _MONTH_FIRST = r"([A-Za-z]{3})[a-z]*\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _CLOCK + _ZONE
 # One pattern for all forms but the compact one. A group that took no part is empty, so each part of the rewrite
 # names the groups of every form: year|month|day|hour:minute|:second|fraction|am/pm|zone.
 _ANY_FORM = rf"^(?:{_ISO}|(?:[A-Za-z]{{3,9}}\.?,?\s+)?(?:{_DAY_FIRST}|{_MONTH_FIRST}))\z"
-_ANY_PARTS = "$1$10$17|$2$9$15|$3$8$16|$4$11$18|$5$12$19|$6|$13$20|$7$14$21"
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2})?)?(Z)?\z"
-_COMPACT_PARTS = "$1|$2|$3|$4:$5|:$6|||$7"
+_ANY_PARTS = "$1$11$18|$2$10$16|$3$9$17|$4$12$19|$5$13$20|$6|$7$14$21|$8$15$22"
+_COMPACT = (r"^(\d{4})(\d{2})(\d{2})(?:Z|[T\s]?(\d{2})(\d{2})(\d{2})?(?:[.,](\d{1,9}))?\s*(Z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)?)?\z")
+_COMPACT_PARTS = "$1|$2|$3|$4:$5|:$6|$7||$8"
 _CLOCK_BEFORE_YEAR = r"^(?:[A-Za-z]{3},?\s+)?([A-Za-z]{3})\s+(\d{1,2})\s+(\d{1,2}:\d{2}(?::\d{2})?)(?:\s+([A-Za-z]{1,4}))?\s+(\d{4})\z"
 _PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})\z"
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
@@ -40,9 +42,10 @@ def _assemble(parts: Column) -> Column:
     month = F.when(month.rlike("^[0-9]"), month).otherwise(named_month)
     hour = F.substring_index(clock, ":", 1).try_cast("int")
     hour = (F.when(half == "", hour).when((hour < 1) | (hour > 12), None)
-            .otherwise(hour % 12 + F.when(F.lower(half) == "pm", 12).otherwise(0)))
+            .otherwise(hour % 12 + F.when(F.lower(half).startswith("p"), 12).otherwise(0)))
+    minute = F.when(clock.contains(":"), F.substring_index(clock, ":", -1)).otherwise("00")
     clock = F.when(clock.isin("", ":"), F.lit("00:00")).otherwise(F.concat(
-        F.lpad(hour.cast("string"), 2, "0"), F.lit(":"), F.substring_index(clock, ":", -1)))
+        F.lpad(hour.cast("string"), 2, "0"), F.lit(":"), minute))
     second = F.when(second.isin("", ":"), F.lit(":00")).otherwise(second)
     names = F.from_json(F.lit(json.dumps(fixed.ZONE_OFFSETS)), "map<string,string>")
     offset = (F.when(zone == "", F.lit("+0000"))
@@ -113,11 +116,15 @@ def relative_date(c, reference) -> Column:
             .when(word.isin("today", "now", "just now"), reference))
 
 
+_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
+_PUBLISHED = (rf"""(?is)<meta\b(?={_ATTRIBUTES}\sproperty\s*=\s*["']?article:published_time["'\s/>])"""
+              rf"""{_ATTRIBUTES}\scontent\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+
+
 def meta_date(html) -> Column:
-    """Publication time that a page states: meta tag, then JSON-LD, then pubDate element."""
+    """Publication time that a page states: meta tag (its attributes in any order, quoted or not), then JSON-LD, then pubDate element."""
     html = as_col(html)
-    meta = F.regexp_extract(
-        html, r"""(?is)<meta[^>]+property=["']article:published_time["'][^>]*?content=["']([^"']*)["']""", 1)
+    meta = F.concat(*[F.regexp_extract(html, _PUBLISHED, i) for i in (1, 2, 3)])
     linked = F.regexp_extract(html, r"""(?is)"datePublished"\s*:\s*"([^"]*)\"""", 1)
     element = F.regexp_extract(html, r"(?is)<pubDate[^>]*>([^<]*)</pubDate>", 1)
     return parse_utc(first_nonempty(meta, linked, element))

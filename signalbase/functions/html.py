@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
 from .. import fixed
-from .text import as_col, let, py_strip
+from .text import as_col, let, py_strip, squash_ws
 
 # The contents of these elements are no markup, so they end at their first closing tag, or with the page.
 _RAW = r"(?is)<!--.*?-->|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
@@ -88,7 +89,7 @@ def _state(opened: Column, aside: Column, spans: Column) -> Column:
     return F.struct(opened.alias("open"), aside.alias("aside"), spans.alias("spans"))
 
 
-def _step(state: Column, tag: Column) -> Column:
+def _step(state: Column, tag: Column, dropped: list[str]) -> Column:
     """``open`` is |name@place|name@place|, the newest element first, so the first hit of a name is its last open element."""
     opened, aside, spans = state["open"], state["aside"], state["spans"]
     pushed = F.concat(F.lit(_BAR), tag["name"], F.lit(_AT), tag["at"].cast("string"), opened)
@@ -96,7 +97,7 @@ def _step(state: Column, tag: Column) -> Column:
 
     def closed(place: Column) -> Column:
         end = F.call_function("locate", F.lit(_BAR), opened, place + 1)
-        gone = F.concat(spans, _ended(F.substr(opened, F.lit(1), end), F.substr(opened, end), tag["at"]))
+        gone = F.concat(spans, _ended(F.substr(opened, F.lit(1), end), F.substr(opened, end), tag["at"], dropped))
         return let(gone, lambda now: F.when(F.size(now) < _PART, _state(F.substr(opened, end), aside, now)).otherwise(
             _state(F.substr(opened, end), F.concat(aside, F.array(now)), F.array().cast(_SPANS))))
 
@@ -104,11 +105,11 @@ def _step(state: Column, tag: Column) -> Column:
         let(hit, lambda place: F.when(place == 0, state).otherwise(closed(place))))
 
 
-def _ended(popped: Column, left: Column, at: Column) -> Column:
+def _ended(popped: Column, left: Column, at: Column, dropped: list[str]) -> Column:
     """Token spans of the ``<p>`` elements in ``popped``, and of its outermost noise element if none in ``left`` holds that."""
     span = lambda e: F.struct(F.substring_index(e, _AT, -1).cast("int").alias("first"), at.alias("last"),
                               F.substring_index(e, _AT, 1).alias("name"))
-    noise = "(" + "|".join(_DROPPED) + ")" + _AT
+    noise = "(" + "|".join(dropped) + ")" + _AT
     none = F.array().cast(_SPANS)
     found = F.split(popped, _BAR)
     paragraphs = F.when(popped.contains(f"{_BAR}p{_AT}"), F.transform(F.filter(found, lambda e: e.startswith(f"p{_AT}")), span)).otherwise(none)
@@ -117,17 +118,36 @@ def _ended(popped: Column, left: Column, at: Column) -> Column:
     return F.concat(paragraphs, outer)
 
 
-def _paragraphs_of(tokens: Column) -> Column:
+def _spans_of(tokens: Column, dropped: list[str]) -> Column:
+    """Sorted spans of the ``<p>`` elements and of the outermost elements named in ``dropped``."""
     start = _state(F.lit(_BAR), F.array().cast(f"array<{_SPANS}>"), F.array().cast(_SPANS))
     tags = F.filter(F.transform(tokens, _tag_of), lambda t: t["name"] != "")
-    return let(F.aggregate(tags, start, _step, lambda s: F.array_sort(F.flatten(F.concat(
-        s["aside"], F.array(s["spans"], _ended(s["open"], F.lit(""), F.size(tokens) + 1)))))),
-        lambda spans: let(F.filter(spans, lambda s: s["name"] != "p"), lambda noise: let(
-            _without(tokens, noise), lambda kept: _texts_of(kept, spans))))
+    return F.aggregate(tags, start, lambda s, t: _step(s, t, dropped), lambda s: F.array_sort(F.flatten(F.concat(
+        s["aside"], F.array(s["spans"], _ended(s["open"], F.lit(""), F.size(tokens) + 1, dropped))))))
+
+
+def _paragraphs_of(tokens: Column) -> Column:
+    return let(_spans_of(tokens, _DROPPED), lambda spans: let(F.filter(spans, lambda s: s["name"] != "p"), lambda noise: let(
+        _without(tokens, noise), lambda kept: _texts_of(kept, spans))))
+
+
+def page_text(html) -> Column:
+    """The text of a page without scripts, styles, navigation bars and drawings; a blank line wherever markup breaks it."""
+    clean = F.regexp_replace(as_col(html), _RAW, "")
+
+    def broken(tag: Column) -> Column:
+        return F.when(F.regexp_replace(F.lower(F.regexp_extract(tag, _TAG_NAME, 1)), "^/", "").isin(fixed.INLINE_TAGS), "").otherwise("\n")
+
+    def text_of(tokens: Column) -> Column:
+        kept = let(F.filter(_spans_of(tokens, fixed.BOILERPLATE_TAGS), lambda s: s["name"] != "p"), lambda noise: _without(tokens, noise, broken))
+        lines = F.transform(F.split(unescape(F.array_join(kept, "")), "\n"), squash_ws)
+        return F.array_join(F.filter(lines, lambda line: line != ""), "\n\n")
+
+    return let(F.regexp_extract_all(clean, F.lit(_TOKEN), F.lit(0)), text_of)
 
 
-def _without(tokens: Column, noise: Column) -> Column:
-    """The tokens, null inside noise and empty where they are tags. Noise spans are sorted and apart."""
+def _without(tokens: Column, noise: Column, shown: Callable[[Column], Column] = lambda tag: F.lit("")) -> Column:
+    """The tokens, null inside noise, and ``shown`` (by default empty) where they are tags. Noise spans are sorted and apart."""
     def before(k: Column) -> Column:
         return F.coalesce(F.get(noise, k - 1)["last"], F.lit(1))
 
@@ -135,7 +155,7 @@ def _without(tokens: Column, noise: Column) -> Column:
         F.slice(tokens, before(k), n["first"] - before(k)), F.array_repeat(F.lit(None).cast("string"), n["last"] - n["first"])))
     rest = let(before(F.size(noise)), lambda at: F.slice(tokens, at, F.greatest(F.size(tokens) - at + 1, F.lit(0))))
     whole = F.when(F.size(noise) == 0, tokens).otherwise(F.flatten(F.concat(pieces, F.array(rest))))
-    return F.transform(whole, lambda t: F.when(t.startswith("<") & t.rlike(r"^</?[A-Za-z!?]"), F.lit("")).otherwise(t))
+    return F.transform(whole, lambda t: F.when(t.startswith("<") & t.rlike(r"^</?[A-Za-z!?]"), shown(t)).otherwise(t))
 
 
 def _texts_of(kept: Column, spans: Column) -> Column:

@@ -131,10 +131,10 @@ def title_name(c) -> Column:
 def chunk_paragraphs(c, max_chars: int = fixed.MAX_TEXT_CHARS, boundary: str = r"\n+") -> Column:
     """Pack the paragraphs of a text, in order, into chunks of at most ``max_chars``, each filled greedily.
 
-    A text within the limit is one chunk, unchanged; a longer one of line ends only has none. A paragraph over the limit is cut into pieces of the limit.
+    A text within the limit is one chunk, unchanged, null like an empty one; a longer one of line ends only has none. A paragraph over the limit is cut into pieces of the limit.
     Only piece sizes go through the fold; texts are joined once per chunk.
     """
-    c = as_col(c)
+    c = F.coalesce(as_col(c), F.lit(""))
     pieces = F.flatten(F.transform(
         F.filter(F.split(c, boundary), lambda p: p != ""),
         lambda p: F.transform(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed
 from ..functions.text import normalize_name, py_strip, title_name
-from ..session import stage
+from ..session import is_staged, shared_dir, stage
 from .skew import salted_join
 
 MIN_CONTAINED = 3       # an alias must be longer than this to match as a part of a name
@@ -43,14 +43,14 @@ class Catalogue:
 
     @staticmethod
     def built_in(spark: SparkSession) -> Catalogue:
-        """The catalogue of ``fixed``, written once for each application."""
-        application = spark.sparkContext.applicationId
-        if application not in _built_in:
-            _built_in[application] = Catalogue.from_entries(spark, catalogue_entries())
-        return _built_in[application]
+        """The catalogue of ``fixed``, written once for each shared folder of an application, and anew if that was emptied."""
+        place = spark.sparkContext.applicationId, shared_dir(spark)
+        if place not in _built_in or not is_staged(spark, _built_in[place].frame):
+            _built_in[place] = Catalogue.from_entries(spark, catalogue_entries())
+        return _built_in[place]
 
 
-_built_in: dict[str, Catalogue] = {}
+_built_in: dict[tuple[str, str], Catalogue] = {}
 
 
 def _words(c: Column) -> Column:

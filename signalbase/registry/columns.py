@@ -184,15 +184,15 @@ def _unescape_sql(e: str) -> str:
     return f"replace({e}, '&amp;', '&')"
 
 
-def _clean_sql(e: str) -> str:
+def clean_sql(e: str, tags=fixed.PAGE_NOISE_TAGS) -> str:
     e = f"regexp_replace({e}, '<!--.*?-->', '', 'gs')"
-    for tag in fixed.PAGE_NOISE_TAGS:
+    for tag in tags:
         e = f"regexp_replace({e}, '<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'gis')"
     return e
 
 
 # Paragraphs by a fold over the tags of a page: open elements, and first and last token of each <p>.
-PARAGRAPHS_SQL = f"""tokens AS (SELECT page_id, url, regexp_extract_all({_clean_sql('html')}, '<[A-Za-z/!?][^>]*>|[^<]+|<') AS tok
+PARAGRAPHS_SQL = f"""tokens AS (SELECT page_id, url, regexp_extract_all({clean_sql('html')}, '<[A-Za-z/!?][^>]*>|[^<]+|<') AS tok
     FROM pages),
     tags AS (SELECT page_id, url, tok, list_transform(tok, lambda k: CASE WHEN suffix(k, '/>')
         OR lower(regexp_extract(k, '^<(/?[A-Za-z][A-Za-z0-9]*)', 1)) IN {list_sql(fixed.VOID_TAGS)}

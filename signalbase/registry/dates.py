@@ -9,14 +9,16 @@ from .base import Tables, iso_sql, query
 
 _SEC = "date_trunc('second', ts)"
 # UTC time meant by each written form.
-WRITTEN_SQL = f"""written AS (SELECT event_id, ts, CASE event_id % 11
+WRITTEN_SQL = f"""written AS (SELECT event_id, ts, CASE event_id % 16
     WHEN 0 THEN ts WHEN 1 THEN ts - INTERVAL 2 HOUR WHEN 2 THEN {_SEC} WHEN 3 THEN {_SEC}
     WHEN 4 THEN {_SEC} - INTERVAL 2 HOUR WHEN 5 THEN date_trunc('day', ts) WHEN 6 THEN NULL WHEN 7 THEN NULL
-    WHEN 8 THEN date_trunc('minute', ts) WHEN 9 THEN {_SEC} + INTERVAL 5 HOUR ELSE NULL END AS utc FROM events)"""
+    WHEN 8 THEN date_trunc('minute', ts) WHEN 9 THEN {_SEC} + INTERVAL 5 HOUR
+    WHEN 11 THEN {_SEC} + INTERVAL 7 HOUR WHEN 12 THEN date_trunc('minute', ts) WHEN 13 THEN {_SEC} - INTERVAL 2 HOUR
+    WHEN 14 THEN date_trunc('day', ts) WHEN 15 THEN date_trunc('minute', ts) ELSE NULL END AS utc FROM events)"""
 
 
 def written(t: Tables):
-    form = F.col("event_id") % 11
+    form = F.col("event_id") % 16
 
     def shown(pattern):
         return F.date_format("ts", pattern)
@@ -31,6 +33,11 @@ def written(t: Tables):
            .when(form == 7, F.lit(""))
            .when(form == 8, shown("MMM d, yyyy h:mm a"))
            .when(form == 9, shown("EEE, dd MMM yyyy HH:mm:ss 'EST'"))
+           .when(form == 11, shown("EEE, dd MMM yyyy HH:mm:ss '-0700 (PDT)'"))
+           .when(form == 12, shown("yyyy-MM-dd h:mm a"))
+           .when(form == 13, shown("yyyyMMdd'T'HHmmss'+0200'"))
+           .when(form == 14, shown("yyyy.MM.dd"))
+           .when(form == 15, shown("yyyy-MM-dd'T'H:mm"))
            .otherwise(shown("HH:mm")))
     return t.events.select("event_id", "ts", raw.alias("raw"))
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..functions.html import page_text
 from ..functions.text import chunk_paragraphs as chunks_of
 from ..operators import graph, health, retrieve, search
 from ..operators.resolve import Catalogue
-from .base import NAMES_SQL, Tables, company_names, iso_sql, query, resolve_sql
+from .base import NAMES_SQL, Tables, company_names, iso_sql, query, resolve_sql, squash_sql
+from .columns import clean_sql
 
 _MAX = 2000
 _BLANK_LINE = r"\n[ \t\r]*\n[ \t\r\n]*"
@@ -16,9 +18,10 @@ _BLANK_LINE = r"\n[ \t\r]*\n[ \t\r\n]*"
 
 def _chunks_sql(most: int, boundary: str) -> str:
     """Greedy packing by a fold over piece lengths: i = piece number, used = length of the open chunk."""
-    return f"""pieces AS (SELECT doc_id, text, flatten(list_transform(list_filter(regexp_split_to_array(text, '{boundary}'),
+    return f"""texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    pieces AS (SELECT doc_id, text, flatten(list_transform(list_filter(regexp_split_to_array(text, '{boundary}'),
         lambda p: p <> ''), lambda p: list_transform(range(0, CAST((length(p) - 1) // {most} + 1 AS BIGINT)),
-        lambda k: p[(k * {most} + 1):((k + 1) * {most})]))) AS ps FROM documents),
+        lambda k: p[(k * {most} + 1):((k + 1) * {most})]))) AS ps FROM texts),
     folded AS (SELECT doc_id, text, ps, list_reduce(
         list_transform(ps, lambda p: {{'i': 0, 'used': CAST(length(p) AS BIGINT), 'starts': []::INTEGER[]}}),
         lambda s, x: {{'i': s.i + 1,
@@ -37,20 +40,41 @@ def _chunk_rows_sql(most: int, boundary: str) -> str:
     FROM rows"""
 
 
-def _chunk_rows(t: Tables, most: int, boundary: str):
-    rows = t.documents.select("doc_id", F.posexplode(chunks_of("text", most, boundary)).alias("chunk", "body"))
+def _chunk_rows(texts, most: int, boundary: str):
+    rows = texts.select("doc_id", F.posexplode(chunks_of("text", most, boundary)).alias("chunk", "body"))
     return rows.select("doc_id", "chunk", F.char_length("body").alias("n"), F.sha2("body", 256).alias("digest"))
 
 
 @query(_chunk_rows_sql(_MAX, r"\n+"))
 def chunk_paragraphs(t: Tables):
-    return _chunk_rows(t, _MAX, r"\n+")
+    return _chunk_rows(t.documents, _MAX, r"\n+")
 
 
 @query(_chunk_rows_sql(fixed.MAX_TEXT_CHARS, _BLANK_LINE))
 def chunk_blank_lines(t: Tables):
     """Paragraphs end at blank lines only, and chunks hold what one request takes."""
-    return _chunk_rows(t, fixed.MAX_TEXT_CHARS, _BLANK_LINE)
+    return _chunk_rows(t.documents, fixed.MAX_TEXT_CHARS, _BLANK_LINE)
+
+
+def _page_text_sql() -> str:
+    """The given pages' bars and drawings are closed and not nested, so patterns can cut them out."""
+    text = clean_sql("html", ["script", "style", *fixed.BOILERPLATE_TAGS])
+    text = rf"regexp_replace({text}, '(?i)</?({'|'.join(fixed.INLINE_TAGS)})(\s[^>]*)?/?>', '', 'g')"
+    text = f"regexp_replace({text}, '<[A-Za-z/!?][^>]*>', chr(10), 'g')"
+    lines = f"list_transform(string_split({text}, chr(10)), lambda l: {squash_sql('l')})"
+    return f"array_to_string(list_filter({lines}, lambda l: l <> ''), chr(10) || chr(10))"
+
+
+_DRAWN = '<svg viewBox="0 0 9 9"><title>drawn</title><path d="M0"/></svg>'
+
+
+@query(f"""WITH documents AS (SELECT page_id AS doc_id, {_page_text_sql()} AS text FROM (SELECT page_id,
+    '{_DRAWN}' || replace(html, '&', '+') || '{_DRAWN}' AS html FROM pages) x), """
+       + _chunk_rows_sql(500, _BLANK_LINE).removeprefix("WITH ").strip())
+def chunk_pages(t: Tables):
+    """Pages without scripts, bars and drawings, in chunks that end at paragraphs."""
+    html = F.concat(F.lit(_DRAWN), F.replace("html", F.lit("&"), F.lit("+")), F.lit(_DRAWN))
+    return _chunk_rows(t.pages.select(F.col("page_id").alias("doc_id"), page_text(html).alias("text")), 500, _BLANK_LINE)
 
 
 @query("""SELECT l_orderkey, count(*) AS attempts FROM lineitem GROUP BY l_orderkey

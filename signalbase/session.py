@@ -54,9 +54,31 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_written: dict[str, list[str]] = {}      # staged paths by application
+_STAGED_TABLE = "signalbase_stage_"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/signalbase/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/signalbase/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def is_staged(spark: SparkSession, df: DataFrame) -> bool:
+    """Whether the written table that ``df`` reads was not dropped since."""
+    held = _written.get(spark.sparkContext.applicationId, [])
+    return any(path.rsplit("/", 1)[1] in file for file in df.inputFiles()[:1] for path in held)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove what this application has staged. For the end of a run: frames that hang on staged tables are void after it."""
+    for table in spark.catalog.listTables():
+        if table.name.startswith(_STAGED_TABLE):
+            spark.sql(f"DROP TABLE {table.name}")
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -77,7 +99,7 @@ def stage_by(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"signalbase_stage_{uuid.uuid4().hex}"
+    table = f"{_STAGED_TABLE}{uuid.uuid4().hex}"
     (df.repartition(buckets, *keys).write.option("path", fresh_path(spark, name)).bucketBy(buckets, *keys).saveAsTable(table))
     return spark.table(table)
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed, schemas
 from ..plans.run import Landed
+from ..session import stage
 from . import landed as L
 
 log = logging.getLogger(__name__)
@@ -39,7 +40,7 @@ def load_landing(spark: SparkSession, root: str, quarantine: str, lines: bool =
 
     def source(name: str, read: Callable[[], DataFrame], empty: str, kind: str = "xml") -> DataFrame:
         try:
-            rows = read()
+            rows = stage(read(), "landed")      # parsed once for good and bad rows
             if kind == "xml":       # JSON tells of broken files by itself
                 broken(name, kind)
         except AnalysisException as problem:

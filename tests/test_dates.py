@@ -1,9 +1,11 @@
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from signalbase.functions import dates as D
+from signalbase.functions.dates import meta_date, parse_utc, py_isoformat
 
 CASES = {
     "2024-01-02T03:04:05Z": "2024-01-02T03:04:05+00:00",
@@ -62,3 +64,23 @@ def test_meta_date(values):
              '{"datePublished":"2024-01-02"}', "<pubDate>Tue, 02 Jan 2024 03:04:05 GMT</pubDate>", "<p>x</p>"]
     assert values(lambda c: D.py_isoformat(D.meta_date(c)), pages) == [
         "2024-01-02T03:04:05+00:00", "2024-01-02T00:00:00+00:00", "2024-01-02T03:04:05+00:00", None]
+
+
+@pytest.mark.parametrize("text,want", [
+    ("Mon, 03 Jun 2024 17:00:00 -0700 (PDT)", "2024-06-04T00:00:00+00:00"), ("Mon, 03 Jun 2024 17:00:00 +0000 (Coordinated Universal Time)", "2024-06-03T17:00:00+00:00"),
+    ("2024-06-03 5:00 PM", "2024-06-03T17:00:00+00:00"), ("2024-06-03 12:30 am", "2024-06-03T00:30:00+00:00"), ("2024-06-03T5:00", "2024-06-03T05:00:00+00:00"),
+    ("20240603T170000+0200", "2024-06-03T15:00:00+00:00"), ("20240603T170000.25Z", "2024-06-03T17:00:00.250000+00:00"), ("20240603 1700", "2024-06-03T17:00:00+00:00"),
+    ("2024.06.03", "2024-06-03T00:00:00+00:00"), ("2024.6.3 7:05", "2024-06-03T07:05:00+00:00"), ("June 3, 2024 5 p.m.", "2024-06-03T17:00:00+00:00"),
+    ("3 June 2024, 11 AM", "2024-06-03T11:00:00+00:00"), ("2024-06-03 13:00 PM", None), ("2024-06-03 5", None), ("20240603-12", None), ("1.2.3", None)])
+def test_further_date_forms(values, text, want):
+    assert values(lambda c: py_isoformat(parse_utc(c)), [text]) == [want]
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<meta content="2024-06-03T10:00:00Z" property="article:published_time">', "2024-06-03T10:00:00+00:00"),
+    ("<META name=x content=2024-06-03T10:00:00Z property=article:published_time />", "2024-06-03T10:00:00+00:00"),
+    ("<meta property=article:published_time content='3 Jun 2024'>", "2024-06-03T00:00:00+00:00"),
+    ('<meta property="og:title" content="a > b"><meta data-content="1999-01-01" content="2024-06-03" property="article:published_time"/>', "2024-06-03T00:00:00+00:00"),
+    ('<meta property="article:published_time_old" content="2024-06-03">', None), ('<meta content="2024-06-03"><meta property="article:published_time">', None)])
+def test_meta_tags_in_any_order(values, page, want):
+    assert values(lambda c: py_isoformat(meta_date(c)), [page]) == [want]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +155,20 @@ def test_large_and_small_targets_take_the_same_rows(spark, monkeypatch):
     monkeypatch.setattr(limits, "SORTED_ROWS", 10)
     large = [limits.cap_rows(rows, "seq", 700), limits.backfill(rows.limit(40), rows, "seq", 700), limits.newest_n(rows, "at", "seq", 700)]
     assert [sorted(map(tuple, d.select(s.columns).collect())) for d, s in zip(large, small)] == want
+
+
+def test_staged_tables_go_at_the_end(tmp_path, spark):
+    from signalbase import session
+    from signalbase.operators.resolve import Catalogue
+
+    kept = session._written.pop(spark.sparkContext.applicationId, [])       # those of other tests
+    try:
+        staged = session.stage(spark.range(5).toDF("k"), "x"), session.stage_by(spark.range(5).toDF("k"), ["k"], "y")
+        catalogue = Catalogue.built_in(spark)
+        places = [d.inputFiles()[0].removeprefix("file:").removeprefix("//").rsplit("/", 1)[0] for d in (*staged, catalogue.frame)]
+        assert all(os.path.exists(p) for p in places)
+        session.drop_stages(spark)
+        assert not any(os.path.exists(p) for p in places)
+        assert Catalogue.built_in(spark).frame.count() > 100
+    finally:
+        session._written.setdefault(spark.sparkContext.applicationId, []).extend(kept)

@@ -209,9 +209,9 @@ def identify(rows: DataFrame, languages: tuple[str, ...] | None = None, markup:
 
 
 def is_rejected(least: float = 1e-6) -> Column:
-    """Of a row of ``identify``: it has no language, or the evidence rules out the declared one.
+    """Of a row of ``identify``: its text has no letters, or the evidence rules out the language it declares.
 
-    A row with letters that declares a language without a model is kept, as nothing tells its language from noise.
+    Any other row is kept: where a row declares no language, or one that has no model, nothing tells a language that few rows
+    are in from noise.
     """
-    unknown = (F.col("declared") == "other") & (F.col("n_trigrams") > 0)
-    return (F.col("language") == NOISE) & ~unknown | F.coalesce(F.col("declared_posterior") < least, F.lit(False))
+    return (F.col("n_trigrams") == 0) | F.coalesce(F.col("declared_posterior") < least, F.lit(False))

@@ -107,10 +107,10 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
 SELECT conv_id, turn, role, regexp_replace(text, '^\s+|\s+$', '', 'g') AS body, CAST(least(i, 2) AS BIGINT) AS depth,
   CAST(least(i, 2) AS BIGINT) AS n_passages, CAST(least(i, 2) AS BIGINT) AS n_linked,
-  CASE WHEN i > 0 THEN conv_id END AS parent_conv, up AS parent_turn, root AS root_turn, CAST(i AS BIGINT) AS reply_depth
-FROM told""")
+  CASE WHEN i > 0 THEN conv_id END AS parent_conv, up AS parent_turn, root AS root_turn, CAST(i AS BIGINT) AS reply_depth,
+  CAST(i + 1 AS BIGINT) AS place FROM told""")
 def op8_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
-    """The conversations with mail quotes added, and taken apart again."""
+    """The conversations with mail quotes of whole messages and of single lines added, and taken apart again."""
     return quotes.thread(quotes.with_quotes(spark.read.parquet(f"{folder}/conversations.parquet")))
 
 

@@ -1,9 +1,10 @@
 """Secrets in texts: fixed patterns, and a linear-chain conditional random field over tokens.
 
 The field labels each token as outside (O), begin (B) or inside (I) of a secret and is decoded by Viterbi. Its features
-are the token's shape, the words around it and the kind of text it stands in. It decodes all tokens that hold a digit or are
-LONG, whatever is joined to them by a sign such as ! or @, and any token within REACH of a cue word, = or :. All others,
-plain words away from cues, are outside, so the path is found exactly by decoding each run of decoded tokens alone.
+are the token's shape, the words around it (which word, and of what class), its line, and the kind of text it stands in. It
+decodes all tokens that hold a digit, mix small and capital letters or are LONG, whatever is joined to them by a sign such as ! or @,
+and any token within REACH of a cue word, = or :. All others, words in one case away from cues, are outside, so the path
+is found exactly by decoding each run of decoded tokens alone.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +35,9 @@ LONG = 20
 TOKEN = re.compile(r"[A-Za-z0-9+/_.~-]+(?:=+(?![A-Za-z0-9+/_.~=-]))?|[^\sA-Za-z0-9+/_.~-]")   # = inside: a sign of its own
 JOINTS = set("!@#$%^&*")
 PLAIN, ODD, CUE, JOINT = range(4)
-CUES = {"password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "credential", "credentials", "bearer",
-        "auth", "authorization", "private", "access", "login"}
+CUES = {"password", "passwd", "pwd", "pass", "passphrase", "passcode", "pw", "secret", "secrets", "token", "key", "apikey", "api_key",
+        "credential", "credentials", "bearer", "auth", "authorization", "private", "access", "login", "jwt", "cookie", "session", "pat"}
+RARE = 4            # examples that must have a neighbouring word before the word itself is a feature
 O, B, I = 0, 1, 2  # noqa: E741
 REACH = 3           # words looked at on either side
 
@@ -51,8 +54,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
+_MIXED = re.compile(r"[0-9]|[a-z][A-Z][A-Z]*[a-z]")
+
+
 def plain(token: str) -> bool:
-    return len(token) < LONG and not any("0" <= c <= "9" for c in token) or len(token) == 1
+    return len(token) < LONG and not _MIXED.search(token) or len(token) == 1
+
+
+@functools.lru_cache(maxsize=1 << 14)
+def word_class(token: str) -> str:
+    """What kind of word a neighbour is, whatever its letters."""
+    if len(token) == 1 and not token.isalnum():
+        return token
+    kind = "digits" if token.isdigit() else "odd" if not plain(token) else "lower" if token.islower() else "upper" if token.isupper() else "word"
+    return f"{kind}{min(len(token) // 6, 3)}"
 
 
 def role(token: str) -> int:
@@ -104,18 +119,23 @@ def features(tokens: list[str], i: int, kind: list[str]) -> list[str]:
         out.append("quoted")
     if before and not plain(before[-1]):
         out.append("follows_odd")
+    for place, near in ((-1, tokens[i - 1:i]), (-2, tokens[i - 2:i - 1] if i > 1 else []), (1, tokens[i + 1:i + 2])):
+        word = near[0] if near else ""
+        out += [f"w{place}={word.lower()}", f"c{place}={word_class(word) if word else ''}"]
     return out + [f"{k}&cue" if "cue" in out else k for k in kind]
 
 
 def text_kind(text: str) -> list[str]:
-    """Features of the whole text: how much of it looks like settings or code."""
-    signs = sum(text.count(c) for c in "={};")
-    return [f"signs{min(3, int(400 * signs / (len(text) + 1)))}"]
+    """Features of the whole text: how much of it looks like settings, like code, and like prose; and whether it has lines."""
+    n = len(text) + 1
+    signs, ends, lines = sum(text.count(c) for c in "={};"), text.count(". ") + text.count(", "), text.count("\n")
+    settings = text.count("=") + text.count(": ")
+    return [f"signs{min(3, int(400 * signs / n))}", f"prose{min(3, int(200 * ends / n))}", f"settings{min(2, settings // (lines + 1))}"]
 
 
 # ---- training -------------------------------------------------------------------------------------------------------
 
-def examples(seed: int = 7, count: int = 1500) -> list[tuple[str, list[tuple[int, int]]]]:
+def examples(seed: int = 7, count: int = 3000) -> list[tuple[str, list[tuple[int, int]]]]:
     """Texts made up by a rule, with the spans of the secrets in them: half of them hold none but dates, numbers, addresses."""
     rng = random.Random(seed)
     syllables = ["an", "er", "on", "the", "ti", "es", "en", "at", "ou", "ing", "le", "que", "ich", "ci", "mente"]
@@ -147,10 +167,26 @@ def examples(seed: int = 7, count: int = 1500) -> list[tuple[str, list[tuple[int
                 lambda: f"{rng.choice(['password', 'token', 'secret', 'login', 'auth'])} {words(rng.randint(1, 4))}",
                 lambda: f"{words(1)}={words(1)}", lambda: f"{chars(up, 1, 1)}{words(1)}: {words(3)}!",
                 lambda: f"{words(1)}@{words(1)} #{words(1)} {words(1)}&{words(1)}", lambda: f"{chars(low, 3, 8)}{rng.randint(1, 99)}",
+                lambda: chars(num, 12, 19), lambda: f"{chars(num, 4, 4)}-{chars(num, 4, 4)}-{chars(num, 4, 4)}-{chars(num, 4, 4)}",
+                lambda: f"{chars(low, 3, 9)}_{chars(num, 8, 8)}_{chars(num, 6, 6)}.{rng.choice(['jpg', 'pdf', 'csv'])}",
+                lambda: "-".join(chars("0123456789abcdef", n, n) for n in (8, 4, 4, 4, 12)), lambda: chars("0123456789abcdef", 7, 8),
+                lambda: f"{rng.choice(['build', 'commit', 'order', 'ticket', 'case', 'room', 'flight'])} {chars(up, 0, 2)}{chars(num, 2, 7)}",
+                lambda: f"{words(1).capitalize()}{words(1).capitalize()}", lambda: f"Mc{words(1).capitalize()} and {chars(low, 1, 2)}{chars(up, 2, 4)}s",
+                lambda: f"{chars(low, 3, 8)}.{chars(low, 3, 8)}@{chars(low, 4, 8)}.example", lambda: f"{words(1)}-{chars(num, 1, 3)}",
+                lambda: f"{rng.choice(['token', 'key', 'session', 'pass', 'access'])} {rng.choice(['of', 'for', 'to', 'the', 'and'])} {words(2)}",
             ])()
+            if rng.random() < 0.4:      # words that drag signs behind them
+                body = " ".join(w + rng.choice(["###", "$$$", "&&&", "***", "%%%", "!!"]) for w in f"{words(2)} {body} {words(2)}".split(" "))
             out.append((f"{head} {body} {tail}", []))
             continue
-        cue = rng.choice(["password", "secret", "token", "api_key", "auth", "credential", "key", "pwd", "access key", "bearer"])
+        cue = rng.choice(["password", "secret", "token", "api_key", "auth", "credential", "key", "pwd", "access key", "bearer", "pass", "passphrase",
+                          "session", "jwt", "db pass", "client secret", "passcode", "private key"])
+        if rng.random() < 0.25:         # a key that its own letters give away, in any company
+            secret = rng.choice([lambda: rng.choice(["ghp_", "gho_", "xoxb-", "sk-", "sk_live_", "glpat-", "npm_", "pk_"]) + chars(low + up + num, 18, 40),
+                                 lambda: chars(low + up + num, 20, 44), lambda: chars(low + up + num + "+/", 28, 60) + rng.choice(["", "=", "=="])])()
+            lead = f"{head} {rng.choice(['GitHub', 'see', 'use', 'with', 'deploy', 'build', 'is', words(1)])} "
+            out.append((f"{lead}{secret} {tail}", [(len(lead), len(lead) + len(secret))]))
+            continue
         if rng.random() < 0.15:     # a key over several lines
             lines = [chars(low + up + num + "+/", 40, 64) for _ in range(rng.randint(2, 4))]
             lead, secret = f"{head}\nprivate key:\n", "\n".join(lines)
@@ -243,7 +279,7 @@ class Field:
 
 
 @functools.lru_cache(maxsize=1)
-def trained(seed: int = 7, count: int = 1500, rounds: int = 200, rate: float = 0.1, decay: float = 1e-3) -> Field:
+def trained(seed: int = 7, count: int = 3000, rounds: int = 200, rate: float = 0.1, decay: float = 1e-3) -> Field:
     """Weights of greatest conditional likelihood on ``examples(seed, count)``, by Adam. The same on every run."""
     data: dict[int, list[tuple[list[list[str]], list[int]]]] = {}
     for text, secrets in examples(seed, count):
@@ -254,18 +290,14 @@ def trained(seed: int = 7, count: int = 1500, rounds: int = 200, rate: float = 0
                 labels.append(O if span is None else I if span == previous else B)
                 previous = span
             data.setdefault(len(labels), []).append((feats, labels))
-    index: dict[str, int] = {}
-    for chain in data.values():
-        for feats, _ in chain:
-            for fs in feats:
-                for f in fs:
-                    index.setdefault(f, len(index))
+    often = Counter(f for chain in data.values() for feats, _ in chain for fs in feats for f in fs)
+    index = {f: i for i, f in enumerate(f for f, n in often.items() if n >= RARE or not f.startswith("w"))}
     blocks = []
     for length, chain in sorted(data.items()):
         x = np.zeros((len(chain), length, len(index)))
         for n, (feats, _) in enumerate(chain):
             for t, fs in enumerate(feats):
-                x[n, t, [index[f] for f in fs]] = 1
+                x[n, t, [index[f] for f in fs if f in index]] = 1
         blocks.append((x, np.eye(3)[np.array([labels for _, labels in chain])]))
     total = sum(len(c) for c in data.values())
     forbidden = np.zeros((3, 3))

@@ -1,9 +1,10 @@
 """Packing of token streams into fixed sequences, mixed from one queue per source.
 
 Each source is a queue. A window of tokens is filled by a deficit round-robin: every queue is given its share of the window
-(its part of all tokens), takes the whole tokens of that credit, and carries the rest, its deficit, to the next window.
-After j windows a queue has thus taken ``floor(j * window * share)`` tokens and its deficit is the fraction left. Since
-that is known for every j, a partition starts with the deficits that the ones before it have left, without waiting
+(its target, or without targets its part of all tokens), takes the whole tokens of that credit, and carries the rest, its
+deficit, to the next window. Once a queue is empty the others share by the same proportions. After j windows a queue has thus
+taken ``floor(weight * (j * window - tokens of the empty queues) / weight of the others)`` tokens and its deficit is the fraction
+left. Since that is known for every j, a partition starts with the deficits that the ones before it have left, without waiting
 for them: each document finds its windows from the tokens that precede it in its queue, a prefix sum.
 
 Sources beyond MAX_QUEUES share the last queue. Its tokens are dealt to them along a binary tree: of n tokens at a node
@@ -14,8 +15,10 @@ window too, to within a token for each level, and finds its windows from the tot
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -50,16 +53,28 @@ def reached(path: list[tuple[int, int, int]], n: int) -> int:
 
 @dataclass
 class Rounds:
-    """Where each queue's tokens lie. ``totals``: tokens of each queue; ``window``: tokens dealt in one round."""
+    """Where each queue's tokens lie. ``totals``: tokens of each queue; ``window``: tokens dealt in one round; ``weights``: whole
+    numbers by which queues share a round (default: their totals, so that all are empty at the same time)."""
 
     totals: list[int]
     window: int
     length: int
+    weights: list[int] | None = None
 
     def __post_init__(self):
         self.all = sum(self.totals)
         self.count = -(-self.all // self.window) if self.all else 0
         self.known: dict[int, tuple[list[int], list[int], list[int]]] = {}
+        if self.weights:
+            # Queues in the order in which they run empty; from ``since[i]`` tokens on, i of them are, with ``spent[i]`` tokens.
+            order = sorted(range(len(self.totals)), key=lambda q: Fraction(self.totals[q], self.weights[q]))
+            self.rank = {q: i for i, q in enumerate(order)}
+            self.since, self.spent, self.others = [Fraction(0)], [0], [sum(self.weights)]
+            for q in order:
+                left = self.others[-1] - self.weights[q]
+                self.spent.append(self.spent[-1] + self.totals[q])
+                self.since.append(self.spent[-1] + Fraction(self.totals[q], self.weights[q]) * left)
+                self.others.append(left)
         full, rest = divmod(self.all, self.length)
         self.full = full
         # What is left after the full sequences goes to sequences of powers of two, which need no padding.
@@ -67,7 +82,20 @@ class Rounds:
 
     def taken(self, queue: int, rounds: int) -> int:
         """Tokens that a queue has given after so many windows."""
-        return self.totals[queue] if rounds >= self.count else rounds * self.window * self.totals[queue] // self.all
+        if rounds >= self.count:
+            return self.totals[queue]
+        if not self.weights:
+            return rounds * self.window * self.totals[queue] // self.all
+        empty = bisect_right(self.since, rounds * self.window) - 1
+        if self.rank[queue] < empty:
+            return self.totals[queue]
+        return self.weights[queue] * (rounds * self.window - self.spent[empty]) // self.others[empty]
+
+    def window_of(self, queue: int, n: int) -> int:
+        """The window in which a queue gives its ``n``-th token."""
+        if not self.weights:
+            return min(self.count, -(-n * self.all // (self.window * self.totals[queue]))) - 1
+        return bisect_left(range(self.count + 1), n, key=lambda j: self.taken(queue, j)) - 1
 
     def round(self, j: int) -> tuple[list[int], list[int], list[int]]:
         """Window j: tokens taken before it, tokens taken after it, and the place of its first token, by queue."""
@@ -91,7 +119,7 @@ class Rounds:
         done = 0
         while done < n:
             u = first + done
-            j = min(self.count, -(-reached(path, u + 1) * self.all // (self.window * self.totals[queue]))) - 1
+            j = self.window_of(queue, reached(path, u + 1))
             before, after, places = self.round(j)
             (given, left), (due, left_due) = dealt(path, before[queue]), dealt(path, after[queue])
             end = min(n, done + due - u)
@@ -163,25 +191,34 @@ def paths(tail: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, path: str, ranks_path: str | None = None, length: int = 1024, window: int = 16,
-         max_queues: int = MAX_QUEUES, **columns) -> DataFrame:
+         max_queues: int = MAX_QUEUES, targets: dict[str | None, float] | None = None, **columns) -> DataFrame:
     """Cut all documents into pieces and lay them in sequences of ``length`` tokens without padding.
 
     Windows hold ``window`` sequences; in each, every source has its share of all tokens, to within one token; sources beyond
-    the ``max_queues`` - 1 largest to within one for each level of their tree. Returns per
-    piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source. All sequences are full but
+    the ``max_queues`` - 1 largest to within one for each level of their tree. ``targets`` asks for other shares of each window, by
+    source (each in a queue of its own); sources not named share the rest by their tokens. Targets hold as long as all
+    queues have tokens; then the others go on in the same proportions. Returns per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source. All sequences are full but
     the last few, whose lengths are powers of two.
 
     A null or empty text still has its end id, so it has one piece. A null source is a queue of its own. Repeated rows
     are packed each. Columns other than the three named are not read. An empty table gives an empty result.
-    Tokens are written once to the shared folder, and only counts by (partition, source) are shuffled.
+    Tokens are written once to the shared folder. Counts by (partition, source) are joined back to them; Spark broadcasts those
+    as long as they are small, else the tokens are shuffled once.
     """
     rows = stage(tokenize(docs, path, ranks_path, **columns), "tokens")
     totals = rows.groupBy("queue").agg(F.sum("doc_tokens").alias("n"))
-    own = totals.orderBy(F.desc("n"), "queue").limit(max_queues - 1).collect()
+    asked = {"-" if x is None else f"={x}": share for x, share in (targets or {}).items()}
+    if len(asked) >= max_queues or sum(asked.values()) > 1 + 1e-9 or min(asked.values(), default=0) < 0:
+        raise ValueError("targets must be shares of one whole, of fewer sources than there are queues")
+    own = totals.orderBy(F.desc(F.col("queue").isin(list(asked))), F.desc("n"), "queue").limit(max_queues - 1).collect()
     every = totals.agg(F.sum("n").alias("n")).first()["n"] or 0
     counts = [r["n"] for r in own]
     names = {r["queue"]: i for i, r in enumerate(own)}
-    rounds = (counts + [every - sum(counts)] if every > sum(counts) else counts, window * length, length)
+    full = counts + [every - sum(counts)] if every > sum(counts) else counts
+    rest = every - sum(r["n"] for r in own if r["queue"] in asked)
+    left = max(0.0, 1 - sum(asked[r["queue"]] for r in own if r["queue"] in asked))
+    shares = [asked.get(r["queue"], left * r["n"] / max(rest, 1)) for r in own] + [left * n / max(rest, 1) for n in full[len(own):]]
+    rounds = (full, window * length, length, [max(1, round(x * 10 ** 12)) for x in shares] if asked else None)
 
     lane = F.lit(len(own))
     if names:
@@ -193,6 +230,7 @@ def pack(docs: DataFrame, path: str, ranks_path: str | None = None, length: int
         starts = starts.join(stage(paths(totals.where(lane == len(own))), "paths"), "queue", "left")
     else:
         starts = starts.withColumn("path", F.lit(None).cast("array<struct<level:int,right:int,a:bigint,b:bigint>>"))
+    starts = stage(starts, "starts")        # so that Spark knows its size
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = Rounds(*rounds)

@@ -128,3 +128,49 @@ def test_sources_that_share_a_queue_have_their_share_of_each_window(docs):
         share = sum(map(sum, held.values())) / total
         for window in range(total // 2048):
             assert abs(sum(held.get(window, [])) - 2048 * share) <= 7
+
+
+def test_targets_fill_windows_until_a_queue_is_empty(docs):
+    """Windows hold the asked shares while all queues last, and the others' proportions after that; nothing is lost."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(["alpha", "bet", "zz9"], k=60)), "en", ["a", "a", "a", "b", None][i % 5]) for i in range(900)]
+    pieces = pack(docs(rows), *vocabulary(), length=128, window=16, targets={"b": 0.5, "a": 0.3}).collect()
+    check_packed(rows, pieces, 128)
+    size: dict = {}
+    for p in pieces:
+        at = size.setdefault(p["sequence_id"] // 16, {})
+        at[p["source"]] = at.get(p["source"], 0) + p["length"]
+    total = {x: sum(w.get(x, 0) for w in size.values()) for x in ("a", "b", None)}
+    first_empty = int(min(total["b"] / 0.5, total["a"] / 0.3, total[None] / 0.2) / 2048)
+    assert first_empty > 3
+    for w in range(first_empty):
+        assert all(abs(size[w].get(x, 0) - 2048 * share) <= 3 for x, share in (("b", 0.5), ("a", 0.3), (None, 0.2)))
+    after = size[first_empty + 1]
+    assert after.get("b", 0) == 0 and abs(after["a"] / after[None] - 1.5) < 0.02
+
+
+def test_rounds_by_weight_place_each_token_once():
+    rng = random.Random(3)
+    for _ in range(30):
+        totals, length = [rng.randint(1, 3000) for _ in range(rng.randint(1, 6))], rng.choice([7, 16])
+        rounds = Rounds(totals, length * rng.randint(1, 9), length, [rng.randint(1, 9) for _ in totals])
+        places = []
+        for q, n in enumerate(totals):
+            at = 0
+            while at < n:
+                size = min(n - at, rng.randint(1, 400))
+                for start, part, sequence, offset in rounds.pieces(q, at, size):
+                    places += [(sequence, offset + k) for k in range(part)]
+                at += size
+        assert len(set(places)) == len(places) == sum(totals)
+        held: dict = {}
+        for sequence, offset in places:
+            held.setdefault(sequence, []).append(offset)
+        assert all(sorted(v) == list(range(len(v))) for v in held.values())
+
+
+def test_tokens_are_not_shuffled(docs):
+    """The counts that place a document's tokens are known to be small, so they go to the tokens."""
+    table = docs([(i, "alpha bet", "en", f"s{i % 3}") for i in range(50)])
+    plan = pack(table, *vocabulary())._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan

@@ -29,6 +29,7 @@ from .common import slices
 
 WIDTH = 200
 GRAM = 40
+SORTED_BYTES = 1 << 20  # bytes of whole anchors whose windows are sorted at once
 SPLIT_RUNS = 4096       # different runs of one anchor beyond which its windows are counted instead of sorted
 
 _B = 0x9E3779B97F4A7C15 | 1
@@ -143,23 +144,39 @@ def _digest(raw: bytes) -> bytes:
 
 
 def repeated_windows(texts: list[bytes], places: list[int], width: int = WIDTH) -> list[np.ndarray]:
-    """For each run of one anchor, which of its windows (suffixes cut at ``width`` bytes) another one equals.
+    """For each run, which of its windows (suffixes cut at ``width`` bytes) another one equals.
 
-    ``places``: the anchor's place in the run. Equal windows have the anchor at the same place, so the multikey sort takes
-    the place as its first key and the bytes as the others; equal neighbours in that order are repeated.
+    ``places``: the anchor's place in the run, above it the number of the anchor. Equal windows have the anchor at the same place, so the multikey quicksort takes
+    the place as its first key and eight bytes as each of the others: windows are sorted by one key at a time, and only those
+    that are equal so far go on to the next. What is left after the last key is repeated.
     """
-    flags = [np.zeros(len(t) - width + 1, bool) for t in texts]
-    order: dict[int, list[tuple[int, int]]] = {}
-    for r, (mine, a) in enumerate(zip(flags, places)):
-        for w in range(len(mine)):
-            order.setdefault(a - w, []).append((r, w))
-    for members in order.values():
-        if len(members) > 1:
-            members.sort(key=lambda m: texts[m[0]][m[1]:m[1] + width])
-            for (r, w), (q, v) in zip(members, members[1:]):
-                if texts[r][w:w + width] == texts[q][v:v + width]:
-                    flags[r][w] = flags[q][v] = True
-    return flags
+    data = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
+    words = np.zeros(len(data) - 7, np.uint64)      # the eight bytes from each byte on, the first one highest
+    for k in range(8):
+        words |= data[k:len(data) - 7 + k].astype(np.uint64) << np.uint64(56 - 8 * k)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    counts = sizes - width + 1
+    run = np.repeat(np.arange(len(texts)), counts)
+    own = np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)       # place of a window in its run
+    starts = np.repeat(np.cumsum(sizes) - sizes, counts) + own
+    items, group = np.arange(len(run)), np.zeros(len(run), np.int64)
+    for level in range(-1, -(-width // 8)):
+        if level < 0:
+            key = np.repeat(np.array(places, np.int64), counts) - own
+        else:
+            key = words[starts[items] + 8 * level]
+            if 8 * level + 8 > width:
+                key = key >> np.uint64(8 * (8 * level + 8 - width))
+        order = np.lexsort((key, group))
+        key, ahead = key[order], group[order]
+        group = np.cumsum(np.r_[False, (key[1:] != key[:-1]) | (ahead[1:] != ahead[:-1])])
+        stay = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
+        items, group = items[order][stay], group[stay]
+        if not len(items):
+            break
+    flags = np.zeros(len(run), bool)
+    flags[items] = True
+    return np.split(flags, np.cumsum(counts)[:-1])
 
 
 def stretches(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -213,22 +230,25 @@ def _sorted_buckets(held: DataFrame, width: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(members: list[tuple]) -> list[tuple]:
-            found = repeated_windows([m[4] for m in members], [m[3] for m in members], width)
-            return [(i, tag, first + s, n) for (i, tag, first, _, _), flags in zip(members, found)
+            # The number of its anchor stands above a place, so windows of several anchors are sorted at once.
+            found = repeated_windows([m[4] for m in members], [(m[5] << 32) + m[3] for m in members], width)
+            return [(i, tag, first + s, n) for (i, tag, first, *_), flags in zip(members, found)
                     for s, n in stretches(flags)]
 
-        key, members, out = None, [], []
+        key, number, held, members, out = None, 0, 0, [], []
         for batch in batches:
             names = ("anchor", "doc_id", "tag", "first", "place", "bytes")
             for anchor, *rest in zip(*(batch.column(c).to_pylist() for c in names)):
                 if anchor != key:
-                    if len(members) > 1:
+                    if held > SORTED_BYTES:
                         out += flush(members)
-                    key, members = anchor, []
-                members.append(tuple(rest))
+                        members, number, held = [], 0, 0
+                    key, number = anchor, number + 1
+                members.append((*rest, number))
+                held += len(rest[-1])
             yield _cover(out)
             out = []
-        if len(members) > 1:
+        if members:
             yield _cover(flush(members))
 
     return dealt.mapInArrow(compare, _COVER)

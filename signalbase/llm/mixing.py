@@ -76,25 +76,34 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
               **options) -> DataFrame:
     """The mixed corpus: rows of ``docs`` repeated as often as ``mix`` takes them, the last one of a source cut to its words.
 
-    Rows of one id are matched to their plan in the order of source and size, equal ones in any order. Texts are
-    shuffled once: the numbering within an id and the join share that shuffle. Columns keep their names and types.
+    Rows are matched to their plan by id, source and size; which of several rows equal in these takes more is decided by a
+    hash of the whole row. Both sides are counted first (a plan has at most three outcomes for such rows), so rows without an
+    id, or of one id, make neither pairs nor one large group. Texts are shuffled once, by the hash too; rows equal in all
+    columns travel as one. Columns keep their names and types.
     """
     names = docs.columns
-
-    def numbered(rows: DataFrame) -> DataFrame:
-        same = Window.partitionBy("_id").orderBy("_source", "_size", "_tie")
-        return rows.withColumn("_n", F.row_number().over(same)).drop("_source", "_size", "_tie")
+    key = ["_id", "_source", "_size"]
 
     def identity(column: str) -> F.Column:
-        return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("-")).alias("_id")
-
-    plan = numbered(mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options).select(
-        identity("doc_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        F.col("copies").alias("_tie"), "copies", "cut")).withColumnRenamed("_n", "_m")
-    rows = numbered(docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), identity(id_col), F.col(source_col).alias("_source"),
-        word_count(F.col(text_col)).alias("_size"), F.xxhash64(F.col(text_col)).alias("_tie")))
-    both = (rows.join(plan.where("copies > 0 OR cut > 0"), "_id").where("_n - _m = 0")
+        return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("-"))
+
+    def spans(rows: DataFrame, *order: F.Column) -> DataFrame:
+        """The places (from, to] that each row's ``_n`` equal ones take among those of its key."""
+        before = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn("_to", F.sum("_n").over(before)).withColumn("_from", F.col("_to") - F.col("_n")).drop("_n")
+
+    plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options).select(
+        identity("doc_id").alias("_id"), identity("source").alias("_source"), F.col("size").alias("_size"), "copies", "cut")
+    outcomes = spans(plan.groupBy(*key, "copies", "cut").agg(F.count("*").alias("_n")), F.desc("copies"), F.desc("cut"))
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    rows = docs.select(row.alias("_row"), identity(id_col).alias("_id"), identity(source_col).alias("_source"),
+                       word_count(F.col(text_col)).alias("_size"), F.xxhash64(row).alias("_tie"))
+    kinds = spans(rows.groupBy(*key, "_tie").agg(F.count("*").alias("_n")), F.col("_tie"))
+    met = kinds.join(outcomes.select(*key, "copies", "cut", F.col("_from").alias("_a"), F.col("_to").alias("_b")), key)
+    common = (F.least("_to", "_b") - F.greatest("_from", "_a")).cast("int")
+    taken = (met.withColumn("_common", common).where("_common > 0").groupBy(*key, "_tie")
+             .agg(F.sum(F.col("copies") * F.col("_common")).alias("copies"), F.max("cut").alias("cut")).where("copies > 0 OR cut > 0"))
+    both = (rows.groupBy(*key, "_tie").agg(F.first("_row").alias("_row")).join(stage(taken, "taken"), [*key, "_tie"])
             .select("_row", "copies", "cut"))
     text = F.col(f"_row.`{text_col}`")
     words = F.filter(F.split(text, GAP), lambda w: w != "")

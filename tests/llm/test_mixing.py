@@ -83,3 +83,12 @@ def test_targets_match_repeated_sharing(shipped, sizes):
     want = plain_targets(sizes)
     for r in source_targets(rows).collect():
         assert r["target"] == pytest.approx(want[r["key"][1:]])
+
+
+def test_rows_without_ids_make_no_pairs(docs):
+    """Thousands of rows without an id and of one size, some of them equal, take what the plan says for them."""
+    rows = [(None, f"{i // 3} two three", "en", "s" if i % 4 else "t") for i in range(6000)] + [(7, "a b c", "en", "s")] * 3000
+    table = docs(rows)
+    want = mix(table).groupBy("source").agg({"taken": "sum"}).collect()
+    out = apply_mix(table).selectExpr("source", "size(split(text, ' ')) AS n").groupBy("source").agg({"n": "sum"}).collect()
+    assert sorted(map(tuple, out)) == sorted(map(tuple, want))

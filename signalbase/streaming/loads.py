@@ -50,7 +50,9 @@ def idempotent_load(records: DataFrame, table: str, checkpoint: str, seq: str, k
             latest = None if marks is None else marks.filter(~own).agg(F.max("latest")).first()[0]
             if latest is not None:
                 fresh = F.col(ts).isNull() | (F.col(ts) >= F.lit(latest - delay))
-                forgotten = (F.col("day") < F.lit((latest - delay).date())) | ~fresh
+                # By day only as far as whole partitions are old in every zone.
+                old = F.col("day") < F.lit((latest - delay - timedelta(days=1)).date())
+                forgotten = F.coalesce(old, F.lit(False)) | ~fresh
         dealt = first_wins(batch.filter(fresh), key, seq).withColumn("part", F.pmod(F.hash(key), F.lit(PARTS)))
         winners = stage(dealt if ts is None else dealt.withColumn("day", F.to_date(ts)), "arrivals")
         new, stored = winners, _stored(spark, table)

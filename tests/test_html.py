@@ -62,4 +62,4 @@ def test_the_work_grows_with_the_page(spark):
         return min(best)
 
     seconds(50)
-    assert seconds(4000) <= 10 * max(seconds(500), 0.3)
+    assert seconds(4000) <= 20 * max(seconds(500), 0.3)     # about 5 on an idle machine; squares would give 64

@@ -15,6 +15,10 @@ K1, B = 1.2, 0.75           # saturation of repeated terms, and share of length
 SCORE = "decimal(20,9)"     # scores are added up as decimals, so their order of arrival changes nothing
 FUSED = 60                  # damping of ranks when two rankings are fused
 SAMPLE = 100_000            # vectors at most that centroids are trained on
+SHARDS = 8                  # shards of texts a shuffle partition at least
+SHARD_BYTES = 8 << 20       # bytes of text in a shard, about
+PART_ROWS = 8192            # vectors in one part of a list, about
+PAIRS = 4 << 20             # pairs of vectors that a task holds at once
 _TRAINED = 20               # rounds of training
 
 
@@ -22,9 +26,98 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
+def _inverted():
+    """The function of a task that inverts one shard: a row per term, and one without a term that lists all items with their lengths.
+
+    Rows with the same item and length count as one. The functions of tasks are made inside others, so that Spark sends them whole and executors
+    need no copy of this package.
+    """
+    def inverted(table):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        table = table.combine_chunks()
+        item, terms = (pa.concat_arrays(table[c].chunks) for c in ("item", "t"))
+        size = pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype("int64")
+        code = item.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype("int64")
+        _, row, text = np.unique((code + 1) * (int(size.max()) + 1) + size, return_index=True, return_inverse=True)
+        found = terms.flatten().dictionary_encode()
+        at = found.indices.to_numpy(zero_copy_only=False).astype("int64")
+        pairs, tf = np.unique(at * len(row) + text[pc.list_parent_indices(terms).to_numpy(zero_copy_only=False)], return_counts=True)
+        held = row[pairs % len(row)]
+        n = np.concatenate([np.bincount(pairs // len(row), minlength=len(found.dictionary)), [len(row)]])
+        ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+        rows = np.concatenate([held, row])
+        whole = {"term": pa.concat_arrays([found.dictionary, pa.nulls(1, found.dictionary.type)]), "n": pa.array(n, pa.int32()),
+                 "items": pa.ListArray.from_arrays(ends, item.take(pa.array(rows))),
+                 "tfs": pa.ListArray.from_arrays(ends, pa.array(np.concatenate([tf, np.zeros(len(row), "int64")]), pa.int32())),
+                 "lengths": pa.ListArray.from_arrays(ends, pa.array(size[rows], pa.int32())),
+                 "_salt": pa.array(np.full(len(n), table["_salt"][0].as_py()), pa.int32())}
+        return pa.table(whole)
+    return inverted
+
+
+def _met(mean: float, k: int | None):
+    """The function of a task that scores one shard: (query, item, part), parts in units of SCORE.
+
+    With ``k`` those of each query's best items only, ties to the lower item. An item that is null can lie in other shards
+    too, so what it has here is always given.
+    """
+    def met(table):
+        from decimal import ROUND_HALF_UP, Decimal
+
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def plain(values):
+            return values.to_numpy(zero_copy_only=False)
+
+        table = table.combine_chunks()
+        items, tfs, lengths, queries = (pa.concat_arrays(table[c].chunks) for c in ("items", "tfs", "lengths", "queries"))
+        term, ends = plain(pc.list_parent_indices(items)), np.concatenate([[0], np.cumsum(plain(pc.list_value_length(items)))])
+        coded = items.flatten().dictionary_encode()
+        order = plain(pc.sort_indices(coded.dictionary))
+        place = np.empty(len(order), "int64")
+        place[order] = np.arange(len(order))
+        known = coded.dictionary.take(pa.array(order))                       # in the order of items, so places compare like them
+        none = len(known)                                                    # the place of null
+        place = np.append(place, none)[plain(coded.indices.fill_null(none)).astype("int64")]
+        tf, length = plain(tfs.flatten()).astype("float64"), plain(lengths.flatten()).astype("float64")
+        share = plain(table["idf"].combine_chunks())[term] * (tf * (K1 + 1) / (tf + K1 * ((1 - B) + B * length / mean)))
+        units = share * 1e9
+        part = np.floor(units + 0.5)
+        for i in np.flatnonzero(np.abs(units - np.floor(units) - 0.5) < 1e-4):      # rounded as the decimal that the number is written as
+            part[i] = int(Decimal(repr(float(share[i]))).scaleb(9).quantize(Decimal(1), ROUND_HALF_UP))
+        asked = queries.flatten().dictionary_encode()
+        by_query = plain(asked.indices).astype("int64")
+        turn = np.argsort(by_query, kind="stable")
+        rows = plain(pc.list_parent_indices(queries))[turn]
+        cuts = np.searchsorted(by_query[turn], np.arange(len(asked.dictionary) + 1))
+        out = []
+        for q in range(len(asked.dictionary)):
+            mine = rows[cuts[q]:cuts[q + 1]]
+            places = np.concatenate([place[ends[r]:ends[r + 1]] for r in mine])
+            total = np.bincount(places, np.concatenate([part[ends[r]:ends[r + 1]] for r in mine]), none + 1)    # exact: whole numbers
+            hit = np.flatnonzero(np.bincount(places, minlength=none + 1))
+            if k is not None:
+                lost, hit = hit[hit == none], hit[hit < none]
+                if len(hit) > k:
+                    hit = hit[total[hit] >= np.partition(total[hit], len(hit) - k)[len(hit) - k]]
+                    hit = hit[np.lexsort((hit, -total[hit]))[:k]]
+                hit = np.concatenate([hit, lost])
+            out.append((np.full(len(hit), q), hit, total[hit].astype("int64")))
+        query, hit, part = (np.concatenate(x) for x in zip(*out))
+        return pa.table({"query": asked.dictionary.take(pa.array(query)), "part": pa.array(part),
+                         "item": known.take(pa.array(np.where(hit == none, 0, hit), mask=hit == none))})
+    return met
+
+
 @dataclass(frozen=True)
 class TextIndex:
-    """``postings(term, item, tf, length, df)`` as they lie by term; a term of very many items is spread (``hot``)."""
+    """``postings(term, n, items, tfs, lengths)``: one row per shard of items (``_salt``) and term, as they lie by shard, so that a
+    term of very many items is spread and all that an item has lies together. ``hot``: terms with over 1/1000 of all entries."""
 
     postings: DataFrame
     hot: DataFrame
@@ -33,24 +126,41 @@ class TextIndex:
 
     @staticmethod
     def build(texts: DataFrame, item: str, text: str) -> TextIndex:
-        """Each text is read once; lengths and frequencies go along with the postings, so that a search reads its terms only."""
-        found = texts.select(F.col(item).alias("item"), terms_of(F.coalesce(F.col(text), F.lit(""))).alias("t"))
-        listed = stage(found.select("item", F.size("t").alias("length"), F.explode_outer("t").alias("term"))
-                       .groupBy("item", "length", "term").agg(F.count("term").alias("tf")), "terms")
-        whole = listed.select("item", "length").distinct().agg(F.count("*"), F.sum("length")).first()
-        entries = listed.filter(F.col("term").isNotNull())
-        often = entries.groupBy("term").agg(F.count("*").alias("df"))
-        hot = stage(frequent_keys(entries, "term"), "hot-terms")
-        dealt = salted(entries, "term", hot, F.col("item")).join(repeated(often, "term", hot), ["term", "_salt"])
-        return TextIndex(stage_by(dealt, ["term", "_salt"], "postings"), hot, whole[0], (whole[1] or 0) / max(whole[0], 1))
-
-    def scores(self, queries: DataFrame, query: str, text: str) -> DataFrame:
-        """(query, item, score) of all items that hold a term of the query. Only queries are moved to the postings."""
-        wanted = queries.select(F.col(query).alias("query"), F.explode(F.array_distinct(terms_of(text_of(text)))).alias("term"))
+        """Texts are dealt to shards by item, about SHARD_BYTES each, and each shard is inverted by itself; no posting is shuffled.
+
+        Texts without an item are dealt by their number of terms, so that those that count as one meet.
+        """
+        spark = texts.sparkSession
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        size = texts.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+        shards = max(SHARDS * buckets, size // SHARD_BYTES + 1)
+        shown = texts.select(F.col(item).alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        dealt = F.when(F.col("item").isNull(), F.xxhash64(F.size(terms_of(F.col("text"))))).otherwise(F.xxhash64("item"))
+        found = (shown.withColumn("_salt", F.pmod(dealt, F.lit(shards)).cast("int")).repartition(buckets, "_salt")
+                 .select("_salt", "item", terms_of(F.col("text")).alias("t")))
+        kind = shown.schema["item"].dataType.simpleString()
+
+        listed = found.groupBy("_salt").applyInArrow(
+            _inverted(), f"term string, n int, items array<{kind}>, tfs array<int>, lengths array<int>, _salt int")
+        postings = stage_by(listed, ["_salt"], "postings", dealt=True)
+        whole = postings.filter("term IS NULL").agg(F.sum("n"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x))).first()
+        entries = postings.filter("term IS NOT NULL").select("term", F.explode("items"))
+        return TextIndex(postings, frequent_keys(entries, "term"), whole[0] or 0, (whole[1] or 0) / max(whole[0] or 0, 1))
+
+    def scores(self, queries: DataFrame, query: str, text: str, k: int | None = None) -> DataFrame:
+        """(query, item, score) of all items that hold a term of the query; with ``k`` at least those that ``best`` takes. Only
+        queries are moved to the postings, and each shard gives no more than its own ``k`` best.
+        """
+        kind = queries.schema[query].dataType.simpleString(), self.postings.schema["items"].dataType.elementType.simpleString()
+        wanted = stage(queries.select(F.col(query).alias("query"), F.explode(F.array_distinct(terms_of(text_of(text)))).alias("term"))
+                       .groupBy("term").agg(F.collect_list(F.struct("query")).alias("queries")), "wanted")
+        often = self.postings.select("term", "n").join(wanted.select("term"), "term").groupBy("term").agg(F.sum("n").alias("df"))
         idf = F.log(F.lit(1.0) + (F.lit(float(self.items)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-        weight = F.col("tf") * F.lit(K1 + 1) / (F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("length") / F.lit(self.mean)))
-        met = self.postings.join(repeated(wanted, "term", self.hot), ["term", "_salt"])
-        return met.groupBy("query", "item").agg(F.sum((idf * weight).cast(SCORE)).alias("score"))
+        weighed = stage(wanted.join(often, "term").select("term", idf.alias("idf"), F.col("queries.query").alias("queries")), "weighed")
+        found = (self.postings.join(weighed, "term").select("_salt", "items", "tfs", "lengths", "idf", "queries")
+                 .groupBy("_salt").applyInArrow(_met(float(self.mean), k), f"query {kind[0]}, item {kind[1]}, part long"))
+        unit = F.expr("cast(cast(_sum as decimal(20,0)) * 0.000000001BD as decimal(30,9))")
+        return found.groupBy("query", "item").agg(F.sum("part").alias("_sum")).select("query", "item", unit.alias("score"))
 
 
 def text_of(name: str) -> Column:
@@ -102,16 +212,74 @@ class VectorIndex:
         model = KMeans(k=lists, seed=seed, maxIter=_TRAINED).fit(sample)
         centroids = [_plain_unit(c.tolist()) for c in model.clusterCenters()]       # as many as lists
         listed = stage(units.withColumn("list", F.get(_lists(F.col("unit"), centroids, 1), 0)), "listed")
-        hot = stage(frequent_keys(listed, "list"), "hot-lists")
+        parts = F.ceil(F.col("count") / PART_ROWS).cast("int")
+        hot = stage(listed.groupBy("list").count().where(F.col("count") > PART_ROWS).select("list", parts.alias("_hot")), "hot-lists")
         return VectorIndex(stage_by(salted(listed, "list", hot, F.col("item")), ["list", "_salt"], "lists"), hot, centroids)
 
-    def scores(self, queries: DataFrame, query: str, vector: str, probes: int | None = None) -> DataFrame:
+    def scores(self, queries: DataFrame, query: str, vector: str, probes: int | None = None, k: int | None = None) -> DataFrame:
         """(query, item, score): exact cosines with the vectors of the ``probes`` nearest lists of each query (default: all, which
-        is an exact search)."""
+        is an exact search); with ``k`` at least those that ``best`` takes, as each part of a list gives its own ``k`` best.
+
+        Only queries are moved. A task holds one part of a list, the queries that ask it, and PAIRS of their pairs.
+        """
         asked = queries.select(F.col(query).alias("query"), _unit(F.col(vector)).alias("asked")).filter("asked IS NOT NULL")
         near = _lists(F.col("asked"), self.centroids, probes or max(1, len(self.centroids)))
-        met = self.entries.join(repeated(asked.withColumn("list", F.explode(near)), "list", self.hot), ["list", "_salt"])
-        return met.select("query", "item", _dot(F.col("unit"), F.col("asked")).alias("score"))
+        sent = repeated(asked.withColumn("list", F.explode(near)), "list", self.hot)
+        if k is None:
+            met = self.entries.join(sent, ["list", "_salt"])
+            return met.select("query", "item", _dot(F.col("unit"), F.col("asked")).alias("score"))
+        kinds = asked.schema["query"].dataType.simpleString(), self.entries.schema["item"].dataType.simpleString()
+        return self.entries.groupBy("list", "_salt").cogroup(sent.groupBy("list", "_salt")).applyInArrow(
+            _cosines(k), f"query {kinds[0]}, item {kinds[1]}, score double")
+
+
+def _cosines(k: int):
+    """The function of a task that compares one part of a list with its queries: (query, item, score) of each query's ``k`` best.
+
+    A matrix product names the pairs that can be among them, with an allowance for its order of addition. Their scores are then
+    added up component by component, as Spark and SQL do it, and ranked. Vectors of unlike lengths have a null score, which comes last; NaN comes first.
+    """
+    def dense(values):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        values = pa.concat_arrays(values.chunks)
+        size = pc.list_value_length(values).to_numpy(zero_copy_only=False).astype("int64")
+        out = np.zeros((len(size), int(size.max())))
+        out[np.arange(out.shape[1]) < size[:, None]] = values.flatten().to_numpy(zero_copy_only=False)
+        return out, size
+
+    def cosines(entries, queries):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kinds = pa.schema([("query", queries.schema.field("query").type), ("item", entries.schema.field("item").type), ("score", pa.float64())])
+        if not len(entries) or not len(queries):
+            return kinds.empty_table()
+        entries = entries.take(pc.sort_indices(entries["item"], null_placement="at_start"))     # ties go to the first row
+        item, query = entries["item"].combine_chunks(), queries["query"].combine_chunks()
+        (units, size), (asked, asked_size) = dense(entries["unit"]), dense(queries["asked"])
+        wide = max(units.shape[1], asked.shape[1])
+        units, asked = (np.pad(x, ((0, 0), (0, wide - x.shape[1]))) for x in (units, asked))
+        step, found = max(1, PAIRS // len(units)), []
+        for first in range(0, len(asked), step):
+            block = asked[first:first + step]
+            alike = asked_size[first:first + step, None] == size
+            rough = np.where(alike, np.nan_to_num(block @ units.T, nan=np.inf, posinf=np.inf, neginf=np.inf), -np.inf)
+            last = max(0, len(units) - k)
+            at, row = np.nonzero(rough >= np.partition(rough, last, axis=1)[:, last, None] - 1e-9)
+            score = np.zeros(len(at))
+            for c in range(wide):
+                score += block[at, c] * units[row, c]
+            fits = alike[at, row]
+            order = np.lexsort((row, -np.where(fits, np.where(np.isnan(score), np.inf, score), -np.inf), at))
+            keep = order[np.arange(len(order)) - np.searchsorted(at, at) < k]       # ``at`` ascends, so it starts where its order does
+            found.append((first + at[keep], row[keep], score[keep], fits[keep]))
+        at, row, score, fits = (np.concatenate(x) for x in zip(*found))
+        return pa.table([query.take(pa.array(at)), item.take(pa.array(row)), pa.array(score, mask=~fits)], schema=kinds)
+    return cosines
 
 
 def _plain_unit(c: list[float]) -> list[float]:

@@ -212,14 +212,14 @@ def _shown(found):
     return found.select("query", "item", "rank", F.round("score", 6).cast("double").alias("score"))
 
 
-def _text_scores(t: Tables):
-    return search.TextIndex.build(t.documents, "doc_id", "text").scores(t.benchmark, "item_id", "text")
+def _text_scores(t: Tables, k: int):
+    return search.TextIndex.build(t.documents, "doc_id", "text").scores(t.benchmark, "item_id", "text", k)
 
 
 @query(f"WITH {_BM25_SQL} SELECT query, item, rank, CAST(round(score, 6) AS DOUBLE) AS score FROM ({_rank_sql('by_text', 10)}) x")
 def keyword_topk(t: Tables):
     """The ten documents with most of each benchmark passage's words, by BM25."""
-    return _shown(search.best(_text_scores(t), 10))
+    return _shown(search.best(_text_scores(t, 10), 10))
 
 
 @query(f"""WITH {_by_vector_sql("SELECT vec_id FROM embeddings WHERE vec_id % 100 = 0")}
@@ -227,7 +227,7 @@ def keyword_topk(t: Tables):
 def vector_lists(t: Tables):
     """The ten vectors most like each hundredth one, through all inverted lists."""
     index = search.VectorIndex.build(t.embeddings, "vec_id", "embedding", 16)
-    return _shown(search.best(index.scores(t.embeddings.filter("vec_id % 100 = 0"), "vec_id", "embedding"), 10))
+    return _shown(search.best(index.scores(t.embeddings.filter("vec_id % 100 = 0"), "vec_id", "embedding", k=10), 10))
 
 
 @query(f"""WITH {_BM25_SQL}, {_by_vector_sql("SELECT item_id FROM benchmark")},
@@ -238,5 +238,5 @@ def hybrid_queries(t: Tables):
     """For each benchmark passage the documents by words and by vector (of the same number), fused by rank."""
     asked = t.embeddings.join(t.benchmark.select(F.col("item_id").alias("vec_id")), "vec_id", "left_semi")
     index = search.VectorIndex.build(t.embeddings, "vec_id", "embedding", 16)
-    by_vector = search.best(index.scores(asked, "vec_id", "embedding"), 20)
-    return _shown(search.fused([search.best(_text_scores(t), 20), by_vector], 10))
+    by_vector = search.best(index.scores(asked, "vec_id", "embedding", k=20), 20)
+    return _shown(search.fused([search.best(_text_scores(t, 20), 20), by_vector], 10))

@@ -92,15 +92,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_by(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def stage_by(df: DataFrame, keys: Sequence[str], name: str, dealt: bool = False) -> DataFrame:
     """Write ``df`` once, bucketed by ``keys``: joins on them read it as it lies, without a shuffle, however often.
 
     The files lie in the shared folder; the session's catalogue has an entry for them, which tells Spark of the buckets.
+    Rows that come ``dealt`` by these keys to as many partitions as Spark is set to are written from where they are.
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{_STAGED_TABLE}{uuid.uuid4().hex}"
-    (df.repartition(buckets, *keys).write.option("path", fresh_path(spark, name)).bucketBy(buckets, *keys).saveAsTable(table))
+    rows = df if dealt else df.repartition(buckets, *keys)
+    (rows.write.option("path", fresh_path(spark, name)).bucketBy(buckets, *keys).saveAsTable(table))
     return spark.table(table)
 
 

@@ -59,3 +59,50 @@ def test_fusion_and_empty_indexes(spark):
     assert search.best(search.VectorIndex.build(none, "i", "v").scores(none, "i", "v"), 3).count() == 0
     texts = spark.createDataFrame([], "i int, s string")
     assert search.TextIndex.build(texts, "i", "s").scores(texts, "i", "s").count() == 0
+
+
+def _asked(rows):
+    return {(r["query"], r["item"], r["rank"], r["score"]) for r in rows.collect()}
+
+
+def test_each_part_gives_its_own_best_vectors(spark, monkeypatch):
+    """With k the same rows come out, ties and odd vectors included, and no task gives more than k of a query."""
+    monkeypatch.setattr(search, "PART_ROWS", 50)
+    monkeypatch.setattr(search, "PAIRS", 300)
+    rows = clustered(900, dim=8, clusters=6)
+    rows += [(1000 + i, rows[i % 3][1]) for i in range(60)] + [(2000, rows[0][1]), (2001, [1.0, 2.0]), (2002, [0.0] * 8), (2003, None), (None, rows[1][1])]
+    table = spark.createDataFrame(rows, "i int, v array<float>")
+    index = search.VectorIndex.build(table.where("size(v) = 8"), "i", "v", lists=4)
+    queries = table.filter("i % 50 = 0")
+    whole = search.best(index.scores(queries, "i", "v"), 7)
+    few = index.scores(queries, "i", "v", k=7)
+    assert _asked(search.best(few, 7)) == _asked(whole)
+    parts = index.entries.select("list", "_salt").distinct().count()
+    assert parts > 15 and few.count() <= 7 * parts * queries.filter("v IS NOT NULL").count() < index.scores(queries, "i", "v").count()
+
+
+def test_each_shard_gives_its_own_best_texts(spark):
+    """With k the same rows come out; items that come twice count as one where their length is the same, null items too."""
+    rng = random.Random(3)
+    texts = [(i % 700 if i % 90 else None, " ".join(["the"] * rng.randint(0, 2) + [f"w{rng.randrange(30)}" for _ in range(rng.randint(0, 9))])) for i in range(900)]
+    texts += [(3000 + i, "w1 w2 w2") for i in range(80)]
+    index = search.TextIndex.build(spark.createDataFrame(texts, "i int, s string").repartition(5), "i", "s")
+    groups = {}
+    for i, s in texts:
+        groups.setdefault((i, len(s.split())), []).extend(s.split())
+    assert index.items == len(groups) and abs(index.mean - sum(n for _, n in groups) / len(groups)) < 1e-12
+    assert index.postings.filter("term IS NOT NULL").selectExpr("sum(n)").first()[0] == sum(len(set(w)) for w in groups.values())
+    queries = spark.createDataFrame([(q, f"the w{q} w{q + 1} w2") for q in range(8)], "q int, s string")
+    scored, few = index.scores(queries, "q", "s"), index.scores(queries, "q", "s", 6)
+    assert _asked(search.best(few, 6)) == _asked(search.best(scored, 6))
+    shards = index.postings.select("_salt").distinct().count()
+    assert few.count() <= 7 * shards * 8 < scored.count()
+    got = {(r["query"], r["item"]): float(r["score"]) for r in scored.filter("query = 1").collect()}
+    want = {}
+    for term in ("the", "w1", "w2"):
+        df = sum(term in w for w in groups.values())
+        for (i, n), w in groups.items():
+            if term in w:
+                part = np.log(1 + (len(groups) - df + .5) / (df + .5)) * w.count(term) * 2.2 / (w.count(term) + 1.2 * (.25 + .75 * n / index.mean))
+                want[1, i] = want.get((1, i), 0) + part
+    assert set(got) == set(want) and all(abs(got[x] - want[x]) < 1e-6 for x in want)

@@ -24,10 +24,13 @@ def _segment(key: str, segments: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(0), F.col(key)), F.lit(segments)).alias("segment")
 
 
-def _positions(key: str) -> Column:
+def _hashes(key: str) -> tuple[Column, Column]:
+    return F.xxhash64(F.lit(1), F.col(key)).alias("first"), F.xxhash64(F.lit(2), F.col(key)).alias("step")
+
+
+def _positions(first: Column, step: Column) -> Column:
     """PROBES positions from two hashes of the key."""
-    first, step = F.xxhash64(F.lit(1), F.col(key)), F.xxhash64(F.lit(2), F.col(key)).bitwiseOR(F.lit(1))
-    mask = F.lit(BITS - 1)
+    step, mask = step.bitwiseOR(F.lit(1)), F.lit(BITS - 1)
     return F.array(*[(first.bitwiseAND(mask) + step.bitwiseAND(mask) * i).bitwiseAND(mask) for i in range(PROBES)])
 
 
@@ -36,12 +39,20 @@ def _bit(position: Column) -> Column:
 
 
 def build(keys: DataFrame, key: str, segments: int) -> DataFrame:
-    """``segment, words`` of a table's keys, a row for each of the ``segments``."""
-    bits = keys.select(_segment(key, segments), F.explode(_positions(key)).alias("p"))
-    some = bits.groupBy("segment", F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(_bit(F.col("p"))).alias("bits"))
-    every = keys.sparkSession.range(segments * WORDS).select(
-        F.expr(f"id div {WORDS}").cast(some.schema["segment"].dataType).alias("segment"), (F.col("id") % WORDS).cast("int").alias("w"))
-    full = every.join(some, ["segment", "w"], "left").select("segment", F.struct("w", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("x"))
+    """``segment, words`` of a table's keys, a row for each of the ``segments``.
+
+    Two hashes a key are dealt to its segment, and become PROBES bits there; a row for each segment brings the words without a bit.
+    """
+    def word(p: Column) -> Column:
+        return F.struct(F.shiftright(p, 6).cast("int").alias("w"), _bit(p).alias("bits"))
+
+    none = F.lit(None).cast("long")
+    every = keys.sparkSession.range(segments).select(F.col("id").alias("segment"), none.alias("first"), none.alias("step"))
+    dealt = every.unionByName(keys.select(_segment(key, segments).cast("long").alias("segment"), *_hashes(key))).repartition("segment")
+    empty = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: F.struct(w.alias("w"), F.lit(0).cast("long").alias("bits")))
+    words = F.when(F.col("first").isNull(), empty).otherwise(F.transform(_positions(F.col("first"), F.col("step")), word))
+    full = (dealt.select("segment", F.explode(words).alias("x")).groupBy("segment", "x.w").agg(F.bit_or("x.bits").alias("bits"))
+            .select("segment", F.struct("w", "bits").alias("x")))
     held = full.groupBy("segment").agg(F.sort_array(F.collect_list("x")).alias("xs"))       # WORDS entries each
     return held.select("segment", F.transform("xs", lambda x: x["bits"]).alias("words"))
 
@@ -59,5 +70,5 @@ def with_maybe(batch: DataFrame, key: str, filter_: DataFrame, segments: int) ->
     """
     probed = batch.withColumn("_segment", _segment(key, segments)).join(
         filter_.select(F.col("segment").alias("_segment"), F.col("words").alias("_words")), "_segment")
-    found = F.forall(_positions(key), lambda p: F.get("_words", F.shiftright(p, 6).cast("int")).bitwiseAND(_bit(p)) != 0)
+    found = F.forall(_positions(*_hashes(key)), lambda p: F.get("_words", F.shiftright(p, 6).cast("int")).bitwiseAND(_bit(p)) != 0)
     return probed.withColumn("maybe_stored", found).drop("_segment", "_words")

@@ -32,13 +32,17 @@ class Landed:
     spaces: DataFrame
 
 
+def _flat(kind: str, rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    return flatten(rows, kind, keep)
+
+
 def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours: int = fixed.FRESH_HOURS,
         target: int | None = None, catalogue: Catalogue | None = None,
         quarantine: str | None = None, run_id: str | None = None) -> DataFrame:
     """Load all tables under ``root`` as one version of them and return their row counts.
 
-    Named rows and the hits of their names are written to the shared folder, since records and log both come from them; so are
-    checked records, since good and bad ones both come from them. ``quarantine`` names the folder for records that break the
+    Rows with resolved names are written to the shared folder, since records and log both come from them; so are the checked
+    records of papers and news, since good and bad ones both come from them. ``quarantine`` names the folder for records that break the
     contract. A run whose ``run_id`` was loaded before changes no table.
     """
     use_utc(spark)
@@ -47,8 +51,8 @@ def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours:
     quarantine = quarantine or fresh_path(spark, "quarantine")
 
     companies, postings, articles = at_once([
-        lambda: entities.resolved_entities(landed.directory, landed.spaces, catalogue, target),
-        lambda: jobs.resolved_jobs(landed.boards, cutoff, catalogue),
+        lambda: stage(entities.resolved_entities(landed.directory, landed.spaces, catalogue, target), "companies"),
+        lambda: stage(jobs.resolved_jobs(landed.boards, cutoff, catalogue), "jobs"),
         lambda: news.news_rows(landed.feeds, landed.pages, cutoff, run_ts)])
     flats = {
         "research_papers": papers.paper_rows(landed.papers, landed.repo_stats, target),
@@ -57,12 +61,14 @@ def run(spark: SparkSession, landed: Landed, root: str, run_ts: datetime, hours:
         "news": articles,
         "jobs": jobs.job_rows(postings),
     }
-    staged = at_once(partial(stage, checked(to_record(flat, kind, ("ingest_seq",)), kind), kind) for kind, flat in flats.items())
-    split = {kind: split_checked(rows) for kind, rows in zip(flats, staged)}
+    records = {kind: checked(to_record(flat, kind, ("ingest_seq",)), kind) for kind, flat in flats.items()}
+    dear = ["research_papers", "news"]      # the others are made of a written table row by row
+    records |= dict(zip(dear, at_once(partial(stage, records[kind], kind) for kind in dear)))
+    split = {kind: split_checked(rows) for kind, rows in records.items()}
     good, bad = ({kind: pair[i] for kind, pair in split.items()} for i in (0, 1))
     state = load_tables(
-        spark, root, {kind: flatten(rows, kind, ("ingest_seq",)) for kind, rows in good.items()},
-        [resolution_log(resolved, "raw_name", F.lit(run_ts), ("ingest_seq",)) for resolved in (companies, postings)], run_id=run_id)
+        spark, root, good, [resolution_log(resolved, "raw_name", F.lit(run_ts), ("ingest_seq",)) for resolved in (companies, postings)],
+        run_id=run_id, finish={kind: partial(_flat, kind) for kind in good})
     bad["research_papers/incomplete"] = papers.incomplete_papers(landed.papers)
     at_once(partial(rows.select(F.to_json(F.struct("*")).alias("record"), "reasons").write.mode("append").parquet,
                     f"{quarantine}/{kind}") for kind, rows in bad.items())

@@ -88,7 +88,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     outlives any executor, instead of a cache that dies with it.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

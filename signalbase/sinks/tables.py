@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators import prefilter
@@ -23,6 +23,7 @@ from . import commits
 KEY = "hash_key"
 LOG = "entity_mapping_logs"
 TRIES = 20
+Finish = Callable[[DataFrame, tuple[str, ...]], DataFrame]
 FEW_KEYS = 10_000   # doubtful keys up to here are looked for by value, in their buckets only; more are joined bucket by bucket
 
 
@@ -63,7 +64,7 @@ def _attached(spark: SparkSession, root: str, name: str, state: dict, loads: Seq
     table = f"signalbase_{hashlib.md5(root.encode()).hexdigest()[:8]}_{state['id'][:8]}_{name}"
     if not spark.catalog.tableExists(table):
         buckets = f"CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {state['buckets']} BUCKETS" if name != LOG else ""
-        spark.sql(f"CREATE TABLE {table} ({schemas.TABLES[name]}, load string) USING parquet PARTITIONED BY (load) {buckets} "
+        spark.sql(f"CREATE TABLE {table} ({schemas.TABLES[name]}, load string) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (load) {buckets} "
                   f"LOCATION '{root}/{name}'")
     known = {row[0].removeprefix("load=") for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     missing = " ".join(f"PARTITION (load='{load}')" for load in loads if load not in known)
@@ -101,37 +102,52 @@ def new_keys(spark: SparkSession, root: str, name: str, batch: DataFrame, state:
 
 
 def _append(spark: SparkSession, root: str, name: str, rows: DataFrame, state: dict, load: str) -> None:
-    """Write rows as one load that no manifest lists yet."""
+    """Write rows, dealt by their buckets unless they are log rows, as one load that no manifest lists yet."""
     table = _attached(spark, root, name, state, ())
-    if name != LOG:
-        rows = rows.repartition(state["buckets"], KEY)
     rows.select(*column_names(name), F.lit(load).alias("load")).write.insertInto(table)
 
 
-def _filter_with(spark: SparkSession, root: str, name: str, keys: DataFrame, state: dict, entry: dict, load: str) -> dict:
-    """The table's filter with ``keys`` added, written anew; with more segments once the present ones are full."""
+def _filter_with(spark: SparkSession, root: str, name: str, state: dict, entry: dict, load: str) -> dict:
+    """The table's filter with the keys of ``load`` added, written anew; with more segments once the present ones are full."""
     path = f"{root}/{name}_keys/{load}"
-    if entry["filter"] and entry["rows"] <= entry["segments"] * prefilter.KEYS:
-        segments = entry["segments"]
-        merged = prefilter.merge(spark.read.parquet(entry["filter"]), prefilter.build(keys, KEY, segments))
-    else:
-        segments = prefilter.segments_for(entry["rows"])
-        everything = keys.select(KEY).unionByName(read_table(spark, root, name, state).select(KEY))
-        merged = prefilter.build(everything, KEY, segments)
-    merged.write.parquet(path)
+    full = not entry["filter"] or entry["rows"] > entry["segments"] * prefilter.KEYS
+    loads = entry["loads"] if full else [load]
+    keys = read_table(spark, root, name, {**state, "tables": {name: {**entry, "loads": loads}}}).select(KEY)
+    segments = prefilter.segments_for(entry["rows"]) if full else entry["segments"]
+    built = prefilter.build(keys, KEY, segments)
+    (built if full else prefilter.merge(spark.read.parquet(entry["filter"]), built)).write.parquet(path)
     return {"filter": path, "segments": segments}
 
 
-def _load_new(spark: SparkSession, root: str, name: str, batch: DataFrame, state: dict, load: str, seq: str) -> dict:
-    """Append the new rows of one table; its entry for the next manifest."""
+def _digest(key: Column) -> Column:
+    return F.unhex(F.md5(key))
+
+
+def _load_new(spark: SparkSession, root: str, name: str, batch: DataFrame, finish: Finish | None, state: dict, load: str, seq: str) -> dict:
+    """Append the new rows of one table; its entry for the next manifest.
+
+    Keys are compared by 128 bits of theirs, and a row is found again by its arrival number and 64 bits of its key, so a key
+    travels with neither. Rows travel as they come, and are finished in their buckets.
+    """
     entry = state["tables"][name]
-    ids = assign_ids(new_keys(spark, root, name, batch, state, seq), seq, entry["rows"])
+    finish = finish or (lambda rows, keep: rows.select(*dict.fromkeys([*(c for c in column_names(name) if c in rows.columns), *keep])))
+    flat = finish(batch.withColumn("_row", F.struct(*batch.columns)), (seq, "_row"))
+    mark = F.when(F.col(KEY).isNotNull(), F.xxhash64(_digest(F.col(KEY)))).alias("_mark")
+    if entry["filter"]:
+        firsts = new_keys(spark, root, name, flat.select(KEY, seq), state, seq).select(mark, seq)
+    else:
+        grouped = flat.groupBy(_digest(F.col(KEY)).alias("_digest")).agg(F.min(seq).alias(seq))
+        firsts = grouped.select(F.when(F.col("_digest").isNotNull(), F.xxhash64("_digest")).alias("_mark"), seq)
+    ids = assign_ids(firsts, seq, entry["rows"])
     count = ids.count()
     if not count:
         return entry
-    _append(spark, root, name, batch.join(ids, [KEY, seq]), state, load)
+    bucket = F.pmod(F.hash(KEY), F.lit(state["buckets"])).alias("_bucket")
+    kept = flat.select(mark, seq, bucket, "_row").join(ids, ["_mark", seq]).select("id", "_bucket", "_row")
+    rows = kept.repartitionById(state["buckets"], "_bucket").select("_row.*", "id")
+    _append(spark, root, name, finish(rows, (seq, "id")), state, load)
     entry = {**entry, "loads": [*entry["loads"], load], "rows": entry["rows"] + count}
-    return entry | _filter_with(spark, root, name, ids, state, entry, load)
+    return entry | _filter_with(spark, root, name, state, entry, load)
 
 
 def _load_log(spark: SparkSession, root: str, logs: Sequence[DataFrame], state: dict, load: str, seq: str) -> dict:
@@ -149,9 +165,12 @@ def _load_log(spark: SparkSession, root: str, logs: Sequence[DataFrame], state:
 
 
 def load_tables(spark: SparkSession, root: str, batches: dict[str, DataFrame], logs: Sequence[DataFrame] = (),
-                seq: str = "ingest_seq", run_id: str | None = None) -> dict:
+                seq: str = "ingest_seq", run_id: str | None = None, finish: dict[str, Finish] | None = None) -> dict:
     """Insert-or-ignore ``batches`` (table columns without ``id``, plus ``seq``) and append ``logs``, all in one version.
 
+    Where ``finish`` has a function for a table, its batch may hold other columns, of which that function makes the table's, and
+    passes on those that it is told to keep.
+
     If another writer publishes first, everything is decided again against what it has added; ids go on from there. A
     ``run_id`` that was published before changes nothing, so a run that is repeated does not double its log. Returns the
     manifest that holds the load. Batches are read once per try: pass written tables, not long plans.
@@ -163,7 +182,7 @@ def load_tables(spark: SparkSession, root: str, batches: dict[str, DataFrame], l
         if run_id is not None and run_id in state["runs"]:
             return state
         load = uuid.uuid4().hex
-        works = {name: partial(_load_new, spark, root, name, batch, state, load, seq) for name, batch in batches.items()}
+        works = {name: partial(_load_new, spark, root, name, batch, (finish or {}).get(name), state, load, seq) for name, batch in batches.items()}
         if logs:
             works[LOG] = partial(_load_log, spark, root, logs, state, load, seq)
         entries = dict(zip(works, at_once(works.values())))

@@ -172,3 +172,31 @@ def test_staged_tables_go_at_the_end(tmp_path, spark):
         assert Catalogue.built_in(spark).frame.count() > 100
     finally:
         session._written.setdefault(spark.sparkContext.applicationId, []).extend(kept)
+
+
+def test_a_load_moves_no_key_and_finishes_rows_in_their_buckets(spark, tmp_path, monkeypatch):
+    """Rows with columns of their own become table rows after the last shuffle; repeated and null keys and arrival numbers as before."""
+    root, plans, numbered = str(tmp_path / "t"), [], tables.assign_ids
+    monkeypatch.setattr(tables, "assign_ids", lambda df, *a, **b: plans.append(_plan(df)) or numbered(df, *a, **b))
+    written, append = [], tables._append
+    monkeypatch.setattr(tables, "_append", lambda s, r, n, rows, *a: written.append(_plan(rows)) or append(s, r, n, rows, *a))
+
+    def finish(rows, keep):
+        return rows.select(F.lower("name").alias("hash_key"), F.col("name").alias("entity_name"), F.lit(1).alias("employee_count"),
+                           F.lit("s").alias("source_name"), F.concat(F.lit("u"), "name").alias("source_url"), F.lit("t").alias("collected_at"),
+                           F.repeat("name", 50).alias("raw_payload"), *keep)
+
+    batch = spark.createDataFrame([("B", 5), ("a", 3), ("b", 2), ("A", 9), ("c", 4), ("d", 4), ("a", 3)], "name string, ingest_seq bigint")
+    for _ in range(2):
+        tables.load_tables(spark, root, {"startups": batch}, finish={"startups": finish})
+    got = [(r.hash_key, r.entity_name, r.raw_payload) for r in tables.read_table(spark, root, "startups").orderBy("id").collect()]
+    assert sorted(got) == sorted((k, k, k * 50) for k in ("b", "a", "a", "c", "d"))
+    assert got[0][0] == "b" and got[1][0] == got[2][0] == "a"       # both rows of one key and arrival number stay
+    shuffle = written[0].index("_bucket")
+    assert "md5" in plans[0] and "repeat(" in written[0][:shuffle] and "repeat(" not in written[0][written[0].rindex("Exchange"):]
+
+
+def test_a_filter_is_built_with_one_shuffle_of_the_keys(spark):
+    keys = spark.range(500).select(F.col("id").cast("string").alias("k"))
+    assert _plan(prefilter.build(keys, "k", 8)).count("Exchange") == 1
+    assert prefilter.build(keys, "k", 8).where("size(words) = 512").count() == 8

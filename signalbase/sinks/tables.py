@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas
 from ..operators import prefilter
@@ -127,24 +127,26 @@ def _load_new(spark: SparkSession, root: str, name: str, batch: DataFrame, finis
     """Append the new rows of one table; its entry for the next manifest.
 
     Keys are compared by 128 bits of theirs, and a row is found again by its arrival number and 64 bits of its key, so a key
-    travels with neither. Rows travel as they come, and are finished in their buckets.
+    travels with neither. Rows travel once, as they come; they meet their numbers and are finished in their buckets.
     """
     entry = state["tables"][name]
     finish = finish or (lambda rows, keep: rows.select(*dict.fromkeys([*(c for c in column_names(name) if c in rows.columns), *keep])))
     flat = finish(batch.withColumn("_row", F.struct(*batch.columns)), (seq, "_row"))
     mark = F.when(F.col(KEY).isNotNull(), F.xxhash64(_digest(F.col(KEY)))).alias("_mark")
+    bucket = F.pmod(F.hash(KEY), F.lit(state["buckets"])).alias("_bucket")
     if entry["filter"]:
-        firsts = new_keys(spark, root, name, flat.select(KEY, seq), state, seq).select(mark, seq)
+        firsts = new_keys(spark, root, name, flat.select(KEY, seq), state, seq).select(bucket, mark, seq)
     else:
-        grouped = flat.groupBy(_digest(F.col(KEY)).alias("_digest")).agg(F.min(seq).alias(seq))
-        firsts = grouped.select(F.when(F.col("_digest").isNotNull(), F.xxhash64("_digest")).alias("_mark"), seq)
+        grouped = flat.groupBy(_digest(F.col(KEY)).alias("_digest"), bucket).agg(F.min(seq).alias(seq))
+        firsts = grouped.select("_bucket", F.when(F.col("_digest").isNotNull(), F.xxhash64("_digest")).alias("_mark"), seq)
     ids = assign_ids(firsts, seq, entry["rows"])
     count = ids.count()
     if not count:
         return entry
-    bucket = F.pmod(F.hash(KEY), F.lit(state["buckets"])).alias("_bucket")
-    kept = flat.select(mark, seq, bucket, "_row").join(ids, ["_mark", seq]).select("id", "_bucket", "_row")
-    rows = kept.repartitionById(state["buckets"], "_bucket").select("_row.*", "id")
+    met = flat.select(bucket, mark, seq, "_row").unionByName(ids, allowMissingColumns=True).where(F.col("_mark").isNotNull() & F.col(seq).isNotNull())
+    one = Window.partitionBy("_bucket", "_mark", seq)       # a number and the rows it is for
+    numbered = met.repartitionById(state["buckets"], "_bucket").withColumn("id", F.max("id").over(one))
+    rows = numbered.where("id IS NOT NULL AND _row IS NOT NULL").select("_row.*", "id")
     _append(spark, root, name, finish(rows, (seq, "id")), state, load)
     entry = {**entry, "loads": [*entry["loads"], load], "rows": entry["rows"] + count}
     return entry | _filter_with(spark, root, name, state, entry, load)

@@ -15,8 +15,8 @@ K1, B = 1.2, 0.75           # saturation of repeated terms, and share of length
 SCORE = "decimal(20,9)"     # scores are added up as decimals, so their order of arrival changes nothing
 FUSED = 60                  # damping of ranks when two rankings are fused
 SAMPLE = 100_000            # vectors at most that centroids are trained on
-SHARDS = 8                  # shards of texts a shuffle partition at least
-SHARD_BYTES = 8 << 20       # bytes of text in a shard, about
+SHARDS = 2                  # shards of texts a shuffle partition at least
+SHARD_BYTES = 16 << 20      # bytes of text in a shard, about
 PART_ROWS = 8192            # vectors in one part of a list, about
 PAIRS = 4 << 20             # pairs of vectors that a task holds at once
 _TRAINED = 20               # rounds of training
@@ -26,30 +26,51 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
+def _parted(text: Column) -> Column:
+    """The text in lower case and with a blank at its end, in which only ASCII characters part its terms (``terms_of``)."""
+    return F.concat(F.regexp_replace(F.lower(text), r"[^\x00-\x7F\p{L}\p{N}]", " "), F.lit(" "))
+
+
 def _inverted():
-    """The function of a task that inverts one shard: a row per term, and one without a term that lists all items with their lengths.
+    """The function of a task that inverts one shard of ``_parted`` texts: a row per term, and one without a term that lists all items with their lengths.
 
     Rows with the same item and length count as one. The functions of tasks are made inside others, so that Spark sends them whole and executors
     need no copy of this package.
     """
+    def words(texts):
+        """The terms of all texts one after the other, and how many each text has."""
+        import numpy as np
+        import pyarrow as pa
+
+        texts = texts.cast(pa.large_string())
+        _, ends, raw = texts.buffers()
+        ends = np.frombuffer(ends, "int64")[texts.offset:texts.offset + len(texts) + 1]
+        raw = np.frombuffer(raw, "uint8")[ends[0]:ends[-1]]
+        byte = np.arange(256)
+        inside = ((byte >= 128) | np.isin(byte, np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyz", "uint8")))[raw]
+        edges = np.flatnonzero(np.diff(inside, prepend=False))      # starts and ends by turns, as a blank ends each text
+        starts, stops = edges[::2], edges[1::2]
+        offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype("int64")
+        found = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw[inside]))
+        return found, np.diff(np.searchsorted(starts, ends - ends[0]))
+
     def inverted(table):
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         table = table.combine_chunks()
-        item, terms = (pa.concat_arrays(table[c].chunks) for c in ("item", "t"))
-        size = pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype("int64")
+        item, texts = (pa.concat_arrays(table[c].chunks) for c in ("item", "text"))
+        terms, size = words(texts)
         code = item.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype("int64")
         _, row, text = np.unique((code + 1) * (int(size.max()) + 1) + size, return_index=True, return_inverse=True)
-        found = terms.flatten().dictionary_encode()
+        found = terms.dictionary_encode()
         at = found.indices.to_numpy(zero_copy_only=False).astype("int64")
-        pairs, tf = np.unique(at * len(row) + text[pc.list_parent_indices(terms).to_numpy(zero_copy_only=False)], return_counts=True)
+        pairs, tf = np.unique(at * len(row) + np.repeat(text, size), return_counts=True)
         held = row[pairs % len(row)]
         n = np.concatenate([np.bincount(pairs // len(row), minlength=len(found.dictionary)), [len(row)]])
         ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
         rows = np.concatenate([held, row])
-        whole = {"term": pa.concat_arrays([found.dictionary, pa.nulls(1, found.dictionary.type)]), "n": pa.array(n, pa.int32()),
+        whole = {"term": pa.concat_arrays([found.dictionary.cast(pa.string()), pa.nulls(1, pa.string())]), "n": pa.array(n, pa.int32()),
                  "items": pa.ListArray.from_arrays(ends, item.take(pa.array(rows))),
                  "tfs": pa.ListArray.from_arrays(ends, pa.array(np.concatenate([tf, np.zeros(len(row), "int64")]), pa.int32())),
                  "lengths": pa.ListArray.from_arrays(ends, pa.array(size[rows], pa.int32())),
@@ -137,7 +158,7 @@ class TextIndex:
         shown = texts.select(F.col(item).alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         dealt = F.when(F.col("item").isNull(), F.xxhash64(F.size(terms_of(F.col("text"))))).otherwise(F.xxhash64("item"))
         found = (shown.withColumn("_salt", F.pmod(dealt, F.lit(shards)).cast("int")).repartition(buckets, "_salt")
-                 .select("_salt", "item", terms_of(F.col("text")).alias("t")))
+                 .select("_salt", "item", _parted(F.col("text")).alias("text")))
         kind = shown.schema["item"].dataType.simpleString()
 
         listed = found.groupBy("_salt").applyInArrow(
@@ -177,7 +198,12 @@ def _unit(vector: Column) -> Column:
     """The vector at length one; null for a zero or null one."""
     v = vector.cast("array<double>")
     size = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(size > 0, F.transform(v, lambda x: x / size))
+    return _once(size, lambda size: F.when(size > 0, F.transform(v, lambda x: x / size)))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once a row: as it stands in a function over an array, it would be for each element."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -187,7 +213,7 @@ def _dot(a: Column, b: Column) -> Column:
 def _lists(unit: Column, centroids: list, n: int) -> Column:
     """Numbers of the ``n`` nearest centroids, by likeness, ties to the smaller number."""
     known = F.from_json(F.lit(json.dumps([{"i": i, "c": c} for i, c in enumerate(centroids)])), "array<struct<i:int,c:array<double>>>")
-    ranked = F.sort_array(F.transform(known, lambda e: F.struct((-_dot(unit, e["c"])).alias("far"), e["i"].alias("i"))))
+    ranked = _once(unit, lambda unit: F.sort_array(F.transform(known, lambda e: F.struct((-_dot(unit, e["c"])).alias("far"), e["i"].alias("i")))))
     return F.transform(F.slice(ranked, 1, n), lambda e: e["i"])
 
 

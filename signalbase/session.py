@@ -56,6 +56,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 _written: dict[str, list[str]] = {}      # staged paths by application
 _STAGED_TABLE = "signalbase_stage_"
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -102,7 +103,12 @@ def stage_by(df: DataFrame, keys: Sequence[str], name: str, dealt: bool = False)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{_STAGED_TABLE}{uuid.uuid4().hex}"
     rows = df if dealt else df.repartition(buckets, *keys)
-    (rows.write.option("path", fresh_path(spark, name)).bucketBy(buckets, *keys).saveAsTable(table))
+    held = spark.conf.get(_WRITERS)
+    spark.conf.set(_WRITERS, str(max(1, int(held))))    # a task has one bucket; without this Spark sorts all its rows by bucket first
+    try:
+        (rows.write.option("path", fresh_path(spark, name)).bucketBy(buckets, *keys).saveAsTable(table))
+    finally:
+        spark.conf.set(_WRITERS, held)
     return spark.table(table)
 
 

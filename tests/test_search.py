@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from signalbase.operators import search
+from signalbase.session import stage_by as kept
 
 
 def clustered(n, seed=2, dim=32, clusters=25):
@@ -106,3 +108,35 @@ def test_each_shard_gives_its_own_best_texts(spark):
                 part = np.log(1 + (len(groups) - df + .5) / (df + .5)) * w.count(term) * 2.2 / (w.count(term) + 1.2 * (.25 + .75 * n / index.mean))
                 want[1, i] = want.get((1, i), 0) + part
     assert set(got) == set(want) and all(abs(got[x] - want[x]) < 1e-6 for x in want)
+
+
+def test_terms_are_cut_out_of_whole_texts(spark, monkeypatch):
+    """A shard gets each text as one value, not as a list of terms, and finds the terms that ``terms_of`` finds."""
+    listed = []
+    monkeypatch.setattr(search, "stage_by", lambda df, *a, **b: listed.append(df) or kept(df, *a, **b))
+    odd = ["", " ", None, "A", "\u00c0B-c_d e\u0301f", "\u0130I \u015e\u015e \u00df \u1e9e", "x\u00a0y\u3000z\u2028w", "\u0663\u0664 \u00bd \u2167 \u00b2, \u0660", "\u6771\u4eac\u3001\u5927\u962a a\u6771", "\U0001f600a\U0001d400\U00010400b", "\ufffdq\ufffd", "\u0000n\tm\r\n", "don't, e-mail: a@b.c", "\uff41\uff22\uff11", "no-end9", "\ufeff\ufb01 \u01c5 \u02b0 \u0903"]
+    texts = spark.createDataFrame([*enumerate(odd), *((100 + i, f"w{i} wörter{i % 7}é, Ω{i % 3}") for i in range(200))], "i int, s string").repartition(3)
+    index = search.TextIndex.build(texts, "i", "s")
+    got = {(r["term"], i, tf, n) for r in index.postings.filter("term IS NOT NULL").collect() for i, tf, n in zip(r["items"], r["tfs"], r["lengths"])}
+    want = {(term, r["i"], r["t"].count(term), len(r["t"])) for r in texts.select("i", search.terms_of(search.text_of("s")).alias("t")).collect() for term in r["t"]}
+    assert got == want and len(want) > 630 and index.items == len(odd) + 200
+    plan = listed[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 1        # texts without an item are dealt by their number of terms
+
+
+def test_the_length_of_a_vector_is_worked_out_once(spark):
+    """Neither the length nor the vector at length one stands inside the function over components or centroids."""
+    rows = [(0, [3.0, 4.0]), (1, [0.0, 0.0]), (2, None), (3, []), (4, [float("inf"), 1.0]), (5, [float("nan")]), (6, [1.0, None])]
+    table = spark.createDataFrame(rows, "i int, v array<double>").repartition(2)
+    unit = search._unit(F.col("v"))
+    got = table.select("i", unit.alias("u"), search._lists(unit, [[1.0, 0.0], [0.6, 0.8]], 2).alias("near")).orderBy("i")
+    assert [r["u"] for r in got.collect()][:4] == [[0.6, 0.8], None, None, None] and got.first()["near"] == [1, 0]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "/ sqrt(" not in plan and plan.count("sqrt(") <= 2
+
+
+def test_staged_buckets_leave_the_settings(spark):
+    held = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    table = kept(spark.range(1000).withColumn("k", F.col("id") % 37), ["k"], "buckets")
+    assert table.count() == 1000 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == held
+    assert len(table.inputFiles()) <= 4 and "Bucketed: true" in table.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
